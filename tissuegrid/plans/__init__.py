@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SUBJECTS = ("cells",)
+SUBJECTS = ("cells", "pixels")
 
 
 def load_catalog():
