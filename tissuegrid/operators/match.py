@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tissuegrid.operators import raster
+from tissuegrid.operators.components import connected_pixels
 from tissuegrid.operators.orderstats import positions
 from tissuegrid.runtime import cut_lineage
 
@@ -156,3 +157,11 @@ def matched_fractions(repaired: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.coalesce(F.try_divide("_m", "_c"), F.lit(0.0)).alias("matched_cell_share"),
         F.lit(1.0).alias("repaired_fraction"),
     )
+
+
+def unmatched_objects(pixels: DataFrame, matches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Connected groups of unmatched nucleus pixels: (keys, y, x, nucleus_unmatched)."""
+    lost = unmatched(pixels, matches, keys).withColumnRenamed("nucleus", "nucleus_label")
+    mask = pixels.join(lost, [*keys, "nucleus_label"], "left_semi").select(*keys, "y", "x")
+    # Ids start at one so that 0 stays background.
+    return connected_pixels(mask, keys).select(*keys, "y", "x", (F.col("component") + 1).alias("nucleus_unmatched"))

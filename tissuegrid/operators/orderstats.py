@@ -24,7 +24,7 @@ def value_splits(df: DataFrame, value: str, pieces: int | None = None) -> list[f
     probs = [i / pieces for i in range(1, pieces)]
     cuts = df.approxQuantile(value, probs, 0.5 / pieces)
     points = set(cuts)
-    points.update(math.nextafter(c, math.inf) for c in points if cuts.count(c) > 1)
+    points.update([math.nextafter(c, math.inf) for c in points if cuts.count(c) > 1])
     return [-math.inf, *sorted(points), math.inf]
 
 

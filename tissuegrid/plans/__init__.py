@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SUBJECTS = ("cells", "pixels")
+SUBJECTS = ("cells", "pixels", "reports")
 
 
 def load_catalog():
