@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tissuegrid.operators.orderstats import positions, quantiles
+from tissuegrid.runtime import cut_lineage
 
 # Mask pairs compared by the report: name → (original column, repaired column).
 PAIRS = {"cell": ("cell_label", "cell_matched"), "nucleus": ("nucleus_label", "nucleus_matched")}
@@ -62,7 +63,7 @@ def pair_masks() -> dict[str, str]:
 def bias_by_channel(pixels: DataFrame, channels: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """One row per (keys, channel): statistics of the four masks and the changes between them."""
     group = [*keys, "channel"]
-    means = object_means_long(pixels, pair_masks(), channels, keys)
+    means = cut_lineage(object_means_long(pixels, pair_masks(), channels, keys))
     stats = intensity_statistics(means, [*group, "mask"])
     names = list(pair_masks())
     wide = stats.groupBy(*group).pivot("mask", names).agg(

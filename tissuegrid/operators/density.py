@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tissuegrid.operators.orderstats import quantiles
+from tissuegrid.runtime import cut_lineage
 
 # Order of the masks in a patch report, and the pixel column each one is read from.
 REPORT_MASKS = {
@@ -95,7 +96,7 @@ def density_report(pixels: DataFrame, extents: DataFrame, keys: Sequence[str], m
     Pixel coordinates are local to the patch.
     """
     keys = list(keys)
-    objects = object_table(long_masks(pixels, masks, keys), keys)
+    objects = cut_lineage(object_table(long_masks(pixels, masks, keys), keys))
     names = F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask")
     out = extents.select(*keys, names)
     group = [*keys, "mask"]

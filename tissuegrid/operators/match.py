@@ -28,18 +28,14 @@ def mismatches(bounded: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     ``bounded`` has the ``boundary`` column of the cell raster, so boundary pixels go by their own label.
     """
-    both = (F.col("cell_label") > 0) & (F.col("nucleus_label") > 0)
-    pairs = (
-        bounded.where(both)
+    # One pass over the pixels: nucleus pixels on background form a pair with cell 0 here.
+    shared = (
+        bounded.where(F.col("nucleus_label") > 0)
         .groupBy(*keys, F.col("cell_label").alias("cell"), F.col("nucleus_label").alias("nucleus"))
         .agg(F.count(F.lit(1)).alias("n_overlap"), F.count_if(F.col("boundary") == 0).alias("n_inside"))
     )
-    totals = (
-        bounded.where(F.col("nucleus_label") > 0)
-        .groupBy(*keys, F.col("nucleus_label").alias("nucleus"))
-        .agg(F.count(F.lit(1)).alias("n_nucleus"))
-    )
-    return pairs.join(totals, [*keys, "nucleus"]).select(
+    totals = shared.groupBy(*keys, "nucleus").agg(F.sum("n_overlap").alias("n_nucleus"))
+    return shared.where("cell > 0").join(totals, [*keys, "nucleus"]).select(
         *keys, "cell", "nucleus", "n_overlap", "n_inside", "n_nucleus",
         ((F.col("n_nucleus") - F.col("n_inside")) / F.col("n_nucleus")).alias("mismatch"),
     )
@@ -99,10 +95,13 @@ def apply_matches(bounded: DataFrame, matches: DataFrame, keys: Sequence[str]) -
 
 
 def repair(pixels: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(pixels with matched labels, match table) from raw cell and nucleus labels."""
+    """(pixels with matched labels, match table) from raw cell and nucleus labels.
+
+    Both come back as stored stage tables, since every later step reads them several times.
+    """
     bounded = raster.inner_boundary(pixels, "cell_label", keys)
-    matches = numbered(assign(mismatches(bounded, keys), keys), keys)
-    return apply_matches(bounded, matches, keys), matches
+    matches = cut_lineage(numbered(assign(mismatches(bounded, keys), keys), keys))
+    return cut_lineage(apply_matches(bounded, matches, keys)), matches
 
 
 def unmatched(pixels: DataFrame, matches: DataFrame, keys: Sequence[str], kind: str = "nucleus") -> DataFrame:

@@ -35,12 +35,18 @@ def put_in_bucket(df: DataFrame, value: str, splits: list[float], name: str) ->
 
 
 def bucket_offsets(df: DataFrame, keys: Sequence[str], bucket: str, n: str, name: str) -> DataFrame:
-    """Rows of each group that lie in earlier buckets; the table has one row per (group, bucket)."""
+    """Rows of each group in earlier buckets, and in all of them as ``_total``.
+
+    The table has one row per (group, bucket).
+    """
     totals = df.groupBy(*keys, bucket).agg(F.sum(n).alias("_in_bucket"))
-    w = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
-    w = w.orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
+    earlier = whole.orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
     return totals.select(
-        *keys, bucket, F.coalesce(F.sum("_in_bucket").over(w), F.lit(0)).alias(name)
+        *keys,
+        bucket,
+        F.coalesce(F.sum("_in_bucket").over(earlier), F.lit(0)).alias(name),
+        F.sum("_in_bucket").over(whole).alias("_total"),
     )
 
 
@@ -50,7 +56,7 @@ def ranked_counts(
     """Counts per (group, value, carry) with the number of rows before and up to the value.
 
     Columns: keys, value, carry, ``n``, ``ties`` (rows with this value), ``below`` (rows with a smaller
-    one). Average rank is ``below + (ties + 1) / 2``.
+    one), ``total`` (rows of the group). Average rank is ``below + (ties + 1) / 2``.
     """
     keys, carry = list(keys), list(carry)
     known = df.where(F.col(value).isNotNull())
@@ -67,6 +73,7 @@ def ranked_counts(
             + F.sum("n").over(w.rangeBetween(W.unboundedPreceding, W.currentRow))
             - F.col("ties"),
         )
+        .withColumnRenamed("_total", "total")
         .drop("_bucket", "_before")
     )
 
@@ -81,21 +88,16 @@ def quantiles(
     """Linear-interpolation quantiles per group, one column per named probability."""
     keys = list(keys)
     ranked = ranked_counts(df, keys, value, pieces=pieces)
-    totals = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
-    if keys:
-        joined = ranked.join(totals, keys)
-    else:
-        joined = ranked.withColumn("_total", totals.scalar())
     picks = []
     for name, p in probs.items():
-        at = (F.col("_total") - 1) * F.lit(float(p))
+        at = (F.col("total") - 1) * F.lit(float(p))
         upto = F.col("below") + F.col("ties")
         picks += [
             F.min(F.when(upto > F.floor(at), F.col(value))).alias(f"_lo_{name}"),
             F.min(F.when(upto > F.ceil(at), F.col(value))).alias(f"_hi_{name}"),
             F.max(at - F.floor(at)).alias(f"_w_{name}"),
         ]
-    wide = joined.groupBy(*keys).agg(*picks)
+    wide = ranked.groupBy(*keys).agg(*picks)
     return wide.select(
         *keys,
         *[
@@ -120,7 +122,7 @@ def positions(df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence
     return (
         spread.join(offsets, [*keys, "_bucket"])
         .withColumn(name, (F.col("_before") + F.row_number().over(w)).cast("bigint"))
-        .drop("_o", "_bucket", "_before")
+        .drop("_o", "_bucket", "_before", "_total")
     )
 
 
@@ -136,5 +138,5 @@ def running_before(df: DataFrame, keys: Sequence[str], order: str, value: str, n
     return (
         blocked.join(offsets, [*keys, "_block"])
         .withColumn(name, F.col("_before") + F.coalesce(F.sum(value).over(w), F.lit(0)))
-        .drop("_block", "_before")
+        .drop("_block", "_before", "_total")
     )

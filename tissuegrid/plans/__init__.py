@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SUBJECTS = ("cells", "pixels", "reports")
+SUBJECTS = ("cells", "pixels", "reports", "graphs")
 
 
 def load_catalog():
