@@ -10,10 +10,14 @@ from tissuegrid.operators.orderstats import positions
 from tissuegrid.runtime import cut_lineage
 
 
+SETTLED = 0.001  # share of moving nodes below which a round counts as still
+
+
 def _one_level(edges: DataFrame, strength: DataFrame, two_m: float, resolution: float, seed: int, max_rounds: int) -> DataFrame:
     """(node, c): every node starts alone and moves to the neighbouring community of largest gain.
 
-    Half of the nodes, told apart by a hash, may move in a round; two still rounds end the level.
+    Half of the nodes, told apart by a hash, may move in a round; a level ends after two rounds in
+    which hardly any did.
     """
     labels = cut_lineage(strength.select("node", F.col("node").alias("c")))
     plain = edges.where("src <> dst")
@@ -43,9 +47,9 @@ def _one_level(edges: DataFrame, strength: DataFrame, two_m: float, resolution:
         updated = cut_lineage(
             chosen.select("node", F.when(moved, -F.col("b.neg")).otherwise(F.col("own")).alias("c"), moved.alias("moved"))
         )
-        changed = updated.where("moved").limit(1).count()
+        changed = updated.agg(F.avg(F.col("moved").cast("double"))).first()[0] or 0.0
         labels = updated.select("node", "c")
-        still = 0 if changed else still + 1
+        still = still + 1 if changed < SETTLED else 0
         if still == 2:
             break
     return labels

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
+
+from tissuegrid.functions.text import channel_number
+from tissuegrid.operators.orderstats import positions, put_in_bucket, quantiles, ranked_counts, value_splits
+from tissuegrid.operators.qc import has_content
+from tissuegrid.runtime import cut_lineage, fanout
 
 
 def channel_dropout(df: DataFrame, share: float, channels: Sequence[str], draw: Column | None = None, seed: int = 0, id_column: str = "channel_id") -> DataFrame:
@@ -20,3 +29,461 @@ def channel_dropout(df: DataFrame, share: float, channels: Sequence[str], draw:
         {id_column: F.when(lost, 0).otherwise(F.col(id_column))}
         | {c: F.when(lost, 0.0).otherwise(F.col(c)) for c in channels}
     )
+
+
+# --- tables behind the reports -----------------------------------------------------------------
+
+
+def marker_statistics(long: DataFrame) -> DataFrame:
+    """Per marker: mean, median, sample deviation, range, threshold and positive share.
+
+    The threshold is the median for nuclear stains, else median plus one deviation.
+    """
+    base = long.groupBy("feature").agg(
+        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")
+    ).join(quantiles(long, ["feature"], "v", {"median": 0.5}), "feature")
+    nuclear = F.upper("feature").rlike("DAPI|HOECHST")
+    stats = base.withColumn("positive_threshold", F.when(nuclear, F.col("median")).otherwise(F.col("median") + F.col("std")))
+    # Counting needs the threshold next to every value; equal values are counted together first.
+    counts = long.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
+    positive = (
+        counts.join(stats.select("feature", "positive_threshold"), "feature")
+        .groupBy("feature")
+        .agg(
+            F.coalesce(F.sum(F.when(F.col("v") > F.col("positive_threshold"), F.col("n"))), F.lit(0)).alias("positive_cells"),
+            F.sum("n").alias("_n"),
+        )
+    )
+    return stats.join(positive, "feature").select(
+        "feature", "mean", "median", "std", "min", "max", "positive_threshold", "positive_cells",
+        (F.col("positive_cells") * 100.0 / F.col("_n")).alias("positive_percentage"),
+    )
+
+
+def cell_report(metadata: DataFrame, area: str = "area", mpp: float | None = None) -> DataFrame:
+    """Cells, mean, median and sample deviation of area, also in µm² when the pixel size is known."""
+    mid = quantiles(metadata.withColumn("_a", F.col(area).cast("double")), [], "_a", {"m": 0.5}).select("m").scalar()
+    out = metadata.agg(
+        F.count(F.lit(1)).alias("total_cells"), F.avg(area).alias("mean_cell_area"), F.stddev_samp(area).alias("cell_area_std")
+    ).withColumn("median_cell_area", mid)
+    factor = F.lit(mpp * mpp if mpp and mpp > 0 else None).cast("double")
+    return out.withColumns({f"{c}_um2": F.col(c) * factor for c in ("mean_cell_area", "median_cell_area")})
+
+
+def patch_report(patches: DataFrame) -> DataFrame:
+    """Totals over the patch table: informative, intensities, cells, match and repair shares, quality."""
+    known = F.when(~F.isnan("quality_score"), F.col("quality_score"))
+    return patches.agg(
+        F.count(F.lit(1)).alias("total_patches"),
+        F.count_if("is_informative").alias("informative_patches"),
+        F.avg("nucleus_mean").alias("mean_nucleus_intensity"),
+        F.avg("wholecell_mean").alias("mean_wholecell_intensity"),
+        F.sum("n_cells").alias("total_cells"),
+        F.avg(known).alias("mean_quality_score"),
+        F.avg("matched_fraction").alias("mean_matched_fraction"),
+        F.min("matched_fraction").alias("min_matched_fraction"),
+        F.max("matched_fraction").alias("max_matched_fraction"),
+    )
+
+
+# Percentiles shown per shape measure.
+SHAPE_PERCENTILES = {
+    "area": (1, 5, 10, 25, 50, 75, 90, 95, 99),
+    "eccentricity": (50, 75, 90, 95, 99),
+    "solidity": (1, 5, 10, 25, 50),
+    "aspect_ratio": (50, 75, 90, 95, 99),
+}
+
+
+def shape_percentiles(shapes: DataFrame) -> DataFrame:
+    """(measure, mean, std, p1 .. p99) with percentiles that a measure does not show left NULL."""
+    ratio = F.when(F.col("axis_minor_length") > 0, F.col("axis_major_length") / F.col("axis_minor_length"))
+    ready = shapes.withColumn("aspect_ratio", ratio)
+    measures = [m for m in SHAPE_PERCENTILES if m in ready.columns]
+    long = ready.select(*[F.col(m).cast("double").alias(m) for m in measures]).unpivot([], measures, "measure", "v")
+    cuts = sorted({p for ps in SHAPE_PERCENTILES.values() for p in ps})
+    wide = quantiles(long, ["measure"], "v", {f"p{p}": p / 100 for p in cuts})
+    spread = long.groupBy("measure").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+    shown = {p: [m for m, ps in SHAPE_PERCENTILES.items() if p in ps] for p in cuts}
+    return spread.join(wide, "measure").select(
+        "measure", "mean", "std", *[F.when(F.col("measure").isin(shown[p]), F.col(f"p{p}")).alias(f"p{p}") for p in cuts]
+    )
+
+
+def suggested_thresholds(percentiles: DataFrame) -> DataFrame:
+    """One row: area limits at p1 and p99, eccentricity at p95, solidity at p5."""
+    def pick(measure: str, p: str):
+        return F.max(F.when(F.col("measure") == measure, F.col(p)))
+
+    return percentiles.agg(
+        pick("area", "p1").alias("undersized"), pick("area", "p99").alias("oversized"),
+        pick("eccentricity", "p95").alias("high_eccentricity"), pick("solidity", "p5").alias("low_solidity"),
+    )
+
+
+def score_summary(patches: DataFrame) -> DataFrame:
+    """Informative and evaluated patches and their score, for the patch-mode report."""
+    good = patches.where("is_informative")
+    score = F.when(~F.isnan("quality_score"), F.col("quality_score"))
+    mid = quantiles(good.select(score.alias("s")), [], "s", {"m": 0.5}).select("m").scalar()
+    return good.agg(
+        F.count(F.lit(1)).alias("informative_patches"),
+        F.count(score).alias("evaluated_patches"),
+        F.avg(score).alias("quality_score_mean"),
+        F.stddev_pop(score).alias("quality_score_std"),
+        F.min(score).alias("quality_score_min"),
+        F.max(score).alias("quality_score_max"),
+    ).withColumn("quality_score_median", mid).withColumn("total_patches", patches.agg(F.count(F.lit(1))).scalar())
+
+
+def with_scores(patches: DataFrame, scores: DataFrame, key: str = "patch_id") -> DataFrame:
+    """Scores joined by patch id; patches without one keep NULL."""
+    return patches.join(scores.select(key, "quality_score"), key, "left")
+
+
+def best_and_worst(patches: DataFrame, n: int = 3, key: str = "patch_id") -> DataFrame:
+    """The n best and n worst informative patches by score, or by matched fraction when none has a score."""
+    good = patches.where("is_informative")
+    any_score = good.agg(F.count("quality_score") > 0).scalar()
+    metric = F.when(any_score, F.col("quality_score")).otherwise(F.col("matched_fraction"))
+    ranked = good.select(key, metric.alias("metric")).where(F.col("metric").isNotNull())
+    top = ranked.orderBy(F.col("metric").desc(), key).limit(n).withColumn("side", F.lit("top"))
+    bottom = ranked.orderBy("metric", key).limit(n).withColumn("side", F.lit("bottom"))
+    return top.unionByName(bottom)
+
+
+def quality_map(pixels: DataFrame, keys: Sequence[str], label: str = "cell_matched", mpp: float = 0.5) -> DataFrame:
+    """Per patch: cells per mm² with the pixel size taken into account, and mean cell area."""
+    sizes = pixels.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("n"))
+    cell = F.col(label) > 0
+    return sizes.groupBy(*keys).agg(
+        (F.count_if(cell) / (F.sum("n") * F.lit(mpp * mpp / 1e6))).alias("cell_density"),
+        F.coalesce(F.avg(F.when(cell, F.col("n"))), F.lit(0.0)).alias("mean_cell_area"),
+    )
+
+
+def collection_summary(reports: DataFrame) -> DataFrame:
+    """Totals and counts per report type in one aggregate; the total row has type NULL."""
+    return reports.groupingSets([[], ["report_type"]], "report_type").agg(
+        F.count(F.lit(1)).alias("n_reports"),
+        F.sum("file_size").alias("total_size"),
+        F.sum(F.coalesce("cell_count", F.lit(0))).alias("total_cells"),
+        F.count_if(F.col("cell_count").isNull()).alias("missing_counts"),
+    )
+
+
+def class_weights(items: DataFrame, label: str = "label") -> DataFrame:
+    """Inverse class sizes scaled so that they add up to the number of classes."""
+    sizes = items.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    raw = sizes.withColumn("_w", 1.0 / (F.col("n") + 1e-6))
+    total = raw.agg(F.struct(F.sum("_w").alias("w"), F.count(F.lit(1)).alias("k")).alias("t")).scalar()
+    return raw.select(label, "n", (F.col("_w") / total.getField("w") * total.getField("k")).alias("weight"))
+
+
+def histogram(df: DataFrame, value: str, keys: Sequence[str] = (), bins: int = 50) -> DataFrame:
+    """Counts in equal bins between the group's ends; the top end belongs to the last bin."""
+    keys = list(keys)
+    known = df.where(F.col(value).isNotNull())
+    ends = known.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    if keys:
+        joined = known.join(ends, keys)
+    else:
+        e = known.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("e")).scalar()
+        joined = known.withColumn("_lo", e.getField("lo")).withColumn("_hi", e.getField("hi"))
+    slot = F.coalesce(F.floor(F.try_divide((F.col(value) - F.col("_lo")) * bins, F.col("_hi") - F.col("_lo"))), F.lit(0))
+    return joined.groupBy(*keys, F.least(F.lit(bins - 1), slot).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def box_statistics(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    return quantiles(df.withColumn("_v", F.col(value).cast("double")), keys, "_v", {"q25": 0.25, "median": 0.5, "q75": 0.75})
+
+
+def density_curve(df: DataFrame, value: str, keys: Sequence[str], points: int = 200, log_axis: bool = False, cut: float = 3.0, fine: int = 4096) -> DataFrame:
+    """Gaussian kernel density on a grid that runs ``cut`` bandwidths past the data.
+
+    Values are first counted in ``fine`` narrow bins, so work after the scan depends on bins, not rows.
+    Bandwidth: deviation · n^(−1/5).
+    """
+    keys = list(keys)
+    v = F.ln(value) if log_axis else F.col(value).cast("double")
+    ready = df.where(F.col(value) > 0) if log_axis else df.where(F.col(value).isNotNull())
+    ready = ready.select(*keys, v.alias("_v"))
+    shape = ready.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.stddev_samp("_v").alias("_sd"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    )
+    shape = shape.where(F.col("_sd") > 0).withColumn("_h", F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2)))
+    width = (F.col("_hi") - F.col("_lo")) / fine
+    slot = F.least(F.lit(fine - 1), F.floor((F.col("_v") - F.col("_lo")) / width))
+    bins = ready.join(shape, keys).groupBy(*keys, slot.alias("_s"), "_n", "_h", "_lo", "_hi").agg(F.count(F.lit(1)).alias("_c"))
+    # A bin is known only to the grid points within eight bandwidths, where the kernel is not yet zero.
+    start, step = F.col("_lo") - cut * F.col("_h"), (F.col("_hi") - F.col("_lo") + 2 * cut * F.col("_h")) / (points - 1)
+    centre = F.col("_lo") + (F.col("_s") + 0.5) * width
+    first = F.greatest(F.lit(0), F.ceil((centre - 8 * F.col("_h") - start) / step))
+    last = F.least(F.lit(points - 1), F.floor((centre + 8 * F.col("_h") - start) / step))
+    spread = bins.withColumn("i", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    at = start + F.col("i") * step
+    kernel = F.exp(-F.pow((at - centre) / F.col("_h"), 2) / 2) / (F.col("_h") * F.sqrt(2 * F.pi()))
+    return spread.groupBy(*keys, "i", at.alias("at")).agg((F.sum(kernel * F.col("_c")) / F.max("_n")).alias("density"))
+
+
+def vocabulary(names: DataFrame, column: str = "name") -> DataFrame:
+    """Distinct names with ids from 1 in name order; 0 stays free for unknown ones.
+
+    A panel vocabulary holds every antibody name in use, some thousands at most.
+    """
+    w = W.partitionBy(F.lit(0)).orderBy(column)
+    return names.where(F.col(column).isNotNull()).select(column).distinct().withColumn("id", F.row_number().over(w))
+
+
+def channel_ids(images: DataFrame, names: DataFrame, n_channels: str = "n_channels") -> DataFrame:
+    """(image_id, ids): vocabulary ids of an image's channels in channel order, cut or padded with 0.
+
+    ``images``: image_id, CHANNELS map<string,string>, n_channels.
+    """
+    parts = images.select("image_id", n_channels, F.explode("CHANNELS").alias("key", "name"))
+    numbered = parts.withColumn("_i", channel_number(F.col("key"))).where(F.col("_i").isNotNull())
+    coded = numbered.join(names.withColumnRenamed("id", "_id"), "name", "left")
+    listed = coded.groupBy("image_id", n_channels).agg(
+        F.array_sort(F.collect_list(F.struct("_i", F.coalesce("_id", F.lit(0)).alias("id")))).alias("_l")
+    )
+    ids = F.transform("_l", lambda e: e["id"])
+    padded = F.slice(F.concat(ids, F.array_repeat(F.lit(0), F.col(n_channels))), F.lit(1), F.col(n_channels))
+    return listed.select("image_id", padded.alias("ids"))
+
+
+def repair_scores(patches: DataFrame) -> DataFrame:
+    """Cell density and how much repair each patch needed."""
+    lost = F.col("unmatched_cells") + F.col("unmatched_nuclei")
+    gap = F.greatest(F.lit(0.0), 1.0 - F.col("matched_fraction")) * F.greatest("cell_count", F.lit(1))
+    return patches.withColumn(
+        "cell_density", F.col("cell_count") / F.greatest(F.col("patch_width") * F.col("patch_height"), F.lit(1))
+    ).withColumn("repair_score", lost + F.coalesce(gap, F.lit(0.0)))
+
+
+def pictures_wanted(total_pixels: int, n_patches: int, low: int = 4, high: int = 8) -> int:
+    """How many patches to show of an image above a million pixels; 0 for smaller ones."""
+    if total_pixels <= 1_000_000:
+        return 0
+    return min(max(low, min(high, math.ceil(total_pixels / (2 * 1024 * 1024)))), n_patches)
+
+
+REASONS = ("high_density", "repair_hotspot", "low_density", "representative", "coverage", "all")
+
+
+def representative_patches(infos: DataFrame, n: int, seed: int = 17, key: str = "patch_id") -> DataFrame:
+    """At most n patches with the reason for each: densest, most repaired, sparsest, one by hash, then by density.
+
+    ``infos``: key, cell_count, nucleus_count, unmatched_cells, unmatched_nuclei, repair_score.
+    """
+    marked = infos.withColumn("_ok", has_content())
+    size = marked.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if("_ok").alias("ok")).alias("s")).first()["s"]
+    if n <= 0 or size["n"] <= n:
+        kept = marked.where("_ok") if size["ok"] else marked
+        return kept.drop("_ok").withColumn("selection_reason", F.lit("all"))
+    draw = F.xxhash64(key, F.lit(seed))
+    picks = [
+        ("high_density", F.col("_ok") & F.col("cell_count").isNotNull(), [F.col("cell_count").desc(), F.col(key)]),
+        ("repair_hotspot", F.col("_ok") & F.col("repair_score").isNotNull(), [F.col("repair_score").desc(), F.col(key)]),
+        ("low_density", F.col("_ok") & F.col("cell_count").isNotNull(), [F.col("cell_count").asc(), F.col(key)]),
+        ("representative", F.lit(True), [F.col("_ok").desc(), draw]),
+    ]
+    chosen: list = []
+    for reason, allowed, order in picks:
+        if len(chosen) < n:
+            row = marked.where(allowed & ~F.col(key).isin([c for c, _ in chosen])).orderBy(*order).select(key).head()
+            if row is not None:
+                chosen.append((row[0], reason))
+    if len(chosen) < n:
+        fill = marked.where(~F.col(key).isin([c for c, _ in chosen]))
+        rows = fill.orderBy(F.col("_ok").desc(), F.col("cell_count").desc(), key).limit(n - len(chosen)).select(key).collect()
+        chosen += [(r[0], "coverage") for r in rows]
+    why = F.create_map(*[F.lit(x) for pair in chosen for x in pair])
+    out = marked.where(F.col(key).isin([c for c, _ in chosen])).drop("_ok").withColumn("selection_reason", F.try_element_at(why, F.col(key)))
+    place = F.array_position(F.array(*[F.lit(r) for r in REASONS]), F.col("selection_reason"))
+    return out.orderBy(place, key)
+
+
+def channel_usage(panel: DataFrame, roles: DataFrame) -> DataFrame:
+    """Which panel rows serve which role: (role, n_channels, names)."""
+    used = roles.join(panel, "antibody_name", "left")
+    return used.groupBy("role").agg(
+        F.count(F.lit(1)).alias("n_channels"),
+        F.count("channel_idx").alias("n_in_panel"),
+        F.transform(F.array_sort(F.collect_list(F.struct("channel_idx", "antibody_name"))), lambda e: e["antibody_name"]).alias("names"),
+    )
+
+
+def stratified_split(items: DataFrame, label: str, key: str, test: float = 0.2, val: float = 0.1, seed: int = 0, stratify: bool = True, draw: Column | None = None) -> DataFrame:
+    """``split`` per row with exact class shares: test = round(n · test), val = round((n − test) · val)."""
+    groups = [label] if stratify else []
+    drawn = items.withColumn("_h", draw if draw is not None else F.xxhash64(key, F.lit(seed)))
+    placed = positions(drawn, groups, "_h", [key], "_p")
+    sizes = items.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    joined = placed.join(sizes, groups) if groups else placed.withColumn("_n", sizes.scalar())
+    n_test = F.rint(F.col("_n") * F.lit(test))
+    n_val = F.rint((F.col("_n") - n_test) * F.lit(val))
+    split = F.when(F.col("_p") <= n_test, "test").when(F.col("_p") <= n_test + n_val, "val").otherwise("train")
+    return joined.withColumn("split", split).drop("_h", "_p", "_n")
+
+
+# --- principal components and correlation ------------------------------------------------------
+
+
+def _covariance(df: DataFrame, columns: Sequence[str], standardise: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(mean, scale, covariance or correlation, n) from one aggregate of a few sums per column pair."""
+    centre = df.agg(F.count(F.lit(1)), *[F.avg(c) for c in columns]).first()
+    n, mean = centre[0], np.array(centre[1:], dtype=float)
+    moved = [F.col(c) - F.lit(float(m)) for c, m in zip(columns, mean)]
+    sums = df.agg(*[F.sum(a * b) for i, a in enumerate(moved) for b in moved[i:]]).first()
+    cov = np.zeros((len(columns),) * 2)
+    cov[np.triu_indices(len(columns))] = np.array(sums, dtype=float) / max(n - 1, 1)
+    cov = cov + np.triu(cov, 1).T
+    scale = np.ones(len(columns))
+    if standardise:
+        pop = np.sqrt(np.diag(cov) * (n - 1) / n)
+        scale = np.where(pop > 0, pop, 1.0)
+        cov = cov / np.outer(scale, scale)
+    return mean, scale, cov, n
+
+
+def principal_components(df: DataFrame, columns: Sequence[str], n: int, standardise: bool = False, fit_on: DataFrame | None = None):
+    """(rows with pc1..pcn, explained shares). The sign makes each component's largest loading positive."""
+    mean, scale, cov, _ = _covariance(df if fit_on is None else fit_on, columns, standardise)
+    values, axes = np.linalg.eigh(cov)
+    order = np.argsort(values)[::-1][:n]
+    shares = (values[order] / values.sum()).tolist()
+    axes = axes[:, order]
+    axes = axes * np.sign(axes[np.abs(axes).argmax(0), range(axes.shape[1])])
+    out = df
+    for k in range(axes.shape[1]):
+        score = F.lit(0.0)
+        for c, m, s, a in zip(columns, mean, scale, axes[:, k]):
+            score = score + (F.col(c) - F.lit(float(m))) * F.lit(float(a / s))
+        out = out.withColumn(f"pc{k + 1}", score)
+    return out, shares
+
+
+def vector_components(df: DataFrame, vector: str, n: int) -> tuple[DataFrame, list[float]]:
+    """Centred principal components of a long vector column with the library's own trainer."""
+    from pyspark.ml.feature import PCA, StandardScaler
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    ready = df.withColumn("_x", array_to_vector(F.col(vector).cast("array<double>")))
+    centred = StandardScaler(withMean=True, withStd=False, inputCol="_x", outputCol="_c").fit(ready).transform(ready)
+    model = PCA(k=n, inputCol="_c", outputCol="_p").fit(centred)
+    out = model.transform(centred).withColumn("pcs", vector_to_array("_p")).drop("_x", "_c", "_p")
+    return out, [float(v) for v in model.explainedVariance]
+
+
+def illumination_check(pixels: DataFrame, channels: Sequence[str], n: int = 3, sample: int = 100_000, seed: int = 0) -> DataFrame:
+    """(PC, rho_y, rho_x): components fitted on a pixel sample, scored on every pixel, against position."""
+    total = pixels.count()
+    fit_on = pixels
+    if total > sample:
+        keep = int(sample / total * (1 << 30))
+        fit_on = pixels.where(F.pmod(F.xxhash64("y", "x", F.lit(seed)), F.lit(1 << 30)) < keep)
+    scored, _shares = principal_components(pixels, channels, n, standardise=True, fit_on=fit_on)
+    cols = [F.struct(F.lit(k).alias("PC"), F.corr(f"pc{k}", F.col("y").cast("double")).alias("rho_y"), F.corr(f"pc{k}", F.col("x").cast("double")).alias("rho_x")) for k in range(1, min(n, len(channels)) + 1)]
+    return scored.agg(F.array(*cols).alias("_r")).select(F.explode("_r").alias("r")).select("r.*")
+
+
+def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(a, b, r) for every pair of markers."""
+    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("r")) for a in columns for b in columns]
+    return df.agg(F.array(*pairs).alias("_r")).select(F.explode("_r").alias("e")).select("e.*")
+
+
+def spearman(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """Pearson of tie-averaged ranks; ranks come from the distributed ranking, joined back by value."""
+    out = df.select(key, *columns)
+    for c in columns:
+        ranks = ranked_counts(df, [], c).select(c, (F.col("below") + (F.col("ties") + 1) / F.lit(2.0)).alias(f"_rank_{c}"))
+        out = out.join(ranks, c)
+    return pearson(out.select(*[F.col(f"_rank_{c}").alias(c) for c in columns]), columns)
+
+
+def _smaller_pairs(first: np.ndarray, second: np.ndarray, weight: np.ndarray) -> float:
+    """Σ w_i · w_j over pairs with first_j < first_i and second_j < second_i, by sorted insertion on ranks."""
+    rank = np.unique(second, return_inverse=True)[1] + 1
+    tree = np.zeros(rank.max() + 2)
+    order = np.argsort(first, kind="stable")
+    total, i = 0.0, 0
+    while i < len(order):
+        j = i
+        while j < len(order) and first[order[j]] == first[order[i]]:
+            at = rank[order[j]] - 1
+            below = 0.0
+            while at > 0:
+                below += tree[at]
+                at -= at & -at
+            total += below * weight[order[j]]
+            j += 1
+        for t in order[i:j]:
+            at = rank[t]
+            while at < len(tree):
+                tree[at] += weight[t]
+                at += at & -at
+        i = j
+    return total
+
+
+def kendall(df: DataFrame, a: str, b: str, pieces: int | None = None) -> DataFrame:
+    """One row (tau): Kendall τ-b over all rows, without forming pairs of rows.
+
+    Both axes are cut into strips. Pairs in different strips on both axes are counted from the strip grid;
+    the others lie inside one strip of bounded size and are counted there by ordered insertion.
+    """
+    rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    pieces = min(64, pieces or fanout(df.sparkSession))
+    cut = put_in_bucket(rows, "a", value_splits(rows, "a", pieces), "sa")
+    cut = cut_lineage(put_in_bucket(cut, "b", value_splits(rows, "b", pieces), "sb"))
+
+    def inside(first: str, second: str):
+        def count(pdf):
+            return pd.DataFrame({"c": [_smaller_pairs(pdf[first].to_numpy(), pdf[second].to_numpy(), pdf["n"].to_numpy(dtype=float))]})
+        return count
+
+    # A strip of a single value holds no smaller pair on its axis.
+    spread = cut.groupBy("sa").agg((F.min("a") < F.max("a")).alias("_many")).where("_many")
+    same_a = cut.join(spread, "sa", "left_semi").groupBy("sa").applyInPandas(inside("a", "b"), "c double")
+    spread_b = cut.groupBy("sb").agg((F.min("b") < F.max("b")).alias("_many")).where("_many")
+    same_b = cut.join(spread_b, "sb", "left_semi").groupBy("sb").applyInPandas(inside("sa", "b"), "c double")
+    grid = cut.groupBy("sa", "sb").agg(F.sum("n").alias("n")).collect()
+    across = _smaller_pairs(np.array([g.sa for g in grid]), np.array([g.sb for g in grid]), np.array([g.n for g in grid], dtype=float)) if grid else 0.0
+    local = (same_a.agg(F.sum("c")).first()[0] or 0.0) + (same_b.agg(F.sum("c")).first()[0] or 0.0)
+
+    def tied(*keys: str) -> float:
+        per = cut.groupBy(*keys).agg(F.sum("n").cast("double").alias("t"))
+        return per.agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0] or 0.0
+
+    n = float(cut.agg(F.sum("n")).first()[0] or 0)
+    pairs, ta, tb, tab = n * (n - 1) / 2, tied("a"), tied("b"), tied("a", "b")
+    concordant = across + local
+    discordant = pairs - ta - tb + tab - concordant
+    base = math.sqrt((pairs - ta) * (pairs - tb))
+    tau = (concordant - discordant) / base if base else None
+    return df.sparkSession.createDataFrame([(a, b, tau)], "a string, b string, tau double")
+
+
+def metric_pair_bins(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
+    """(a, b, bin_a, bin_b, n): two-dimensional bins of every metric pair."""
+    ends = df.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns]).first()
+
+    def slot(c: str) -> Column:
+        lo, hi = ends[c]["lo"], ends[c]["hi"]
+        width = (hi - lo) / bins if hi is not None and hi > lo else None
+        return F.coalesce(F.least(F.lit(bins - 1), F.floor((F.col(c) - F.lit(lo)) / F.lit(width).cast("double"))), F.lit(0)).cast("int")
+
+    coded = df.select(*[slot(c).alias(c) for c in columns])
+    pairs = [
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).alias("bin_a"), F.col(b).alias("bin_b"))
+        for i, a in enumerate(columns) for b in columns[i + 1 :]
+    ]
+    return coded.select(F.explode(F.array(*pairs)).alias("e")).groupBy("e.a", "e.b", "e.bin_a", "e.bin_b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def label_lookup(pixels: DataFrame, values: DataFrame, label: str = "cell_label", value: str = "value", default=0.0) -> DataFrame:
+    """Per-pixel value of its cell, by label; background and unknown cells get the default."""
+    known = pixels.where(F.col(label) > 0).join(values.select(F.col("label").alias(label), value), label, "left")
+    back = pixels.where(F.col(label) <= 0).withColumn(value, F.lit(None).cast(values.schema[value].dataType))
+    return known.unionByName(back).withColumn(value, F.coalesce(F.col(value), F.lit(default)))

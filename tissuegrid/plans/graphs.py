@@ -61,7 +61,7 @@ def _(spark, d):
 
 @query("G5_communities")
 def _(spark, d):
-    return communities.run_clustering(vectors(spark, d), key="id", vector="v", n_neighbors=10, resolution=0.2)
+    return communities.run_clustering(vectors(spark, d), key="id", vector="v", n_neighbors=10, resolution=1.0)
 
 
 @query("G6_kmeans")

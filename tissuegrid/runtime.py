@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,7 +32,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for lineage cuts: the cluster's shared one, or a scratch one when running local."""
+    """Folder for stage tables: the cluster's shared one, or a scratch one when running local."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -46,9 +47,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so a lost executor never replays the earlier rounds."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows as a stage table in the shared folder and go on from there.
+
+    A lost executor then rereads files instead of replaying earlier rounds, the next plan starts small
+    and knows the real size of its input.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def fanout(spark: SparkSession, upper: int = 4096) -> int:

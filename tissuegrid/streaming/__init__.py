@@ -1 +1 @@
-
+"""Per-patch operators on a growing folder of pixel files."""
