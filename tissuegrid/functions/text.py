@@ -26,10 +26,14 @@ def safe_filename(c: Column) -> Column:
 def human_size(size: Column) -> Column:
     """Bytes in steps of 1024 with one decimal."""
     units = ["B", "KB", "MB", "GB", "TB"]
-    out = F.format_string("%.1f PB", size.cast("double") / F.lit(1024.0 ** len(units)))
+
+    def shown(power: int) -> Column:
+        # Ties go to the even digit, as in the printed reports.
+        return F.bround(size.cast("double") / F.lit(1024.0**power), 1)
+
+    out = F.format_string("%.1f PB", shown(len(units)))
     for i, unit in reversed(list(enumerate(units))):
-        text = F.format_string(f"%.1f {unit}", size.cast("double") / F.lit(1024.0**i))
-        out = F.when(size < 1024.0 ** (i + 1), text).otherwise(out)
+        out = F.when(size < 1024.0 ** (i + 1), F.format_string(f"%.1f {unit}", shown(i))).otherwise(out)
     return out
 
 

@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def classify(tiles: DataFrame, make_predict: Callable, features: str, width: int, batch: int = 1024) -> DataFrame:
@@ -15,7 +16,7 @@ def classify(tiles: DataFrame, make_predict: Callable, features: str, width: int
 
     The returned function maps an (n, width) array to (n, classes) logits.
     """
-    score = predict_batch_udf(make_predict, return_type="array<double>", batch_size=batch, input_tensor_shapes=[[width]])
+    score = predict_batch_udf(make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch, input_tensor_shapes=[[width]])
     scored = tiles.withColumn("logits", score(F.col(features)))
     return scored.withColumn("predicted", (F.array_position("logits", F.array_max("logits")) - 1).cast("int"))
 

@@ -462,7 +462,7 @@ def kendall(df: DataFrame, a: str, b: str, pieces: int | None = None) -> DataFra
     discordant = pairs - ta - tb + tab - concordant
     base = math.sqrt((pairs - ta) * (pairs - tb))
     tau = (concordant - discordant) / base if base else None
-    return df.sparkSession.createDataFrame([(a, b, tau)], "a string, b string, tau double")
+    return df.sparkSession.createDataFrame([(a, b, None if tau is None else float(tau))], "a string, b string, tau double")
 
 
 def metric_pair_bins(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SUBJECTS = ("cells", "pixels", "reports", "graphs")
+SUBJECTS = ("cells", "pixels", "reports", "graphs", "summaries")
 
 
 def load_catalog():
