@@ -10,7 +10,7 @@ from tissuegrid.operators.orderstats import positions
 from tissuegrid.runtime import cut_lineage
 
 
-SETTLED = 0.001  # share of moving nodes below which a round counts as still
+SETTLED = 0.01  # share of moving nodes below which a round counts as still
 
 
 def _one_level(edges: DataFrame, strength: DataFrame, two_m: float, resolution: float, seed: int, max_rounds: int) -> DataFrame:
@@ -55,7 +55,7 @@ def _one_level(edges: DataFrame, strength: DataFrame, two_m: float, resolution:
     return labels
 
 
-def find_communities(edges: DataFrame, resolution: float = 0.2, seed: int = 42, max_rounds: int = 20, max_levels: int = 5) -> DataFrame:
+def find_communities(edges: DataFrame, resolution: float = 0.2, seed: int = 42, max_rounds: int = 10, max_levels: int = 3) -> DataFrame:
     """(node, community) from symmetric (src, dst, w) edges; deterministic for a seed.
 
     Communities of one level become the nodes of the next until nothing merges.

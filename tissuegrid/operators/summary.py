@@ -394,12 +394,14 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def spearman(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
-    """Pearson of tie-averaged ranks; ranks come from the distributed ranking, joined back by value."""
-    out = df.select(key, *columns)
-    for c in columns:
-        ranks = ranked_counts(df, [], c).select(c, (F.col("below") + (F.col("ties") + 1) / F.lit(2.0)).alias(f"_rank_{c}"))
-        out = out.join(ranks, c)
-    return pearson(out.select(*[F.col(f"_rank_{c}").alias(c) for c in columns]), columns)
+    """Pearson of tie-averaged ranks. All markers are ranked in one pass and put side by side by key."""
+    long = df.select(key, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot([key], list(columns), "feature", "v")
+    place = (F.col("below") + (F.col("ties") + 1) / F.lit(2.0)).alias("place")
+    ranks = ranked_counts(long, ["feature"], "v").select("feature", "v", place)
+    wide = long.join(ranks, ["feature", "v"]).groupBy(key).agg(
+        *[F.max(F.when(F.col("feature") == c, F.col("place"))).alias(c) for c in columns]
+    )
+    return pearson(wide, columns)
 
 
 def _smaller_pairs(first: np.ndarray, second: np.ndarray, weight: np.ndarray) -> float:
