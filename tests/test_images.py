@@ -257,3 +257,12 @@ def test_noise_repeats_and_spares_other_patches(spark):
     b = rs.disrupt(px, "gaussian", ["chan0"], 3).orderBy("y", "x").toPandas()
     assert (a["chan0"] == b["chan0"]).all() and (a[a["y"] >= 10]["chan0"] == 100).all()
     assert 4 < a[a["y"] < 10]["chan0"].std() < 8
+
+
+def test_crowded_tiles_are_cut_up(spark):
+    """Many polygons of one label in one tile, some of them copies."""
+    boxes = [(float(y), float(x)) for y in range(0, 12) for x in range(0, 12)] * 2
+    rows = [(i, "t", [[{"y": y, "x": x}, {"y": y + 3, "x": x}, {"y": y + 3, "x": x + 3}, {"y": y, "x": x + 3}]]) for i, (y, x) in enumerate(boxes)]
+    df = spark.createDataFrame(rows, "region_id int, label string, rings array<array<struct<y:double,x:double>>>")
+    got = {(r.ty, r.tx): r.area for r in regions.tile_label_areas(df, 10).collect()}
+    assert got == pytest.approx({(0, 0): 100.0, (0, 1): 40.0, (1, 0): 40.0, (1, 1): 16.0})

@@ -107,6 +107,8 @@ def test_corrected_levels_are_monotone(spark):
     out = markers.benjamini_hochberg(df).orderBy("p_value").toPandas()
     q = np.minimum.accumulate((np.sort(p) * 50 / np.arange(1, 51))[::-1])[::-1].clip(max=1)
     assert out["p_value_corrected"].to_numpy() == pytest.approx(q)
+    large = orderstats.corrected_levels(df, "cluster", "p_value", pieces=8).orderBy("p_value").toPandas()
+    assert large["p_value_corrected"].to_numpy() == pytest.approx(q)
 
 
 def test_fold_change_matrix_of_nothing(spark):

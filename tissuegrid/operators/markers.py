@@ -65,7 +65,10 @@ def with_rank_test(df: DataFrame) -> DataFrame:
 
 
 def benjamini_hochberg(df: DataFrame, group: str = "cluster", p: str = "p_value", name: str = "p_value_corrected") -> DataFrame:
-    """Step-up correction within the group; a group has one row per marker."""
+    """Step-up correction within the group of one row per marker, which the panel keeps small.
+
+    For groups of any size see ``orderstats.corrected_levels``.
+    """
     ascending = W.partitionBy(group).orderBy(p)
     whole = W.partitionBy(group)
     stepped = df.withColumn("_rank", F.count(F.lit(1)).over(ascending.rangeBetween(W.unboundedPreceding, 0)))

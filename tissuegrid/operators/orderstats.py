@@ -84,6 +84,26 @@ def ranked_counts(
     )
 
 
+def corrected_levels(df: DataFrame, group: str, p: str, name: str = "p_value_corrected", pieces: int | None = None) -> DataFrame:
+    """Step-up corrected levels for groups of any size: p · m / rank, lowered to the smallest later one.
+
+    The later minimum is taken inside each bucket and over the few following buckets.
+    """
+    known = df.where(F.col(p).isNotNull())
+    counts = known.groupBy(group, p).agg(F.count(F.lit(1)).alias("n"))
+    counts = put_in_bucket(counts, p, value_splits(known, p, pieces), "_bucket")
+    spread = counts.join(bucket_offsets(counts, [group], "_bucket", "n", "_before"), [group, "_bucket"])
+    local = W.partitionBy(group, "_bucket")
+    upto = F.col("_before") + F.sum("n").over(local.orderBy(p))
+    level = spread.withColumn("_q", F.col(p) * F.col("_total") / upto)
+    later = W.partitionBy(group).orderBy(F.col("_bucket").desc()).rowsBetween(W.unboundedPreceding, -1)
+    lows = level.groupBy(group, "_bucket").agg(F.min("_q").alias("_low"))
+    lows = lows.select(group, "_bucket", F.min("_low").over(later).alias("_later"))
+    own = F.min("_q").over(local.orderBy(F.col(p).desc()))
+    out = level.join(lows, [group, "_bucket"]).select(group, p, F.least(F.lit(1.0), own, F.col("_later")).alias(name))
+    return df.join(out, [group, p], "left")
+
+
 def quantiles(
     df: DataFrame,
     keys: Sequence[str],

@@ -8,23 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tissuegrid.operators.orderstats import positions
+
 NUCLEUS_SUFFIX = "_nucleus_mean"
 LEAD = ("cell_mask_id", "y", "x", "area")
 
 
 def unique_channel_names(panel: DataFrame) -> DataFrame:
-    """Second and later uses of a name get ``_n``; a suffixed name that is taken moves on to the next n.
-
-    A panel has one row per image channel.
-    """
-    w = W.partitionBy("antibody_name").orderBy("channel_idx")
-    turn = panel.withColumn("_n", F.row_number().over(w) - 1)
+    """Second and later uses of a name get ``_n``; a suffixed name that is taken also gets its channel index."""
+    turn = positions(panel, ["antibody_name"], "channel_idx", name="_n").withColumn("_n", F.col("_n") - 1)
     taken = panel.select(F.col("antibody_name").alias("_try")).distinct().withColumn("_taken", F.lit(True))
     proposed = turn.withColumn(
         "_try", F.when(F.col("_n") > 0, F.concat_ws("_", "antibody_name", F.col("_n").cast("string")))
     )
     checked = proposed.join(taken, "_try", "left")
-    # A clash can only be with a name that itself ends in _n; one more underscore keeps it apart.
     name = (
         F.when(F.col("_n") == 0, F.col("antibody_name"))
         .when(F.col("_taken"), F.concat("_try", F.lit("_"), F.col("channel_idx").cast("string")))

@@ -12,6 +12,7 @@ from tissuegrid.functions.geometry import covered_area, ring_area, ring_bounds,
 from tissuegrid.operators import components, raster
 
 STRIP = 256
+CROWD = 64  # polygons of one label in one tile before the tile is cut up
 
 
 def with_area(regions: DataFrame) -> DataFrame:
@@ -89,20 +90,37 @@ def tile_label_areas(regions: DataFrame, tile: int) -> DataFrame:
         }
     )
 
-    def covered(axis: str):
-        first = F.floor(F.col(f"_min_{axis}") / tile)
-        last = F.greatest(first, F.ceil(F.col(f"_max_{axis}") / tile) - 1)
-        return F.sequence(first.cast("int"), last.cast("int"))
-
-    spread = boxed.withColumn("ty", F.explode(covered("y"))).withColumn("tx", F.explode(covered("x")))
-    grouped = spread.groupBy("ty", "tx", "label").agg(F.collect_list("rings").alias("polygons"))
-
-    def areas(polygons: pd.Series, ty: pd.Series, tx: pd.Series) -> pd.Series:
-        return pd.Series([
-            covered_area(p, i * tile, j * tile, (i + 1) * tile, (j + 1) * tile) for p, i, j in zip(polygons, ty, tx)
-        ])
-
-    return grouped.select("ty", "tx", "label", F.pandas_udf(areas, "double")("polygons", "ty", "tx").alias("area"))
+    def cells(axis: str, origin, side):
+        """Numbers of the cells of a side length, counted from an origin, that the polygon's box touches."""
+        first = F.floor((F.col(f"_min_{axis}") - origin) / side)
+        last = F.greatest(first, F.ceil((F.col(f"_max_{axis}") - origin) / side) - 1)
+        return first.cast("int"), last.cast("int")
+
+    spread = boxed.withColumn("ty", F.explode(F.sequence(*cells("y", F.lit(0), F.lit(tile)))))
+    spread = spread.withColumn("tx", F.explode(F.sequence(*cells("x", F.lit(0), F.lit(tile)))))
+    # Copies add nothing to a union. Where many different polygons meet, the tile is quartered on, since
+    # covered area adds up over the parts.
+    spread = spread.dropDuplicates(["ty", "tx", "label", "rings"])
+    crowd = spread.groupBy("ty", "tx", "label").agg(
+        F.least(F.lit(32), F.ceil(F.sqrt(F.count(F.lit(1)) / CROWD))).cast("int").alias("_f")
+    )
+    parted = spread.join(crowd, ["ty", "tx", "label"])
+    side = F.lit(float(tile)) / F.col("_f")
+    for axis, t in (("y", "ty"), ("x", "tx")):
+        first, last = cells(axis, F.col(t) * tile, side)
+        inside = F.sequence(F.greatest(F.lit(0), first), F.least(F.col("_f") - 1, last))
+        parted = parted.withColumn(f"_s{axis}", F.explode(inside))
+    grouped = parted.groupBy("ty", "tx", "label", "_f", "_sy", "_sx").agg(F.collect_list("rings").alias("polygons"))
+
+    def areas(polygons: pd.Series, ty: pd.Series, tx: pd.Series, f: pd.Series, sy: pd.Series, sx: pd.Series) -> pd.Series:
+        out = []
+        for p, i, j, n, a, b in zip(polygons, ty, tx, f, sy, sx):
+            y, x = (i + a / n) * tile, (j + b / n) * tile
+            out.append(covered_area(p, y, x, y + tile / n, x + tile / n))
+        return pd.Series(out)
+
+    measured = grouped.select("ty", "tx", "label", F.pandas_udf(areas, "double")("polygons", "ty", "tx", "_f", "_sy", "_sx").alias("area"))
+    return measured.groupBy("ty", "tx", "label").agg(F.sum("area").alias("area"))
 
 
 def label_tiles(tiles: DataFrame, regions: DataFrame, tile: int, least_tissue: float = 0.30) -> DataFrame:

@@ -302,7 +302,7 @@ def _(spark, d):
     tests = events.select(
         F.col("event_type").alias("cluster"), "event_id", F.round(F.col("value") / top, 9).alias("p_value")
     )
-    out = mk.benjamini_hochberg(tests)
+    out = orderstats.corrected_levels(tests, "cluster", "p_value")
     return out.withColumn("p_value_corrected", F.round("p_value_corrected", 9))
 
 
