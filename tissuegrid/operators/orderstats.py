@@ -72,7 +72,7 @@ def ranked_counts(
     spread = counts.join(offsets, [*keys, "_bucket"])
     w = W.partitionBy(*keys, "_bucket").orderBy(value)
     return (
-        spread.withColumn("ties", F.sum("n").over(w.rangeBetween(0, 0)))
+        spread.withColumn("ties", F.sum("n").over(W.partitionBy(*keys, "_bucket", value)))
         .withColumn(
             "below",
             F.col("_before")

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SUBJECTS = ("cells", "pixels", "reports", "graphs", "summaries")
+SUBJECTS = ("cells", "pixels", "reports", "graphs", "summaries", "extensions")
 
 
 def load_catalog():

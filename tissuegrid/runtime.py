@@ -60,5 +60,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def fanout(spark: SparkSession, upper: int = 4096) -> int:
-    """How many pieces a hot group is cut into: one per shuffle partition, within a bound."""
-    return max(2, min(upper, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    """How many pieces the rows are cut into: four per shuffle partition to even out, within a bound."""
+    return max(2, min(upper, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
