@@ -98,10 +98,10 @@ _ORDINAL = (
 )
 
 
-def _normaliser(name, norm, sql):
+def _normaliser(name, norm, sql, digits=6):
     @query(name, sql)
     def run(spark, d):
-        return rounded(nz.prepare(cells(spark, d), norm), M)
+        return rounded(nz.prepare(cells(spark, d), norm), M, digits)
 
 
 _normaliser(
@@ -114,7 +114,8 @@ _normaliser(
 _normaliser(
     "X2_zscore_log",
     "zscore_log",
-    f"WITH {CELLS_SQL} SELECT cell_mask_id, " + ", ".join(f"round({_Z[m]}, 6) AS {m}" for m in M) + " FROM cells",
+    f"WITH {CELLS_SQL} SELECT cell_mask_id, " + ", ".join(f"round({_Z[m]}, 4) AS {m}" for m in M) + " FROM cells",
+    digits=4,
 )
 _normaliser(
     "X3_clr",
@@ -139,8 +140,9 @@ _normaliser(
     w AS (SELECT cell_mask_id, """
     + ", ".join(f"({m} - mu) / sd AS {m}" for m in M)
     + " FROM s) SELECT cell_mask_id, "
-    + ", ".join(f"round(-ln(1 - least({normal_cdf_sql(m)}, 1 - 1e-12)), 6) AS {m}" for m in M)
+    + ", ".join(f"round(-ln(1 - least({normal_cdf_sql(m)}, 1 - 1e-12)), 4) AS {m}" for m in M)
     + " FROM w",
+    digits=4,
 )
 _normaliser(
     "W1_rank_fraction",
@@ -225,11 +227,11 @@ def _(spark, d):
 @query(
     "W10_column_zscore",
     f"WITH {CELLS_SQL} SELECT cell_mask_id, patch_id, global_cell_id, "
-    + ", ".join(f"round(({m} - avg({m}) OVER ()) / stddev_pop({m}) OVER (), 6) AS {m}" for m in M)
+    + ", ".join(f"round(({m} - avg({m}) OVER ()) / stddev_pop({m}) OVER (), 4) AS {m}" for m in M)
     + " FROM cells",
 )
 def _(spark, d):
-    return rounded(nz.zscore_columns(cells(spark, d), M), M)
+    return rounded(nz.zscore_columns(cells(spark, d), M), M, 4)
 
 
 # --- marker tests ------------------------------------------------------------------------------
@@ -247,15 +249,15 @@ rk2 AS (SELECT *, count(*) OVER (PARTITION BY cluster ORDER BY p_value) AS k, co
 de AS (SELECT *, least(1.0, min(p_value * m / k) OVER (PARTITION BY cluster ORDER BY p_value DESC)) AS p_adj,
    (a + 1e-9) / (b + 1e-9) AS fc FROM rk2)"""
 
-DE_SQL = f"""WITH {RANKED_SQL} SELECT cluster, feature, round(p_value, 8) AS p_value, round(p_adj, 8) AS p_value_corrected,
-  round(fc, 8) AS fold_change, round(fc, 8) AS fold_change_raw, round(log2(fc), 8) AS log2_fold_change,
-  round(log2(fc), 8) AS log2_fold_change_raw, round(a, 6) AS mean_cluster_norm, round(b, 6) AS mean_rest_norm,
+DE_SQL = f"""WITH {RANKED_SQL} SELECT cluster, feature, round(p_value, 6) AS p_value, round(p_adj, 6) AS p_value_corrected,
+  round(fc, 6) AS fold_change, round(fc, 6) AS fold_change_raw, round(log2(fc), 6) AS log2_fold_change,
+  round(log2(fc), 6) AS log2_fold_change_raw, round(a, 6) AS mean_cluster_norm, round(b, 6) AS mean_rest_norm,
   round(a, 6) AS mean_cluster_log1p, round(b, 6) AS mean_rest_log1p,
-  round(0.5 * (log2(a + 1e-9) + log2(b + 1e-9)), 8) AS A_value FROM de"""
+  round(0.5 * (log2(a + 1e-9) + log2(b + 1e-9)), 6) AS A_value FROM de"""
 
 
 def _round_de(df):
-    digits = {c: 8 for c in df.columns if c.startswith(("p_", "fold", "log2", "A_"))}
+    digits = {c: 6 for c in df.columns if c.startswith(("p_", "fold", "log2", "A_"))}
     digits.update({c: 6 for c in df.columns if c.startswith("mean_")})
     return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
 
@@ -308,8 +310,8 @@ def _(spark, d):
 
 @query(
     "X10_fold_changes",
-    f"""WITH {RANKED_SQL} SELECT cluster, feature, round(fc, 8) AS fold_change, round(log2(fc), 8) AS log2_fold_change,
-        round(0.5 * (log2(a + 1e-9) + log2(b + 1e-9)), 8) AS A_value FROM de""",
+    f"""WITH {RANKED_SQL} SELECT cluster, feature, round(fc, 6) AS fold_change, round(log2(fc), 6) AS log2_fold_change,
+        round(0.5 * (log2(a + 1e-9) + log2(b + 1e-9)), 6) AS A_value FROM de""",
 )
 def _(spark, d):
     out = mk.with_fold_changes(mk.cluster_and_rest(long_measurements(spark, d)))
@@ -336,11 +338,11 @@ def _(spark, d):
 @query(
     "A43_fold_change_matrix",
     f"""WITH {RANKED_SQL} SELECT cluster, """
-    + ", ".join(f"round(coalesce(max(CASE WHEN feature = '{m}' THEN log2(fc) END), 0), 8) AS {m}" for m in M)
+    + ", ".join(f"round(coalesce(max(CASE WHEN feature = '{m}' THEN log2(fc) END), 0), 6) AS {m}" for m in M)
     + " FROM de GROUP BY cluster",
 )
 def _(spark, d):
-    return rounded(mk.fold_change_matrix(_de(spark, d), features=M), M, 8)
+    return rounded(mk.fold_change_matrix(_de(spark, d), features=M), M)
 
 
 @query(
@@ -355,7 +357,7 @@ def _(spark, d):
 @query(
     "W5_top_markers",
     f"""WITH {RANKED_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY abs(log2(fc)) DESC, feature) AS place FROM de)
-        SELECT cluster, feature, place, round(log2(fc), 8) AS log2_fold_change FROM o WHERE place <= 3""",
+        SELECT cluster, feature, place, round(log2(fc), 6) AS log2_fold_change FROM o WHERE place <= 3""",
 )
 def _(spark, d):
     out = mk.top_markers(_de(spark, d), "log2_fold_change", 3)
@@ -374,7 +376,7 @@ def _(spark, d):
 
 @query(
     "T1_sorted_by_change",
-    f"WITH {RANKED_SQL} SELECT cluster, feature, round(fc, 8) AS fold_change_raw FROM de ORDER BY 3 DESC",
+    f"WITH {RANKED_SQL} SELECT cluster, feature, round(fc, 6) AS fold_change_raw FROM de ORDER BY 3 DESC",
 )
 def _(spark, d):
     return _round_de(mk.sorted_by_change(_de(spark, d)).select("cluster", "feature", "fold_change_raw"))

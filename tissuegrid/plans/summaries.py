@@ -698,13 +698,13 @@ def _(spark, d):
     return spark.read.parquet(f"{path}/significant").select("cluster", "feature", "direction")
 
 
-@query("K5_matrix_export", f"WITH {RANKED_SQL} SELECT cluster, " + ", ".join(f"round(max(CASE WHEN feature = '{m}' THEN fc END), 8) AS {m}" for m in MARKERS) + " FROM de GROUP BY 1")
+@query("K5_matrix_export", f"WITH {RANKED_SQL} SELECT cluster, " + ", ".join(f"round(max(CASE WHEN feature = '{m}' THEN fc END), 6) AS {m}" for m in MARKERS) + " FROM de GROUP BY 1")
 def _(spark, d):
     path = scratch(spark, "matrices")
     staged = scratch(spark, "tests")
     sinks.overwrite_table(_de(spark, d), staged)
     sinks.matrix_export(spark.read.parquet(staged), path, MARKERS, top_n=2)
-    return rounded(spark.read.parquet(f"{path}/fold_change_raw"), MARKERS, 8)
+    return rounded(spark.read.parquet(f"{path}/fold_change_raw"), MARKERS, 6)
 
 
 @query("K7_annotated_matrix", "SELECT count(*) AS n_obs, (SELECT count(*) FROM orders) AS n_edges FROM customer")
