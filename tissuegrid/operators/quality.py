@@ -205,18 +205,20 @@ def silhouette(cells: DataFrame, typed: DataFrame, keys: Sequence[str], vector:
     points = cut_lineage(points.join(counts, keys).withColumn("_b", F.pmod(F.xxhash64("label"), F.col("_nb")).cast("int")))
     every = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
     left = points.withColumn("_q", F.col("_b")).withColumn("_d", every)
-    right = points.withColumn("_d", F.col("_b")).withColumn("_q", every)
     spot = [*keys, "_q", "_d"]
+    # The right side gets names of its own, so that no column of the two sides can be taken for another.
+    right = points.withColumn("_d", F.col("_b")).withColumn("_q", every)
+    right = right.select(*[F.col(c).alias(f"other_{c}") for c in [*spot, "label", "v", "cs"]])
     schema = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in keys)
 
     def sums(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         parts = []
         if len(q) and len(d):
-            a, b = np.stack(q["v"].to_numpy()), np.stack(d["v"].to_numpy())
+            a, b = np.stack(q["v"].to_numpy()), np.stack(d["other_v"].to_numpy())
             sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
             dist = np.sqrt(np.maximum(sq, 0))
-            dist[q["label"].to_numpy()[:, None] == d["label"].to_numpy()[None, :]] = 0
-            cs = np.stack(d["cs"].to_numpy())
+            dist[q["label"].to_numpy()[:, None] == d["other_label"].to_numpy()[None, :]] = 0
+            cs = np.stack(d["other_cs"].to_numpy())
             for i, k in enumerate(q["ks"].iloc[0]):
                 present, at = np.unique(cs[:, i], return_inverse=True)
                 total = dist @ np.eye(len(present))[at]
@@ -225,10 +227,10 @@ def silhouette(cells: DataFrame, typed: DataFrame, keys: Sequence[str], vector:
                 parts.append(part)
         out = pd.concat(parts) if parts else pd.DataFrame({"label": [], "k": [], "other": [], "s": []})
         for name in keys:
-            out[name] = q[name].iloc[0] if len(q) else (d[name].iloc[0] if len(d) else 0)
+            out[name] = q[name].iloc[0] if len(q) else (d[f"other_{name}"].iloc[0] if len(d) else 0)
         return out[[*keys, "label", "k", "other", "s"]].astype({"label": "int64", "k": "int32", "other": "int32"})
 
-    raw = left.groupBy(*spot).cogroup(right.groupBy(*spot)).applyInPandas(sums, f"{schema}, label long, k int, other int, s double")
+    raw = left.groupBy(*spot).cogroup(right.groupBy(*[f"other_{c}" for c in spot])).applyInPandas(sums, f"{schema}, label long, k int, other int, s double")
     totals = raw.groupBy(*keys, "label", "k", "other").agg(F.sum("s").alias("s"))
     sizes = typed.groupBy(*keys, "k", F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("n"))
     own = typed.select(*keys, "label", "k", "cluster")
