@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tissuegrid.llm import minhash
+from tissuegrid.llm import langid, minhash, mixing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -53,3 +54,22 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN parts p ON p.a = d.d
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     out = minhash.near_duplicates(table(spark, folder, "documents"), "doc_id", "text", width=5, over=85, under=100)
     return out.withColumnRenamed("id", "doc_id")
+
+
+@query("op3_secret_scan")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = secrets.scan(docs).select("doc_id", "found.*")
+    return out.drop("clean")
+
+
+@query("op8_entropy_balanced_mix")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    out = mixing.mix(table(spark, folder, "documents"), "doc_id", "text", "source", weights=(5, 2, 1), share=1.5, most=2.0)
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "rate")
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    out = langid.identify(table(spark, folder, "documents"), "doc_id", "text", "lang", train_rows=20_000)
+    return out.withColumnRenamed("id", "doc_id")
