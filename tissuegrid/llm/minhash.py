@@ -3,8 +3,8 @@
 The nodes of the graph are sets of word shingles, named by a 128-bit digest, so that copies with the same set are one
 node however many there are. Candidates come from bands of universal hash minima. A star from each bucket's smallest
 node links most of a group with one comparison per member; what a bucket still holds in several components is then
-compared by signature across components only, and every link is confirmed on the full sets. Rounds end when no
-comparison across components is open, so a group's parts are joined exactly as all its pairs would join them.
+compared block by block, across components only. Every link is confirmed on the full sets, and a group's parts are joined
+exactly as all its pairs would join them.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tissuegrid.llm import stars, words
@@ -26,9 +26,7 @@ from tissuegrid.runtime import cut_lineage
 #: Universal hash functions per signature, and the chance to miss a pair that sits exactly on the threshold.
 HASHES, MISS = 180, 1e-6
 #: Rows of one side of a block of signature comparisons.
-BLOCK = 512
-#: Partners per node that a round verifies, best signature first; the last round takes all that are left.
-ROUNDS = (4, 32, None)
+BLOCK = 256
 
 _A = words.splitmix(HASHES, 101) | np.uint64(1)
 _B = words.splitmix(HASHES, 202)
@@ -144,52 +142,78 @@ def _sizes_fit(over: int, under: int):
     return F.least("n_a", "n_b") * under >= F.greatest("n_a", "n_b") * over
 
 
-def _across(open_members: DataFrame, least: int, over: int, under: int) -> DataFrame:
-    """Pairs (a, b, same) of one bucket, with different components and similar signatures.
+def _common(sets: list[np.ndarray]):
+    """Function that counts, for one more set, the shingles it has in common with each of ``sets``."""
+    values = np.concatenate(sets)
+    owners = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(values, kind="stable")
+    owners = owners[order]
+    values, first, times = np.unique(values[order], return_index=True, return_counts=True)
 
-    Members (bucket, node, component, n, marks) are laid out in blocks; a component with many members has blocks of its
-    own, which are never held against each other. A task gets two blocks at a time, never a whole bucket.
+    def count(one: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(values, one), len(values) - 1)
+        at = at[values[at] == one]
+        n = times[at]
+        places = np.arange(n.sum()) + np.repeat(first[at] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+        return np.bincount(owners[places], minlength=len(sets))
+
+    return count
+
+
+def _linked_across(members: DataFrame, width: int, least: int, over: int, under: int) -> DataFrame:
+    """Links (a, b) between different components of a bucket: enough to join all that its linked pairs join.
+
+    Members (band, bucket, node, component, n, bands, marks, text) are laid out in blocks; a component with many members
+    has blocks of its own, which are never held against each other. A task gets two blocks at a time, never a whole
+    bucket. A pair is looked at in the first band that it shares, first by its signatures, then on the full sets; of the
+    links found only those come out that join parts not yet joined.
     """
-    sizes = open_members.groupBy("bucket", "component").agg(F.count("*").alias("in_component"))
+    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("in_component"))
     large = F.col("in_component") >= BLOCK
     rest = sizes.groupBy("bucket").agg(F.sum(F.when(large, 0).otherwise(F.col("in_component"))).alias("rest"))
-    laid = open_members.join(sizes, ["bucket", "component"]).join(rest, "bucket")
+    laid = members.select("bucket", "node", "component").join(sizes, ["bucket", "component"]).join(rest, "bucket")
     own = F.concat_ws(":", F.hex("component"), F.pmod(F.xxhash64("node"), F.ceil(F.col("in_component") / BLOCK)).cast("string"))
     mixed = F.concat(F.lit(":"), F.pmod(F.xxhash64("node"), F.greatest(F.ceil(F.col("rest") / BLOCK), F.lit(1))).cast("string"))
-    laid = cut_lineage(laid.select("bucket", "node", "component", "n", "marks", F.when(large, own).otherwise(mixed).alias("block")))
+    laid = cut_lineage(laid.select("bucket", "node", F.when(large, own).otherwise(mixed).alias("block")))
     blocks = laid.select("bucket", "block").distinct()
     other = blocks.select("bucket", F.col("block").alias("other"))
     apart = (F.substring_index("block", ":", 1) != F.substring_index("other", ":", 1)) | F.col("block").startswith(":")
     tasks = blocks.join(other, "bucket").where((F.col("block") <= F.col("other")) & apart)
     tasks = tasks.select("bucket", F.concat_ws("|", "block", "other").alias("task"), F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
-    rows = laid.join(tasks, ["bucket", "block"]).select("bucket", "task", "block", "node", "component", "n", "marks")
+    rows = laid.join(tasks, ["bucket", "block"]).join(members, ["bucket", "node"])
+    rows = rows.select("bucket", "task", "block", "node", "component", "n", "band", "bands", "marks", "text")
 
     def compare(table: pa.Table) -> pa.Table:
-        block = table.column("block").to_pylist()
-        first = min(block)
-        node, component = table.column("node").to_pylist(), table.column("component").to_pylist()
+        table = table.combine_chunks()
+        block, node, component = (table.column(c).to_pylist() for c in ("block", "node", "component"))
+        first, band = min(block), table.column("band")[0].as_py()
         codes = {c: i for i, c in enumerate(dict.fromkeys(component))}
-        component = np.array([codes[c] for c in component])
+        part = np.array([codes[c] for c in component])
         n = table.column("n").to_numpy()
         marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), dtype=np.uint8).reshape(-1, HASHES)
-        left = np.flatnonzero([x == first for x in block])
-        right = np.flatnonzero([x != first for x in block])
-        right = right if len(right) else left
-        out: set[tuple[bytes, bytes, int]] = set()
-        for i in left.tolist():
-            near = right[(component[right] != component[i])]
-            near = near[np.minimum(n[near], n[i]) * under >= np.maximum(n[near], n[i]) * over]
+        bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)[:, :band]
+        sets = list(words.shingle_sets(table.column("text"), width))
+        left = [i for i, x in enumerate(block) if x == first]
+        right = np.array([i for i, x in enumerate(block) if x != first] or left)
+        count, out = None, []
+        for i in left:
+            near = np.flatnonzero(part[right] != part[i])
+            j = right[near]
+            fit = (np.minimum(n[j], n[i]) * under >= np.maximum(n[j], n[i]) * over) & ~(bands[j] == bands[i]).any(axis=1)
+            near, j = near[fit], j[fit]
+            near = near[(marks[j] == marks[i]).sum(axis=1) >= least]
             if not len(near):
                 continue
-            same = (marks[near] == marks[i]).sum(axis=1)
-            near, same = near[same >= least], same[same >= least]
-            for j, s in zip(near.tolist(), same.tolist()):
-                out.add((min(node[i], node[j]), max(node[i], node[j]), s))
-        a, b, s = zip(*sorted(out)) if out else ((), (), ())
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "same": pa.array(s, pa.int32())})
+            count = count or _common([sets[k] for k in right])
+            common = count(sets[i])[near]
+            for j in right[near[under * common >= over * (n[right[near]] + n[i] - common)]].tolist():
+                if part[j] != part[i]:
+                    out.append((node[i], node[j]))
+                    part[part == part[j]] = part[i]
+        a, b = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    found = rows.groupBy("bucket", "task").applyInArrow(compare, "a binary, b binary, same int")
-    return found.groupBy("a", "b").agg(F.max("same").alias("same"))
+    return rows.groupBy("bucket", "task").applyInArrow(compare, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, over: int = 80, under: int = 100) -> DataFrame:
@@ -215,40 +239,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = nodes.select("node", "lead", "n", "marks")
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("node").alias("centre")).where("size > 1")
-    members = cut_lineage(banded.join(buckets, ["band", "key"]).select(F.xxhash64("band", "key").alias("bucket"), "node", "centre"))
+    members = banded.join(buckets, ["band", "key"])
+    members = cut_lineage(members.select("band", F.xxhash64("band", "key").alias("bucket"), "node", "centre"))
 
-    def with_marks(pairs: DataFrame) -> DataFrame:
-        left = signed.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("marks").alias("marks_a"))
-        right = signed.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("marks").alias("marks_b"))
-        joined = pairs.join(left, "a").join(right, "b").where(_sizes_fit(over, under))
-        return joined.select("a", "b", _agreement("marks_a", "marks_b", least).alias("same")).where("same is not null")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = ends.join(signed.select("node", "lead"), "node")
-        return cut_lineage(_confirm(pairs, cut_lineage(_texts(docs, wanted, id_col, text_col, width)), width, over, under))
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        return cut_lineage(_texts(docs, wanted.distinct().join(signed.select("node", "lead"), "node"), id_col, text_col, width))
 
+    left = signed.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("marks").alias("marks_a"))
+    right = signed.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("marks").alias("marks_b"))
     star = members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    first = cut_lineage(with_marks(star).groupBy("a").agg(F.max_by("b", F.struct("same", "b")).alias("b")))
-    tried = confirmed(first)
-    parts = cut_lineage(stars.components(tried.where("linked"), "a", "b"))
-    links = tried.where("linked").select("a", "b")
-    refuted = tried.where("not linked").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    for best in ROUNDS:
-        placed = members.select("bucket", "node").join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-        spread = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-        open_members = cut_lineage(placed.join(spread, "bucket", "left_semi").join(signed.select("node", "n", "marks"), "node"))
-        if open_members.isEmpty():
-            break
-        pairs = _across(open_members, least, over, under).join(refuted, ["a", "b"], "left_anti")
-        if best is not None:
-            pairs = _best_partners(pairs, best)
-        pairs = cut_lineage(pairs.select("a", "b"))
-        if pairs.isEmpty():
-            break
-        tried = confirmed(pairs)
-        refuted = refuted.unionByName(tried.where("not linked").select("a", "b"))
-        links = links.unionByName(tried.where("linked").select("a", "b"))
+    star = star.join(left, "a").join(right, "b").where(_sizes_fit(over, under))
+    star = star.select("a", "b", _agreement("marks_a", "marks_b", least).alias("same")).where("same is not null")
+    star = cut_lineage(star.groupBy("a").agg(F.max_by("b", F.struct("same", "b")).alias("b")))
+    links = cut_lineage(_confirm(star, texts_of(star.select(F.explode(F.array("a", "b")).alias("node"))), width, over, under).where("linked").select("a", "b"))
+    parts = cut_lineage(stars.components(links, "a", "b"))
+    placed = members.join(parts, "node", "left").select("band", "bucket", "node", F.coalesce("component", "node").alias("component"))
+    spread = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    apart = cut_lineage(placed.join(spread, "bucket", "left_semi"))
+    if not apart.isEmpty():
+        apart = apart.join(nodes.select("node", "n", "bands", "marks"), "node").join(texts_of(apart.select("node")), "node")
+        links = links.unionByName(_linked_across(apart, width, least, over, under))
         parts = cut_lineage(stars.components(links, "a", "b"))
     led = nodes.select("node", "lead").join(parts, "node", "left").select("node", "lead", F.coalesce("component", "node").alias("component"))
     heads = led.groupBy("component").agg(F.min("lead").alias("component_id"))
@@ -256,10 +266,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = drawn.select("id", "n_shingles", "node").join(placed, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select("id", "n_shingles", own.alias("component_id")).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)))
-
-
-def _best_partners(pairs: DataFrame, best: int) -> DataFrame:
-    """For each node its most similar partners; the rest waits for a later round."""
-    ends = pairs.select("a", "b", "same", F.col("a").alias("node")).unionByName(pairs.select("a", "b", "same", F.col("b").alias("node")))
-    order = Window.partitionBy("node").orderBy(F.desc("same"), "a", "b")
-    return ends.withColumn("place", F.row_number().over(order)).where(F.col("place") <= best).select("a", "b").distinct()
