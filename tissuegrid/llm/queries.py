@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tissuegrid.llm import langid, minhash, mixing, secrets
+from tissuegrid.llm import langid, minhash, mixing, pivots, secrets, tiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -39,7 +39,7 @@ WITH RECURSIVE worded AS (
   FROM documents),
 shingled AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM worded),
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM worded),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
 common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingled x JOIN shingled y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
 links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
@@ -73,3 +73,35 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     out = langid.identify(table(spark, folder, "documents"), "doc_id", "text", "lang", train_rows=20_000)
     return out.withColumnRenamed("id", "doc_id")
+
+
+OP2_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id WHERE list_cosine_similarity(x.e, y.e) >= 0.95),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+{_REACH}
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, coalesce(p.component_id, v.vec_id) AS component_id,
+  v.vec_id = coalesce(p.component_id, v.vec_id) AS kept
+FROM v LEFT JOIN counts c ON c.a = v.vec_id LEFT JOIN parts p ON p.a = v.vec_id
+"""
+
+
+@query("op2_embedding_near_duplicates", OP2_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    out = tiles.near_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding", threshold=0.95)
+    return out.withColumnRenamed("id", "vec_id")
+
+
+OP6_SQL = """
+WITH v AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(1024 * x)) AS e FROM embeddings),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op6_exact_top_products", OP6_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.top_products(table(spark, folder, "embeddings"), "vec_id", "embedding", k=10, every=100, scale=1024)
