@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tissuegrid.llm import langid, minhash, mixing, pivots, secrets, tiles
+from tissuegrid.llm import langid, lattice, minhash, mixing, pivots, secrets, tiles, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -105,3 +105,15 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 @query("op6_exact_top_products", OP6_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return pivots.top_products(table(spark, folder, "embeddings"), "vec_id", "embedding", k=10, every=100, scale=1024)
+
+
+@query("op4_sampled_pieces")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    out = lattice.sampled(table(spark, folder, "documents"), "doc_id", "text", samples=2, alpha=1.0)
+    return out.withColumnRenamed("id", "doc_id")
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    out = toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"), label_col="toxic", train_rows=20_000)
+    return out.withColumnRenamed("id", "doc_id")

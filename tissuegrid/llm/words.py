@@ -92,13 +92,13 @@ class Words:
     rows: np.ndarray
 
 
-def find_words(piece: Piece) -> Words:
-    """Words are the runs of bytes outside 0x20 and 0x09-0x0D; a word ends with its row."""
+def find_words(piece: Piece, space: np.ndarray = SPACE) -> Words:
+    """Words are the runs of bytes outside ``space``, 0x20 and 0x09-0x0D if not given; a word ends with its row."""
     n = len(piece.data)
     if not n:
         none = np.zeros(0, dtype=np.int64)
         return Words(none, none, np.zeros(len(piece.bounds), dtype=np.int64))
-    inside = ~SPACE[piece.data]
+    inside = ~space[piece.data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[piece.bounds] = True
     start = inside.copy()
