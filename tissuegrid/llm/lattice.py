@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -23,6 +24,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = 0x2581
 #: Stands for a blank sign that is in the text itself: it is spelt in bytes, so that decoding gives it back.
 LITERAL = 0x110000
+#: Bytes of text that share lattices; a longer text is a piece of its own.
+TEXT = 2 << 20
 
 
 class Vocabulary:
@@ -43,6 +46,9 @@ class Vocabulary:
             ids = np.array([i for i, _ in mine], dtype=np.int32)[order]
             self.by_length[n] = (h[order], ids, logp[ids])
         self.letters = np.unique([ord(c) for _, p in known for c in p])
+        self.seen = np.zeros(1 << 20, dtype=bool)  # a first look that most windows fail
+        for h, _, _ in self.by_length.values():
+            self.seen[h & np.uint64(len(self.seen) - 1)] = True
 
 
 def load(path: str) -> tuple[list[str], np.ndarray, int]:
@@ -69,26 +75,32 @@ def window_hashes(codes: np.ndarray, n: int, run: np.ndarray | None = None) -> n
         run = running(codes)
     with np.errstate(over="ignore"):
         m = len(codes) - n + 1
-        return words.mix((run[n: n + m] - run[:m]) * words._backs[:m] + np.uint64(n))
+        return words.mix((run[n: n + m] - run[:m]) * words.ladders(m)[1][:m] + np.uint64(n))
 
 
 def running(codes: np.ndarray) -> np.ndarray:
-    words._grow(len(codes) + 1)
+    powers, _ = words.ladders(len(codes) + 1)
     run = np.zeros(len(codes) + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        np.cumsum(words.mix(codes.astype(np.uint64) + np.uint64(77)) * words._powers[: len(codes)], out=run[1:])
+        np.cumsum(words.mix(codes.astype(np.uint64) + np.uint64(77)) * powers[: len(codes)], out=run[1:])
     return run
 
 
-def uniform(key: np.ndarray, a, b) -> np.ndarray:
+def uniform(key: np.ndarray, a: int, b) -> np.ndarray:
     """Numbers in (0, 1) that hang on key, a and b alone."""
     with np.errstate(over="ignore"):
-        h = words.mix(np.asarray(key, dtype=np.uint64) ^ words.mix(np.asarray(a, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(b, dtype=np.uint64)))
-    return ((h >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
+        h = np.asarray(key, dtype=np.uint64) + words.mix(np.uint64(a)) + np.asarray(b, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        h = words.mix(h) >> np.uint64(12)
+    return (h.astype(np.float64) + 0.5) * 2.0**-52
 
 
 class Lattices:
-    """Lattices of the distinct segments of a piece of the table: for each place and length the edge that starts there."""
+    """Lattices of the distinct segments of a piece of the table, as one list of edges.
+
+    Edges are ordered by their distance from the segment's end, then by node, then by length. ``begin`` and ``many`` give
+    each node's edges; an edge has its length, piece, log-probability given its node (``logq``), the probability up to and
+    with it (``upto``) and the log of the probability of its node's other edges (``rest``).
+    """
 
     def __init__(self, codes: np.ndarray, start: np.ndarray, stop: np.ndarray, vocabulary: Vocabulary, alpha: float):
         size = stop - start
@@ -101,91 +113,114 @@ class Lattices:
         at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         self.code[inside] = codes[np.repeat(start, size) + at]
         left = np.repeat(self.last, size + 1) - np.arange(nodes)  # characters up to the segment's end
-        width = min(vocabulary.longest, int(size.max()))
-        weight = np.full((nodes, width), -np.inf)
-        self.piece = np.full((nodes, width), -1, dtype=np.int32)
-        run = running(self.code)
+        run, hits = running(self.code), []
+        lone = left > 0
         for n, (known, ids, logp) in vocabulary.by_length.items():
-            if n > width:
+            if n > size.max():
                 break
-            where = np.flatnonzero(left[: nodes - n + 1] >= n)
-            h = window_hashes(self.code, n, run)[where]
-            found = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            hit = known[found] == h
-            weight[where[hit], n - 1] = alpha * logp[found[hit]]
-            self.piece[where[hit], n - 1] = ids[found[hit]]
-        lone = np.flatnonzero((left > 0) & (self.piece[:, 0] < 0))
-        weight[lone, 0] = alpha * vocabulary.floor
-        beta = np.full(nodes + width, -np.inf)
-        beta[self.last] = 0.0
-        order = np.argsort(left, kind="stable")
-        bounds = np.searchsorted(left[order], np.arange(1, int(size.max()) + 2))
-        reach = np.arange(1, width + 1)
-        for d in range(1, int(size.max()) + 1):
-            here = order[bounds[d - 1]: bounds[d]]
-            total = weight[here] + beta[here[:, None] + reach]
-            top = total.max(axis=1)
-            beta[here] = top + np.log(np.exp(total - top[:, None]).sum(axis=1))
-        self.logq = np.full((nodes, width), -np.inf)
-        body = np.flatnonzero(left > 0)
-        self.logq[body] = weight[body] + beta[body[:, None] + reach] - beta[body, None]
-        self.upto = np.cumsum(np.exp(self.logq), axis=1)
-        self.longest = width - 1 - np.argmax(np.isfinite(self.logq[:, ::-1]), axis=1)
-
-    def draw(self, node: np.ndarray, stop: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Paths from node to stop: owner, node and edge of every step, by owner. ``place`` seeds the steps, with key and sample."""
+            h = window_hashes(self.code, n, run)
+            where = np.flatnonzero((left[: len(h)] >= n) & vocabulary.seen[h & np.uint64(len(vocabulary.seen) - 1)])
+            found = np.minimum(np.searchsorted(known, h[where]), len(known) - 1)
+            hit = known[found] == h[where]
+            where, found = where[hit], found[hit]
+            hits.append((where, ids[found], alpha * logp[found], n))
+            if n == 1:
+                lone[where] = False
+        where = np.flatnonzero(lone)
+        hits.insert(0, (where, -1, alpha * vocabulary.floor, 1))
+        self.many = np.zeros(nodes, dtype=np.int64)
+        for where, _, _, _ in hits:
+            self.many[where] += 1
+        order = np.argsort(np.minimum(left, 1 << 15).astype(np.uint16) if size.max() < 1 << 15 else left, kind="stable")
+        self.begin = np.zeros(nodes, dtype=np.int64)
+        self.begin[order] = np.cumsum(self.many[order]) - self.many[order]
+        n_edges = int(self.many.sum())
+        self.src, self.length = np.zeros(n_edges, dtype=np.int64), np.zeros(n_edges, dtype=np.int64)
+        self.piece, weight = np.zeros(n_edges, dtype=np.int32), np.zeros(n_edges)
+        free = self.begin.copy()
+        for where, ids, logp, n in hits:
+            at = free[where]
+            self.src[at], self.length[at], self.piece[at], weight[at] = where, n, ids, logp
+            free[where] += 1
+        node = order[self.many[order] > 0]
+        fresh, many = self.begin[node], self.many[node]
+        beta = np.zeros(nodes)
+        goal = self.src + self.length
+        levels = np.searchsorted(left[self.src[fresh]], np.arange(1, int(size.max()) + 2))
+        for a, b in zip(levels[:-1], levels[1:]):
+            if a == b:
+                continue
+            edges = slice(fresh[a], fresh[b - 1] + many[b - 1])
+            total = weight[edges] + beta[goal[edges]]
+            cut = fresh[a:b] - fresh[a]
+            top = np.maximum.reduceat(total, cut)
+            beta[self.src[fresh[a:b]]] = top + np.log(np.add.reduceat(np.exp(total - np.repeat(top, many[a:b])), cut))
+        self.logq = np.minimum(weight + beta[goal] - beta[self.src], 0.0)
+        q = np.exp(self.logq)
+        run = np.cumsum(q)
+        self.upto = run - np.repeat(run[fresh] - q[fresh], many)
+        self.upto[fresh + many - 1] = 2.0  # rounding leaves no gap behind the last edge
+        with np.errstate(divide="ignore"):
+            self.rest = np.log1p(-q)
+        self.rest[np.repeat(many, many) == 1] = -np.inf
+
+    def draw(self, node: np.ndarray, stop: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
+        """Paths from node to stop: owner and edge of every step, by owner. ``place`` seeds the steps, with key and sample."""
         owner, steps = np.flatnonzero(node < stop), []
         node, stop, key, place = node[owner].copy(), stop[owner], key[owner], place[owner].copy()
         while len(owner):
             u = uniform(key, sample, place)
-            edge = np.minimum((self.upto[node] < u[:, None]).sum(axis=1), self.longest[node])
-            steps.append((owner, node, edge))
-            node, place = node + edge + 1, place + edge + 1
+            edge = self.begin[node]
+            short = np.flatnonzero(self.upto[edge] < u)
+            while len(short):
+                edge[short] += 1
+                short = short[self.upto[edge[short]] < u[short]]
+            steps.append((owner, edge))
+            node, place = node + self.length[edge], place + self.length[edge]
             on = node < stop
             if not on.all():
                 owner, node, stop, key, place = owner[on], node[on], stop[on], key[on], place[on]
         if not steps:
-            none = np.zeros(0, dtype=np.int64)
-            return none, none, none
-        owner, node, edge = (np.concatenate(x) for x in zip(*steps))
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        owner, edge = (np.concatenate(x) for x in zip(*steps))
         order = np.argsort(owner, kind="stable")
-        return owner[order], node[order], edge[order]
+        return owner[order], edge[order]
 
 
 class _Search:
-    """Best-first search of one text: opened paths with the bounds of the sets that branch off them."""
+    """Best-first search of one text: opened paths, and how late the sets that branch off them come.
+
+    A set with log-mass m has the bound -log(exp(-parent's bound) + E exp(-m)) with E exponential; ``late`` is log(E) - m, so
+    that the smallest of a path is its best set.
+    """
 
     def __init__(self, lattices: Lattices, key: int):
-        self.l, self.key, self.paths, self.drawn = lattices, np.uint64(key), [], 0
-
-    def add(self, node, edge, from_step: int, gone: list[int], bound: float) -> dict:
-        """A path; sets branch off at its steps from ``from_step`` on, where ``gone`` edges are used up at the first."""
-        logq = self.l.logq[node, edge]
-        before = np.concatenate([[0.0], np.cumsum(logq)])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            rest = np.log1p(-np.minimum(np.exp(logq), 1.0))
-            if from_step < len(node) and gone:
-                used = float(np.exp(self.l.logq[node[from_step], gone + [int(edge[from_step])]]).sum())
-                left = np.delete(self.l.logq[node[from_step]], gone + [int(edge[from_step])])
-                rest[from_step] = math.log1p(-min(used, 1.0)) if np.isfinite(left).any() and used < 1 else -math.inf
-            single = np.isfinite(self.l.logq[node]).sum(axis=1) == 1
-            rest[single] = -np.inf
-            mass = before[:-1] + rest
-            mass[:from_step] = -np.inf
-            noise = np.log(-np.log(uniform(self.key, np.uint64(1_000_003 + len(self.paths)), np.arange(len(node), dtype=np.uint64))))
-            bounds = -np.logaddexp(-bound, noise - mass)
-        bounds[~np.isfinite(mass)] = -np.inf
-        path = {"node": node, "edge": edge, "logp": float(before[-1]), "bound": bound, "bounds": bounds, "from": from_step, "gone": gone}
+        self.l, self.key, self.paths = lattices, np.uint64(key), []
+
+    def add(self, edges: np.ndarray, from_step: int, gone: list[int], bound: float) -> dict:
+        """A path; sets branch off at its steps from ``from_step`` on, where the edges ``gone`` are used up at the first."""
+        lattices = self.l
+        before = np.cumsum(lattices.logq[edges])
+        mass = lattices.rest[edges[from_step:]]
+        if len(gone) and len(mass):
+            node = lattices.src[edges[from_step]]
+            own = np.arange(lattices.begin[node], lattices.begin[node] + lattices.many[node])
+            free = np.setdiff1d(own, [*gone, edges[from_step]])
+            mass[0] = np.log(np.exp(lattices.logq[free]).sum()) if len(free) else -np.inf
+        mass[1:] += before[from_step:-1]
+        mass[:1] += before[from_step - 1] if from_step else 0.0
+        noise = np.log(-np.log(uniform(self.key, 1_000_003 + len(self.paths), np.arange(from_step, len(edges), dtype=np.uint64))))
+        path = {"edges": edges, "logp": float(before[-1]), "bound": bound, "late": noise - mass, "from": from_step, "gone": gone}
         self.paths.append(path)
         return path
 
     def best(self) -> tuple[float, dict | None, int]:
         top, owner, step = -math.inf, None, -1
         for path in self.paths:
-            if len(path["bounds"]):
-                at = int(path["bounds"].argmax())
-                if path["bounds"][at] > top:
-                    top, owner, step = float(path["bounds"][at]), path, at
+            at = int(path["late"].argmin())
+            bound = -float(np.logaddexp(-path["bound"], path["late"][at])) if np.isfinite(path["late"][at]) else -math.inf
+            if bound > top:
+                top, owner, step = bound, path, path["from"] + at
         return top, owner, step
 
 
@@ -211,12 +246,12 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.concatenate([[0], np.cumsum([len(t) + 1 if t else 0 for t in texts])])
 
 
-def _ids(lattices: Lattices, node: np.ndarray, edge: np.ndarray, bytes_at: int) -> np.ndarray:
-    ids = lattices.piece[node, edge]
+def _ids(lattices: Lattices, edges: np.ndarray, bytes_at: int) -> np.ndarray:
+    ids = lattices.piece[edges]
     lone = np.flatnonzero(ids < 0)
     if not len(lone):
         return ids
-    spelt = [chr(BLANK if c == LITERAL else c).encode() for c in lattices.code[node[lone]].tolist()]
+    spelt = [chr(BLANK if c == LITERAL else c).encode() for c in lattices.code[lattices.src[edges[lone]]].tolist()]
     times = np.ones(len(ids), dtype=np.int64)
     times[lone] = [len(b) for b in spelt]
     out = np.repeat(ids, times)
@@ -233,7 +268,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
         stop = np.append(start[1:], len(codes))
         run = running(codes)
         with np.errstate(over="ignore"):
-            h = words.mix((run[stop] - run[start]) * words._backs[start] + (stop - start).astype(np.uint64))
+            h = words.mix((run[stop] - run[start]) * words.ladders(len(codes) + 1)[1][start] + (stop - start).astype(np.uint64))
         _, which, kind = np.unique(h, return_index=True, return_inverse=True)
         lattices = Lattices(codes, start[which], stop[which], vocabulary, alpha)
         first, last = lattices.first[kind], lattices.last[kind]
@@ -257,34 +292,33 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
                 search = searches[i] = _Search(lattices if len(codes) else None, keys[i])
                 bound = -math.log(-math.log(float(uniform(keys[i], 999_983, 0))))
                 if not texts[i]:
-                    found[i].append({"node": none, "edge": none, "logp": 0.0, "bound": bound})
+                    found[i].append({"edges": none, "logp": 0.0, "bound": bound})
                     continue
                 a, b = cut[mine[i]], cut[mine[i + 1]]
-                found[i].append(search.add(drawn[1][a:b], drawn[2][a:b], 0, [], bound))
+                found[i].append(search.add(drawn[1][a:b], 0, [], bound))
                 going.append(i)
                 continue
             search = searches[i]
             bound, path, step = search.best()
             if path is None:
                 continue
-            path["bounds"][step] = -math.inf
-            node, edge = path["node"], path["edge"]
-            gone = [*(path["gone"] if step == path["from"] else []), int(edge[step])]
-            free = lattices.logq[node[step]].copy()
-            free[gone] = -np.inf
-            chances = np.exp(free - free.max())
+            path["late"][step - path["from"]] = math.inf
+            edges = path["edges"]
+            gone = [*(path["gone"] if step == path["from"] else []), int(edges[step])]
+            node = lattices.src[edges[step]]
+            own = np.arange(lattices.begin[node], lattices.begin[node] + lattices.many[node])
+            free = np.setdiff1d(own, gone)
+            chances = np.exp(lattices.logq[free] - lattices.logq[free].max())
             pick = float(uniform(keys[i], 500_009 + r, step)) * chances.sum()
-            turn = min(int((np.cumsum(chances) < pick).sum()), int(np.flatnonzero(chances)[-1]))
+            turn = int(free[min(int((np.cumsum(chances) < pick).sum()), len(free) - 1)])
             # The segment's rest from the new edge on, then the fresh draw of all later segments.
-            kinds = slice(mine[i], mine[i + 1])
-            begun = np.concatenate([[0], np.cumsum(edge[:step] + 1)])[-1]
-            segment = mine[i] + int(np.searchsorted(place[kinds], begun, side="right")) - 1
-            new = node[step] + turn + 1
-            tail = lattices.draw(np.array([new]), np.array([last[segment]]), keys[i: i + 1], np.array([begun + turn + 1]), r + 1_000)
+            begun = int(lattices.length[edges[:step]].sum())
+            segment = mine[i] + int(np.searchsorted(place[mine[i]: mine[i + 1]], begun, side="right")) - 1
+            over = begun + int(lattices.length[turn])
+            tail = lattices.draw(np.array([node + lattices.length[turn]]), np.array([last[segment]]), keys[i: i + 1], np.array([over]), r + 1_000)
             a, b = cut[segment + 1], cut[mine[i + 1]]
-            node = np.concatenate([node[: step + 1], tail[1], drawn[1][a:b]])
-            edge = np.concatenate([edge[:step], [turn], tail[2], drawn[2][a:b]])
-            found[i].append(search.add(node, edge, step, gone, bound))
+            edges = np.concatenate([edges[:step], [turn], tail[1], drawn[1][a:b]])
+            found[i].append(search.add(edges, step, gone, bound))
             going.append(i)
         open_texts = going
     for i, paths in enumerate(found):
@@ -293,7 +327,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
         for path in paths:
             x = path["logp"] - kappa
             inclusion = 0.0 if x > 30 else x if x < -30 else math.log(-math.expm1(-math.exp(x)))
-            ids = _ids(lattices, path["node"], path["edge"], vocabulary.bytes_at) if len(path["node"]) else none.astype(np.int32)
+            ids = _ids(lattices, path["edges"], vocabulary.bytes_at) if len(path["edges"]) else none.astype(np.int32)
             out[i].append((ids, path["logp"], path["bound"], inclusion))
     return out
 
@@ -315,7 +349,7 @@ def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
     def encode(batches):
         vocabulary = Vocabulary(*shared.value)
         for batch in batches:
-            for piece in words.pieces(batch.column(1)):
+            for piece in words.pieces(batch.column(1), TEXT):
                 part = batch.slice(piece.first, piece.last - piece.first)
                 texts = part.column(1).to_pylist()
                 keys = part.column(2).to_numpy().view(np.uint64)
@@ -354,8 +388,6 @@ def decoded(rows: DataFrame, ids_col: str = "ids", out_col: str = "decoded", mod
 
     @F.pandas_udf("string")
     def text(column):
-        import pandas as pd
-
         spelling = shared.value
 
         def one(ids):

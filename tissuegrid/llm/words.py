@@ -46,11 +46,13 @@ def _ladder(base: int, n: int) -> np.ndarray:
         return np.multiply.accumulate(out)
 
 
-def _grow(n: int) -> None:
+def ladders(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse, at least."""
     global _powers, _backs
     if len(_powers) < n:
         size = max(n, PIECE + 1)
         _powers, _backs = _ladder(_BASE, size), _ladder(_BACK, size)
+    return _powers, _backs
 
 
 @dataclass
@@ -114,11 +116,11 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     n = len(data)
     if not n or not len(start):
         return np.zeros(len(start), dtype=np.uint64)
-    _grow(n + 1)
+    powers, backs = ladders(n + 1)
     with np.errstate(over="ignore"):
         run = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[data] * _powers[:n], out=run[1:])
-        return mix((run[end] - run[start]) * _backs[start] + (end - start).astype(np.uint64))
+        np.cumsum(_BYTE[data] * powers[:n], out=run[1:])
+        return mix((run[end] - run[start]) * backs[start] + (end - start).astype(np.uint64))
 
 
 def word_hashes(piece: Piece, words: Words) -> np.ndarray:
