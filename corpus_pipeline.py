@@ -1,23 +1,68 @@
-"""Corpus pipeline over ``documents``: stages that follow one another, each on all rows that its predecessor kept."""
+"""Corpus pipeline over ``documents``: stages that follow one another, each on all rows that its predecessor kept.
+
+Every stage but the last returns the columns of ``documents``. Null texts, null ids, repeated rows, empty tables and extra
+columns are handled as each operator's docstring says; extra columns are dropped by the first stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tissuegrid.llm import minhash
+from tissuegrid.llm import langid, lattice, minhash, mixing, secrets
 from tissuegrid.runtime import cut_lineage
 
+#: No SQL says what the language model, the token test, the rounding and the draws do; tests compare with plain Python.
 ORACLE_SQL = None
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Documents whose language is less sure than this go, with those that have no letter at all.
+SURE = 0.5
+
+
+def _with_text(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter or of no sure language go; ``lang`` becomes the language found."""
+    model = langid.fit(docs, "doc_id", "text", "lang", train_rows=20_000)
+    scored = langid.predict(docs.select(*COLUMNS), model, "text")
+    sure = scored.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE))
+    return sure.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest id."""
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group stays, the one with the smallest id: five-word shingles, similarity of 0.8 or more."""
+    kept = minhash.near_duplicates(docs, "doc_id", "text", width=5, over=80, under=100).where("kept").select("id").distinct()
+    return docs.join(kept, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are taken out of the texts; every document stays."""
+    return _with_text(secrets.scan(docs.select(*COLUMNS)).withColumn("text", F.col("found.clean")))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, once or twice."""
+    taken = mixing.mix(docs, "doc_id", "text", "source").where("copies > 0").select("id", "copies")
+    both = docs.join(taken, F.col("doc_id") == F.col("id"))
+    return both.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+
+
+def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of each text of the mix."""
+    out = lattice.sampled(docs, "doc_id", "text", samples=2, alpha=1.0)
+    return out.withColumnRenamed("id", "doc_id")
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [
+    ("language_id", language_id),
+    ("minhash_near_duplicates", near_duplicates),
+    ("secret_scan", secret_scan),
+    ("mix_sources", mix_sources),
+    ("sampled_pieces", sample_pieces),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

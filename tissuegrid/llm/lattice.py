@@ -25,7 +25,9 @@ BLANK = 0x2581
 #: Stands for a blank sign that is in the text itself: it is spelt in bytes, so that decoding gives it back.
 LITERAL = 0x110000
 #: Bytes of text that share lattices; a longer text is a piece of its own.
-TEXT = 2 << 20
+TEXT = 4 << 20
+#: Shift that leaves the bits of a hash for the first look at the vocabulary.
+SEEN = np.uint64(44)
 
 
 class Vocabulary:
@@ -46,9 +48,9 @@ class Vocabulary:
             ids = np.array([i for i, _ in mine], dtype=np.int32)[order]
             self.by_length[n] = (h[order], ids, logp[ids])
         self.letters = np.unique([ord(c) for _, p in known for c in p])
-        self.seen = np.zeros(1 << 20, dtype=bool)  # a first look that most windows fail
+        self.seen = np.zeros(1 << (64 - int(SEEN)), dtype=bool)  # a first look that most windows fail
         for h, _, _ in self.by_length.values():
-            self.seen[h & np.uint64(len(self.seen) - 1)] = True
+            self.seen[h >> SEEN] = True
 
 
 def load(path: str) -> tuple[list[str], np.ndarray, int]:
@@ -75,7 +77,9 @@ def window_hashes(codes: np.ndarray, n: int, run: np.ndarray | None = None) -> n
         run = running(codes)
     with np.errstate(over="ignore"):
         m = len(codes) - n + 1
-        return words.mix((run[n: n + m] - run[:m]) * words.ladders(m)[1][:m] + np.uint64(n))
+        h = run[n: n + m] - run[:m]
+        h *= words.ladders(m)[1][:m]
+        return h
 
 
 def running(codes: np.ndarray) -> np.ndarray:
@@ -119,7 +123,7 @@ class Lattices:
             if n > size.max():
                 break
             h = window_hashes(self.code, n, run)
-            where = np.flatnonzero((left[: len(h)] >= n) & vocabulary.seen[h & np.uint64(len(vocabulary.seen) - 1)])
+            where = np.flatnonzero((left[: len(h)] >= n) & vocabulary.seen[h >> SEEN])
             found = np.minimum(np.searchsorted(known, h[where]), len(known) - 1)
             hit = known[found] == h[where]
             where, found = where[hit], found[hit]
@@ -165,8 +169,11 @@ class Lattices:
         self.rest[np.repeat(many, many) == 1] = -np.inf
 
     def draw(self, node: np.ndarray, stop: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
-        """Paths from node to stop: owner and edge of every step, by owner. ``place`` seeds the steps, with key and sample."""
-        owner, steps = np.flatnonzero(node < stop), []
+        """Paths from node to stop: the edges of all steps one path after the other, and where each path begins.
+
+        ``place`` seeds the steps, with key and sample.
+        """
+        n, owner, steps = len(node), np.flatnonzero(node < stop), []
         node, stop, key, place = node[owner].copy(), stop[owner], key[owner], place[owner].copy()
         while len(owner):
             u = uniform(key, sample, place)
@@ -180,11 +187,14 @@ class Lattices:
             on = node < stop
             if not on.all():
                 owner, node, stop, key, place = owner[on], node[on], stop[on], key[on], place[on]
-        if not steps:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        owner, edge = (np.concatenate(x) for x in zip(*steps))
-        order = np.argsort(owner, kind="stable")
-        return owner[order], edge[order]
+        many = np.zeros(n, dtype=np.int64)
+        for owner, _ in steps:
+            many[owner] += 1
+        begin = np.cumsum(many) - many
+        out = np.zeros(int(many.sum()), dtype=np.int64)
+        for k, (owner, edge) in enumerate(steps):
+            out[begin[owner] + k] = edge
+        return out, begin
 
 
 class _Search:
@@ -204,8 +214,8 @@ class _Search:
         mass = lattices.rest[edges[from_step:]]
         if len(gone) and len(mass):
             node = lattices.src[edges[from_step]]
-            own = np.arange(lattices.begin[node], lattices.begin[node] + lattices.many[node])
-            free = np.setdiff1d(own, [*gone, edges[from_step]])
+            used = {*gone, int(edges[from_step])}
+            free = [e for e in range(lattices.begin[node], lattices.begin[node] + lattices.many[node]) if e not in used]
             mass[0] = np.log(np.exp(lattices.logq[free]).sum()) if len(free) else -np.inf
         mass[1:] += before[from_step:-1]
         mass[:1] += before[from_step - 1] if from_step else 0.0
@@ -269,7 +279,9 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
         run = running(codes)
         with np.errstate(over="ignore"):
             h = words.mix((run[stop] - run[start]) * words.ladders(len(codes) + 1)[1][start] + (stop - start).astype(np.uint64))
-        _, which, kind = np.unique(h, return_index=True, return_inverse=True)
+        kind, different = pd.factorize(h)
+        which = np.zeros(len(different), dtype=np.int64)
+        which[kind[::-1]] = np.arange(len(kind))[::-1]
         lattices = Lattices(codes, start[which], stop[which], vocabulary, alpha)
         first, last = lattices.first[kind], lattices.last[kind]
         owner = np.searchsorted(text_start, start, side="right") - 1
@@ -285,7 +297,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
             break
         if len(codes):
             drawn = lattices.draw(first, last, key, place, r)
-            cut = np.searchsorted(drawn[0], np.arange(len(start) + 1))
+            cut = np.append(drawn[1], len(drawn[0]))
         going = []
         for i in open_texts:
             if r == 0:
@@ -295,7 +307,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
                     found[i].append({"edges": none, "logp": 0.0, "bound": bound})
                     continue
                 a, b = cut[mine[i]], cut[mine[i + 1]]
-                found[i].append(search.add(drawn[1][a:b], 0, [], bound))
+                found[i].append(search.add(drawn[0][a:b], 0, [], bound))
                 going.append(i)
                 continue
             search = searches[i]
@@ -306,8 +318,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
             edges = path["edges"]
             gone = [*(path["gone"] if step == path["from"] else []), int(edges[step])]
             node = lattices.src[edges[step]]
-            own = np.arange(lattices.begin[node], lattices.begin[node] + lattices.many[node])
-            free = np.setdiff1d(own, gone)
+            free = [e for e in range(lattices.begin[node], lattices.begin[node] + lattices.many[node]) if e not in gone]
             chances = np.exp(lattices.logq[free] - lattices.logq[free].max())
             pick = float(uniform(keys[i], 500_009 + r, step)) * chances.sum()
             turn = int(free[min(int((np.cumsum(chances) < pick).sum()), len(free) - 1)])
@@ -317,7 +328,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
             over = begun + int(lattices.length[turn])
             tail = lattices.draw(np.array([node + lattices.length[turn]]), np.array([last[segment]]), keys[i: i + 1], np.array([over]), r + 1_000)
             a, b = cut[segment + 1], cut[mine[i + 1]]
-            edges = np.concatenate([edges[:step], [turn], tail[1], drawn[1][a:b]])
+            edges = np.concatenate([edges[:step], [turn], tail[0], drawn[0][a:b]])
             found[i].append(search.add(edges, step, gone, bound))
             going.append(i)
         open_texts = going

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tissuegrid.llm import langid, lattice, minhash, mixing, pivots, secrets, tiles, toxicity
+from tissuegrid.llm import chat, langid, lattice, minhash, mixing, pages, pivots, secrets, tiles, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -117,3 +117,15 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     out = toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"), label_col="toxic", train_rows=20_000)
     return out.withColumnRenamed("id", "doc_id")
+
+
+@query("op1_main_text")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    out = pages.extract(table(spark, folder, "pages").select("page_id", "url", "html"), "html", "text")
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op5_chat_format")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    out = chat.repair(table(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
+    return out.withColumnRenamed("conv", "conv_id")
