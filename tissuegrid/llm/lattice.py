@@ -25,7 +25,7 @@ BLANK = 0x2581
 #: Stands for a blank sign that is in the text itself: it is spelt in bytes, so that decoding gives it back.
 LITERAL = 0x110000
 #: Bytes of text that share lattices; a longer text is a piece of its own.
-TEXT = 4 << 20
+TEXT = 3 << 19
 #: Shift that leaves the bits of a hash for the first look at the vocabulary.
 SEEN = np.uint64(44)
 
