@@ -1,8 +1,8 @@
 """Labelled pages that the content model learns from.
 
 The layouts are written for this library. ``data-label="main"`` marks content, ``data-label="not"`` what is no content
-inside it. {t} stands for a title, {p} for a paragraph, {q} for a sentence, {s} for a few words; [a|b|c] for one of several
-names. Sections between << and >> are left out of some pages.
+inside it. {t} stands for a title, {p} for a paragraph, {q} for a sentence, {s} for a few words, {m} for many
+paragraphs; [a|b|c] for one of several names. Sections between << and >> are left out of some pages.
 """
 
 from __future__ import annotations
@@ -55,6 +55,8 @@ LAYOUTS = (
     f'{_TOP}{_NAV}<<{_NOTICE}>><div class="[blog|posts|wrap]"><section class="[article|reading]" data-label="main"><h2>{{t}}</h2>{_MIXED}</section></div><<{_FORM}>><<{_COMMENTS}>>{_LONG_FOOT}',
     f'{_NAV}{_AD}<article data-label="main"><h1>{{t}}</h1><p>{{s}}.</p><p>{{q}}</p></article><<{_SIDE}>>{_FOOT}',
     f'{_TOP}{_NAV}<main data-label="main"><p>{{q}}</p></main><<{_COOKIE}>>{_FOOT}',
+    f'<<{_NAV}>><<{_AD}>><article data-label="main"><h1>{{t}}</h1>{{m}}</article><<{_SIDE}>><<{_FOOT}>>',
+    f'{_TOP}<<{_DIV_NAV}>><div class="[content|post|text|story]" data-label="main"><h1>{{t}}</h1>{{m}}</div><<{_COMMENTS}>><<{_DIV_SIDE}>>{_LONG_FOOT}',
 )
 
 
@@ -72,9 +74,15 @@ def _fill(layout: str, rng: random.Random) -> str:
         "q": lambda: sentence(rng.randint(4, 16)),
         "p": lambda: " ".join(sentence(rng.randint(3, 18)) for _ in range(rng.randint(1, 9))),
     }
+
+    def many() -> str:
+        short = rng.random() < 0.5
+        return "".join(f"<p>{sentence(rng.randint(4, 9)) if short else makers['p']()}</p>" for _ in range(rng.randint(15, 250)))
+
+    makers["m"] = many
     layout = re.sub(r"<<(.*?)>>", lambda m: m[1] if rng.random() < 0.6 else "", layout)
     layout = re.sub(r"\[([^\]]*\|[^\]]*)\]", lambda m: rng.choice(m[1].split("|")), layout)
-    return re.sub(r"\{([tsqp])\}", lambda m: makers[m[1]](), layout)
+    return re.sub(r"\{([tsqpm])\}", lambda m: makers[m[1]](), layout)
 
 
 def pages(copies: int = COPIES, seed: int = 3) -> list[str]:

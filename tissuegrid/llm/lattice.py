@@ -25,7 +25,7 @@ BLANK = 0x2581
 #: Stands for a blank sign that is in the text itself: it is spelt in bytes, so that decoding gives it back.
 LITERAL = 0x110000
 #: Bytes of text that share lattices; a longer text is a piece of its own.
-TEXT = 3 << 19
+TEXT = 1 << 20
 #: Shift that leaves the bits of a hash for the first look at the vocabulary.
 SEEN = np.uint64(44)
 
@@ -127,19 +127,19 @@ class Lattices:
             found = np.minimum(np.searchsorted(known, h[where]), len(known) - 1)
             hit = known[found] == h[where]
             where, found = where[hit], found[hit]
-            hits.append((where, ids[found], alpha * logp[found], n))
+            hits.append((where.astype(np.int32), ids[found], alpha * logp[found], n))
             if n == 1:
                 lone[where] = False
         where = np.flatnonzero(lone)
         hits.insert(0, (where, -1, alpha * vocabulary.floor, 1))
-        self.many = np.zeros(nodes, dtype=np.int64)
+        self.many = np.zeros(nodes, dtype=np.int32)
         for where, _, _, _ in hits:
             self.many[where] += 1
         order = np.argsort(np.minimum(left, 1 << 15).astype(np.uint16) if size.max() < 1 << 15 else left, kind="stable")
         self.begin = np.zeros(nodes, dtype=np.int64)
         self.begin[order] = np.cumsum(self.many[order]) - self.many[order]
         n_edges = int(self.many.sum())
-        self.src, self.length = np.zeros(n_edges, dtype=np.int64), np.zeros(n_edges, dtype=np.int64)
+        self.src, self.length = np.zeros(n_edges, dtype=np.int32), np.zeros(n_edges, dtype=np.uint8)
         self.piece, weight = np.zeros(n_edges, dtype=np.int32), np.zeros(n_edges)
         free = self.begin.copy()
         for where, ids, logp, n in hits:
@@ -207,13 +207,18 @@ class _Search:
     def __init__(self, lattices: Lattices, key: int):
         self.l, self.key, self.paths = lattices, np.uint64(key), []
 
+    def first(self, edges: np.ndarray, logp: float, late: np.ndarray, bound: float) -> dict:
+        """The text's first path, whose figures are worked out for all texts of a piece at once."""
+        self.paths.append({"edges": edges, "logp": logp, "bound": bound, "late": late, "from": 0, "gone": []})
+        return self.paths[0]
+
     def add(self, edges: np.ndarray, from_step: int, gone: list[int], bound: float) -> dict:
         """A path; sets branch off at its steps from ``from_step`` on, where the edges ``gone`` are used up at the first."""
         lattices = self.l
         before = np.cumsum(lattices.logq[edges])
         mass = lattices.rest[edges[from_step:]]
         if len(gone) and len(mass):
-            node = lattices.src[edges[from_step]]
+            node = int(lattices.src[edges[from_step]])
             used = {*gone, int(edges[from_step])}
             free = [e for e in range(lattices.begin[node], lattices.begin[node] + lattices.many[node]) if e not in used]
             mass[0] = np.log(np.exp(lattices.logq[free]).sum()) if len(free) else -np.inf
@@ -298,6 +303,14 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
         if len(codes):
             drawn = lattices.draw(first, last, key, place, r)
             cut = np.append(drawn[1], len(drawn[0]))
+            if r == 0:
+                bounds = cut[mine]
+                steps = np.diff(bounds)
+                run = np.concatenate([[0.0], np.cumsum(lattices.logq[drawn[0]])])
+                weight = run[bounds[1:]] - run[bounds[:-1]]
+                index = np.arange(len(drawn[0])) - np.repeat(bounds[:-1], steps)
+                noise = np.log(-np.log(uniform(np.repeat(keys, steps), 1_000_003, index)))
+                late = noise - (lattices.rest[drawn[0]] + run[:-1] - np.repeat(run[bounds[:-1]], steps))
         going = []
         for i in open_texts:
             if r == 0:
@@ -307,7 +320,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
                     found[i].append({"edges": none, "logp": 0.0, "bound": bound})
                     continue
                 a, b = cut[mine[i]], cut[mine[i + 1]]
-                found[i].append(search.add(drawn[0][a:b], 0, [], bound))
+                found[i].append(search.first(drawn[0][a:b], float(weight[i]), late[a:b], bound))
                 going.append(i)
                 continue
             search = searches[i]
@@ -317,16 +330,16 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
             path["late"][step - path["from"]] = math.inf
             edges = path["edges"]
             gone = [*(path["gone"] if step == path["from"] else []), int(edges[step])]
-            node = lattices.src[edges[step]]
+            node = int(lattices.src[edges[step]])
             free = [e for e in range(lattices.begin[node], lattices.begin[node] + lattices.many[node]) if e not in gone]
             chances = np.exp(lattices.logq[free] - lattices.logq[free].max())
             pick = float(uniform(keys[i], 500_009 + r, step)) * chances.sum()
             turn = int(free[min(int((np.cumsum(chances) < pick).sum()), len(free) - 1)])
             # The segment's rest from the new edge on, then the fresh draw of all later segments.
-            begun = int(lattices.length[edges[:step]].sum())
+            begun = int(lattices.length[edges[:step]].sum(dtype=np.int64))
             segment = mine[i] + int(np.searchsorted(place[mine[i]: mine[i + 1]], begun, side="right")) - 1
             over = begun + int(lattices.length[turn])
-            tail = lattices.draw(np.array([node + lattices.length[turn]]), np.array([last[segment]]), keys[i: i + 1], np.array([over]), r + 1_000)
+            tail = lattices.draw(np.array([node + int(lattices.length[turn])]), np.array([last[segment]]), keys[i: i + 1], np.array([over]), r + 1_000)
             a, b = cut[segment + 1], cut[mine[i + 1]]
             edges = np.concatenate([edges[:step], [turn], tail[0], drawn[0][a:b]])
             found[i].append(search.add(edges, step, gone, bound))

@@ -177,7 +177,9 @@ def features(tree: Tree) -> list[list[str]]:
     for i in range(n):
         depth[i] = depth[tree.parent[i]] + 1 if i else 0
         density = int(4 * whole_links[i] / whole[i]) if whole[i] else -1
-        one = ["one", f"t:{tree.tag[i]}", f"w:{_bin(whole[i])}", f"l:{density}", f"n:{_bin(children[i])}", f"s:{int(4 * whole[i] / page)}", f"d:{min(depth[i], 6)}"]
+        one = ["one", f"t:{tree.tag[i]}", f"w:{_bin(whole[i])}", f"l:{density}", f"n:{_bin(children[i])}", f"d:{min(depth[i], 6)}"]
+        if children[i]:
+            one.append(f"s:{int(4 * whole[i] / page)}")
         if own[i]:
             one += [f"o:{_bin(own[i])}", f"p:{_bin(stops[i])}", f"o:{_bin(own[i])}/l:{density}", f"t:{tree.tag[i]}/p:{_bin(stops[i])}"]
         out.append(one + _cues(tree.names[i]) if tree.names[i] else one)

@@ -21,6 +21,8 @@ BUCKETS, KEPT, FACTORS = 1 << 18, 4096, 8
 STEM = 5
 #: Bytes of the n-grams inside words: sounds that only insults of a language have.
 GRAM = 4
+#: Standard errors by which a kept term must differ: hundreds of thousands of terms are looked at.
+SIGNIFICANT = 4.0
 EPOCHS, BATCH, RATE, DECAY, SEED = 12, 256, 0.1, 2e-5, 5
 
 #: Words end at white space and at ASCII punctuation.
@@ -102,7 +104,7 @@ def _strongest(rows: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> np.nda
     error = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
     z = np.where(clean + toxic >= 3, np.abs(toxic / n1 - clean / n0) / error, 0.0)
     best = np.argsort(-z, kind="stable")[:KEPT]
-    return np.sort(best[z[best] > 2.0])
+    return np.sort(best[z[best] > SIGNIFICANT])
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
