@@ -5,16 +5,17 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tissuegrid.runtime import local_session  # noqa: E402
+from tissuegrid.runtime import drop_stages, local_session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, 4, memory="6g")
+def spark(tmp_path_factory):
+    session = local_session(8, 4, memory="6g", stages=str(tmp_path_factory.mktemp("stages")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_stages()
     session.stop()
 
 

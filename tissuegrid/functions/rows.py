@@ -15,6 +15,11 @@ def _sum(array: str) -> str:
     return f"aggregate({array}, {number(0)}, (s, x) -> s + x)"
 
 
+def _bound(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is worked out once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def average_ranks(v: str) -> str:
     """Rank of each entry within the row, ties averaged."""
     return (
@@ -45,16 +50,16 @@ def log1p(v: str) -> str:
 
 def centred_log_ratio(v: str) -> str:
     """log1p(v / geometric mean of the non-zero entries); all-zero rows give NULL entries."""
-    logs = f"transform(filter({v}, x -> x <> 0), x -> ln(x))"
-    gm = f"exp(try_divide({_sum(logs)}, size({logs})))"
-    return f"transform({v}, x -> log1p(try_divide(x, {gm})))"
+    logs = "transform(filter(r, x -> x <> 0), x -> ln(x))"
+    scaled = "transform(r, x -> log1p(try_divide(x, g)))"
+    return _bound(v, "r", _bound(logs, "l", _bound(f"exp(try_divide({_sum('l')}, size(l)))", "g", scaled)))
 
 
 def zscore_row(v: str) -> str:
     """Population z-score within the row; constant rows give NULL entries."""
-    mean = f"({_sum(v)}/size({v}))"
-    var = f"({_sum(f'transform({v}, y -> power(y - {mean}, 2))')}/size({v}))"
-    return f"transform({v}, x -> try_divide(x - {mean}, sqrt({var})))"
+    deviation = f"sqrt({_sum('transform(r, y -> power(y - m, 2))')}/size(r))"
+    scaled = "transform(r, x -> try_divide(x - m, d))"
+    return _bound(v, "r", _bound(f"({_sum('r')}/size(r))", "m", _bound(deviation, "d", scaled)))
 
 
 def upper_tail_log(v: str) -> str:
@@ -64,12 +69,9 @@ def upper_tail_log(v: str) -> str:
 
 def entropy(v: str, base: float = 2.0, zero_row: float | None = 0.0) -> str:
     """Shannon entropy of the row taken as a distribution; ``zero_row`` when its sum is not positive."""
-    total = _sum(v)
     zero = "CAST(NULL AS DOUBLE)" if zero_row is None else number(zero_row)
-    terms = (
-        f"transform(filter({v}, x -> x > 0), x -> -(x/{total})*ln(x/{total})/ln({number(base)}))"
-    )
-    return f"(CASE WHEN {total} > 0 THEN {_sum(terms)} ELSE {zero} END)"
+    terms = f"transform(filter(r, x -> x > 0), x -> -(x/t)*ln(x/t)/ln({number(base)}))"
+    return _bound(v, "r", _bound(_sum("r"), "t", f"CASE WHEN t > 0 THEN {_sum(terms)} ELSE {zero} END"))
 
 
 def rank_edge_flags(v: str) -> dict[str, Column]:

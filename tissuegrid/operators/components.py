@@ -22,7 +22,6 @@ def connected_nodes(edges: DataFrame, keys: Sequence[str] = (), max_rounds: int
     """
     keys = list(keys)
     current = cut_lineage(edges.select(*keys, F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo <> hi").distinct())
-    mark = None
     for _ in range(max_rounds):
         both = current.select(*keys, F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(
             current.select(*keys, F.col("hi").alias("u"), F.col("lo").alias("v"))
@@ -33,11 +32,11 @@ def connected_nodes(edges: DataFrame, keys: Sequence[str] = (), max_rounds: int
         lows = large.groupBy(*keys, "hi").agg(F.min("lo").alias("m"))
         small = large.join(lows, [*keys, "hi"]).select(*keys, F.col("m").alias("lo"), F.col("lo").alias("hi"))
         kept = lows.select(*keys, F.col("m").alias("lo"), "hi")
-        current = cut_lineage(small.unionByName(kept).where("lo <> hi").distinct())
-        new_mark = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*keys, "lo", "hi").cast("decimal(38,0)"))).first()
-        if new_mark == mark:
+        before, current = current, cut_lineage(small.unionByName(kept).where("lo <> hi").distinct())
+        if current.subtract(before).isEmpty() and before.subtract(current).isEmpty():
             break
-        mark = new_mark
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     members = current.select(*keys, F.col("hi").alias("node"), F.col("lo").alias("component"))
     roots = current.select(*keys, F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return members.unionByName(roots)

@@ -123,6 +123,8 @@ def _nearest_distinct(points: DataFrame, n: int, k: int, block: int, pivots: int
     """k nearest among distinct vectors: first inside the own ball, then in balls that can still matter."""
     wanted = pivots or max(1, min(MAX_PIVOTS, n // (2 * block)))
     chosen = points.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(wanted).collect()
+    if not chosen:
+        return points.where("false").select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("dist"))
     centres = np.array([r.v for r in chosen], dtype=float).reshape(len(chosen), -1)
 
     def ball_of(v: pd.Series) -> pd.DataFrame:
@@ -170,23 +172,27 @@ SCALE_ROUNDS, SCALE_TOLERANCE, SCALE_FLOOR = 64, 1e-5, 1e-3
 
 def _local_scale(dists: pd.Series, overall: float, count_nearest: bool) -> pd.DataFrame:
     rho, sigma = np.zeros(len(dists)), np.zeros(len(dists))
-    for i, row in enumerate(dists):
-        d = np.sort(np.asarray(row, dtype=float))
-        positive = d[d > 0]
-        rho[i] = positive[0] if len(positive) else 0.0
-        gaps = np.maximum((d if count_nearest else d[1:]) - rho[i], 0)
-        target, low, high, mid = math.log2(max(len(d), 1)), 0.0, math.inf, 1.0
+    sizes = np.array([len(row) for row in dists], dtype=int)
+    for size in np.unique(sizes):  # nearly all rows have the same number of neighbours
+        at = np.flatnonzero(sizes == size)
+        d = np.sort(np.stack([np.asarray(dists.iloc[i], dtype=float) for i in at]), axis=1)
+        nearest = np.where(d > 0, d, np.inf).min(axis=1, initial=np.inf)
+        nearest[np.isinf(nearest)] = 0.0
+        gaps = np.maximum((d if count_nearest else d[:, 1:]) - nearest[:, None], 0)
+        target = math.log2(max(size, 1))
+        low, high, mid = np.zeros(len(at)), np.full(len(at), np.inf), np.ones(len(at))
         for _ in range(SCALE_ROUNDS):
-            total = np.exp(-gaps / mid).sum()
-            if abs(total - target) < SCALE_TOLERANCE:
+            total = np.exp(-gaps / mid[:, None]).sum(axis=1)
+            still = np.abs(total - target) >= SCALE_TOLERANCE
+            if not still.any():
                 break
-            if total > target:
-                high = mid
-            else:
-                low = mid
-            mid = mid * 2 if math.isinf(high) else (low + high) / 2
-        floor = SCALE_FLOOR * (d.mean() if rho[i] > 0 else overall)
-        sigma[i] = max(mid, floor)
+            above = still & (total > target)
+            high[above], low[still & ~above] = mid[above], mid[still & ~above]
+            with np.errstate(invalid="ignore"):
+                middle = np.where(np.isinf(high), mid * 2, (low + high) / 2)
+            mid = np.where(still, middle, mid)
+        mean = d.mean(axis=1) if size else np.zeros(len(at))
+        rho[at], sigma[at] = nearest, np.maximum(mid, SCALE_FLOOR * np.where(nearest > 0, mean, overall))
     return pd.DataFrame({"rho": rho, "sigma": sigma})
 
 

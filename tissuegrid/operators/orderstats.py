@@ -21,6 +21,11 @@ from tissuegrid.runtime import fanout
 SPLIT_SAMPLE = 0.05
 
 
+def _known(value: str):
+    """Neither NULL nor NaN."""
+    return F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+
+
 def value_splits(df: DataFrame, value: str, pieces: int | None = None) -> list[float]:
     """Cut points: at most ``pieces`` of them; a value that spans several cuts gets its own bucket.
 
@@ -28,16 +33,18 @@ def value_splits(df: DataFrame, value: str, pieces: int | None = None) -> list[f
     """
     pieces = pieces or fanout(df.sparkSession)
     probs = [i / pieces for i in range(1, pieces)]
-    cuts = df.select(value).sample(SPLIT_SAMPLE, seed=1).approxQuantile(value, probs, 0.5 / pieces)
+    cuts = df.where(_known(value)).select(value).sample(SPLIT_SAMPLE, seed=1).approxQuantile(value, probs, 0.5 / pieces)
     points = set(cuts)
     points.update([math.nextafter(c, math.inf) for c in points if cuts.count(c) > 1])
     return [-math.inf, *sorted(points), math.inf]
 
 
 def put_in_bucket(df: DataFrame, value: str, splits: list[float], name: str) -> DataFrame:
+    """``df`` with the number of the bucket; NULL and NaN have a bucket of their own, the last."""
     if len(splits) < 3:
-        return df.withColumn(name, F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=value, outputCol=name).transform(df)
+        return df.withColumn(name, F.when(_known(value), 0.0).otherwise(1.0))
+    filled = df.withColumn("_filled", F.coalesce(F.col(value).cast("double"), F.lit(float("nan"))))
+    return Bucketizer(splits=splits, inputCol="_filled", outputCol=name, handleInvalid="keep").transform(filled).drop("_filled")
 
 
 def bucket_offsets(df: DataFrame, keys: Sequence[str], bucket: str, n: str, name: str) -> DataFrame:
@@ -65,7 +72,7 @@ def ranked_counts(
     one), ``total`` (rows of the group). Average rank is ``below + (ties + 1) / 2``.
     """
     keys, carry = list(keys), list(carry)
-    known = df.where(F.col(value).isNotNull())
+    known = df.where(_known(value))
     counts = known.groupBy(*keys, value, *carry).agg(F.count(F.lit(1)).alias("n"))
     counts = put_in_bucket(counts, value, value_splits(known, value, pieces), "_bucket")
     offsets = bucket_offsets(counts, keys, "_bucket", "n", "_before")
@@ -89,7 +96,7 @@ def corrected_levels(df: DataFrame, group: str, p: str, name: str = "p_value_cor
 
     The later minimum is taken inside each bucket and over the few following buckets.
     """
-    known = df.where(F.col(p).isNotNull())
+    known = df.where(_known(p))
     counts = known.groupBy(group, p).agg(F.count(F.lit(1)).alias("n"))
     counts = put_in_bucket(counts, p, value_splits(known, p, pieces), "_bucket")
     spread = counts.join(bucket_offsets(counts, [group], "_bucket", "n", "_before"), [group, "_bucket"])

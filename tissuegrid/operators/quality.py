@@ -113,7 +113,7 @@ def _nearest_centre(centres: str, v: str) -> Column:
     return F.expr(f"CAST(array_position({d}, array_min({d})) - 1 AS INT)")
 
 
-def grouped_kmeans(cells: DataFrame, keys: Sequence[str], ks: Sequence[int], vector: str = "z", seed: int = 777, max_rounds: int = 20) -> DataFrame:
+def grouped_kmeans(cells: DataFrame, keys: Sequence[str], ks: Sequence[int], vector: str = "z", seed: int = 777, max_rounds: int = 500) -> DataFrame:
     """(keys, label, k, cluster): k-means in every group and for every k at once.
 
     Starting centres are the k first cells of the group in hash order. Centres are a small table, one
@@ -150,6 +150,8 @@ def grouped_kmeans(cells: DataFrame, keys: Sequence[str], ks: Sequence[int], vec
         centres = merged.select(*keys, "k", "centres")
         if merged.where("shift > 1e-12").isEmpty():
             break
+    else:
+        raise RuntimeError(f"centres still move after {max_rounds} rounds")
     return points.join(centres, keys).select(*keys, "label", "k", _nearest_centre("centres", vector).alias("cluster"))
 
 

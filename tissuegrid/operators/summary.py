@@ -375,21 +375,18 @@ def vector_components(df: DataFrame, vector: str, n: int) -> tuple[DataFrame, li
     return out, [float(v) for v in model.explainedVariance]
 
 
-def illumination_check(pixels: DataFrame, channels: Sequence[str], n: int = 3, sample: int = 100_000, seed: int = 0) -> DataFrame:
-    """(PC, rho_y, rho_x): components fitted on a pixel sample, scored on every pixel, against position."""
-    total = pixels.count()
-    fit_on = pixels
-    if total > sample:
-        keep = int(sample / total * (1 << 30))
-        fit_on = pixels.where(F.pmod(F.xxhash64("y", "x", F.lit(seed)), F.lit(1 << 30)) < keep)
-    scored, _shares = principal_components(pixels, channels, n, standardise=True, fit_on=fit_on)
+def illumination_check(pixels: DataFrame, channels: Sequence[str], n: int = 3) -> DataFrame:
+    """(PC, rho_y, rho_x): components fitted and scored on every pixel, against position."""
+    scored, _shares = principal_components(pixels, channels, n, standardise=True)
     cols = [F.struct(F.lit(k).alias("PC"), F.corr(f"pc{k}", F.col("y").cast("double")).alias("rho_y"), F.corr(f"pc{k}", F.col("x").cast("double")).alias("rho_x")) for k in range(1, min(n, len(channels)) + 1)]
     return scored.agg(F.array(*cols).alias("_r")).select(F.explode("_r").alias("r")).select("r.*")
 
 
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(a, b, r) for every pair of markers."""
-    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("r")) for a in columns for b in columns]
+    # Both directions name the same aggregate, so each pair is worked out once.
+    r = {(i, j): F.corr(a, b) for i, a in enumerate(columns) for j, b in enumerate(columns) if i <= j}
+    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r[min(i, j), max(i, j)].alias("r")) for i, a in enumerate(columns) for j, b in enumerate(columns)]
     return df.agg(F.array(*pairs).alias("_r")).select(F.explode("_r").alias("e")).select("e.*")
 
 

@@ -268,10 +268,10 @@ def _(spark, d):
     return s.select("s_suppkey", qc.has_content().alias("has_content"))
 
 
-@query("P22_missing_channels", "SELECT DISTINCT n_name AS antibody_name FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900)")
+@query("P22_missing_channels", "SELECT DISTINCT n_name AS antibody_name FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer GROUP BY 1 HAVING count(*) % 2 = 0)")
 def _(spark, d):
     nation = table(spark, d, "nation")
-    rich = table(spark, d, "customer").where("c_acctbal > 9900").select(F.col("c_nationkey").alias("n_nationkey"))
+    rich = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).count().where("count % 2 = 0").select("n_nationkey")
     panel = nation.join(rich, "n_nationkey", "left_semi").select(F.col("n_name").alias("antibody_name"))
     return qc.require_channels(nation.select(F.col("n_name").alias("antibody_name")), panel)
 

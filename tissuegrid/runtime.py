@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +17,8 @@ SESSION_SETTINGS = {
 }
 
 
-def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """Session for tests and the local benchmark; a cluster brings its own."""
+def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g", stages: str | None = None) -> SparkSession:
+    """Session for tests and the local benchmark, with a folder for stage tables; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tissuegrid")
@@ -28,22 +28,46 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     )
     for key, value in SESSION_SETTINGS.items():
         builder = builder.config(key, value)
+    if stages:
+        builder = builder.config("spark.checkpoint.dir", stages)
     return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for stage tables: the cluster's shared one, or a scratch one when running local."""
+    """Folder for stage tables: the one in ``spark.checkpoint.dir``, or one beside the session's warehouse if that is unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="spark-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(shared)
-    return shared
+    sc.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages")
+    return sc.getCheckpointDir()
+
+
+_STAGES: dict[str, SparkSession] = {}
+
+
+def stage_folder(spark: SparkSession) -> str:
+    """This run's own folder for stage tables; it goes when the session's Python process ends."""
+    base = ensure_checkpoint_dir(spark)
+    for path, session in _STAGES.items():
+        if path.startswith(f"{base}/") and session.sparkContext is spark.sparkContext:
+            return path
+    path = f"{base}/run-{uuid.uuid4().hex}"
+    if not _STAGES:
+        atexit.register(drop_stages)
+    _STAGES[path] = spark
+    return path
+
+
+def drop_stages() -> None:
+    """Delete the stage tables of this run. Tables read from them can't be read any more."""
+    while _STAGES:
+        path, spark = _STAGES.popitem()
+        if spark.sparkContext._jsc is not None:  # the session still stands
+            jvm = spark.sparkContext._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -53,12 +77,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     and knows the real size of its input.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    path = f"{stage_folder(spark)}/stage-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
-def fanout(spark: SparkSession, upper: int = 4096) -> int:
-    """How many pieces the rows are cut into: four per shuffle partition to even out, within a bound."""
-    return max(2, min(upper, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+def fanout(spark: SparkSession) -> int:
+    """How many pieces the rows are cut into: four per shuffle partition to even out."""
+    return max(2, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
