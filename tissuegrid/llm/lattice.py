@@ -24,7 +24,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = 0x2581
 #: Stands for a blank sign that is in the text itself: it is spelt in bytes, so that decoding gives it back.
 LITERAL = 0x110000
-#: Bytes of text that share lattices; a longer text is a piece of its own.
+#: Bytes of text that share lattices: more saves time, less saves memory. A longer text is a piece of its own.
 TEXT = 1 << 20
 #: Shift that leaves the bits of a hash for the first look at the vocabulary.
 SEEN = np.uint64(44)
@@ -261,17 +261,18 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.concatenate([[0], np.cumsum([len(t) + 1 if t else 0 for t in texts])])
 
 
-def _ids(lattices: Lattices, edges: np.ndarray, bytes_at: int) -> np.ndarray:
+def _ids(lattices: Lattices, paths: list[np.ndarray], bytes_at: int) -> list[np.ndarray]:
+    """Ids of the pieces along each path; a character without a piece is spelt in bytes."""
+    edges = np.concatenate(paths)
     ids = lattices.piece[edges]
     lone = np.flatnonzero(ids < 0)
-    if not len(lone):
-        return ids
-    spelt = [chr(BLANK if c == LITERAL else c).encode() for c in lattices.code[lattices.src[edges[lone]]].tolist()]
     times = np.ones(len(ids), dtype=np.int64)
+    spelt = [chr(BLANK if c == LITERAL else c).encode() for c in lattices.code[lattices.src[edges[lone]]].tolist()]
     times[lone] = [len(b) for b in spelt]
     out = np.repeat(ids, times)
     out[out < 0] = np.frombuffer(b"".join(spelt), dtype=np.uint8).astype(np.int32) + bytes_at
-    return out
+    ends = np.concatenate([[0], np.cumsum(times)])[np.cumsum([len(p) for p in paths])]
+    return np.split(out, ends[:-1])
 
 
 def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, samples: int, alpha: float) -> list[list[tuple]]:
@@ -345,18 +346,19 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
             found[i].append(search.add(edges, step, gone, bound))
             going.append(i)
         open_texts = going
+    every = [path["edges"] for paths in found for path in paths]
+    spelt = iter(_ids(lattices, every, vocabulary.bytes_at) if len(codes) else [none.astype(np.int32)] * len(every))
     for i, paths in enumerate(found):
         search = searches[i]
         kappa = search.best()[0] if search is not None else -math.inf
         for path in paths:
             x = path["logp"] - kappa
             inclusion = 0.0 if x > 30 else x if x < -30 else math.log(-math.expm1(-math.exp(x)))
-            ids = _ids(lattices, path["edges"], vocabulary.bytes_at) if len(path["edges"]) else none.astype(np.int32)
-            out[i].append((ids, path["logp"], path["bound"], inclusion))
+            out[i].append((next(spelt), path["logp"], path["bound"], inclusion))
     return out
 
 
-def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = 2, alpha: float = 1.0, model: str = MODEL) -> DataFrame:
+def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = 2, alpha: float = 1.0, model: str = MODEL, together: int = TEXT) -> DataFrame:
     """(id, sample, ids, n_pieces, log_prob, perturbed, log_inclusion): up to ``samples`` segmentations of each row's text.
 
     The segmentations of a text are distinct and come in the order of their perturbed log-probability, as drawing
@@ -373,7 +375,7 @@ def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
     def encode(batches):
         vocabulary = Vocabulary(*shared.value)
         for batch in batches:
-            for piece in words.pieces(batch.column(1), TEXT):
+            for piece in words.pieces(batch.column(1), together):
                 part = batch.slice(piece.first, piece.last - piece.first)
                 texts = part.column(1).to_pylist()
                 keys = part.column(2).to_numpy().view(np.uint64)
