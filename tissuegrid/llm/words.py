@@ -10,7 +10,7 @@ import pyarrow as pa
 
 MASK = (1 << 64) - 1
 #: Bytes of text worked on at once inside a task. A longer text is one piece of its own; nothing is cut.
-PIECE = 1 << 19
+PIECE = 1 << 18
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
