@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tissuegrid.llm import words
 
@@ -89,7 +90,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train_rows:
 
     def count(batches):
         tables, sums, rows = _tables(), {}, {}
-        for batch in batches:
+        for batch in words.tidy(batches):
             langs = batch.column(1).to_pylist()
             at = 0
             for texts in _text_pieces(batch.column(0)):
@@ -125,13 +126,17 @@ def predict(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
     """``docs`` with lang_pred and score, the posterior of that language."""
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.prior, model.logp))  # plain values: executors need no copy of this library
     width = len(docs.columns)
+    if docs.columns.count(text_col) == 1 and docs.schema[text_col].dataType == T.StringType():
+        rows, at = docs, docs.columns.index(text_col)  # texts reach the task once
+    else:
+        rows, at = docs.withColumn("__text", F.col(text_col).cast("string")), width
 
     def score(batches):
         tables, m = _tables(), Model(*shared.value)
         names = np.array([*m.langs, UNKNOWN], dtype=object)
-        for batch in batches:
+        for batch in words.tidy(batches):
             best, sure = [], []
-            for texts in _text_pieces(batch.column(width)):
+            for texts in _text_pieces(batch.column(at)):
                 grams, start, stop, letters = _grams(texts, tables)
                 total = np.tile(m.prior, (len(texts), 1))
                 for g in grams:
@@ -153,8 +158,8 @@ def predict(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*names_in, "lang_pred", "score"])
 
     names_in = docs.columns
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
-    return docs.withColumn("__text", F.col(text_col).cast("string")).mapInArrow(score, schema)
+    schema = T.StructType([*docs.schema.fields]).add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(score, schema)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 20_000) -> DataFrame:

@@ -374,7 +374,7 @@ def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
 
     def encode(batches):
         vocabulary = Vocabulary(*shared.value)
-        for batch in batches:
+        for batch in words.tidy(batches):
             for piece in words.pieces(batch.column(1), together):
                 part = batch.slice(piece.first, piece.last - piece.first)
                 texts = part.column(1).to_pylist()

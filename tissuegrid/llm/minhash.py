@@ -63,7 +63,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, rows: int)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = words.splitmix(rows, 303) | np.uint64(1)
-        for batch in batches:
+        for batch in words.tidy(batches):
             n, node, keys, marks = [], [], [], []
             for shingles in words.shingle_sets(batch.column(1), width):
                 n.append(len(shingles))
@@ -91,7 +91,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width
     """(node, text) of the wanted (node, lead). A text counts only if its set has the node's digest."""
 
     def check(batches):
-        for batch in batches:
+        for batch in words.tidy(batches):
             found = pa.array([digest(s) for s in words.shingle_sets(batch.column(1), width)], type=pa.binary())
             yield batch.filter(pc.fill_null(pc.equal(found, batch.column(0)), False))
 
@@ -105,7 +105,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, over: int, under: i
 
     def compare(batches):
         last, kept = None, None
-        for batch in batches:
+        for batch in words.tidy(batches):
             left = words.shingle_sets(batch.column(2), width)
             keys, linked = batch.column(1).to_pylist(), []
             right_texts = batch.column(3)

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tissuegrid.llm import words
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the usual split pattern of that vocabulary.
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -113,30 +115,37 @@ def scan(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY,
     """
     raw = _vocabulary(docs.sparkSession, vocabulary)
     names = [c for c in docs.columns if c != "found"]
-    kept = docs.select(*[F.col(f"`{c}`") for c in names])
+    rows = docs.select(*[F.col(f"`{c}`") for c in names])
+    kept = rows.schema.fields
+    if text_col in names and rows.schema[text_col].dataType == T.StringType():
+        at = names.index(text_col)  # texts reach the task once
+    else:
+        rows, at = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").cast("string").alias("__text")), len(names)
 
     def find(batches):
         encode = None
-        for batch in batches:
-            counts, digests, spans, clean = {k: [] for k in KINDS}, [], [], []
-            for text in batch.column(len(names)).to_pylist():
-                base = base_spans(text) if text else []
-                more = []
-                if text:
-                    if encode is None:
-                        encode = _encoder(raw.value)
-                    more = random_spans(text, encode, base)
-                for kind in KINDS:
-                    counts[kind].append(sum(s[1] == kind for s in base) + sum(s[1] == kind for s in more))
-                digests.append(hashlib.sha256(joined(base).encode()).hexdigest())
-                spans.append(joined(base + more))
-                clean.append(redacted(text, base + more, mark) if base or more else text)
-            found = pa.StructArray.from_arrays(
-                [*(pa.array(counts[k], pa.int64()) for k in KINDS), pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(clean, pa.string())],
-                names=[*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "clean"],
-            )
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], found], names=[*names, "found"])
+        for batch in words.tidy(batches):
+            for piece in words.pieces(batch.column(at)):
+                part = batch.slice(piece.first, piece.last - piece.first)
+                counts, digests, spans, clean = {k: [] for k in KINDS}, [], [], []
+                for text in part.column(at).to_pylist():
+                    base = base_spans(text) if text else []
+                    more = []
+                    if text:
+                        if encode is None:
+                            encode = _encoder(raw.value)
+                        more = random_spans(text, encode, base)
+                    for kind in KINDS:
+                        counts[kind].append(sum(s[1] == kind for s in base) + sum(s[1] == kind for s in more))
+                    digests.append(hashlib.sha256(joined(base).encode()).hexdigest())
+                    spans.append(joined(base + more))
+                    clean.append(redacted(text, base + more, mark) if base or more else text)
+                found = pa.StructArray.from_arrays(
+                    [*(pa.array(counts[k], pa.int64()) for k in KINDS), pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(clean, pa.string())],
+                    names=[*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "clean"],
+                )
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], found], names=[*names, "found"])
 
     shape = T.StructType([*(T.StructField(f"n_{k}", T.LongType()) for k in KINDS), *(T.StructField(c, T.StringType()) for c in ("base_sha256", "spans", "clean"))])
-    schema = T.StructType([*kept.schema.fields, T.StructField("found", shape)])
-    return kept.withColumn("__text", F.col(f"`{text_col}`").cast("string")).mapInArrow(find, schema)
+    schema = T.StructType([*kept, T.StructField("found", shape)])
+    return rows.mapInArrow(find, schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,6 +13,25 @@ MASK = (1 << 64) - 1
 #: Bytes of text worked on at once inside a task. A longer text is one piece of its own; nothing is cut.
 PIECE = 1 << 18
 
+
+def give_back() -> None:
+    """Hand freed memory back to the system: idle Python workers would hold it while other stages need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without this call
+        pass
+
+
+def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches one by one, giving freed memory back after each and at the end of the task."""
+    for batch in batches:
+        yield batch
+        del batch
+        give_back()
+    give_back()
+
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
