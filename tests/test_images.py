@@ -194,6 +194,17 @@ def test_contested_nucleus_goes_to_the_first_cell(spark):
     assert {(m.cell, m.nucleus) for m in match.assign(pairs, K).collect()} == {(1, 9), (2, 8), (3, 7)}
 
 
+@pytest.mark.parametrize(("links", "walk"), [(200, match.WALK), (9, 4)])
+def test_chains_of_contested_nuclei(spark, links, walk):
+    """Each cell's best nucleus is also a candidate of the cell before; the second case keeps to rounds."""
+    rows = [(p, i, n, m) for p in range(2) for i in range(links) for n, m in ((i, 0.1), (i + 1, 0.2))]
+    rows += [(3, 1, 5, 0.4), (3, 2, 5, 0.1), (3, 2, 6, 0.4)]
+    pairs = spark.createDataFrame(rows, "patch_id int, cell long, nucleus long, mismatch double")
+    got = {(m.patch_id, m.cell, m.nucleus) for m in match.assign(pairs.where("cell <> 0 or nucleus <> 0"), K, walk).collect()}
+    # Without its own nucleus the first cell takes the second's, and so on down the chain.
+    assert got == {(p, i, i + 1) for p in range(2) for i in range(links)} | {(3, 1, 5), (3, 2, 6)}
+
+
 def test_gaps_in_labels_and_repair_loss(spark):
     """Membranes and areas are looked up by label, not by position."""
     cell = disks((40, 40), [(4, 10, 10, 6), (9, 28, 28, 6)])
@@ -239,6 +250,21 @@ def test_pixels_of_a_triangle_include_its_border(spark):
     assert regions.pixels_in_regions(px, area, least=100).count() == 0
 
 
+def test_regions_stay_on_their_image(spark):
+    box = [{"y": y, "x": x} for y, x in ((0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0))]
+    shape = "image_id int, region_id int, label string, ring array<struct<y:double,x:double>>"
+    area = spark.createDataFrame([(1, 1, "Tissue", box), (2, 1, "N", box)], shape)
+    px = spark.createDataFrame([(i, y, x, float(i)) for i in range(3) for y in range(8) for x in range(8)], "image_id int, y int, x int, v double")
+    inside = regions.pixels_in_regions(px, area, keys=["image_id"]).groupBy("image_id", "label").count().collect()
+    assert {tuple(r) for r in inside} == {(1, "Tissue", 25), (2, "N", 25)}
+    cut = regions.crops(px, area, ["v"], keys=["image_id"]).collect()
+    assert len(cut) == 50 and all(r.v == r.image_id for r in cut)
+    tiles = px.selectExpr("image_id", "y DIV 4 AS ty", "x DIV 4 AS tx").distinct()
+    labels = regions.label_tiles(tiles, area.withColumn("rings", F.array("ring")), 4, keys=["image_id"]).collect()
+    want = {(i, y, x): "minimal_tissue" if i == 1 and (y or x) else "N" if (i, y, x) == (2, 0, 0) else "Unlabeled" for i in range(3) for y in range(2) for x in range(2)}
+    assert {(r.image_id, r.ty, r.tx): r.label for r in labels} == want
+
+
 def test_union_area_counts_overlap_once():
     def box(y0, x0, y1, x1):
         return [[{"y": y, "x": x} for y, x in ((y0, x0), (y1, x0), (y1, x1), (y0, x1))]]

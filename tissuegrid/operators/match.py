@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tissuegrid.operators import raster
-from tissuegrid.operators.components import connected_pixels
+from tissuegrid.operators.components import connected_nodes, connected_pixels
 from tissuegrid.operators.orderstats import positions
 from tissuegrid.runtime import cut_lineage
 
+#: Rounds before the pairs left are split into components, pairs that one task walks, and rounds whose results are joined.
+ROUNDS, WALK, FOLD = 3, 200_000, 16
+
 
 def overlaps(pixels: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Shared pixels of every touching cell and nucleus; only real pairs ever exist."""
@@ -41,30 +47,71 @@ def mismatches(bounded: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def assign(pairs: DataFrame, keys: Sequence[str], max_rounds: int = 10_000) -> DataFrame:
+def _settle(open_pairs: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(final pairs, pairs still open) after one round: a cell's best nucleus is its own if no earlier cell can ask for it."""
+    ck, nk = [*keys, "cell"], [*keys, "nucleus"]
+    best = open_pairs.groupBy(*ck).agg(F.min(F.struct("mismatch", "nucleus")).alias("b"))
+    best = best.select(*ck, F.col("b.nucleus").alias("nucleus"), F.col("b.mismatch").alias("mismatch"))
+    first = open_pairs.groupBy(*nk).agg(F.min("cell").alias("cell"))
+    final = cut_lineage(best.join(first, [*keys, "cell", "nucleus"]))
+    rest = open_pairs.join(final.select(*ck), ck, "left_anti").join(final.select(*nk), nk, "left_anti")
+    return final, cut_lineage(rest)
+
+
+def _walk_components(open_pairs: DataFrame, keys: list[str], walk: int) -> tuple[DataFrame, DataFrame]:
+    """(final pairs, pairs still open): components of at most ``walk`` pairs are walked cell by cell inside tasks.
+
+    Components share no nucleus, so a task may walk any number of them; it gets about ``walk`` pairs.
+    """
+    edges = open_pairs.select(*keys, (F.col("cell") * 2).alias("a"), (F.col("nucleus") * 2 + 1).alias("b"))
+    parts = connected_nodes(edges, keys).withColumnRenamed("node", "_node")
+    placed = cut_lineage(open_pairs.withColumn("_node", F.col("cell") * 2).join(parts, [*keys, "_node"]).drop("_node"))
+    sizes = placed.groupBy(*keys, "component").agg(F.count(F.lit(1)).alias("_n"))
+    sized = cut_lineage(placed.join(sizes, [*keys, "component"]))
+    small = sized.where(F.col("_n") <= walk)
+    bundles = max(1, -(-small.count() // walk))
+    dealt = small.select(*keys, "cell", "nucleus", "mismatch", F.pmod(F.xxhash64("component"), F.lit(bundles)).alias("_b"))
+
+    def one_by_one(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["cell", "mismatch", "nucleus"], ignore_index=True)
+        served, taken, picked = set(), set(), []
+        for i, (cell, nucleus) in enumerate(zip(rows["cell"].tolist(), rows["nucleus"].tolist())):
+            if cell not in served and nucleus not in taken:
+                served.add(cell)
+                taken.add(nucleus)
+                picked.append(i)
+        return rows.loc[picked].drop(columns="_b")
+
+    shape = T.StructType([f for f in dealt.schema.fields if f.name != "_b"])
+    final = cut_lineage(dealt.groupBy(*keys, "_b").applyInPandas(one_by_one, shape))
+    return final, cut_lineage(sized.where(F.col("_n") > walk).select(*keys, "cell", "nucleus", "mismatch"))
+
+
+def assign(pairs: DataFrame, keys: Sequence[str], walk: int = WALK) -> DataFrame:
     """One-to-one pairs: cells in label order take the free nucleus of least mismatch.
 
-    Equal mismatch goes to the smaller nucleus label; a mismatch of one is no candidate. A pair is
-    final as soon as the nucleus is the cell's best and no earlier cell can still ask for it, so
-    all independent pairs settle in the same round and the outcome equals the sequential walk.
+    Equal mismatch goes to the smaller nucleus label; a mismatch of one is no candidate. The first rounds settle
+    pairs that no earlier cell can contest. What is left falls into components, each walked in a task, so that the
+    number of jobs does not hang on the length of a chain of contested nuclei. Only components of more than
+    ``walk`` pairs go on in rounds; every round settles at least one pair of each.
     """
     keys = list(keys)
-    ck, nk = [*keys, "cell"], [*keys, "nucleus"]
     open_pairs = cut_lineage(pairs.where("mismatch < 1").select(*keys, "cell", "nucleus", "mismatch"))
-    settled = None
-    for _ in range(max_rounds):
-        best = open_pairs.groupBy(*ck).agg(F.min(F.struct("mismatch", "nucleus")).alias("b"))
-        best = best.select(*ck, F.col("b.nucleus").alias("nucleus"), F.col("b.mismatch").alias("mismatch"))
-        first = open_pairs.groupBy(*nk).agg(F.min("cell").alias("cell"))
-        final = cut_lineage(best.join(first, [*keys, "cell", "nucleus"]))
-        settled = final if settled is None else settled.unionByName(final)
-        rest = open_pairs.join(final.select(*ck), ck, "left_anti").join(final.select(*nk), nk, "left_anti")
-        open_pairs = cut_lineage(rest)
+    settled, rounds = [], 0
+    while True:
+        final, open_pairs = _settle(open_pairs, keys)
+        settled.append(final)
+        rounds += 1
         if open_pairs.isEmpty():
             break
-    else:
-        raise RuntimeError("pair assignment did not settle")
-    return settled.withColumn("repaired", F.col("mismatch") > 0)
+        if rounds == ROUNDS:
+            final, open_pairs = _walk_components(open_pairs, keys, walk)
+            settled.append(final)
+            if open_pairs.isEmpty():
+                break
+        if rounds % FOLD == 0:  # few tables to read in the end
+            settled = [cut_lineage(reduce(DataFrame.unionByName, settled))]
+    return reduce(DataFrame.unionByName, settled).withColumn("repaired", F.col("mismatch") > 0)
 
 
 def numbered(matches: DataFrame, keys: Sequence[str]) -> DataFrame:

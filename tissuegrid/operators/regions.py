@@ -23,52 +23,55 @@ def with_bounds(regions: DataFrame) -> DataFrame:
     return regions.withColumns({k: F.expr(v) for k, v in ring_bounds("ring").items()})
 
 
-def clip_to_image(regions: DataFrame, height, width) -> DataFrame:
+def clip_to_image(regions: DataFrame, height, width, keys: Sequence[str] = ()) -> DataFrame:
     """Regions that touch the image, their vertices moved inside it."""
     inside = (F.col("max_y") >= 0) & (F.col("max_x") >= 0) & (F.col("min_y") < height) & (F.col("min_x") < width)
     ring = F.transform("ring", lambda p: F.struct(
         F.least(F.greatest(p["y"], F.lit(0.0)), (height - 1).cast("double")).alias("y"),
         F.least(F.greatest(p["x"], F.lit(0.0)), (width - 1).cast("double")).alias("x"),
     ))
-    return with_bounds(regions).where(inside).select("region_id", "label", ring.alias("ring"))
+    return with_bounds(regions).where(inside).select(*keys, "region_id", "label", ring.alias("ring"))
 
 
-def spans(regions: DataFrame) -> DataFrame:
-    """(region_id, label, y, spans): which x belong to the region on each row."""
+def spans(regions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, region_id, label, y, spans): which x belong to the region on each row."""
     placed = with_bounds(regions)
     rows = placed.withColumn(
         "y", F.explode(F.sequence(F.ceil("min_y").cast("int"), F.floor("max_y").cast("int")))
     )
-    return rows.select("region_id", "label", "y", F.expr(row_spans("ring", "y")).alias("spans")).where(F.size("spans") > 0)
+    return rows.select(*keys, "region_id", "label", "y", F.expr(row_spans("ring", "y")).alias("spans")).where(F.size("spans") > 0)
 
 
-def pixels_in_regions(pixels: DataFrame, regions: DataFrame, least: int = 10) -> DataFrame:
+def pixels_in_regions(pixels: DataFrame, regions: DataFrame, least: int = 10, keys: Sequence[str] = ()) -> DataFrame:
     """Pixels of each region, border included; regions with fewer than ``least`` pixels are left out.
 
-    Regions become row spans cut into strips, so pixels meet them by equality on (row, strip).
+    ``keys`` name the image in both tables; a region only meets pixels of its own image. Regions become row spans cut
+    into strips, so pixels meet them by equality on (image, row, strip).
     """
-    rows = spans(regions)
+    rows = spans(regions, keys)
     lo = F.array_min(F.transform("spans", lambda s: s["lo"]))
     hi = F.array_max(F.transform("spans", lambda s: s["hi"]))
     strips = rows.withColumn("_s", F.explode(F.sequence(F.floor(lo / STRIP).cast("int"), F.floor(hi / STRIP).cast("int"))))
-    hit = pixels.withColumn("_s", F.floor(F.col("x") / STRIP).cast("int")).join(strips, ["y", "_s"])
+    hit = pixels.withColumn("_s", F.floor(F.col("x") / STRIP).cast("int")).join(strips, [*keys, "y", "_s"])
     hit = hit.where(F.exists("spans", lambda s: (F.col("x") >= s["lo"]) & (F.col("x") <= s["hi"]))).drop("_s", "spans")
-    big = hit.groupBy("region_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
-    return hit.join(big.select("region_id"), "region_id", "left_semi")
+    big = hit.groupBy(*keys, "region_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
+    return hit.join(big, [*keys, "region_id"], "left_semi")
 
 
-def crops(pixels: DataFrame, regions: DataFrame, channels: Sequence[str], least: int = 10) -> DataFrame:
+def crops(pixels: DataFrame, regions: DataFrame, channels: Sequence[str], least: int = 10, keys: Sequence[str] = ()) -> DataFrame:
     """Bounding-box crop of each region in local coordinates, zero outside the polygon."""
-    inside = pixels_in_regions(pixels.select("y", "x"), regions, least)
-    boxes = inside.groupBy("region_id").agg(
+    keys = list(keys)
+    inside = pixels_in_regions(pixels.select(*keys, "y", "x"), regions, least, keys)
+    boxes = inside.groupBy(*keys, "region_id").agg(
         F.min("y").alias("_y0"), F.min("x").alias("_x0"), F.max("y").alias("_y1"), F.max("x").alias("_x1")
     )
     # Every position of the box is made once, then filled where the polygon holds it.
     rows = boxes.withColumn("y", F.explode(F.sequence("_y0", "_y1")))
     frame = rows.withColumn("x", F.explode(F.sequence("_x0", "_x1"))).drop("_y1", "_x1")
-    values = inside.join(pixels.select("y", "x", *channels), ["y", "x"]).select("region_id", "y", "x", *channels)
-    joined = frame.join(values, ["region_id", "y", "x"], "left")
+    values = inside.join(pixels.select(*keys, "y", "x", *channels), [*keys, "y", "x"]).select(*keys, "region_id", "y", "x", *channels)
+    joined = frame.join(values, [*keys, "region_id", "y", "x"], "left")
     return joined.select(
+        *keys,
         "region_id",
         (F.col("y") - F.col("_y0")).alias("crop_y"),
         (F.col("x") - F.col("_x0")).alias("crop_x"),
@@ -76,11 +79,12 @@ def crops(pixels: DataFrame, regions: DataFrame, channels: Sequence[str], least:
     )
 
 
-def tile_label_areas(regions: DataFrame, tile: int) -> DataFrame:
-    """(ty, tx, label, area): area of each tile under the union of a label's polygons.
+def tile_label_areas(regions: DataFrame, tile: int, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, ty, tx, label, area): area of each tile under the union of a label's polygons.
 
     A polygon only goes to the tiles its box touches; ``rings`` holds the exterior and any holes.
     """
+    at = [*keys, "ty", "tx"]
     corners = F.flatten("rings")
     boxed = regions.withColumns(
         {
@@ -100,17 +104,17 @@ def tile_label_areas(regions: DataFrame, tile: int) -> DataFrame:
     spread = spread.withColumn("tx", F.explode(F.sequence(*cells("x", F.lit(0), F.lit(tile)))))
     # Copies add nothing to a union. Where many different polygons meet, the tile is quartered on, since
     # covered area adds up over the parts.
-    spread = spread.dropDuplicates(["ty", "tx", "label", "rings"])
-    crowd = spread.groupBy("ty", "tx", "label").agg(
+    spread = spread.dropDuplicates([*at, "label", "rings"])
+    crowd = spread.groupBy(*at, "label").agg(
         F.least(F.lit(32), F.ceil(F.sqrt(F.count(F.lit(1)) / CROWD))).cast("int").alias("_f")
     )
-    parted = spread.join(crowd, ["ty", "tx", "label"])
+    parted = spread.join(crowd, [*at, "label"])
     side = F.lit(float(tile)) / F.col("_f")
     for axis, t in (("y", "ty"), ("x", "tx")):
         first, last = cells(axis, F.col(t) * tile, side)
         inside = F.sequence(F.greatest(F.lit(0), first), F.least(F.col("_f") - 1, last))
         parted = parted.withColumn(f"_s{axis}", F.explode(inside))
-    grouped = parted.groupBy("ty", "tx", "label", "_f", "_sy", "_sx").agg(F.collect_list("rings").alias("polygons"))
+    grouped = parted.groupBy(*at, "label", "_f", "_sy", "_sx").agg(F.collect_list("rings").alias("polygons"))
 
     def areas(polygons: pd.Series, ty: pd.Series, tx: pd.Series, f: pd.Series, sy: pd.Series, sx: pd.Series) -> pd.Series:
         out = []
@@ -119,20 +123,28 @@ def tile_label_areas(regions: DataFrame, tile: int) -> DataFrame:
             out.append(covered_area(p, y, x, y + tile / n, x + tile / n))
         return pd.Series(out)
 
-    measured = grouped.select("ty", "tx", "label", F.pandas_udf(areas, "double")("polygons", "ty", "tx", "_f", "_sy", "_sx").alias("area"))
-    return measured.groupBy("ty", "tx", "label").agg(F.sum("area").alias("area"))
+    measured = grouped.select(*at, "label", F.pandas_udf(areas, "double")("polygons", "ty", "tx", "_f", "_sy", "_sx").alias("area"))
+    return measured.groupBy(*at, "label").agg(F.sum("area").alias("area"))
 
 
-def label_tiles(tiles: DataFrame, regions: DataFrame, tile: int, least_tissue: float = 0.30) -> DataFrame:
-    """One label per tile: too little tissue, else the label covering most, else ``Unlabeled``."""
-    areas = tile_label_areas(regions, tile)
+def label_tiles(tiles: DataFrame, regions: DataFrame, tile: int, least_tissue: float = 0.30, keys: Sequence[str] = ()) -> DataFrame:
+    """One label per tile: too little tissue, else the label covering most, else ``Unlabeled``.
+
+    Tissue only counts on images (``keys``) that have a tissue region at all.
+    """
+    at = [*keys, "ty", "tx"]
+    areas = tile_label_areas(regions, tile, keys)
     tissue = F.lower("label") == "tissue"
-    best = areas.groupBy("ty", "tx").agg(
+    best = areas.groupBy(*at).agg(
         F.coalesce(F.sum(F.when(tissue, F.col("area"))), F.lit(0.0)).alias("tissue_area"),
         F.max(F.when(~tissue & (F.col("area") > 0), F.struct("area", "label"))).alias("_b"),
     )
-    has_tissue = regions.agg(F.max(tissue.cast("int"))).scalar()
-    joined = tiles.join(best, ["ty", "tx"], "left")
+    joined = tiles.join(best, at, "left")
+    if keys:
+        marked = regions.groupBy(*keys).agg(F.max(tissue.cast("int")).alias("_t"))
+        joined, has_tissue = joined.join(marked, list(keys), "left"), F.col("_t")
+    else:
+        has_tissue = regions.agg(F.max(tissue.cast("int"))).scalar()
     share = F.coalesce("tissue_area", F.lit(0.0)) / F.lit(float(tile * tile))
     return joined.select(
         *tiles.columns,
