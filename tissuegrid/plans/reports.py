@@ -490,6 +490,34 @@ def _(spark, d):
     return regions.crops(pixels(spark, d), clipped, ["v0"])
 
 
+# Three slides with the same coordinates; a region belongs to one of them.
+SLIDES_SQL = f"""slides AS (SELECT CAST(p_partkey % 3 AS INTEGER) AS image_id, CAST((p_partkey // 3) // 50 AS INTEGER) AS y,
+  CAST((p_partkey // 3) % 50 AS INTEGER) AS x, CAST(p_size AS DOUBLE) AS v0 FROM part), {REGIONS_SQL},
+hit AS (SELECT s.image_id, region_id, s.y AS y, s.x AS x, v0 FROM slides s JOIN regions r ON s.image_id = r.region_id % 3 AND s.y BETWEEN y0 AND y0 + 7 AND s.x BETWEEN x0 AND x0 + 7
+  WHERE 6 * (s.x - x0) - 1 * (s.y - y0) >= 0 AND 1 * (s.x - x0 - 1) - 5 * (s.y - y0 - 6) >= 0
+    AND -6 * (s.x - x0 - 6) - 1 * (s.y - y0 - 7) >= 0 AND -1 * (s.x - x0 - 7) + 7 * (s.y - y0 - 1) >= 0),
+big AS (SELECT image_id, region_id FROM hit GROUP BY ALL HAVING count(*) >= 10)"""
+IMAGE = ["image_id"]
+
+
+def slides(spark, d):
+    at = F.expr("CAST(p_partkey DIV 3 AS BIGINT)")
+    return table(spark, d, "part").select(
+        (F.col("p_partkey") % 3).cast("int").alias("image_id"), F.floor(at / 50).cast("int").alias("y"),
+        (at % 50).cast("int").alias("x"), F.col("p_size").cast("double").alias("v0"),
+    )
+
+
+def _on_slides(rows):
+    return rows.withColumn("image_id", (F.col("region_id") % 3).cast("int"))
+
+
+@query("J14_pixels_in_polygons_by_image", f"WITH {SLIDES_SQL} SELECT image_id, region_id, y, x, v0 FROM hit JOIN big USING (image_id, region_id)")
+def _(spark, d):
+    found = regions.pixels_in_regions(slides(spark, d), _on_slides(region_view(spark, d)), keys=IMAGE)
+    return found.select("image_id", "region_id", "y", "x", "v0")
+
+
 RECT_SQL = """rects AS (SELECT s_suppkey AS region_id, CASE WHEN s_nationkey % 5 = 0 THEN 'Tissue' ELSE 'N' || CAST(s_nationkey % 5 AS VARCHAR) END AS label,
   s_suppkey // 3 AS y0, (s_suppkey * 11) % 43 AS x0 FROM supplier),
 units AS (SELECT DISTINCT label, y0 + i AS uy, x0 + j AS ux FROM rects, unnest(range(7)) a(i), unnest(range(9)) b(j)),
@@ -523,6 +551,19 @@ def _(spark, d):
     return regions.label_tiles(tiles, _rects(spark, d), 8)
 
 
+@query(
+    "J13_tile_labels_by_image",
+    f"""WITH {SLIDES_SQL}, {RECT_SQL.replace("units AS (SELECT DISTINCT label", "iu AS (SELECT DISTINCT CAST(region_id % 3 AS INTEGER) AS image_id, label, y0 + i AS uy, x0 + j AS ux FROM rects, unnest(range(7)) a(i), unnest(range(9)) b(j)), units AS (SELECT DISTINCT label")},
+    ia AS (SELECT image_id, CAST(uy // 8 AS INTEGER) AS ty, CAST(ux // 8 AS INTEGER) AS tx, label, CAST(count(*) AS DOUBLE) AS area FROM iu GROUP BY ALL),
+    t AS (SELECT DISTINCT image_id, CAST(y // 8 AS INTEGER) AS ty, CAST(x // 8 AS INTEGER) AS tx FROM slides),
+    g AS (SELECT t.image_id, t.ty, t.tx, coalesce(sum(CASE WHEN lower(label) = 'tissue' THEN area END), 0) AS tissue, arg_max(label, (area, label)) FILTER (WHERE lower(label) <> 'tissue') AS best FROM t LEFT JOIN ia USING (image_id, ty, tx) GROUP BY ALL)
+    SELECT image_id, ty, tx, CASE WHEN image_id IN (SELECT region_id % 3 FROM rects WHERE label = 'Tissue') AND tissue / 64 < 0.3 THEN 'minimal_tissue' ELSE coalesce(best, 'Unlabeled') END AS label FROM g""",
+)
+def _(spark, d):
+    tiles = slides(spark, d).select("image_id", F.expr("CAST(y DIV 8 AS INT)").alias("ty"), F.expr("CAST(x DIV 8 AS INT)").alias("tx")).distinct()
+    return regions.label_tiles(tiles, _on_slides(_rects(spark, d)), 8, keys=IMAGE)
+
+
 @query("R21_automatic_regions")
 def _(spark, d):
     preview = raster.stride(pixels(spark, d), 2)
