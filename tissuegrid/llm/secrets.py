@@ -30,12 +30,14 @@ _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"(?<![0-9a-f])[0-9a-f]{32,}")
 _HEX_BYTE = bytes(1 if chr(c) in "0123456789abcdef" else 0 for c in range(256))
 _STRING = re.compile(rb"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
-# Known digests and identifiers: hex of a digest's length, UUIDs, numbers.
-_KNOWN = re.compile(
-    rb"(?:0x)?(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})"
-    rb"|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|[0-9+/_=-]+",
-    re.IGNORECASE,
-)
+# Known digests and identifiers: hex of a digest's length, UUIDs, numbers; the first two also inside longer strings.
+_DIGEST = rb"(?:0x)?(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})"
+_UUID = rb"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+_KNOWN = re.compile(_DIGEST + rb"|" + _UUID + rb"|[0-9+/_=-]+", re.IGNORECASE)
+_INSIDE = re.compile(rb"(?<![A-Za-z0-9])(?:" + _UUID + rb"|" + _DIGEST + rb")(?![A-Za-z0-9])", re.IGNORECASE)
+_PART = re.compile(rb"[A-Za-z0-9]+|[^A-Za-z0-9]+")
+#: Characters of a part that are put into tokens at once: a cut costs one token at most.
+CHUNK = 4096
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -53,30 +55,68 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return out
 
 
-def _looks_mixed(run: bytes) -> bool:
-    """Digits among letters, or case that changes more often than names in camel case do."""
-    letters = re.sub(rb"[^A-Za-z]", b"", run)
-    if letters and re.search(rb"[0-9]", run):
-        return True
-    changes = len(re.findall(rb"[a-z][A-Z]|[A-Z][a-z]", letters))
-    return changes * 4 >= len(letters) > 0
+def _free(start: int, end: int, covered: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What sorted intervals leave of start to end."""
+    out = []
+    for a, b in covered:
+        if a >= end:
+            break
+        if b > start:
+            if a > start:
+                out.append((start, a))
+            start = max(start, b)
+    return [*out, (start, end)] if start < end else out
 
 
-def random_spans(text: str, encode, taken: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
-    """Maximal strings of at least SHORTEST characters with under RATIO characters per token, outside ``taken``."""
-    out, reach = [], []
-    starts = sorted(a for a, _, _ in taken)
-    for _, _, b in sorted(taken):
-        reach.append(max(b, reach[-1] if reach else 0))  # how far the spans up to this one cover
-    for m in _STRING.finditer(text.encode("latin-1", "replace")):
-        run = m.group()
-        if _KNOWN.fullmatch(run) or not _looks_mixed(run):
+def _dense(run: bytes, encode) -> list[tuple[int, int]]:
+    """Places in a string that the vocabulary cannot compress: all of it, or chains of parts with few characters per token.
+
+    The vocabulary splits letters and digits from other signs, so the tokens of the parts add up to those of the whole.
+    """
+    if len(run) < SHORTEST or _KNOWN.fullmatch(run):
+        return []
+    parts = [(m.start(), m.end(), sum(len(encode(run[i: min(i + CHUNK, m.end())].decode("ascii"))) for i in range(m.start(), m.end(), CHUNK))) for m in _PART.finditer(run)]
+    if len(run) < RATIO * sum(n for _, _, n in parts):
+        return [(0, len(run))]
+    out, chain = [], []
+    for start, end, n in [*parts, (len(run), len(run), 0)]:
+        if n and end - start < RATIO * n:
+            chain.append((start, end, n))
             continue
-        before = bisect.bisect_left(starts, m.end())
-        if before and reach[before - 1] > m.start():
+        if n and not run[start:end].isalnum():
+            chain.append((start, end, n))  # signs between parts
             continue
-        if len(run) < RATIO * len(encode(run.decode("ascii"))):
-            out.append((m.start(), "random", m.end()))
+        while chain and not run[chain[0][0]: chain[0][1]].isalnum():
+            chain.pop(0)
+        while chain and not run[chain[-1][0]: chain[-1][1]].isalnum():
+            chain.pop()
+        if chain:
+            a, b = chain[0][0], chain[-1][1]
+            if b - a >= SHORTEST and b - a < RATIO * sum(c for _, _, c in chain) and not _KNOWN.fullmatch(run[a:b]):
+                out.append((a, b))
+        chain = []
+    return out
+
+
+def random_spans(text: str, encode, taken: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
+    """Strings of at least SHORTEST characters with under RATIO characters per token, in what ``taken`` leaves.
+
+    Known identifiers inside a longer string are left out of it; what is between them is looked at on its own.
+    """
+    out = []
+    flat = text.encode("latin-1", "replace")
+    covered = []
+    for a, b in sorted((a, b) for a, _, b in taken):
+        if covered and a <= covered[-1][1]:
+            covered[-1] = (covered[-1][0], max(b, covered[-1][1]))
+        else:
+            covered.append((a, b))
+    ends = [b for _, b in covered]
+    for m in _STRING.finditer(flat):
+        for start, end in _free(m.start(), m.end(), covered[bisect.bisect_right(ends, m.start()):]):
+            known = [(start + k.start(), start + k.end()) for k in _INSIDE.finditer(flat[start:end])]
+            for a, b in _free(start, end, known):
+                out += [(a + i, "random", a + j) for i, j in _dense(flat[a:b], encode)]
     return out
 
 
