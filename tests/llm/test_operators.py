@@ -524,3 +524,26 @@ def test_chat_edges(spark):
     assert got[1]["rendered"].startswith("<|im_start|>user\na\nb<|im_end|>\n") and got[1]["actions"] == ["user", "&", "+assistant"]
     assert got[2]["n_turns"] == 2
     assert chat.repair(spark.createDataFrame([], shape)).count() == 0
+
+
+def test_long_conversations_of_few_turn_numbers(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(None, rng.randrange(3), "user", f"n{i}") for i in range(150)]
+    rows += [(1, 0, "assistant", "same") for _ in range(150)]
+    rows += [(2, t if t else 10**15, "user", f"t{t}") for t in range(150)] + [(3, None, "user", f"z{i}") for i in range(50)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(chat, "STRETCH", 8)
+    out = {}
+    for r in sorted(chat.repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect(), key=lambda r: r["stretch"]):
+        out.setdefault(r["conv"], []).append(r)
+    turn_of = {text: turn for _, turn, _, text in rows}
+    for conv, n in ((None, 150), (1, 150), (2, 150), (3, 50)):
+        assert [r["stretch"] for r in out[conv]] == list(range(math.ceil(n / 8)))
+        assert all(r["n_turns"] == 8 for r in out[conv][:-1]) and sum(r["n_turns"] for r in out[conv]) == n
+        rendered = "".join(r["rendered"] for r in out[conv])
+        legal(rendered)
+        assert sum(r["cost"] for r in out[conv]) == least_cost([r for c, _, r, _ in rows if c == conv])
+        texts = re.findall(r"\b(?:[ntz]\d+|same)\b", rendered)
+        assert sorted(texts) == sorted(t for c, _, _, t in rows if c == conv)
+        if conv in (None, 2):
+            assert [turn_of[t] for t in texts] == sorted(turn_of[t] for t in texts)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tissuegrid.llm.mixing import numbered_within
 from tissuegrid.runtime import cut_lineage
 
 #: States: nothing yet, and the role of the last turn of the repaired conversation.
@@ -97,25 +98,29 @@ def _choices(roles: list[str | None], first: int, last: int) -> list[str]:
 
 
 def _split(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """(conv, at, role, text, draw, stretch): turns in order are the stretches in order, each sorted by at and draw.
+    """(conv, at, role, text, draw, place, stretch, whole): turns in order are the stretches in order, each sorted by place, at and draw.
 
-    Conversations are cut at ranges of their turn numbers wherever one has many rows, so ordering needs no task with all. Rows that share one turn number stay together.
+    Conversations of more than STRETCH rows are numbered by turn number, nulls last, then draw, and cut every STRETCH
+    places. The numbers come from a range-partitioned sort and the counts before each partition, so that no task has to
+    hold a conversation, whatever its turn numbers are; equal rows may go to several partitions.
     """
     rows = turns.select(
         F.col(conv).alias("conv"), F.col(turn).cast("long").alias("at"), _known(role).alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
         F.xxhash64(F.col(role).cast("string"), F.col(text).cast("string")).alias("draw"),
     )
     rows = rows.withColumn("role", F.when(F.col("role").isin(*ROLES), F.col("role")))
-    sizes = rows.groupBy("conv").agg(F.count("*").alias("rows"), F.count(F.when(F.col("at").isNull(), 1)).alias("unnumbered"), F.min("at").alias("low"), F.max("at").alias("high"))
-    sizes = sizes.withColumnRenamed("conv", "of")
-    rows = rows.join(sizes, F.col("conv").eqNullSafe(F.col("of")))
-    # Turn numbers are nearly dense: equal ranges of them hold equal shares. Null numbers come last, by ranges of the hash.
-    width = (F.col("high") - F.col("low") + 1) / F.ceil(F.col("rows") / STRETCH)
-    share = F.col("draw") / F.lit(2.0**64) + 0.5
-    late = F.lit(1 << 40) + F.floor(share * F.ceil(F.col("unnumbered") / STRETCH))
-    stretch = F.coalesce(F.floor((F.col("at") - F.col("low")) / width), late).cast("long")
-    whole = F.col("rows") <= STRETCH
-    return rows.select("conv", "at", "role", "text", "draw", F.when(whole, F.lit(0).cast("long")).otherwise(stretch).alias("stretch"), whole.alias("whole"))
+    long = rows.groupBy("conv").agg(F.count("*").alias("rows")).where(F.col("rows") > STRETCH).withColumnRenamed("conv", "of")
+    rows = rows.join(long, F.col("conv").eqNullSafe(F.col("of")), "left")
+    # The salt tells equal rows apart; it is written before the rows are dealt out by it.
+    rows = cut_lineage(rows.select("conv", "at", "role", "text", "draw", F.col("rows").isNull().alias("whole"), F.monotonically_increasing_id().alias("salt")))
+    short = rows.where("whole").withColumns({"place": F.lit(None).cast("long"), "stretch": F.lit(0).cast("long")})
+    columns = ["conv", "at", "role", "text", "draw", "place", "stretch", "whole"]
+    split = rows.where("not whole")
+    if split.isEmpty():
+        return short.select(columns)
+    placed = numbered_within(split, "conv", [F.col("at").asc_nulls_last(), F.col("draw").asc(), F.col("salt").asc()])
+    placed = placed.withColumn("stretch", F.floor(F.col("place") / STRETCH).cast("long"))
+    return short.select(columns).unionByName(placed.select(columns))
 
 
 def repair(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", start: str = "<|im_start|>", end: str = "<|im_end|>") -> DataFrame:
@@ -134,11 +139,11 @@ def repair(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
     rows = cut_lineage(_split(turns, conv, turn, role, text))
 
     def cost_of(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["at", "draw"], kind="stable", na_position="last")
+        group = group.sort_values("place")
         roles = [r if isinstance(r, str) else None for r in group["role"]]
         return pd.DataFrame({"conv": group["conv"].iloc[:1], "stretch": group["stretch"].iloc[:1], "matrix": [_matrix(roles).ravel().tolist()]})
 
-    long = rows.where("not whole").select("conv", "stretch", "at", "draw", "role")
+    long = rows.where("not whole").select("conv", "stretch", "place", "role")
     costs = cut_lineage(long.groupBy("conv", "stretch").applyInPandas(cost_of, f"conv {id_type}, stretch long, matrix array<double>"))
 
     def between(group: pd.DataFrame) -> pd.DataFrame:
@@ -161,7 +166,7 @@ def repair(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
     states = costs.groupBy("conv").applyInPandas(between, f"conv {id_type}, stretch long, first int, last int, final boolean, cost double")
     states = cut_lineage(states.withColumnsRenamed({"conv": "of", "stretch": "number"}))
     same = F.col("conv").eqNullSafe(F.col("of")) & (F.col("stretch") == F.col("number"))
-    joined = rows.join(states, same, "left").select("conv", "stretch", "first", "last", "final", "cost", "role", "text", "at", "draw")
+    joined = rows.join(states, same, "left").select("conv", "stretch", "first", "last", "final", "cost", "role", "text", "place", "at", "draw")
 
     def rendered(key, group: list[tuple]) -> tuple:
         roles = [row[6] for row in group]
@@ -215,5 +220,5 @@ def repair(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
 
     shape = f"conv {id_type}, stretch long, n_turns long, n_out long, actions array<string>, cost double, rendered string"
     # Rows of a stretch lie together and in order; tasks stream over them and hold one stretch at a time.
-    dealt = joined.repartition("conv", "stretch").sortWithinPartitions("conv", "stretch", F.col("at").asc_nulls_last(), "draw")
+    dealt = joined.repartition("conv", "stretch").sortWithinPartitions("conv", "stretch", "place", F.col("at").asc_nulls_last(), "draw")
     return dealt.mapInArrow(render, shape)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tissuegrid.runtime import cut_lineage
@@ -34,6 +34,21 @@ def numbered(rows: DataFrame, column: str) -> DataFrame:
     return ranged.join(offsets, "__part").withColumn("place", F.col("__before") + inside).drop("__part", "__before")
 
 
+def numbered_within(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """``rows`` with ``place``, from 0 within each value of ``key`` (null is one) in the order given; no task gets all of a key.
+
+    ``rows`` must not change when read again, and ``order`` should tell rows apart, so that equal ones can be dealt out.
+    """
+    order = [F.col(key).asc(), *order]
+    ranged = cut_lineage(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__line", F.monotonically_increasing_id()))
+    part = F.shiftright("__line", 33)  # the id's upper bits number the partition, the lower ones its rows
+    runs = ranged.groupBy(F.col(key).alias("__of"), part.alias("__part")).agg(F.min("__line").alias("__begin"), F.count("*").alias("__n"))
+    ahead = F.sum("__n").over(Window.partitionBy("__of").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))  # a row per partition
+    runs = runs.select("__of", "__part", "__begin", F.coalesce(ahead, F.lit(0)).alias("__ahead"))
+    placed = ranged.withColumn("__in", part).join(runs, F.col(key).eqNullSafe(F.col("__of")) & (F.col("__in") == F.col("__part")))
+    return placed.withColumn("place", F.col("__line") - F.col("__begin") + F.col("__ahead")).select(*rows.columns, "place")
+
+
 def with_targets(sources: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
     """(source, words) with weight and target: ``share`` of all words by weight, a target at most ``most`` times its source."""
     ranked = numbered(sources, "source")
