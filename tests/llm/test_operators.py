@@ -459,6 +459,12 @@ def test_given_pages_keep_their_article(spark, small):
         assert r["text"] == "\n".join(b for b in blocks if b)
 
 
+def test_unclosed_drawings_end_at_the_next_block(content_model):
+    long = "Many words, and more of them. Then some more words follow here, and they go on for longer than before."
+    page = f"<html><body><article><h1>Title here</h1><p>{long}</p><svg><path d='m0'><p>{long}</p><p>{long}</p></article></body></html>"
+    assert pages.main_texts([page], content_model) == ["\n".join(["Title here", long, long, long])]
+
+
 # --- 5: chat ---------------------------------------------------------------------------------------
 
 

@@ -47,6 +47,7 @@ _TAG = re.compile(
 _NAMES = re.compile(r"""\b(class|id|role|itemprop|aria-label|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
+_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS - RAW))})(?![^\s/>])", re.I)
 
 
 @dataclass
@@ -96,6 +97,10 @@ def parse(page: str) -> Tree:
             end = None if tag in gone else _END[tag].search(page, at)
             if end is None:
                 gone.add(tag)
+            if end is None and tag == "svg":  # drawings that are not closed end where a block begins
+                end = _BLOCK.search(page, at)
+                at = end.start() if end else len(page)
+                continue
             at = end.end() if end else at if tag == "noscript" else len(page)
             continue
         if tag == "br":
