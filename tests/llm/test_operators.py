@@ -238,6 +238,21 @@ def test_mix_edges(spark):
     assert sorted((r["id"], r["size"], r["target"], r["taken"]) for r in only) == [(1, 0, 0.0, 0), (2, 0, 0.0, 0)]
 
 
+def test_mix_spreads_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 20)
+    true = mixing._rounded
+    monkeypatch.setattr(mixing, "_rounded", lambda rows: true(rows).assign(rate=float(len(rows))))
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 7]), sentence(rng, rng.randint(1, 30)), None, "a") for _ in range(600)] + [(i + 10, "a b c", None, "b") for i in range(40)]
+    table = docs_of(spark, rows)
+    got = mixing.mix(table).collect()
+    held = [r["rate"] for r in got if r["source"] == "a"]
+    assert len(got) == len(rows) and max(held) <= 60
+    again = mixing.mix(table.repartition(5)).collect()
+    order = lambda rs: sorted((r["id"] or 0, r["source"], r["size"], r["copies"]) for r in rs)
+    assert order(got) == order(again)
+
+
 # --- 4: sampled segmentations ----------------------------------------------------------------------
 
 

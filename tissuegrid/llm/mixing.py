@@ -108,21 +108,31 @@ def _rounded(rows: pd.DataFrame) -> pd.DataFrame:
         up = abs(miss + (down + 1) * size) < abs(miss + down * size) and rate > down
         copies.append(down + up)
         ahead = miss + copies[-1] * size
-    return rows.assign(copies=copies)[["id", "size", "place", "rate", "copies"]]
+    return rows.assign(copies=copies)[["id", "row", "size", "place", "rate", "copies"]]
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """One row per row of ``docs``: id, size, source, source_size, target, rate, copies, taken.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, row_col: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: id, size, source, source_size, target, rate, copies, taken; row, if ``row_col`` names a long column.
 
     Size counts the words of a text, 0 if it is null or empty. Sources in code point order, null (a source of its own)
     last, weigh ``weights`` in turn and share ``share`` times all words; a target stops at ``most`` times its source,
     the excess is shared again. Rates are rounded to whole copies, so that taken = copies * size is at most ``most`` times
-    the size and each source comes near its target. Draws for ties hang on the id, so reruns agree; repeated rows are
-    rows of their own. A document without words is taken 0 times. Other columns are not looked at; an empty table gives
+    the size and each source comes near its target. Draws for ties hang on the id and, where it is repeated or null,
+    on the place among its rows by source and size, so reruns agree; repeated rows are rows of their own. A document without words is taken 0 times. Other columns are not looked at; an empty table gives
     an empty result.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
-    sized = cut_lineage(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size")))
+    row = F.lit(None) if row_col is None else F.col(row_col)
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), row.cast("long").alias("row"))
+    sized = cut_lineage(sized.withColumn("salt", F.monotonically_increasing_id()))
+    repeated = cut_lineage(sized.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("again")))
+    if repeated.isEmpty():
+        sized = sized.withColumn("turn", F.lit(0).cast("long"))
+    else:
+        joined = cut_lineage(sized.join(repeated, F.col("id").eqNullSafe(F.col("again")), "left").withColumn("once", F.col("again").isNull() & F.col("id").isNotNull()).drop("again"))
+        alone = joined.where("once").withColumn("turn", F.lit(0).cast("long"))
+        turns = numbered_within(joined.where("not once"), "id", [F.col("source").asc_nulls_last(), F.col("size").asc(), F.col("salt").asc()])
+        sized = cut_lineage(alone.unionByName(turns.withColumnRenamed("place", "turn")).drop("once"))
     sources = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n"), F.count(F.when(F.col("size") > 0, 1)).alias("filled"))
     aims = cut_lineage(with_targets(cut_lineage(sources), weights, share, most))
     same = F.col("source").eqNullSafe(F.col("of"))
@@ -133,11 +143,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     z = F.col("size") / (F.col("words") / F.col("filled"))
     rate = F.when(F.col("size") == 0, 0.0).when(F.col("tilt").isNull(), float(most)).otherwise(most / (1 + F.exp(-F.col("tilt") * z)))
     rows = sized.join(placed, same).select(
-        "id", "size", "place", rate.alias("rate"), F.xxhash64("id").alias("draw"),
-        F.pmod(F.xxhash64("id", F.lit(5)), F.ceil(F.col("n") / BUCKET_ROWS)).alias("bucket"),
+        "id", "row", "size", "place", rate.alias("rate"), F.when(F.col("turn") == 0, F.xxhash64("id")).otherwise(F.xxhash64("id", "turn")).alias("draw"),
+        F.pmod(F.when(F.col("turn") == 0, F.xxhash64("id", F.lit(5))).otherwise(F.xxhash64("id", "turn", F.lit(5))), F.ceil(F.col("n") / BUCKET_ROWS)).alias("bucket"),
     )
     id_type = sized.schema["id"].dataType.simpleString()
-    done = rows.groupBy("place", "bucket").applyInPandas(_rounded, f"id {id_type}, size long, place long, rate double, copies int")
+    done = rows.groupBy("place", "bucket").applyInPandas(_rounded, f"id {id_type}, row long, size long, place long, rate double, copies int")
     return done.join(aims.select("place", "source", F.col("words").alias("source_size"), "target"), "place").select(
-        "id", "size", "source", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        *(["row"] if row_col is not None else []), "id", "size", "source", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
