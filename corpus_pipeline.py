@@ -32,10 +32,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sure.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
+def _key():
+    """Number of a row by its content: rows with one number are repeats of each other, whatever their ids."""
+    return F.xxhash64(*[part for c in COLUMNS for part in (F.col(c), F.col(c).isNull())])
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id: five-word shingles, similarity of 0.8 or more."""
-    kept = minhash.near_duplicates(docs, "doc_id", "text", width=5, over=80, under=100).where("kept").select("id").distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One document of each group stays: five-word shingles, similarity of 0.8 or more.
+
+    It is the one with the smallest id, nulls last, then the smallest number by content. Documents are told apart by
+    their content, not by their ids: those with null or repeated ids stay unless another document of their group does.
+    """
+    keyed = docs.select(*COLUMNS, _key().alias("__key"))
+    found = minhash.near_duplicates(keyed, "__key", "text", width=5, over=80, under=100).select(F.col("id").alias("__key"), "component_id").distinct()
+    ids = keyed.groupBy("__key").agg(F.min("doc_id").alias("doc_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__key"))
+    kept = found.join(ids, "__key").groupBy("component_id").agg(first.alias("first")).select(F.col("first.__key").alias("__key"))
+    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(*COLUMNS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +57,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice."""
-    taken = mixing.mix(docs, "doc_id", "text", "source").where("copies > 0").select("id", "copies")
-    both = docs.join(taken, F.col("doc_id") == F.col("id"))
+    """Each row as often as the mix takes it: not at all, once or twice. Null and repeated ids are rows like others."""
+    keyed = cut_lineage(docs.select(*COLUMNS, _key().alias("__key"), F.monotonically_increasing_id().alias("__row")))
+    taken = mixing.mix(keyed, "__key", "text", "source", row_col="__row").where("copies > 0").select(F.col("row").alias("__row"), "copies")
+    both = keyed.join(taken, "__row")
     return both.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 

@@ -64,3 +64,22 @@ def test_pipeline_stages(spark, small, tmp_path):
     assert {r["doc_id"] for r in kept["sampled_pieces"]} == {r["doc_id"] for r in kept["mix_sources"]}
     whole = corpus_pipeline.run(spark, small).collect()
     assert sorted((r["doc_id"], r["sample"], r["ids"]) for r in whole) == sorted((r["doc_id"], r["sample"], r["ids"]) for r in kept["sampled_pieces"])
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_near_duplicates_stage_keeps_null_and_repeated_ids(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(30)) for name in "abcd"]
+    rows = [(None, texts[0]), (5, texts[1]), (5, texts[2]), (3, texts[2]), (None, texts[3]), (9, texts[3]), (None, texts[3]), (5, texts[1]), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS)
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(None, texts[0]), (5, texts[1]), (3, texts[2]), (9, texts[3]), (None, None)], key=str)
+
+
+def test_mix_stage_takes_rows_of_null_and_repeated_ids_twice_at_most(spark):
+    rows = [(None, f"n{i} b c d", "s") for i in range(20)] + [(1, "same words here", "s")] * 20 + [(2, f"x{i} y", "t") for i in range(20)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], DOCS)
+    got = [(r["doc_id"], r["text"], r["source"]) for r in corpus_pipeline.mix_sources(spark, docs, "").collect()]
+    assert all(got.count(x) <= 2 * rows.count(x) for x in set(got))
+    assert any(i is None for i, _, _ in got) and abs(sum(len(t.split()) for _, t, _ in got) - 1.5 * sum(len(t.split()) for _, t, _ in rows)) <= 12
