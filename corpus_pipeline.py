@@ -65,8 +65,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two distinct sampled segmentations of each text of the mix."""
-    out = lattice.sampled(docs, "doc_id", "text", samples=2, alpha=1.0, together=1 << 18)
+    """Two distinct sampled segmentations of each text of the mix, each decoded and held against the text."""
+    out = lattice.sampled(docs, "doc_id", "text", samples=2, alpha=1.0, together=1 << 18, check=True)
     return out.withColumnRenamed("id", "doc_id")
 
 

@@ -327,6 +327,17 @@ def test_segmentations_round_trip(spark):
     assert lattice.sampled(docs_of(spark, [])).count() == 0
 
 
+def test_every_sample_is_decoded_against_its_text(spark, monkeypatch):
+    rows = [(1, "hello  wörld 日本", None, None), (2, " leading", None, None), (3, "", None, None), (4, None, None, None), (5, "tab\there \ud83d".encode("utf-8", "replace").decode(), None, None)]
+    got = lattice.sampled(docs_of(spark, rows), check=True).select("id", "ids", "round_trip").withColumn("text", F.lit(None))
+    texts = {i: t for i, t, _, _ in rows}
+    for r in lattice.decoded(got).collect():
+        assert r["round_trip"] == (None if texts[r["id"]] is None else r["decoded"] == texts[r["id"]])
+        assert r["round_trip"] is not False
+    monkeypatch.setattr(lattice, "_spelt", lambda ids, spelling: "other")
+    assert not any(r["round_trip"] for r in lattice.sampled(docs_of(spark, rows), check=True).collect())
+
+
 # --- 2: near vectors -------------------------------------------------------------------------------
 
 

@@ -358,7 +358,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
     return out
 
 
-def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = 2, alpha: float = 1.0, model: str = MODEL, together: int = TEXT) -> DataFrame:
+def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = 2, alpha: float = 1.0, model: str = MODEL, together: int = TEXT, check: bool = False) -> DataFrame:
     """(id, sample, ids, n_pieces, log_prob, perturbed, log_inclusion): up to ``samples`` segmentations of each row's text.
 
     The segmentations of a text are distinct and come in the order of their perturbed log-probability, as drawing
@@ -367,26 +367,30 @@ def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
     Draws hang on the row's id and the place in the text, so reruns and other partitions agree, and repeated rows get the
     same samples. A null text gives one row with null ids, an empty one a row with no pieces; a text with fewer
     segmentations gives them all. Texts count whole. A null id is a key as any other; other columns are not looked at;
-    an empty table gives an empty result.
+    an empty table gives an empty result. With ``check`` the ids are decoded again: round_trip tells whether they give the
+    text back, null for a null text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load(model))  # bounded by the vocabulary
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(id_col).alias("key"))
 
     def encode(batches):
         vocabulary = Vocabulary(*shared.value)
+        spelling = _spelling(*shared.value) if check else []
         for batch in words.tidy(batches):
             for piece in words.pieces(batch.column(1), together):
                 part = batch.slice(piece.first, piece.last - piece.first)
                 texts = part.column(1).to_pylist()
                 keys = part.column(2).to_numpy().view(np.uint64)
                 got = sample_texts([t or "" for t in texts], keys, vocabulary, samples, alpha)
-                take, sample, arrays, scores = [], [], [], []
+                take, sample, arrays, scores, same = [], [], [], [], []
                 for i, one in enumerate(got):
                     for r, (ids, *rest) in enumerate(one):
                         take.append(i)
                         sample.append(r)
                         arrays.append(None if texts[i] is None else ids)
                         scores.append(rest)
+                        if check:
+                            same.append(None if texts[i] is None else _spelt(ids, spelling) == texts[i])
                 sizes = [0 if a is None else len(a) for a in arrays]
                 flat = np.concatenate([a for a in arrays if a is not None] or [np.zeros(0, dtype=np.int32)]).astype(np.int32)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -394,12 +398,23 @@ def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()), mask=missing)
                 scores = np.array(scores, dtype=np.float64).reshape(-1, 3)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(take, pa.int64())), pa.array(sample, pa.int32()), ids, pa.array(sizes, pa.int64()), *(pa.array(scores[:, c]) for c in range(3))],
-                    names=["id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "log_inclusion"],
+                    [part.column(0).take(pa.array(take, pa.int64())), pa.array(sample, pa.int32()), ids, pa.array(sizes, pa.int64()), *(pa.array(scores[:, c]) for c in range(3)), *([pa.array(same, pa.bool_())] if check else [])],
+                    names=["id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "log_inclusion", *(["round_trip"] if check else [])],
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(encode, f"id {kind}, sample int, ids array<int>, n_pieces long, log_prob double, perturbed double, log_inclusion double")
+    return rows.mapInArrow(encode, f"id {kind}, sample int, ids array<int>, n_pieces long, log_prob double, perturbed double, log_inclusion double" + (", round_trip boolean" if check else ""))
+
+
+def _spelling(pieces: list[str], _, bytes_at: int) -> list[bytes]:
+    """The bytes of each id."""
+    return [b"" if i < bytes_at else bytes([i - bytes_at]) if i < bytes_at + 256 else p.replace(chr(BLANK), " ").encode() for i, p in enumerate(pieces)]
+
+
+def _spelt(ids: np.ndarray, spelling: list[bytes]) -> str:
+    """The text of ids."""
+    whole = b"".join([spelling[i] for i in ids.tolist() if 0 <= i < len(spelling)]).decode("utf-8", "replace")
+    return whole[1:] if whole.startswith(" ") else whole
 
 
 def decoded(rows: DataFrame, ids_col: str = "ids", out_col: str = "decoded", model: str = MODEL) -> DataFrame:
@@ -408,20 +423,12 @@ def decoded(rows: DataFrame, ids_col: str = "ids", out_col: str = "decoded", mod
     Null ids give null, no ids an empty text; ids outside the vocabulary and control pieces give nothing, and bytes that
     do not form a character become replacement characters. A column named ``out_col`` is replaced.
     """
-    pieces, _, bytes_at = load(model)
-    spelt = [b"" if i < bytes_at else bytes([i - bytes_at]) if i < bytes_at + 256 else p.replace(chr(BLANK), " ").encode() for i, p in enumerate(pieces)]
-    shared = rows.sparkSession.sparkContext.broadcast(spelt)
+    shared = rows.sparkSession.sparkContext.broadcast(_spelling(*load(model)))
 
     @F.pandas_udf("string")
     def text(column):
         spelling = shared.value
 
-        def one(ids):
-            if ids is None:
-                return None
-            whole = b"".join(spelling[i] for i in ids.tolist() if 0 <= i < len(spelling)).decode("utf-8", "replace")
-            return whole[1:] if whole.startswith(" ") else whole
-
-        return pd.Series([one(x) for x in column], dtype=object)
+        return pd.Series([None if x is None else _spelt(x, spelling) for x in column], dtype=object)
 
     return rows.withColumn(out_col, text(F.col(ids_col)))

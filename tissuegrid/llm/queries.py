@@ -109,7 +109,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_sampled_pieces")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    out = lattice.sampled(table(spark, folder, "documents"), "doc_id", "text", samples=2, alpha=1.0)
+    out = lattice.sampled(table(spark, folder, "documents"), "doc_id", "text", samples=2, alpha=1.0, check=True)
     return out.withColumnRenamed("id", "doc_id")
 
 
