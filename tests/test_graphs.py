@@ -66,3 +66,19 @@ def test_grouped_kmeans_separates_blobs(spark):
 def test_score_of_average_metrics_is_one(spark):
     row = spark.range(1).select(quality.quality_score([F.lit(m) for m in quality.SCORE_MEAN]))
     assert row.first()[0] == pytest.approx(1.0)
+
+
+def test_communities_run_to_the_end(spark):
+    n = 24
+    edges = spark.createDataFrame([(a, b, 1.0) for i in range(n) for a, b in ((i, (i + 1) % n), ((i + 1) % n, i))], "src long, dst long, w double")
+    ring = {r.node: r.community for r in communities.find_communities(edges, resolution=1.0).collect()}
+    parts = set(ring.values())
+
+    def gain(x, y):  # of merging two communities of the ring, times the weight of all edges
+        between = sum(ring[i] in (x, y) and ring[(i + 1) % n] in (x, y) and ring[i] != ring[(i + 1) % n] for i in range(n))
+        size = [sum(c == z for c in ring.values()) for z in (x, y)]
+        return between - 2 * size[0] * size[1] / n
+
+    assert len(ring) == n and all(gain(x, y) <= 1e-9 for x in parts for y in parts if x < y)
+    with pytest.raises(RuntimeError):
+        communities.find_communities(edges, resolution=1.0, max_rounds=1)

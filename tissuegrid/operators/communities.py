@@ -10,18 +10,18 @@ from tissuegrid.operators.orderstats import positions
 from tissuegrid.runtime import cut_lineage
 
 
-SETTLED = 0.01  # share of moving nodes below which a round counts as still
+#: Rounds of a level and levels before the run is an error: a search that is cut off gives other communities.
+MOST_ROUNDS, MOST_LEVELS = 400, 64
 
 
 def _one_level(edges: DataFrame, strength: DataFrame, two_m: float, resolution: float, seed: int, max_rounds: int) -> DataFrame:
     """(node, c): every node starts alone and moves to the neighbouring community of largest gain.
 
-    Half of the nodes, told apart by a hash, may move in a round; a level ends after two rounds in
-    which hardly any did.
+    Half of the nodes, drawn anew by a hash, may move in a round, and fewer in late rounds, so that neighbours don't
+    chase each other; a level ends when no node would gain by a move.
     """
     labels = cut_lineage(strength.select("node", F.col("node").alias("c")))
     plain = edges.where("src <> dst")
-    still = 0
     for turn in range(max_rounds):
         sized = labels.join(strength, "node")
         totals = sized.groupBy("c").agg(F.sum("k").alias("k_all"))
@@ -42,23 +42,22 @@ def _one_level(edges: DataFrame, strength: DataFrame, two_m: float, resolution:
             F.max(F.when(F.col("c") == F.col("own"), F.col("gain"))).alias("now"),
             F.first("own").alias("own"),
         )
-        mine = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(2)) == turn % 2
-        moved = mine & (F.col("b.gain") > F.col("now"))
+        mine = F.pmod(F.xxhash64("node", F.lit(seed), F.lit(turn)), F.lit(2 << min(turn // 25, 4))) == 0
+        gains = F.col("b.gain") > F.col("now")
         updated = cut_lineage(
-            chosen.select("node", F.when(moved, -F.col("b.neg")).otherwise(F.col("own")).alias("c"), moved.alias("moved"))
+            chosen.select("node", F.when(mine & gains, -F.col("b.neg")).otherwise(F.col("own")).alias("c"), gains.alias("gains"))
         )
-        changed = updated.agg(F.avg(F.col("moved").cast("double"))).first()[0] or 0.0
         labels = updated.select("node", "c")
-        still = still + 1 if changed < SETTLED else 0
-        if still == 2:
-            break
-    return labels
+        if updated.where("gains").isEmpty():
+            return labels
+    raise RuntimeError(f"nodes still move after {max_rounds} rounds")
 
 
-def find_communities(edges: DataFrame, resolution: float = 0.2, seed: int = 42, max_rounds: int = 10, max_levels: int = 3) -> DataFrame:
+def find_communities(edges: DataFrame, resolution: float = 0.2, seed: int = 42, max_rounds: int = MOST_ROUNDS, max_levels: int = MOST_LEVELS) -> DataFrame:
     """(node, community) from symmetric (src, dst, w) edges; deterministic for a seed.
 
-    Communities of one level become the nodes of the next until nothing merges.
+    Communities of one level become the nodes of the next until nothing merges. A search that is not at its end after
+    ``max_rounds`` rounds of a level or ``max_levels`` levels is an error.
     """
     level = cut_lineage(edges.groupBy("src", "dst").agg(F.sum("w").cast("double").alias("w")))
     two_m = level.agg(F.sum("w")).first()[0] or 0.0
@@ -82,6 +81,8 @@ def find_communities(edges: DataFrame, resolution: float = 0.2, seed: int = 42,
         level = cut_lineage(merged)
         if level.select("src").distinct().count() == before:
             break
+    else:
+        raise RuntimeError(f"communities still merge after {max_levels} levels")
     if mapping is None:
         mapping = edges.select(F.col("src").alias("node"), F.col("src").alias("c")).distinct()
     return mapping.select("node", F.col("c").alias("community"))
