@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tissuegrid.llm import chat, langid, lattice, minhash, mixing, pages, pivots, secrets, tiles, toxicity
+from tissuegrid.llm import chat, codes, langid, lattice, minhash, mixing, pages, phrases, pivots, secrets, tiles, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -129,3 +129,90 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     out = chat.repair(table(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
     return out.withColumnRenamed("conv", "conv_id")
+
+
+OP11_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+grams AS (
+  SELECT lang, m AS words, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM worded, (VALUES (1), (2), (3)) AS v(m)),
+f AS (SELECT lang, words, phrase, count(*) AS n FROM grams GROUP BY ALL HAVING count(*) >= 10),
+wanted AS (SELECT lang, words, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1),
+cuts AS (SELECT *, unnest(range(1, words)) AS k FROM wanted),
+scored AS (
+  SELECT c.lang, c.phrase, c.words, c.a, c.k, x.n AS l, y.n AS r,
+    CAST((1000000::HUGEINT * c.a::HUGEINT * c.a::HUGEINT) // (x.n::HUGEINT * y.n::HUGEINT) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+within AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM wanted WHERE words = 3),
+most AS (SELECT lang, phrase, max(a) AS most FROM within GROUP BY ALL),
+kept AS (SELECT s.* FROM lowest s LEFT JOIN most m ON m.lang = s.lang AND m.phrase = s.phrase WHERE m.most IS NULL OR 100 * m.most < 50 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, t.n, k.score FROM ranked k JOIN totals t ON t.lang = k.lang WHERE k.rank <= 2000
+"""
+
+
+@query("op11_phrases", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"), "text", "lang", longest=3, least=10, inside=50, first=2000)
+
+
+OP12_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest FROM p),
+l AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN last <> page_id THEN last END AS refers_to
+FROM l
+"""
+
+
+@query("op12_warc_bundles", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages"), "page_id", "url", "html", least=1000).withColumnRenamed("id", "page_id")
+
+
+def _rounds_sql(rounds: int, parts: int = 8, entries: int = 16) -> str:
+    """Each round as three tables: nearest entries, sums by entry, moved entries."""
+    steps = [
+        "raw AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)",
+        "kept AS (SELECT vec_id, label, list_transform(e, lambda x: CAST(floor(4096 * x) AS BIGINT)) AS e FROM raw"
+        " WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"cut AS MATERIALIZED (SELECT vec_id, p AS part, e[p * (len(e) // {parts}) + 1:(p + 1) * (len(e) // {parts})] AS x FROM kept, range({parts}) AS t(p))",
+        f"first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT {entries})",
+        "book0 AS MATERIALIZED (SELECT part, entry, x AS c FROM cut JOIN first USING (vec_id))",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"near{i} AS MATERIALIZED (SELECT vec_id, part, unnest(min({{'d': d, 'entry': entry}})) FROM (SELECT vec_id, part, entry,"
+            f" list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM cut JOIN book{i} USING (part)) GROUP BY vec_id, part)"
+        )
+        if i < rounds:
+            steps.append(
+                f"sums{i} AS (SELECT part, entry, j, sum(x[j]) AS s, count(*) AS n FROM cut JOIN near{i} USING (vec_id, part), (SELECT unnest(range(1, len(e) // {parts} + 1)) AS j FROM (SELECT e FROM kept LIMIT 1)) AS js GROUP BY ALL)"
+            )
+            steps.append(
+                f"book{i + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.c, b.c) AS c FROM book{i} b LEFT JOIN (SELECT part, entry,"
+                f" list(CAST(CASE WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END AS BIGINT) ORDER BY j) AS c FROM sums{i} GROUP BY part, entry) m USING (part, entry))"
+            )
+    return ",\n".join(steps)
+
+
+OP13_SQL = f"""
+WITH {_rounds_sql(6)},
+coded AS (SELECT vec_id, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near6 GROUP BY vec_id),
+whole AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book6)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded JOIN kept USING (vec_id), whole
+"""
+
+
+@query("op13_vector_codes", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    out = codes.compressed(table(spark, folder, "embeddings"), "vec_id", "embedding", "label", parts=8, entries=16, rounds=6, scale=4096.0)
+    return out.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
