@@ -81,4 +81,109 @@ def test_communities_run_to_the_end(spark):
 
     assert len(ring) == n and all(gain(x, y) <= 1e-9 for x in parts for y in parts if x < y)
     with pytest.raises(RuntimeError):
-        communities.find_communities(edges, resolution=1.0, max_rounds=1)
+        communities.find_communities(edges, resolution=1.0, max_rounds=1, small=0)
+
+
+def connected_parts(edges, named):
+    """Communities that fall apart along the edges inside them."""
+    near = {}
+    for a, b, _ in edges:
+        if named[a] == named[b]:
+            near.setdefault(a, set()).add(b)
+    broken = set()
+    for c in set(named.values()):
+        mine = {v for v in named if named[v] == c}
+        seen, front = set(), [min(mine)]
+        while front:
+            v = front.pop()
+            if v not in seen:
+                seen.add(v)
+                front += near.get(v, ())
+        if seen != mine:
+            broken.add(c)
+    return broken
+
+
+def modularity_of(edges, named, resolution=1.0):
+    total = sum(w for *_, w in edges)
+    inside, strength = 0.0, {}
+    for a, b, w in edges:
+        inside += w * (named[a] == named[b])
+        strength[named[a]] = strength.get(named[a], 0) + w
+    return inside / total - resolution * sum((k / total) ** 2 for k in strength.values())
+
+
+def some_graph(seed, groups, size, inner, outer):
+    r = np.random.default_rng(seed)
+    pairs = [(a, b) for a in range(groups * size) for b in range(a) if r.random() < (inner if a // size == b // size else outer)]
+    weights = r.integers(1, 4, len(pairs)).astype(float)
+    return [(x, y, w) for (a, b), w in zip(pairs, weights.tolist()) for x, y in ((a, b), (b, a))]
+
+
+@pytest.mark.parametrize("small", [0, communities.SMALL])
+def test_planted_communities_are_found_and_connected(spark, small):
+    rows = some_graph(3, 5, 14, 0.7, 0.03)
+    edges = spark.createDataFrame(rows, "src long, dst long, w double")
+    named = {r.node: r.community for r in communities.find_communities(edges, resolution=1.0, small=small).collect()}
+    assert all(len({named[v] for v in range(g * 14, g * 14 + 14)}) == 1 for g in range(5)) and len(set(named.values())) == 5
+    assert not connected_parts(rows, named)
+
+
+def test_no_community_falls_apart():
+    for seed in range(30):
+        rows = some_graph(seed, 6, 8, 0.35, 0.06)
+        frame = pd.DataFrame(rows, columns=["src", "dst", "w"])
+        frame["cs"], frame["cd"] = frame["src"], frame["dst"]
+        out = communities._finish(frame, 1.0, seed)
+        named = dict(zip(out["node"], out["c"]))
+        assert not connected_parts(rows, named) and all(named[c] == c for c in named.values())
+        planted = {v: v // 8 for v in named}
+        assert modularity_of(rows, named) >= modularity_of(rows, planted) - 1e-9
+
+
+def test_large_rings_end_near_the_best_split(spark):
+    n = 64
+    rows = [(a, b, 1.0) for i in range(n) for a, b in ((i, (i + 1) % n), ((i + 1) % n, i))]
+    members = communities.find_communities(spark.createDataFrame(rows, "src long, dst long, w double"), resolution=1.0)
+    named = {r.node: r.community for r in members.collect()}
+    assert not connected_parts(rows, named) and modularity_of(rows, named) > 0.73
+
+
+def test_communities_of_bad_and_no_edges(spark):
+    shape = "src long, dst long, w double"
+    assert communities.find_communities(spark.createDataFrame([], shape)).count() == 0
+    rows = [(1, 2, 1.0), (2, 1, 1.0), (None, 1, 1.0), (1, None, 1.0), (3, 4, None), (5, 6, 0.0), (6, 5, 0.0)]
+    got = {r.node: r.community for r in communities.find_communities(spark.createDataFrame(rows, shape)).collect()}
+    assert got == {1: 1, 2: 1}
+
+
+def brute_neighbours(v, k):
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
+    return {i: [j for _, j in sorted((d[i, j], j) for j in range(len(v)) if j != i)[:k]] for i in range(len(v))}
+
+
+@pytest.mark.parametrize("block, fan", [(12, 4), (30, 256)])
+def test_neighbours_through_a_tree_of_pivots(spark, block, fan):
+    """Clusters far apart and of very different width, so that whole branches are passed over and others are not."""
+    r = np.random.default_rng(block)
+    v = np.concatenate([r.normal(c, s, (40, 5)) for c, s in ((0, 1), (30, 0.01), (31, 4), (-1000, 100))] + [np.full((1, 5), 1e6)])
+    v = v[r.permutation(len(v))]
+    want = brute_neighbours(v, 4)
+    got = {}
+    for row in neighbours.nearest(_vectors(spark, v), 4, block=block, pivots=fan).orderBy("src", "rank").collect():
+        got.setdefault(row.src, []).append(row.dst)
+    assert got == want
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_unsound_vectors_neither_ask_nor_answer(spark, metric):
+    v = rng.normal(size=(40, 3))
+    rows = [(i, [float(a) for a in row]) for i, row in enumerate(v)]
+    bad = [(90, None), (91, [float("nan"), 0.0, 1.0]), (92, [float("inf"), 0.0, 1.0]), (93, [None, 0.0, 1.0]), (None, [0.0, 0.0, 1.0]), (94, [])]
+    table = spark.createDataFrame(rows + bad, "id long, v array<double>").withColumn("node", F.lit("x"))
+    unit = v / np.sqrt((v * v).sum(1))[:, None] if metric == "cosine" else v
+    got = {}
+    for row in neighbours.nearest(table, 3, metric=metric, block=8).orderBy("src", "rank").collect():
+        got.setdefault(row.src, []).append(row.dst)
+    assert got == brute_neighbours(unit, 3)
+    assert neighbours.nearest(spark.createDataFrame(bad, "id long, v array<double>"), 3).count() == 0

@@ -1,40 +1,194 @@
-"""Communities of a weighted graph by modularity, and labels for them."""
+"""Communities of a weighted graph by modularity, and labels for them.
+
+A level has three steps: nodes move to the neighbouring community of largest gain until none gains; each community is
+refined into connected parts; the parts become the nodes of the next level, which starts from the communities found. It
+ends when no node of a level joins another, so every community is one part and none falls apart. Levels run as joins on Spark; a level whose edges
+fit a stated bound is finished inside one task, together with those after it.
+"""
 
 from __future__ import annotations
 
+from collections import deque
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tissuegrid.operators.components import connected_nodes
 from tissuegrid.operators.neighbours import neighbour_graph
 from tissuegrid.operators.orderstats import positions
 from tissuegrid.runtime import cut_lineage
 
-
 #: Rounds of a level and levels before the run is an error: a search that is cut off gives other communities.
 MOST_ROUNDS, MOST_LEVELS = 400, 64
+#: Directed edges of a level that is finished inside one task.
+SMALL = 1 << 18
+#: Gains below this are rounding.
+LEAST_GAIN = 1e-10
+
+
+# --- a small graph in one task ---------------------------------------------------------------------
+
+
+class _Graph:
+    """Edges by source, strengths and loops of a small graph with nodes 0..n-1."""
+
+    def __init__(self, src: np.ndarray, dst: np.ndarray, w: np.ndarray, n: int):
+        self.n, self.k = n, np.bincount(src, weights=w, minlength=n).tolist()
+        plain = src != dst
+        src, dst, w = src[plain], dst[plain], w[plain]
+        order = np.lexsort((dst, src))
+        ends = np.cumsum(np.bincount(src, minlength=n))
+        self.near = [list(zip(d.tolist(), x.tolist())) for d, x in zip(np.split(dst[order], ends[:-1]), np.split(w[order], ends[:-1]))]
+
+
+def _toward(graph: _Graph, v: int, group: list[int]) -> dict[int, float]:
+    """Weight of the edges of v by the group they lead to."""
+    out: dict[int, float] = {}
+    for u, w in graph.near[v]:
+        out[group[u]] = out.get(group[u], 0.0) + w
+    return out
+
+
+def _move(graph: _Graph, start: list[int], scale: float, order: list[int]) -> list[int]:
+    """Nodes go to the community of largest gain, one after the other, until none gains; ties go to the smaller number.
+
+    A node that loses by staying and has nothing better goes to a community of its own.
+    """
+    group, total, size = list(start), [0.0] * graph.n, [0] * graph.n
+    for v, c in enumerate(group):
+        total[c] += graph.k[v]
+        size[c] += 1
+    empty = [c for c in range(graph.n) if not size[c]]
+    waiting, queued = deque(order), [True] * graph.n
+    while waiting:
+        v = waiting.popleft()
+        queued[v] = False
+        own, k = group[v], graph.k[v]
+        options = _toward(graph, v, group)
+        total[own] -= k
+        best, most = own, options.get(own, 0.0) - scale * k * total[own]
+        for c, w in options.items():
+            gain = w - scale * k * total[c]
+            if gain > most + LEAST_GAIN or (gain > most - LEAST_GAIN and c < best and best != own):
+                best, most = c, max(gain, most)
+        if most < -LEAST_GAIN and size[own] > 1:
+            best = empty.pop()
+        total[best] += k
+        if best != own:
+            group[v] = best
+            size[own] -= 1
+            size[best] += 1
+            if not size[own]:
+                empty.append(own)
+            for u, _ in graph.near[v]:
+                if group[u] != best and not queued[u]:
+                    queued[u] = True
+                    waiting.append(u)
+    return group
+
+
+def _refine(graph: _Graph, group: list[int], scale: float, order: list[int]) -> list[int]:
+    """Connected parts of the communities: lone nodes that are well tied to their community join a part beside them."""
+    part, size, total, whole = list(range(graph.n)), [1] * graph.n, list(graph.k), [0.0] * graph.n
+    for v, c in enumerate(group):
+        whole[c] += graph.k[v]
+    for v in order:
+        if size[part[v]] > 1:
+            continue
+        inside = {u: w for u, w in graph.near[v] if group[u] == group[v]}
+        if sum(inside.values()) < scale * graph.k[v] * (whole[group[v]] - graph.k[v]) - LEAST_GAIN:
+            continue
+        options: dict[int, float] = {}
+        for u, w in inside.items():
+            options[part[u]] = options.get(part[u], 0.0) + w
+        best, most = part[v], 0.0
+        for c, w in options.items():
+            gain = w - scale * graph.k[v] * total[c]
+            if gain > most + LEAST_GAIN or (gain > most - LEAST_GAIN and c < best and best != part[v]):
+                best, most = c, max(gain, most)
+        if best != part[v]:
+            size[part[v]], total[part[v]] = 0, 0.0
+            part[v] = best
+            size[best] += 1
+            total[best] += graph.k[v]
+    return part
+
+
+def _components(graph: _Graph, group: list[int]) -> list[int]:
+    """Connected parts of the communities, each named by its smallest node."""
+    part = [-1] * graph.n
+    for first in range(graph.n):
+        front = [first] if part[first] < 0 else []
+        while front:
+            v = front.pop()
+            if part[v] < 0:
+                part[v] = first
+                front += [u for u, _ in graph.near[v] if group[u] == group[v]]
+    return part
+
+
+def _finish(edges: pd.DataFrame, resolution: float, seed: int) -> pd.DataFrame:
+    """(node, c) of a small graph: all levels from here on. ``edges``: src, dst, w, cs, cd with starting communities."""
+    names, ends = np.unique(np.concatenate([edges["src"], edges["dst"]]), return_inverse=True)
+    src, dst, w = ends[: len(edges)], ends[len(edges):], edges["w"].to_numpy(dtype=float)
+    n, scale = len(names), resolution / w.sum()
+    start = np.zeros(n, dtype=np.int64)
+    start[src], start[dst] = edges["cs"], edges["cd"]
+    group = np.unique(start, return_inverse=True)[1].tolist()
+    home = np.arange(n)
+    rng = np.random.default_rng(seed)
+    while True:
+        graph, order = _Graph(src, dst, w, n), rng.permutation(n).tolist()
+        group = _move(graph, group, scale, order)
+        if len(set(group)) == n:
+            break
+        part = np.array(_refine(graph, group, scale, order))
+        kept, number = np.unique(part, return_inverse=True)
+        if len(kept) == n:  # only ties hold the communities together
+            group = _components(graph, group)
+            break
+        home = number[home]
+        n = len(kept)
+        label = np.empty(n, dtype=np.int64)
+        label[number] = group
+        pairs, which = np.unique(number[src] * n + number[dst], return_inverse=True)
+        src, dst, w = pairs // n, pairs % n, np.bincount(which, weights=w)
+        group = np.unique(label, return_inverse=True)[1].tolist()
+    last = np.unique(np.array(group)[home], return_inverse=True)[1]
+    first = np.full(last.max() + 1, len(names))
+    np.minimum.at(first, last, np.arange(len(names)))
+    return pd.DataFrame({"node": names, "c": names[first[last]]})
+
+
+# --- large graphs as joins -------------------------------------------------------------------------
+
 
+def _toward_groups(plain: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, c, w_in): weight of the edges of each node by the community they lead to."""
+    ends = labels.select(F.col("node").alias("dst"), "c")
+    return plain.join(ends, "dst").groupBy(F.col("src").alias("node"), "c").agg(F.sum("w").alias("w_in"))
 
-def _one_level(edges: DataFrame, strength: DataFrame, two_m: float, resolution: float, seed: int, max_rounds: int) -> DataFrame:
-    """(node, c): every node starts alone and moves to the neighbouring community of largest gain.
+
+def _moved(edges: DataFrame, start: DataFrame, strength: DataFrame, two_m: float, resolution: float, seed: int, max_rounds: int) -> DataFrame:
+    """(node, c): nodes move from the communities of ``start`` to the neighbouring community of largest gain.
 
     Half of the nodes, drawn anew by a hash, may move in a round, and fewer in late rounds, so that neighbours don't
-    chase each other; a level ends when no node would gain by a move.
+    chase each other; it ends when no node would gain by a move. A node may also leave for a community of its own, which
+    has a number below zero.
     """
-    labels = cut_lineage(strength.select("node", F.col("node").alias("c")))
+    labels = start
     plain = edges.where("src <> dst")
     for turn in range(max_rounds):
         sized = labels.join(strength, "node")
         totals = sized.groupBy("c").agg(F.sum("k").alias("k_all"))
-        toward = (
-            plain.join(labels.select(F.col("node").alias("dst"), "c"), "dst")
-            .groupBy(F.col("src").alias("node"), "c")
-            .agg(F.sum("w").alias("w_in"))
-        )
         stay = labels.select("node", "c", F.lit(0.0).alias("w_in"))
-        options = toward.unionByName(stay).groupBy("node", "c").agg(F.sum("w_in").alias("w_in"))
+        alone = labels.select("node", (-F.col("node") - 1).alias("c"), F.lit(0.0).alias("w_in"))
+        options = _toward_groups(plain, labels).unionByName(stay).unionByName(alone).groupBy("node", "c").agg(F.sum("w_in").alias("w_in"))
         own = sized.select("node", F.col("c").alias("own"), "k")
-        scored = options.join(own, "node").join(totals, "c")
-        rest = F.col("k_all") - F.when(F.col("c") == F.col("own"), F.col("k")).otherwise(F.lit(0.0))
+        scored = options.join(own, "node").join(totals, "c", "left")
+        rest = F.coalesce("k_all", F.lit(0.0)) - F.when(F.col("c") == F.col("own"), F.col("k")).otherwise(F.lit(0.0))
         gain = F.round(F.col("w_in") - F.lit(resolution) * F.col("k") * rest / F.lit(two_m), 10)
         ranked = scored.select("node", "own", "c", gain.alias("gain"))
         chosen = ranked.groupBy("node").agg(
@@ -53,39 +207,96 @@ def _one_level(edges: DataFrame, strength: DataFrame, two_m: float, resolution:
     raise RuntimeError(f"nodes still move after {max_rounds} rounds")
 
 
-def find_communities(edges: DataFrame, resolution: float = 0.2, seed: int = 42, max_rounds: int = MOST_ROUNDS, max_levels: int = MOST_LEVELS) -> DataFrame:
+def _refined(edges: DataFrame, labels: DataFrame, strength: DataFrame, two_m: float, resolution: float, seed: int, max_rounds: int) -> DataFrame:
+    """(node, c): connected parts of the communities, each named by one of its nodes.
+
+    In a round each part draws a side by a hash. Lone nodes of one side that are well tied to their community join the
+    part of the other side beside them that gains most, so a part grows by edges only and never loses a node. It ends
+    when no lone node has a part beside it that it would gain by joining.
+    """
+    share = F.lit(resolution / two_m)
+    placed = labels.join(strength, "node")
+    ends = labels.select(F.col("node").alias("dst"), F.col("c").alias("cd"))
+    inside = cut_lineage(edges.where("src <> dst").join(labels.select(F.col("node").alias("src"), "c"), "src").join(ends, "dst").where("c = cd").select("src", "dst", "w"))
+    whole = placed.groupBy("c").agg(F.sum("k").alias("k_all"))
+    tie = inside.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("w_c"))
+    tied = placed.join(whole, "c").join(tie, "node").where(F.col("w_c") >= share * F.col("k") * (F.col("k_all") - F.col("k")) - F.lit(LEAST_GAIN))
+    tied = cut_lineage(tied.select("node", "k"))
+    parts = cut_lineage(strength.select("node", F.col("node").alias("c")))
+    for turn in range(max_rounds):
+        sized = parts.join(strength, "node").groupBy("c").agg(F.sum("k").alias("k_all"), F.count("*").alias("n"))
+        lone = parts.join(sized.where("n = 1"), "c").select("node").join(tied, "node")
+        scored = _toward_groups(inside, parts).join(lone, "node").join(sized.select("c", "k_all"), "c")
+        gain = F.round(F.col("w_in") - share * F.col("k") * F.col("k_all"), 10)
+        options = cut_lineage(scored.select("node", "c", gain.alias("gain")).where("gain > 0"))
+        if options.isEmpty():
+            return parts
+        side = F.pmod(F.xxhash64("c", F.lit(seed), F.lit(turn)), F.lit(2))
+        own = F.pmod(F.xxhash64("node", F.lit(seed), F.lit(turn)), F.lit(2))  # a lone node names its own part
+        best = options.where((own == 0) & (side == 1)).groupBy("node").agg(F.max(F.struct("gain", (-F.col("c")).alias("neg"))).alias("b"))
+        joined = parts.join(best, "node", "left")
+        parts = cut_lineage(joined.select("node", F.coalesce(-F.col("b.neg"), F.col("c")).alias("c")))
+    raise RuntimeError(f"parts still grow after {max_rounds} rounds")
+
+
+def find_communities(edges: DataFrame, resolution: float = 0.2, seed: int = 42, max_rounds: int = MOST_ROUNDS, max_levels: int = MOST_LEVELS, small: int = SMALL) -> DataFrame:
     """(node, community) from symmetric (src, dst, w) edges; deterministic for a seed.
 
-    Communities of one level become the nodes of the next until nothing merges. A search that is not at its end after
-    ``max_rounds`` rounds of a level or ``max_levels`` levels is an error.
+    Repeated edges add up; edges with a NULL end or weight, and those of weight 0, are left out. Every community is
+    connected. A level of up to ``small`` edges is finished inside one task with those after it. A search that is not at
+    its end after ``max_rounds`` rounds of a level or ``max_levels`` levels is an error.
     """
-    level = cut_lineage(edges.groupBy("src", "dst").agg(F.sum("w").cast("double").alias("w")))
-    two_m = level.agg(F.sum("w")).first()[0] or 0.0
-    mapping = None
+    level = edges.where("src IS NOT NULL AND dst IS NOT NULL AND w <> 0").groupBy("src", "dst").agg(F.sum("w").cast("double").alias("w"))
+    level = cut_lineage(level)
+    kind = dict(level.dtypes)["src"]
+    size = level.agg(F.sum("w").alias("w"), F.count("*").alias("n")).first()
+    two_m, n_edges = size["w"] or 0.0, size["n"]
+    if n_edges == 0:
+        return edges.select(F.col("src").alias("node"), F.col("src").alias("community")).where("false")
+    nodes = cut_lineage(level.select(F.col("src").alias("node")).distinct().select("node", F.col("node").alias("c")))
+    mapping, start = nodes, nodes
     for _ in range(max_levels):
+        if n_edges <= small:
+
+            def finish(group: pd.DataFrame) -> pd.DataFrame:
+                return _finish(group, resolution, seed)
+
+            known = level.join(start.select(F.col("node").alias("src"), F.col("c").alias("cs")), "src").join(start.select(F.col("node").alias("dst"), F.col("c").alias("cd")), "dst")
+            last = known.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(finish, f"node {kind}, c {kind}")
+            break
         strength = cut_lineage(level.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k")))
-        if two_m == 0:
+        labels = _moved(level, start, strength, two_m, resolution, seed, max_rounds)
+        n_nodes = labels.count()
+        if labels.select("c").distinct().count() == n_nodes:
+            last = labels
             break
-        labels = _one_level(level, strength, two_m, resolution, seed, max_rounds)
-        mapping = labels if mapping is None else mapping.join(
-            labels.select(F.col("node").alias("c"), F.col("c").alias("_c")), "c"
-        ).select("node", F.col("_c").alias("c"))
-        mapping = cut_lineage(mapping)
-        merged = (
-            level.join(labels.select(F.col("node").alias("src"), F.col("c").alias("cs")), "src")
-            .join(labels.select(F.col("node").alias("dst"), F.col("c").alias("cd")), "dst")
-            .groupBy(F.col("cs").alias("src"), F.col("cd").alias("dst"))
-            .agg(F.sum("w").alias("w"))
-        )
-        before = strength.count()
-        level = cut_lineage(merged)
-        if level.select("src").distinct().count() == before:
+        parts = _refined(level, labels, strength, two_m, resolution, seed, max_rounds)
+        if parts.select("c").distinct().count() == n_nodes:  # only ties hold the communities together
+            last = _split(level, labels)
             break
+        mapping = cut_lineage(_followed(mapping, parts))
+        ends = parts.select(F.col("node").alias("dst"), F.col("c").alias("cd"))
+        merged = level.join(parts.select(F.col("node").alias("src"), F.col("c").alias("cs")), "src").join(ends, "dst")
+        level = cut_lineage(merged.groupBy(F.col("cs").alias("src"), F.col("cd").alias("dst")).agg(F.sum("w").alias("w")))
+        n_edges = level.count()
+        start = cut_lineage(labels.join(parts.select("node", F.col("c").alias("part")), "node").groupBy("part").agg(F.first("c").alias("c")).select(F.col("part").alias("node"), "c"))
     else:
         raise RuntimeError(f"communities still merge after {max_levels} levels")
-    if mapping is None:
-        mapping = edges.select(F.col("src").alias("node"), F.col("src").alias("c")).distinct()
-    return mapping.select("node", F.col("c").alias("community"))
+    found = cut_lineage(_followed(mapping, last))
+    return found.join(found.groupBy("c").agg(F.min("node").alias("community")), "c").select("node", "community")
+
+
+def _split(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, c): the connected parts of the communities."""
+    ends = labels.select(F.col("node").alias("b"), F.col("c").alias("cb"))
+    inside = edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).join(labels.withColumnRenamed("node", "a"), "a").join(ends, "b").where("c = cb AND a <> b")
+    joined = connected_nodes(inside.select("a", "b"))
+    return labels.select("node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("c"))
+
+
+def _followed(mapping: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, c) one step on: c is looked up as a node of ``labels``."""
+    return mapping.join(labels.select(F.col("node").alias("c"), F.col("c").alias("_c")), "c").select("node", F.col("_c").alias("c"))
 
 
 def name_by_size(members: DataFrame, one_indexed: bool = True) -> DataFrame:

@@ -1,9 +1,10 @@
 """Exact nearest neighbours and the weighted graph built on them.
 
-Every cell lies in the ball of its nearest pivot. A ball whose near side is farther than a cell's
-current k-th neighbour cannot improve it and is skipped (triangle inequality), so results are exact.
-Balls and the queries sent to them are cut into blocks of bounded size: one task compares one block
-with one block, and only the k best per query leave it.
+Vectors are dealt down a tree of pivots until a leaf holds about a block of them, so that the number of leaves grows with
+the rows. A leaf finds the neighbours among its own vectors first; another leaf can only matter if it lies nearer than the
+farthest of those (triangle inequality), and the pairs of leaves that can are found by walking down the tree. Only then
+are vectors sent: a leaf that is asked sends one byte per component with an error bound per vector, the asking leaf stays
+whole. Pairs that the bounds leave open are settled on the full vectors, so results are exact.
 """
 
 from __future__ import annotations
@@ -12,13 +13,17 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tissuegrid.runtime import cut_lineage
 
-MAX_PIVOTS = 1024
+#: Children of a tree node, levels after which leaves are cut by a hash, leaves compared with one leaf in one task.
+FAN, MOST_LEVELS, TOGETHER = 256, 12, 16
+#: Rows of a distance matrix held at once.
+STRIP = 512
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
@@ -27,27 +32,50 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
     return vectors.withColumn("v", F.expr(f"transform(v, x -> coalesce(try_divide(x, {norm}), CAST(0 AS DOUBLE)))"))
 
 
+def sound_vectors(vectors: DataFrame) -> DataFrame:
+    """Rows with an id and a vector without NULL, NaN or infinite components."""
+    sound = "forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"
+    return vectors.where(f"id IS NOT NULL AND v IS NOT NULL AND size(v) > 0 AND {sound}")
+
+
+def _rows(column) -> np.ndarray:
+    """A list column as a matrix."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
     return np.sqrt(np.maximum(sq, 0))
 
 
-def _nearest_in_block(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
-    """k nearest rows of the block for each query; near ties are settled on directly computed distances."""
-    a, b = np.stack(queries["v"].to_numpy()), np.stack(data["other_v"].to_numpy())
-    src, dst = queries["id"].to_numpy(), data["other_id"].to_numpy()
-    d = _distances(a, b)
-    d[src[:, None] == dst[None, :]] = np.inf
-    keep = min(k, d.shape[1])
-    limit = np.partition(d, keep - 1, axis=1)[:, keep - 1]
-    slack = 1e-6 * (1 + np.abs(a).max() + np.abs(b).max())
-    rows, cols = np.nonzero((d <= (limit + slack)[:, None]) & np.isfinite(d))
-    exact = np.sqrt(((a[rows] - b[cols]) ** 2).sum(1))
-    order = np.lexsort((dst[cols], exact, rows))
-    rows, cols, exact = rows[order], cols[order], exact[order]
-    start = np.searchsorted(rows, rows)
-    best = np.arange(len(rows)) - start < k
-    return pd.DataFrame({"src": src[rows[best]], "dst": dst[cols[best]], "dist": exact[best]})
+def _slack(a: np.ndarray, b: np.ndarray) -> float:
+    """More than the products of ``_distances`` can be off by."""
+    return 1e-6 * (1 + np.abs(a).max(initial=0) + np.abs(b).max(initial=0))
+
+
+def _directly(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.sqrt(((a - b) ** 2).sum(1))
+
+
+def _nearest_inside(v: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and distances of the k nearest others of each row, missing ones as -1 and inf; near ties are settled directly."""
+    n, keep = len(v), min(k, len(v) - 1)
+    near, far = np.full((n, k), -1, dtype=np.int64), np.full((n, k), np.inf)
+    for first in range(0, n if keep else 0, STRIP):
+        part = v[first: first + STRIP]
+        d = _distances(part, v)
+        d[np.arange(len(part)), np.arange(first, first + len(part))] = np.inf
+        limit = np.partition(d, keep - 1, axis=1)[:, keep - 1]
+        rows, cols = np.nonzero((d <= (limit + _slack(part, v))[:, None]) & np.isfinite(d))
+        exact = _directly(part[rows], v[cols])
+        order = np.lexsort((ids[cols], exact, rows))
+        rows, cols, exact = rows[order], cols[order], exact[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        best = place < k
+        near[first + rows[best], place[best]] = ids[cols[best]]
+        far[first + rows[best], place[best]] = exact[best]
+    return near, far
 
 
 def _best(candidates: DataFrame, k: int) -> DataFrame:
@@ -55,41 +83,196 @@ def _best(candidates: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _search(queries: DataFrame, data: DataFrame, counts: np.ndarray, k: int, block: int) -> DataFrame:
-    """Best k of the targeted balls. ``queries``: id, v, targets. ``data``: id, v, ball."""
-    parts = np.maximum(1, np.ceil(counts / block)).astype(int)
-    asked = queries.select("id", "v", F.explode("targets").alias("ball"))
-    load = {r.ball: r.n for r in asked.groupBy("ball").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chunks = np.array([max(1, math.ceil(load.get(i, 0) / block)) for i in range(len(counts))])
-    n_parts = F.element_at(F.array(*[F.lit(int(p)) for p in parts]), F.col("ball") + 1)
-    n_chunks = F.element_at(F.array(*[F.lit(int(c)) for c in chunks]), F.col("ball") + 1)
-    slot = F.xxhash64("id", F.lit(7))
-    q = asked.withColumn("chunk", F.pmod(slot, n_chunks).cast("int")).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), n_parts - 1))
-    )
-    d = data.withColumn("part", F.pmod(slot, n_parts).cast("int")).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), n_chunks - 1))
-    )
-    keys = ["ball", "part", "chunk"]
-    d = d.select(F.col("id").alias("other_id"), F.col("v").alias("other_v"), *[F.col(c).alias(f"other_{c}") for c in keys])
-
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"src": [], "dst": [], "dist": []}).astype({"src": "int64", "dst": "int64"})
-        return _nearest_in_block(left, right, k)
+# --- the tree --------------------------------------------------------------------------------------
 
-    right_keys = [f"other_{c}" for c in keys]
-    return q.groupBy(*keys).cogroup(d.groupBy(*right_keys)).applyInPandas(compare, "src long, dst long, dist double")
 
+def _leaves(points: DataFrame, block: int, fan: int) -> DataFrame:
+    """(id, v, node): every vector with the leaf it fell into; a leaf holds at most twice ``block`` of them.
 
-def nearest(vectors: DataFrame, k: int = 10, metric: str = "l2", block: int = 2048, pivots: int | None = None) -> DataFrame:
+    Nodes that hold more are split by pivots picked by a hash: each vector goes to the nearest. The name of a node is the
+    way to it. Pivots of a node are one row of at most ``fan`` vectors.
+    """
+    placed = points.select("id", "v", F.lit("").alias("node"))
+    for level in range(MOST_LEVELS + 1):
+        sizes = placed.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > 2 * block)
+        if sizes.isEmpty():
+            return placed
+        if level == MOST_LEVELS:
+            part = F.pmod(F.xxhash64("id", F.lit(17)), F.ceil(F.col("n") / block)).cast("string")
+            cut = placed.join(sizes, "node", "left")
+            return cut.select("id", "v", F.when(F.col("n").isNull(), F.col("node")).otherwise(F.concat_ws(".", "node", part)).alias("node"))
+        crowd = placed.join(sizes, "node").withColumn("place", F.row_number().over(W.partitionBy("node").orderBy(F.xxhash64("id", F.lit(11 + level)), "id")))
+        picked = crowd.where(F.col("place") <= fan).where(F.col("place") <= F.ceil(F.col("n") / block)).groupBy("node")
+        pivots = picked.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda e: e["v"])).alias("pivots"))
+
+        def fall(batches):
+            known = {}
+            for batch in batches:
+                coded, v = batch.column(2).dictionary_encode(), _rows(batch.column(1))
+                at_node, out = coded.indices.to_numpy(), np.array(batch.column(2).to_pylist(), dtype=object)
+                for i, name in enumerate(coded.dictionary.to_pylist()):
+                    at = np.flatnonzero(at_node == i)
+                    mine = batch.column(3)[int(at[0])]
+                    if mine.is_valid:
+                        if name not in known:
+                            known = {name: np.asarray(mine.values).reshape(-1, v.shape[1])}
+                        out[at] = [f"{name}.{j}" for j in _distances(v[at], known[name]).argmin(1)]
+                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out.tolist(), pa.string())], ["id", "v", "node"])
+
+        placed = cut_lineage(placed.join(pivots, "node", "left").select("id", "v", "node", "pivots").mapInArrow(fall, "id long, v array<double>, node string"))
+    return placed
+
+
+PACK = "node string, n long, centre array<double>, radius double, reach double, whole binary, brief binary, home binary"
+
+
+def _pack(k: int):
+    def pack(table: pa.Table) -> pa.Table:
+        ids, v = table.column("id").to_numpy(), _rows(table.column("v"))
+        centre = v.mean(0)
+        near, far = _nearest_inside(v, ids, k)
+        scale = np.abs(v).max(1) / 127
+        scale[scale == 0] = 1.0
+        code = np.rint(v / scale[:, None]).astype(np.int8)
+        error = np.sqrt(((v - code * scale[:, None]) ** 2).sum(1)) * (1 + 1e-9)
+        whole = ids.tobytes() + far[:, -1].tobytes() + v.tobytes()
+        brief = ids.tobytes() + scale.tobytes() + error.tobytes() + code.tobytes()
+        row = [table.column("node")[0].as_py(), len(ids), centre.tolist(), float(_distances(v, centre[None]).max() + _slack(v, v)), float(far[:, -1].max())]
+        names = [part.split()[0] for part in PACK.split(", ")]
+        types = [pa.string(), pa.int64(), pa.list_(pa.float64()), pa.float64(), pa.float64(), *[pa.binary()] * 3]
+        return pa.table([pa.array([x], t) for x, t in zip([*row, whole, brief, near.tobytes() + far.tobytes()], types)], names=names)
+
+    return pack
+
+
+def _home(k: int):
+    def unpack(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                n = row["n"]
+                ids = np.frombuffer(row["whole"], dtype=np.int64, count=n)
+                near = np.frombuffer(row["home"], dtype=np.int64, count=n * k)
+                far = np.frombuffer(row["home"], dtype=np.float64, offset=8 * n * k)
+                there = np.isfinite(far)
+                yield pa.record_batch([pa.array(np.repeat(ids, k)[there]), pa.array(near[there]), pa.array(far[there])], ["src", "dst", "dist"])
+
+    return unpack
+
+
+def _apart(a: str, b: str) -> str:
+    return f"sqrt(aggregate(zip_with({a}, {b}, (x, y) -> (x - y) * (x - y)), CAST(0 AS DOUBLE), (s, x) -> s + x))"
+
+
+def _tree(leaves: DataFrame) -> tuple[DataFrame, int]:
+    """(parent, node, depth, centre, radius, leaf) of every node under the root, and the depth of the tree.
+
+    Built from the leaves upward: a node's ball holds the balls of its children, of which there are at most a fan.
+    """
+    deep = F.size(F.split("node", r"\.")) - 1
+    plain = leaves.select("node", deep.alias("depth"), "centre", "radius", F.lit(True).alias("leaf"))
+    levels, depth = [], plain.agg(F.max("depth")).first()[0] or 0
+    up = F.expr("substring_index(node, '.', depth)")
+    inner = None
+    for d in range(depth, 0, -1):
+        here = plain.where(F.col("depth") == d)
+        if inner is not None:
+            here = here.unionByName(inner)
+        here = here.withColumn("parent", up)
+        levels.append(here)
+        middle = here.withColumn("i", F.explode(F.sequence(F.lit(0), F.size("centre") - 1))).groupBy("parent", "i").agg(F.avg(F.expr("centre[i]")).alias("x"))
+        middle = middle.groupBy("parent").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda e: e["x"]).alias("middle"))
+        reach = F.expr(f"{_apart('centre', 'middle')} + radius")
+        inner = cut_lineage(here.join(middle, "parent").groupBy("parent").agg(F.max(reach).alias("radius"), F.first("middle").alias("centre"))) if d > 1 else None
+        if inner is not None:
+            inner = inner.select(F.col("parent").alias("node"), F.lit(d - 1).alias("depth"), "centre", F.expr("radius * (1 + 1e-9)").alias("radius"), F.lit(False).alias("leaf"))
+    nodes = levels[0]
+    for more in levels[1:]:
+        nodes = nodes.unionByName(more)
+    return cut_lineage(nodes), depth
+
+
+def _meetings(leaves: DataFrame) -> DataFrame:
+    """(node, other): pairs of leaves where a vector of the first may have a neighbour in the second."""
+    nodes, depth = _tree(leaves)
+    asking = leaves.select(F.col("node").alias("asks"), F.col("centre").alias("mine"), (F.col("radius") + F.col("reach")).alias("upto"))
+    found, front = None, asking.withColumn("parent", F.lit(""))
+    for d in range(1, depth + 1):
+        step = front.join(nodes.where(F.col("depth") == d), "parent").where("NOT leaf OR node <> asks")
+        step = cut_lineage(step.where(f"{_apart('mine', 'centre')} <= (upto + radius) * (1 + 1e-9)").select("asks", "mine", "upto", "node", "leaf"))
+        pairs = step.where("leaf").select(F.col("asks").alias("node"), F.col("node").alias("other"))
+        found = pairs if found is None else found.unionByName(pairs)
+        front = step.where("NOT leaf").select("asks", "mine", "upto", F.col("node").alias("parent"))
+    return found
+
+
+def _compare(k: int):
+    def compare(asking: pa.Table, asked: pa.Table) -> pa.Table:
+        out = []
+        if len(asking) and len(asked):
+            n, raw = asking.column("n")[0].as_py(), asking.column("whole")[0].as_py()
+            src, limit = np.frombuffer(raw, dtype=np.int64, count=n), np.frombuffer(raw, dtype=np.float64, count=n, offset=8 * n).copy()
+            a = np.frombuffer(raw, dtype=np.float64, offset=16 * n).reshape(n, -1)
+            for row in asked.select(["m", "brief"]).to_pylist():
+                m, raw = row["m"], row["brief"]
+                dst, scale, error = np.frombuffer(raw, dtype=np.int64, count=m), *np.frombuffer(raw, dtype=np.float64, count=2 * m, offset=8 * m).reshape(2, m)
+                b = np.frombuffer(raw, dtype=np.int8, offset=24 * m).reshape(m, -1) * scale[:, None]
+                for first in range(0, n, STRIP):
+                    part = slice(first, first + STRIP)
+                    d = _distances(a[part], b)
+                    high = d + (error + _slack(a[part], b))[None]
+                    if m >= k:
+                        limit[part] = np.minimum(limit[part], np.partition(high, k - 1, axis=1)[:, k - 1])
+                    low = d - (error + _slack(a[part], b))[None]
+                    rows, cols = np.nonzero(low <= limit[part][:, None])
+                    out.append((first + rows, dst[cols], low[rows, cols], high[rows, cols]))
+        at, to, low, high = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0))
+        if len(at):
+            still = low <= limit[at]
+            at, to, low, high = src[at[still]], to[still], low[still], high[still]
+        return pa.table({"src": pa.array(at, pa.int64()), "dst": pa.array(to, pa.int64()), "low": low, "high": high})
+
+    return compare
+
+
+def _nearest_distinct(points: DataFrame, k: int, block: int, fan: int) -> DataFrame:
+    """k nearest among distinct vectors: first inside the own leaf, then in leaves that can still matter."""
+    packs = cut_lineage(_leaves(points, block, fan).groupBy("node").applyInArrow(_pack(k), PACK))
+    home = packs.select("n", "whole", "home").mapInArrow(_home(k), "src long, dst long, dist double")
+    if packs.where("node <> ''").isEmpty():  # a single leaf
+        return home
+    meet = _meetings(packs.select("node", "centre", "radius", "reach"))
+    parts = F.ceil(F.count("*").over(W.partitionBy("node")) / F.lit(TOGETHER))
+    meet = cut_lineage(meet.withColumn("part", F.pmod(F.xxhash64("other"), parts).cast("int")))
+    asking = meet.select("node", "part").distinct().join(packs.select("node", "n", "whole"), "node")
+    asked = meet.join(packs.select(F.col("node").alias("other"), F.col("n").alias("m"), "brief"), "other").select(F.col("node").alias("to"), F.col("part").alias("of"), "m", "brief")
+    open_pairs = cut_lineage(asking.groupBy("node", "part").cogroup(asked.groupBy("to", "of")).applyInArrow(_compare(k), "src long, dst long, low double, high double"))
+
+    # Only pairs whose lower bound is not over the k-th upper bound of all are looked at in full.
+    both = open_pairs.unionByName(home.select("src", F.lit(None).cast("long").alias("dst"), F.col("dist").alias("low"), F.col("dist").alias("high")))
+    mine = W.partitionBy("src")
+    placed = both.withColumn("place", F.row_number().over(mine.orderBy("high")))
+    kth = F.max(F.when(F.col("place") <= k, F.col("high"))).over(mine)
+    left = placed.withColumn("kth", kth).where("dst IS NOT NULL AND low <= kth").select("src", "dst")
+    there = points.select(F.col("id").alias("src"), F.col("v").alias("a"))
+    other = points.select(F.col("id").alias("dst"), F.col("v").alias("b"))
+
+    def settle(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(_directly(np.stack(a.to_numpy()), np.stack(b.to_numpy())) if len(a) else np.zeros(0))
+
+    settled = left.join(there, "src").join(other, "dst").select("src", "dst", F.pandas_udf(settle, "double")("a", "b").alias("dist"))
+    return _best(home.unionByName(settled), k).drop("rank")
+
+
+def nearest(vectors: DataFrame, k: int = 10, metric: str = "l2", block: int = 2048, pivots: int = FAN) -> DataFrame:
     """(src, dst, dist, rank) of the k nearest others; ties go to the smaller id.
 
-    ``vectors``: id bigint, v array<double>. Copies of a vector are searched for once: a group of equal
-    vectors enters with its smallest id, and as no row needs more than k of the copies, only the first
-    k + 1 ids of a group can ever be anyone's neighbour.
+    ``vectors``: id bigint, v array<double>. Rows without an id, and those whose vector is NULL, empty or holds a NULL,
+    NaN or infinite component, neither ask nor answer. Vectors of different lengths are an error. Copies of a vector
+    are searched for once: a group of equal vectors enters with its smallest id, and as no row needs more than k of the
+    copies, only the first k + 1 ids of a group can ever be anyone's neighbour.
     """
     points = vectors.select(F.col("id").cast("bigint").alias("id"), F.col("v").cast("array<double>").alias("v"))
+    points = sound_vectors(points)
     if metric == "cosine":
         points = unit_vectors(points)
     elif metric != "l2":
@@ -97,9 +280,7 @@ def nearest(vectors: DataFrame, k: int = 10, metric: str = "l2", block: int = 20
     heads = points.withColumn("place", F.row_number().over(W.partitionBy("v").orderBy("id"))).where(F.col("place") <= k + 1)
     groups = heads.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     distinct = cut_lineage(groups.select(F.col("ids")[0].alias("id"), "v", "ids"))
-    reps = distinct.select("id", "v")
-    n = distinct.count()
-    found = _nearest_distinct(reps, n, k, block, pivots)
+    found = _nearest_distinct(distinct.select("id", "v"), k, block, pivots)
 
     # Neighbour groups bring their first ids, the own group its first ids at distance 0.
     ids = distinct.select(F.col("id").alias("dst"), "ids")
@@ -119,46 +300,6 @@ def nearest(vectors: DataFrame, k: int = 10, metric: str = "l2", block: int = 20
     )
 
 
-def _nearest_distinct(points: DataFrame, n: int, k: int, block: int, pivots: int | None) -> DataFrame:
-    """k nearest among distinct vectors: first inside the own ball, then in balls that can still matter."""
-    wanted = pivots or max(1, min(MAX_PIVOTS, n // (2 * block)))
-    chosen = points.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(wanted).collect()
-    if not chosen:
-        return points.where("false").select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("dist"))
-    centres = np.array([r.v for r in chosen], dtype=float).reshape(len(chosen), -1)
-
-    def ball_of(v: pd.Series) -> pd.DataFrame:
-        d = _distances(np.stack(v.to_numpy()), centres)
-        at = d.argmin(1)
-        return pd.DataFrame({"ball": at.astype("int32"), "far": d[np.arange(len(at)), at]})
-
-    placed = points.withColumn("_p", F.pandas_udf(ball_of, "ball int, far double")("v")).select("id", "v", "_p.ball", "_p.far")
-    placed = cut_lineage(placed)
-    stats = {r.ball: (r.n, r.far) for r in placed.groupBy("ball").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
-    counts = np.array([stats.get(i, (0, 0.0))[0] for i in range(len(centres))])
-    radius = np.array([stats.get(i, (0, 0.0))[1] for i in range(len(centres))])
-    data = placed.select("id", "v", "ball")
-    home = _search(placed.select("id", "v", F.array("ball").alias("targets")), data, counts, k, block)
-    if len(centres) == 1:
-        return _best(home, k).drop("rank")
-    home = cut_lineage(_best(home, k).drop("rank"))
-    bound = home.groupBy(F.col("src").alias("id")).agg(F.max("dist").alias("_d"), F.count(F.lit(1)).alias("_n"))
-    limited = placed.join(bound, "id", "left").withColumn(
-        "limit", F.when(F.col("_n") >= k, F.col("_d")).otherwise(F.lit(float("inf")))
-    )
-
-    def reachable(v: pd.Series, ball: pd.Series, limit: pd.Series) -> pd.Series:
-        near_side = _distances(np.stack(v.to_numpy()), centres) - radius[None, :]
-        far = limit.to_numpy()[:, None]
-        ok = (near_side <= far + 1e-6 * (1 + np.abs(near_side))) & (counts > 0)[None, :]
-        ok[np.arange(len(ball)), ball.to_numpy()] = False
-        return pd.Series([np.flatnonzero(r).astype("int32") for r in ok])
-
-    away = limited.withColumn("targets", F.pandas_udf(reachable, "array<int>")("v", "ball", "limit"))
-    more = _search(away.select("id", "v", "targets"), data, counts, k, block)
-    return _best(home.unionByName(more), k).drop("rank")
-
-
 # --- graph weights -----------------------------------------------------------------------------
 
 
