@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tissuegrid.functions.special import two_sided_p
-from tissuegrid.operators.orderstats import ranked_counts
+from tissuegrid.operators.orderstats import counted_values, ranks_of
+from tissuegrid.runtime import cut_lineage
 
 EPSILON = 1e-9
 
@@ -27,11 +28,17 @@ def align(norm: DataFrame, raw: DataFrame, clusters: DataFrame, markers: Sequenc
     )
 
 
+def counted(long: DataFrame, pieces: int | None = None) -> DataFrame:
+    """Stage table (feature, cluster, v, n, raw) of equal values counted together; what follows reads only this."""
+    return counted_values(long, ["feature"], "v", ["cluster"], ["raw"], pieces)
+
+
 def cluster_and_rest(long: DataFrame) -> DataFrame:
     """Counts and means of both value columns in the cluster and in everything else."""
-    part = long.groupBy("feature", "cluster").agg(
-        F.count("v").alias("n1"), F.sum("v").alias("s1"), F.sum("raw").alias("r1")
-    )
+    return _cluster_and_rest(long.groupBy("feature", "cluster").agg(F.count("v").alias("n1"), F.sum("v").alias("s1"), F.sum("raw").alias("r1")))
+
+
+def _cluster_and_rest(part: DataFrame) -> DataFrame:
     whole = part.groupBy("feature").agg(
         F.sum("n1").alias("n"), F.sum("s1").alias("s"), F.sum("r1").alias("r")
     )
@@ -48,9 +55,9 @@ def cluster_and_rest(long: DataFrame) -> DataFrame:
     )
 
 
-def rank_sums(long: DataFrame, pieces: int | None = None) -> DataFrame:
+def rank_sums(counts: DataFrame) -> DataFrame:
     """Sum of tie-averaged ranks per (feature, cluster); each marker is ranked once for all clusters."""
-    ranked = ranked_counts(long, ["feature"], "v", carry=["cluster"], pieces=pieces)
+    ranked = ranks_of(counts, ["feature"], "v")
     share = F.col("n") * (F.col("below") + (F.col("ties") + 1) / F.lit(2.0))
     return ranked.groupBy("feature", "cluster").agg(F.sum(share).alias("rank_sum"))
 
@@ -93,7 +100,10 @@ def with_fold_changes(df: DataFrame) -> DataFrame:
 
 def one_vs_rest(long: DataFrame, pieces: int | None = None) -> DataFrame:
     """Full test table, one row per (cluster, feature), from long (cluster, feature, v, raw) rows."""
-    joined = cluster_and_rest(long).join(rank_sums(long, pieces), ["feature", "cluster"])
+    counts = counted(long, pieces)
+    n = F.when(F.col("v").isNotNull(), F.col("n"))
+    part = counts.groupBy("feature", "cluster").agg(F.coalesce(F.sum(n), F.lit(0)).alias("n1"), F.sum(F.col("v") * n).alias("s1"), F.sum("raw").alias("r1"))
+    joined = _cluster_and_rest(part).join(rank_sums(counts), ["feature", "cluster"])
     tested = benjamini_hochberg(with_rank_test(joined))
     return with_fold_changes(tested).select(
         "cluster",
@@ -134,8 +144,13 @@ def fold_change_matrix(
     top_n: int | None = None,
     features: Sequence[str] | None = None,
 ) -> DataFrame:
-    """cluster × marker matrix; unknown entries are 0. The panel gives the column list."""
+    """cluster × marker matrix; unknown entries are 0. The panel gives the column list.
+
+    Where the list has to be found out, the results are written first, so that the test runs once.
+    """
     column = fold_change_column(use_log, use_raw)
+    if top_n is not None or features is None:
+        results = cut_lineage(results)
     if top_n is not None:
         picked = top_marker_union(results, column, top_n)
         features = sorted(r.feature for r in picked.collect())

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tissuegrid.runtime import fanout
+from tissuegrid.runtime import cut_lineage, fanout
 
 
 SPLIT_SAMPLE = 0.05
@@ -91,6 +91,29 @@ def ranked_counts(
     )
 
 
+def counted_values(df: DataFrame, keys: Sequence[str], value: str, carry: Sequence[str] = (), sums: Sequence[str] = (), pieces: int | None = None) -> DataFrame:
+    """Stage table from which ranks, quantiles, counts and means are taken: the source is read once for all of them.
+
+    One row per (keys, value, carry) with ``n`` rows and the sums of other columns, sorted into ranges of (keys, value);
+    ``_bucket`` is the range. A range holds a bounded share of the rows, so (keys, _bucket) is a safe window key; NULL
+    and NaN values are rows too.
+    """
+    pieces = pieces or fanout(df.sparkSession)
+    totals = [F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums]]
+    counts = df.groupBy(*keys, value, *carry).agg(*totals)
+    return cut_lineage(counts.repartitionByRange(pieces, *keys, value).withColumn("_bucket", F.spark_partition_id()))
+
+
+def ranks_of(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``ranked_counts`` of a table made by ``counted_values``."""
+    keys = list(keys)
+    known = counts.where(_known(value))
+    spread = known.join(bucket_offsets(known, keys, "_bucket", "n", "_before"), [*keys, "_bucket"])
+    upto = F.sum("n").over(W.partitionBy(*keys, "_bucket").orderBy(value).rangeBetween(W.unboundedPreceding, W.currentRow))
+    ties = F.sum("n").over(W.partitionBy(*keys, "_bucket", value))
+    return spread.withColumn("ties", ties).withColumn("below", F.col("_before") + upto - F.col("ties")).withColumnRenamed("_total", "total").drop("_bucket", "_before")
+
+
 def corrected_levels(df: DataFrame, group: str, p: str, name: str = "p_value_corrected", pieces: int | None = None) -> DataFrame:
     """Step-up corrected levels for groups of any size: p · m / rank, lowered to the smallest later one.
 
@@ -119,9 +142,12 @@ def quantiles(
     pieces: int | None = None,
 ) -> DataFrame:
     """Linear-interpolation quantiles per group, one column per named probability."""
-    keys = list(keys)
-    ranked = ranked_counts(df, keys, value, pieces=pieces)
-    picks = []
+    return quantiles_of(ranked_counts(df, list(keys), value, pieces=pieces), keys, value, probs)
+
+
+def quantiles_of(ranked: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """``quantiles`` of counts that have their ranks."""
+    keys, picks = list(keys), []
     for name, p in probs.items():
         at = (F.col("total") - 1) * F.lit(float(p))
         upto = F.col("below") + F.col("ties")
@@ -159,6 +185,54 @@ def positions(df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence
     )
 
 
+def numbered(df: DataFrame, order: Sequence[str], name: str = "position", pieces: int | None = None) -> DataFrame:
+    """1-based place of each row in the order of columns of any type, such as texts; NULL comes first.
+
+    Rows are sorted into ranges, the ranges are written, and each range is numbered from its offset: no task sees more
+    than a range. Rows equal in all of ``order`` share a range and are numbered in any order.
+    """
+    pieces = pieces or fanout(df.sparkSession)
+    ranged = cut_lineage(df.repartitionByRange(pieces, *order).withColumn("_bucket", F.spark_partition_id()))
+    offsets = bucket_offsets(ranged.withColumn("_one", F.lit(1)), [], "_bucket", "_one", "_before").drop("_total")
+    within = F.row_number().over(W.partitionBy("_bucket").orderBy(*order))
+    return ranged.join(offsets, "_bucket").withColumn(name, (F.col("_before") + within).cast("bigint")).drop("_bucket", "_before")
+
+
+#: Ways a rank is split at each level of ``smaller_pairs``.
+RADIX = 16
+
+
+def smaller_pairs(counts: DataFrame, a: str, rank: str, n: str, total: int, pieces: int | None = None) -> DataFrame:
+    """One row (pairs): Σ nᵢ · nⱼ over rows with aⱼ < aᵢ and rankⱼ < rankᵢ, without forming pairs of rows.
+
+    ``rank`` is a whole number below ``total`` that orders the second axis. Two ranks differ first at one digit; so the
+    pairs are counted digit by digit among rows that agree on the digits before: along ``a``, running sums of every
+    digit say how many rows of a smaller digit went before. Running sums are kept per bucket of ``a`` and joined by
+    offsets, and rows of one ``a`` are one row of 16 sums, so what a task holds does not depend on the number of rows.
+    """
+    levels = max(1, math.ceil(math.log(max(2, total), RADIX)))
+    while RADIX**levels < total:
+        levels += 1
+    cut = put_in_bucket(counts, a, value_splits(counts, a, pieces), "_bucket").where(F.col(a).isNotNull())
+    step = F.expr(f"shiftright(CAST(`{rank}` AS BIGINT), 4 * ({levels - 1} - _level))")
+    dealt = cut.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).withColumn("_step", step)
+    dealt = dealt.withColumn("_prefix", F.shiftright("_step", 4)).withColumn("_digit", F.col("_step") % RADIX)
+    keys = ["_level", "_prefix", "_bucket"]
+    sums = [F.sum(F.when(F.col("_digit") == i, F.col(n)).otherwise(F.lit(0))).alias(f"_n{i}") for i in range(RADIX)]
+    rows = dealt.groupBy(*keys, a).agg(*sums)
+    per_bucket = dealt.groupBy(*keys).agg(*sums)
+    before = W.partitionBy("_level", "_prefix").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    offsets = per_bucket.select(*keys, *[F.coalesce(F.sum(f"_n{i}").over(before), F.lit(0)).alias(f"_o{i}") for i in range(RADIX - 1)])
+    inside = W.partitionBy(*keys).orderBy(a).rowsBetween(W.unboundedPreceding, -1)
+    run = rows.join(offsets, keys).select(
+        *[f"_n{i}" for i in range(1, RADIX)],
+        *[(F.col(f"_o{i}") + F.coalesce(F.sum(f"_n{i}").over(inside), F.lit(0))).alias(f"_r{i}") for i in range(RADIX - 1)],
+    )
+    exact = "CAST({} AS DECIMAL(19, 0))"
+    terms = [f"{exact.format(f'_n{i}')} * {exact.format('(' + ' + '.join(f'_r{j}' for j in range(i)) + ')')}" for i in range(1, RADIX)]
+    return run.agg(F.coalesce(F.sum(F.expr(" + ".join(terms))), F.lit(0)).cast("double").alias("pairs"))
+
+
 def running_before(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, block: int = 4096) -> DataFrame:
     """Sum of ``value`` over the rows before this one by an integer ``order`` column.
 

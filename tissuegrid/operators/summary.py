@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tissuegrid.functions.text import channel_number
-from tissuegrid.operators.orderstats import positions, put_in_bucket, quantiles, ranked_counts, value_splits
+from tissuegrid.operators.orderstats import counted_values, numbered, positions, quantiles, quantiles_of, ranked_counts, ranks_of, smaller_pairs
 from tissuegrid.operators.qc import has_content
 from tissuegrid.runtime import cut_lineage, fanout
 
@@ -37,23 +37,19 @@ def channel_dropout(df: DataFrame, share: float, channels: Sequence[str], draw:
 def marker_statistics(long: DataFrame) -> DataFrame:
     """Per marker: mean, median, sample deviation, range, threshold and positive share.
 
-    The threshold is the median for nuclear stains, else median plus one deviation.
+    The threshold is the median for nuclear stains, else median plus one deviation. All of it comes from one table of
+    counted values.
     """
-    base = long.groupBy("feature").agg(
-        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")
-    ).join(quantiles(long, ["feature"], "v", {"median": 0.5}), "feature")
+    counts = counted_values(long, ["feature"], "v").where(F.col("v").isNotNull())
+    base = counts.groupBy("feature").agg(F.sum("n").alias("_n"), F.try_divide(F.sum(F.col("v") * F.col("n")), F.sum("n")).alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
+    apart = F.sum(F.col("n") * F.pow(F.col("v") - F.col("mean"), 2))
+    spread = counts.join(base.select("feature", "mean"), "feature").groupBy("feature").agg(apart.alias("_squares"))
+    median = quantiles_of(ranks_of(counts, ["feature"], "v"), ["feature"], "v", {"median": 0.5})
+    stats = base.join(spread, "feature").join(median, "feature", "left").withColumn("std", F.when(F.col("_n") > 1, F.sqrt(F.col("_squares") / (F.col("_n") - 1))))
     nuclear = F.upper("feature").rlike("DAPI|HOECHST")
-    stats = base.withColumn("positive_threshold", F.when(nuclear, F.col("median")).otherwise(F.col("median") + F.col("std")))
-    # Counting needs the threshold next to every value; equal values are counted together first.
-    counts = long.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
-    positive = (
-        counts.join(stats.select("feature", "positive_threshold"), "feature")
-        .groupBy("feature")
-        .agg(
-            F.coalesce(F.sum(F.when(F.col("v") > F.col("positive_threshold"), F.col("n"))), F.lit(0)).alias("positive_cells"),
-            F.sum("n").alias("_n"),
-        )
-    )
+    stats = cut_lineage(stats.withColumn("positive_threshold", F.when(nuclear, F.col("median")).otherwise(F.col("median") + F.col("std"))))
+    over = F.coalesce(F.sum(F.when(F.col("v") > F.col("positive_threshold"), F.col("n"))), F.lit(0)).alias("positive_cells")
+    positive = counts.join(stats.select("feature", "positive_threshold"), "feature").groupBy("feature").agg(over)
     return stats.join(positive, "feature").select(
         "feature", "mean", "median", "std", "min", "max", "positive_threshold", "positive_cells",
         (F.col("positive_cells") * 100.0 / F.col("_n")).alias("positive_percentage"),
@@ -227,12 +223,8 @@ def density_curve(df: DataFrame, value: str, keys: Sequence[str], points: int =
 
 
 def vocabulary(names: DataFrame, column: str = "name") -> DataFrame:
-    """Distinct names with ids from 1 in name order; 0 stays free for unknown ones.
-
-    A panel vocabulary holds every antibody name in use, some thousands at most.
-    """
-    w = W.partitionBy(F.lit(0)).orderBy(column)
-    return names.where(F.col(column).isNotNull()).select(column).distinct().withColumn("id", F.row_number().over(w))
+    """Distinct names with ids from 1 in name order; 0 stays free for unknown ones."""
+    return numbered(names.where(F.col(column).isNotNull()).select(column).distinct(), [column], "id").withColumn("id", F.col("id").cast("int"))
 
 
 def channel_ids(images: DataFrame, names: DataFrame, n_channels: str = "n_channels") -> DataFrame:
@@ -391,77 +383,33 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def spearman(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
-    """Pearson of tie-averaged ranks. All markers are ranked in one pass and put side by side by key."""
+    """Pearson of tie-averaged ranks. Each value carries its rows' keys through one ranking of all markers."""
     long = df.select(key, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot([key], list(columns), "feature", "v")
-    place = (F.col("below") + (F.col("ties") + 1) / F.lit(2.0)).alias("place")
-    ranks = ranked_counts(long, ["feature"], "v").select("feature", "v", place)
-    wide = long.join(ranks, ["feature", "v"]).groupBy(key).agg(
-        *[F.max(F.when(F.col("feature") == c, F.col("place"))).alias(c) for c in columns]
-    )
+    ranked = ranks_of(counted_values(long, ["feature"], "v", [key]), ["feature"], "v")
+    place = F.col("below") + (F.col("ties") + 1) / F.lit(2.0)
+    wide = ranked.groupBy(key).agg(*[F.max(F.when(F.col("feature") == c, place)).alias(c) for c in columns])
     return pearson(wide, columns)
 
 
-def _smaller_pairs(first: np.ndarray, second: np.ndarray, weight: np.ndarray) -> float:
-    """Σ w_i · w_j over pairs with first_j < first_i and second_j < second_i, by sorted insertion on ranks."""
-    rank = np.unique(second, return_inverse=True)[1] + 1
-    tree = np.zeros(rank.max() + 2)
-    order = np.argsort(first, kind="stable")
-    total, i = 0.0, 0
-    while i < len(order):
-        j = i
-        while j < len(order) and first[order[j]] == first[order[i]]:
-            at = rank[order[j]] - 1
-            below = 0.0
-            while at > 0:
-                below += tree[at]
-                at -= at & -at
-            total += below * weight[order[j]]
-            j += 1
-        for t in order[i:j]:
-            at = rank[t]
-            while at < len(tree):
-                tree[at] += weight[t]
-                at += at & -at
-        i = j
-    return total
-
-
 def kendall(df: DataFrame, a: str, b: str, pieces: int | None = None) -> DataFrame:
-    """One row (tau): Kendall τ-b over all rows, without forming pairs of rows.
+    """One row (a, b, tau): Kendall τ-b over all rows where both are known, without forming pairs of rows.
 
-    Both axes are cut into strips. Pairs in different strips on both axes are counted from the strip grid;
-    the others lie inside one strip of bounded size and are counted there by ordered insertion.
+    Tau is NULL if an axis has fewer than two different values.
     """
-    rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    pieces = min(64, pieces or fanout(df.sparkSession))
-    cut = put_in_bucket(rows, "a", value_splits(rows, "a", pieces), "sa")
-    cut = cut_lineage(put_in_bucket(cut, "b", value_splits(rows, "b", pieces), "sb"))
-
-    def inside(first: str, second: str):
-        def count(pdf):
-            return pd.DataFrame({"c": [_smaller_pairs(pdf[first].to_numpy(), pdf[second].to_numpy(), pdf["n"].to_numpy(dtype=float))]})
-        return count
-
-    # A strip of a single value holds no smaller pair on its axis.
-    spread = cut.groupBy("sa").agg((F.min("a") < F.max("a")).alias("_many")).where("_many")
-    same_a = cut.join(spread, "sa", "left_semi").groupBy("sa").applyInPandas(inside("a", "b"), "c double")
-    spread_b = cut.groupBy("sb").agg((F.min("b") < F.max("b")).alias("_many")).where("_many")
-    same_b = cut.join(spread_b, "sb", "left_semi").groupBy("sb").applyInPandas(inside("sa", "b"), "c double")
-    grid = cut.groupBy("sa", "sb").agg(F.sum("n").alias("n")).collect()
-    across = _smaller_pairs(np.array([g.sa for g in grid]), np.array([g.sb for g in grid]), np.array([g.n for g in grid], dtype=float)) if grid else 0.0
-    local = (same_a.agg(F.sum("c")).first()[0] or 0.0) + (same_b.agg(F.sum("c")).first()[0] or 0.0)
-
-    def tied(*keys: str) -> float:
-        per = cut.groupBy(*keys).agg(F.sum("n").cast("double").alias("t"))
-        return per.agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0] or 0.0
-
-    n = float(cut.agg(F.sum("n")).first()[0] or 0)
-    pairs, ta, tb, tab = n * (n - 1) / 2, tied("a"), tied("b"), tied("a", "b")
-    concordant = across + local
-    discordant = pairs - ta - tb + tab - concordant
-    base = math.sqrt((pairs - ta) * (pairs - tb))
-    tau = (concordant - discordant) / base if base else None
-    return df.sparkSession.createDataFrame([(a, b, None if tau is None else float(tau))], "a string, b string, tau double")
+    rows = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).where("a IS NOT NULL AND NOT isnan(a)")
+    counts = cut_lineage(ranked_counts(rows, [], "b", ["a"], pieces).select("a", "b", "n", "below", "total"))
+    total = counts.agg(F.max("total")).first()[0] or 0
+
+    def tied(*keys: str):
+        per = counts.groupBy(*keys).agg(F.sum("n").cast("double").alias("t"))
+        return F.coalesce(per.agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("ties")).scalar(), F.lit(0.0))
+
+    pairs = F.lit(total * (total - 1) / 2)
+    concordant = smaller_pairs(counts, "a", "below", "n", total, pieces).scalar()
+    parts = counts.groupBy().agg(F.first(F.lit(1))).select(tied("a").alias("ta"), tied("b").alias("tb"), tied("a", "b").alias("tab"), concordant.alias("up"))
+    down = pairs - F.col("ta") - F.col("tb") + F.col("tab") - F.col("up")
+    base = F.sqrt((pairs - F.col("ta")) * (pairs - F.col("tb")))
+    return parts.select(F.lit(a).alias("a"), F.lit(b).alias("b"), F.try_divide(F.col("up") - down, base).alias("tau"))
 
 
 def metric_pair_bins(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:

@@ -473,11 +473,13 @@ def _(spark, d):
     return tables.scan_glob(spark, folder, "part-*.csv", s.schema).select("cell_mask_id", "area")
 
 
-@query("S6_panel", "SELECT n_name AS antibody_name FROM nation")
+@query("S6_panel", "SELECT p_name AS antibody_name, CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INTEGER) AS channel_idx FROM part")
 def _(spark, d):
+    """The panel lies in several files, in the order of their names."""
     folder = scratch(spark, "panel")
-    table(spark, d, "nation").select(F.col("n_name").alias("antibody_name")).write.option("sep", "\t").option("header", True).csv(folder)
-    return tables.scan_panel(spark, folder).select("antibody_name")
+    ordered = table(spark, d, "part").repartitionByRange(5, "p_partkey").sortWithinPartitions("p_partkey")
+    ordered.select(F.col("p_name").alias("antibody_name")).write.option("sep", "\t").option("header", True).csv(folder)
+    return tables.scan_panel(spark, folder).select("antibody_name", "channel_idx")
 
 
 @query("S7_patch_table", f"WITH {PIXELS_SQL} SELECT DISTINCT patch_id, CAST((patch_id // 2) * 20 AS INTEGER) AS y_start, CAST((patch_id % 2) * 25 AS INTEGER) AS x_start, 20 AS patch_height, 25 AS patch_width FROM px")
@@ -584,11 +586,12 @@ def _(spark, d):
     return listing.class_folders(paths, "root").select("page_id", "class_name", "label")
 
 
-@query("S15_experiment_sheet", "SELECT CAST(s_suppkey AS VARCHAR) AS exp_id, s_name AS \"data::file_name\" FROM supplier")
+@query("S15_experiment_sheet", "SELECT CAST(s_suppkey AS VARCHAR) AS exp_id, s_name AS \"data::file_name\", row_number() OVER (ORDER BY s_suppkey) - 1 AS row_index FROM supplier")
 def _(spark, d):
     folder = scratch(spark, "sheet")
-    sinks.overwrite_table(table(spark, d, "supplier").select(F.col("s_suppkey").alias("exp_id"), F.col("s_name").alias("data::file_name")), folder, "csv")
-    return tables.scan_sheet(spark, folder).drop("row_index")
+    ordered = table(spark, d, "supplier").repartitionByRange(4, "s_suppkey").sortWithinPartitions("s_suppkey")
+    sinks.overwrite_table(ordered.select(F.col("s_suppkey").alias("exp_id"), F.col("s_name").alias("data::file_name")), folder, "csv")
+    return tables.scan_sheet(spark, folder)
 
 
 def _pixel_file(spark, d):

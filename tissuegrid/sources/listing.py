@@ -6,7 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
+
+from tissuegrid.operators.orderstats import numbered
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -34,10 +35,9 @@ def class_folders(files: DataFrame, root: str, extensions: Sequence[str] = (".ti
     rest = F.regexp_replace("path", f"^.*{root}/", "")
     folder = F.when(F.instr(rest, "/") > 0, F.split_part(rest, F.lit("/"), F.lit(1)))
     named = files.where(ends).select("*", folder.alias("class_name"))
-    # One row per class folder.
-    w = W.partitionBy(F.lit(0)).orderBy("class_name")
-    classes = named.where(F.col("class_name").isNotNull()).select("class_name").distinct().withColumn("label", F.row_number().over(w) - 1)
-    return named.join(classes, "class_name", "left").withColumn("label", F.coalesce("label", F.lit(0)))
+    classes = numbered(named.where(F.col("class_name").isNotNull()).select("class_name").distinct(), ["class_name"], "place")
+    label = F.coalesce(F.col("place").cast("int") - 1, F.lit(0))
+    return named.join(classes, "class_name", "left").withColumn("label", label).drop("place")
 
 
 def pick_experiments(experiments: DataFrame, include: Sequence[str] | None = None, exclude: Sequence[str] = (), column: str = "exp_id") -> DataFrame:

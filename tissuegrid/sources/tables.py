@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 PANEL = T.StructType([T.StructField("version", T.StringType()), T.StructField("channel_id", T.StringType()), T.StructField("antibody_name", T.StringType())])
 PATCHES = T.StructType(
@@ -56,13 +57,24 @@ def scan_glob(spark: SparkSession, folder: str, pattern: str, schema: T.StructTy
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def scan_panel(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated channel panel; the line order becomes an explicit channel index.
+def with_line_number(df: DataFrame, name: str) -> DataFrame:
+    """A column that numbers the rows of a file scan from 0: file after file by path, line after line.
 
-    A panel file is a single small split, so its monotonic ids are its line numbers.
+    Tasks read splits of files in line order; lines are numbered inside their split, and splits by the rows of those
+    before them. Only the list of splits passes through one task.
     """
-    df = spark.read.csv(path, sep="\t", header=True, inferSchema=False).coalesce(1)
-    return df.withColumn("channel_idx", F.monotonically_increasing_id().cast("int"))
+    splits = ["_file", "_start"]
+    read = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_line"))
+    before = W.orderBy(*splits).rowsBetween(W.unboundedPreceding, -1)
+    offsets = read.groupBy(*splits).agg(F.count("*").alias("_rows")).select(*splits, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(W.partitionBy(*splits).orderBy("_line"))
+    return read.join(offsets, splits).withColumn(name, F.col("_before") + within - 1).drop(*splits, "_line", "_before")
+
+
+def scan_panel(spark: SparkSession, path: str) -> DataFrame:
+    """Tab-separated channel panel of one or more files; the line order becomes an explicit channel index."""
+    df = with_line_number(spark.read.csv(path, sep="\t", header=True, inferSchema=False), "channel_idx")
+    return df.withColumn("channel_idx", F.col("channel_idx").cast("int"))
 
 
 def scan_patches(spark: SparkSession, path: str, schema: T.StructType = PATCHES) -> DataFrame:
@@ -71,8 +83,7 @@ def scan_patches(spark: SparkSession, path: str, schema: T.StructType = PATCHES)
 
 def scan_sheet(spark: SparkSession, path: str) -> DataFrame:
     """Experiment sheet: every column a text, rows numbered from 0 in file order."""
-    df = spark.read.csv(path, header=True, inferSchema=False).coalesce(1)
-    return df.withColumn("row_index", F.monotonically_increasing_id())
+    return with_line_number(spark.read.csv(path, header=True, inferSchema=False), "row_index")
 
 
 def scan_pixels(spark: SparkSession, path: str, box: tuple[int, int, int, int] | None = None, channels: Sequence[str] | None = None, every: int = 1) -> DataFrame:
