@@ -292,3 +292,49 @@ def test_crowded_tiles_are_cut_up(spark):
     df = spark.createDataFrame(rows, "region_id int, label string, rings array<array<struct<y:double,x:double>>>")
     got = {(r.ty, r.tx): r.area for r in regions.tile_label_areas(df, 10).collect()}
     assert got == pytest.approx({(0, 0): 100.0, (0, 1): 40.0, (1, 0): 40.0, (1, 1): 16.0})
+
+
+def test_squares_are_quartered_as_long_as_they_are_crowded(spark):
+    """Stars that share a corner, slivers, holes and polygons that fill whole tiles: the same area at every crowd."""
+    r = np.random.default_rng(4)
+    rows = []
+    for i in range(60):
+        at, n = r.uniform(0, 16, 2), int(r.integers(3, 9))
+        turn = np.sort(r.uniform(0, 2 * np.pi, n))
+        ring = [(at[0] + h * np.sin(t), at[1] + h * np.cos(t)) for h, t in zip(r.uniform(0.5, 7, n), turn)]
+        rows.append((i, "ab"[i % 2], [ring, [(y * 0.3 + at[0] * 0.7, x * 0.3 + at[1] * 0.7) for y, x in ring]] if i % 5 == 0 else [ring]))
+    rows += [(100 + i, "fan", [[(4.0, 4.0), (4.0 + np.sin(a), 4.0 + np.cos(a)), (4.0 + np.sin(a + 0.1), 4.0 + np.cos(a + 0.1))]]) for i, a in enumerate(np.linspace(0, 6, 10))]
+    rows += [(200, "c", [[(-1.0, -1.0), (9.0, -1.0), (9.0, 20.0), (-1.0, 20.0)]]), (201, "c", [[(0.0, 0.0), (8.0, 0.0), (8.0, 8.0), (0.0, 8.0)]])]
+    shape = "region_id int, label string, rings array<array<struct<y:double,x:double>>>"
+    df = spark.createDataFrame([(i, label, [[{"y": float(y), "x": float(x)} for y, x in ring] for ring in rings]) for i, label, rings in rows], shape)
+    found = [{(q.label, q.ty, q.tx): q.area for q in regions.tile_label_areas(df, 8, crowd=c).collect() if q.area > 1e-12} for c in (12, 1000)]
+    assert found[0] == pytest.approx(found[1], abs=1e-9) and found[0]["c", 0, 0] == 64.0
+
+    def inside(rings, y, x):
+        odd = np.zeros(y.shape, dtype=bool)
+        for ring in rings:
+            for (a, b), (c, e) in zip(ring, ring[1:] + ring[:1]):
+                if a != c:
+                    odd ^= ((a <= y) != (c <= y)) & (x < b + (y - a) * (e - b) / (c - a))
+        return odd
+
+    y, x = np.meshgrid((np.arange(400) + 0.5) / 50, (np.arange(400) + 0.5) / 50, indexing="ij")
+    for label in ("a", "b", "fan"):
+        for ty in (0, 1):
+            share = np.any([inside(rings, y + 8 * ty, x) for _, name, rings in rows if name == label], axis=0).mean()
+            assert found[0].get((label, ty, 0), 0.0) / 64 == pytest.approx(share, abs=4e-3)
+
+
+def test_many_edges_in_one_point(spark, monkeypatch):
+    """Quartering never parts them; what is left is too small to count."""
+    monkeypatch.setattr(regions, "MOST_QUARTERS", 7)
+    turn = np.linspace(0, 2 * np.pi, 31)
+    rings = [[{"y": 3.0, "x": 5.0}, {"y": float(3 + np.sin(a)), "x": float(5 + np.cos(a))}, {"y": float(3 + np.sin(b)), "x": float(5 + np.cos(b))}] for a, b in zip(turn, turn[1:])]
+    df = spark.createDataFrame([(i, "t", [r]) for i, r in enumerate(rings)], "region_id int, label string, rings array<array<struct<y:double,x:double>>>")
+    (got,) = regions.tile_label_areas(df, 8, crowd=10).collect()
+    assert got.area == pytest.approx(30 * np.sin(2 * np.pi / 30) / 2, abs=8 * 64 * 4.0**-7)
+
+
+def test_area_of_no_regions(spark):
+    df = spark.createDataFrame([], "region_id int, label string, rings array<array<struct<y:double,x:double>>>")
+    assert regions.tile_label_areas(df, 8).count() == 0

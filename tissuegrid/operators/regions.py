@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissuegrid.functions.geometry import covered_area, ring_area, ring_bounds, row_spans
+from tissuegrid.functions.geometry import clipped, covered_area, fills, flat_of, flat_rings, ring_area, ring_bounds, rings_of, row_spans
 from tissuegrid.operators import components, raster
+from tissuegrid.runtime import cut_lineage
 
 STRIP = 256
-CROWD = 64  # polygons of one label in one tile before the tile is cut up
+#: Polygons of one label in one square before it is quartered, and how often that may happen.
+CROWD, MOST_QUARTERS = 64, 26
 
 
 def with_area(regions: DataFrame) -> DataFrame:
@@ -79,12 +82,37 @@ def crops(pixels: DataFrame, regions: DataFrame, channels: Sequence[str], least:
     )
 
 
-def tile_label_areas(regions: DataFrame, tile: int, keys: Sequence[str] = ()) -> DataFrame:
+def _cut_to_squares(parts: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(keep, y, x, side, flat, full): rings cut to their square; polygons without area in it go, copies count once."""
+
+    def cut(batches):
+        for batch in batches:
+            flat, full = [], []
+            places = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("y", "x", "side")]
+            for rings, y, x, side in zip(batch.column(batch.schema.get_field_index("flat")), *places):
+                kept = clipped(rings_of(rings.values.to_numpy(zero_copy_only=False)), y, x, y + side, x + side)
+                flat.append(flat_of(kept))
+                full.append(fills(kept, y, x, y + side, x + side))
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in [*keep, "y", "x", "side"]]
+            yield pa.record_batch([*columns, pa.array(flat, pa.list_(pa.float64())), pa.array(full, pa.bool_())], [*keep, "y", "x", "side", "flat", "full"])
+
+    kinds = dict(parts.dtypes)
+    shape = ", ".join(f"`{c}` {kinds[c]}" for c in [*keep, "y", "x", "side"])
+    done = parts.select(*keep, "y", "x", "side", "flat").mapInArrow(cut, f"{shape}, flat array<double>, full boolean")
+    return done.where("size(flat) > 0").dropDuplicates([*keep, "y", "x", "side", "flat"])
+
+
+def tile_label_areas(regions: DataFrame, tile: int, keys: Sequence[str] = (), crowd: int = CROWD) -> DataFrame:
     """(keys, ty, tx, label, area): area of each tile under the union of a label's polygons.
 
-    A polygon only goes to the tiles its box touches; ``rings`` holds the exterior and any holes.
+    A polygon only goes to the tiles its box touches, cut to each; ``rings`` holds the exterior and any holes. A square
+    that one polygon fills is done. A square where more than ``crowd`` different ones meet is quartered, and so are its
+    quarters: covered area adds up over the parts, and only edges are left to share a part. After 26 quarterings a square
+    is 2 ** -52 of the tile, the last digit of its area; one still crowded, where edges meet in a point, counts with its
+    largest polygon.
     """
     at = [*keys, "ty", "tx"]
+    keep = [*at, "label"]
     corners = F.flatten("rings")
     boxed = regions.withColumns(
         {
@@ -94,37 +122,46 @@ def tile_label_areas(regions: DataFrame, tile: int, keys: Sequence[str] = ()) ->
         }
     )
 
-    def cells(axis: str, origin, side):
-        """Numbers of the cells of a side length, counted from an origin, that the polygon's box touches."""
-        first = F.floor((F.col(f"_min_{axis}") - origin) / side)
-        last = F.greatest(first, F.ceil((F.col(f"_max_{axis}") - origin) / side) - 1)
-        return first.cast("int"), last.cast("int")
-
-    spread = boxed.withColumn("ty", F.explode(F.sequence(*cells("y", F.lit(0), F.lit(tile)))))
-    spread = spread.withColumn("tx", F.explode(F.sequence(*cells("x", F.lit(0), F.lit(tile)))))
-    # Copies add nothing to a union. Where many different polygons meet, the tile is quartered on, since
-    # covered area adds up over the parts.
-    spread = spread.dropDuplicates([*at, "label", "rings"])
-    crowd = spread.groupBy(*at, "label").agg(
-        F.least(F.lit(32), F.ceil(F.sqrt(F.count(F.lit(1)) / CROWD))).cast("int").alias("_f")
-    )
-    parted = spread.join(crowd, [*at, "label"])
-    side = F.lit(float(tile)) / F.col("_f")
-    for axis, t in (("y", "ty"), ("x", "tx")):
-        first, last = cells(axis, F.col(t) * tile, side)
-        inside = F.sequence(F.greatest(F.lit(0), first), F.least(F.col("_f") - 1, last))
-        parted = parted.withColumn(f"_s{axis}", F.explode(inside))
-    grouped = parted.groupBy(*at, "label", "_f", "_sy", "_sx").agg(F.collect_list("rings").alias("polygons"))
-
-    def areas(polygons: pd.Series, ty: pd.Series, tx: pd.Series, f: pd.Series, sy: pd.Series, sx: pd.Series) -> pd.Series:
-        out = []
-        for p, i, j, n, a, b in zip(polygons, ty, tx, f, sy, sx):
-            y, x = (i + a / n) * tile, (j + b / n) * tile
-            out.append(covered_area(p, y, x, y + tile / n, x + tile / n))
-        return pd.Series(out)
-
-    measured = grouped.select(*at, "label", F.pandas_udf(areas, "double")("polygons", "ty", "tx", "_f", "_sy", "_sx").alias("area"))
-    return measured.groupBy(*at, "label").agg(F.sum("area").alias("area"))
+    def tiles_along(axis: str):
+        first = F.floor(F.col(f"_min_{axis}") / tile)
+        return F.sequence(first.cast("int"), F.greatest(first, F.ceil(F.col(f"_max_{axis}") / tile) - 1).cast("int"))
+
+    spread = boxed.withColumn("ty", F.explode(tiles_along("y"))).withColumn("tx", F.explode(tiles_along("x")))
+    spread = spread.select(*keep, (F.col("ty") * F.lit(float(tile))).alias("y"), (F.col("tx") * F.lit(float(tile))).alias("x"), F.lit(float(tile)).alias("side"), F.expr(flat_rings("rings")).alias("flat"))
+    parts = cut_lineage(_cut_to_squares(spread, keep))
+    square = [*keep, "y", "x", "side"]
+    done = []
+    for level in range(MOST_QUARTERS + 1):
+        sizes = parts.groupBy(*square).agg(F.count("*").alias("_n"), F.max("full").alias("_full"))
+        done.append(sizes.where("_full").select(*keep, (F.col("side") * F.col("side")).alias("area")))
+        few = F.col("_n") <= crowd
+        open_squares = sizes.where("NOT _full").withColumn("_few", few).select(*square, "_few")
+        joined = parts.join(open_squares, square)
+        done.append(_measured(joined.where("_few"), square, keep))
+        many = joined.where("NOT _few")
+        if many.isEmpty():
+            break
+        if level == MOST_QUARTERS:
+            done.append(_measured(many, square + ["flat"], keep + square[len(keep):]).groupBy(*square).agg(F.max("area").alias("area")).select(*keep, "area"))
+            break
+        half = F.col("side") / 2
+        corner = F.explode(F.array(*[F.struct((F.col("y") + i * half).alias("y"), (F.col("x") + j * half).alias("x")) for i in (0, 1) for j in (0, 1)]))
+        quarters = many.select(*keep, half.alias("side"), "flat", corner.alias("_c")).select(*keep, F.col("_c.y").alias("y"), F.col("_c.x").alias("x"), "side", "flat")
+        parts = cut_lineage(_cut_to_squares(quarters, keep))
+    areas = done[0]
+    for more in done[1:]:
+        areas = areas.unionByName(more)
+    return areas.groupBy(*keep).agg(F.sum("area").alias("area"))
+
+
+def _measured(parts: DataFrame, square: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """(keep, area) of each square from the polygons cut to it."""
+
+    def areas(polygons: pd.Series, y: pd.Series, x: pd.Series, side: pd.Series) -> pd.Series:
+        return pd.Series([covered_area([rings_of(f) for f in p], b, a, b + s, a + s) for p, b, a, s in zip(polygons, y, x, side)], dtype=float)
+
+    grouped = parts.groupBy(*square).agg(F.collect_list("flat").alias("polygons"))
+    return grouped.select(*keep, F.pandas_udf(areas, "double")("polygons", "y", "x", "side").alias("area"))
 
 
 def label_tiles(tiles: DataFrame, regions: DataFrame, tile: int, least_tissue: float = 0.30, keys: Sequence[str] = ()) -> DataFrame:
