@@ -28,8 +28,8 @@ from tissuegrid.runtime import cut_lineage
 # Fixed values of the word rule: bytes that end a piece of text, bytes between words of a piece.
 BREAKS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 
-#: Bytes of text and pointers worked on at once inside a task, text bytes for which there is one group at least.
-TEXT, CHUNK, GROUP = 1 << 23, 1 << 20, 1 << 24
+#: Bytes of text and pointers worked on at once inside a task; text bytes for which there is one group, and least groups.
+TEXT, CHUNK, GROUP, LEAST_GROUPS = 1 << 23, 1 << 20, 1 << 24, 32
 #: Bytes of text per group that are looked at for frequent leading words, and what bounds the number of those that are
 #: split: at most 2 * SPLIT per depth, 16 MB in all. The sample only decides who counts what, never what is counted.
 LOOK, SPLIT = 1 << 13, 1 << 19
@@ -252,10 +252,9 @@ def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, longest: int =
 
     A row with ``words`` 0 has the number of all word occurrences of the language. A null language is ``und``.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / GROUP))
+    groups = max(LEAST_GROUPS, math.ceil(size / GROUP))
 
     def by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Pointers]]:
         for batch in tidy(batches):
