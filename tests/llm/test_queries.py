@@ -15,12 +15,14 @@ CONTRACT = {
     "3": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"}, "4": {"doc_id", "sample", "ids"}, "5": {"conv_id", "rendered"},
     "6": {"query_id", "rank", "vec_id", "score"}, "7": {"doc_id", "held_out", "score", "predicted"},
     "8": {"doc_id", "size", "source_size", "target", "taken"}, "9": {"doc_id", "n_shingles", "component_id", "kept"},
-    "10": {"doc_id", "held_out", "lang_pred", "score"},
+    "10": {"doc_id", "held_out", "lang_pred", "score"}, "11": {"lang", "rank", "phrase", "a", "l", "r", "n", "score"},
+    "12": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
+    "13": {"vec_id", "code", "error", "label_error", "codebooks_sha256"},
 }
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in NAMES) == list(range(1, 11)) and "pipeline" in queries()
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in NAMES) == list(range(1, 14)) and "pipeline" in queries()
 
 
 @pytest.mark.parametrize("name", NAMES)
