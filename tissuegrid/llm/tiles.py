@@ -26,10 +26,11 @@ SLACK = 1e-9
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v) of vectors that are neither null nor zero and hold finite numbers only."""
+    """(id, row, v): all rows with a number of their own; v is null unless it holds finite numbers only, not all zero."""
     v = F.col(vector_col).cast("array<double>")
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    return vectors.select(F.col(id_col).alias("id"), v.alias("v")).where(F.col("v").isNotNull() & sound)
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), v.alias("v"))
+    return rows.withColumn("v", F.when(sound, F.col("v")))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -53,16 +54,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     vectors linked directly, component_id is the smallest id reachable by links, kept marks the row that has it.
 
     A vector that is null, empty, zero or holds a null, NaN or infinite component is linked with nothing, and vectors of
-    different lengths are not linked. Equal vectors and repeated rows are rows of their own and link with each other;
-    every row with the same id gets the sum of their links and their common component. A null id takes part as any
-    other but names no component. Other columns are not looked at; an empty table gives an empty result.
+    different lengths are not linked. Equal vectors and repeated rows are rows of their own, link with each other and
+    have links of their own, whatever their ids. A null id takes part as any other but names no component; a component
+    without any id has none. Other columns are not looked at; an empty table gives an empty result.
     """
-    ids = vectors.select(F.col(id_col).cast("long").alias("id"))
-    sound = usable(vectors, id_col, vector_col)
-    packed = cut_lineage(_packed(sound))
+    rows = cut_lineage(_packed(usable(vectors, id_col, vector_col)))  # written, so that row numbers stay
+    packed = rows.where("q IS NOT NULL").drop("id")
     n = packed.count()
     tiles = max(LEAST_TILES, math.ceil(n / TILE))
-    tile = F.pmod(F.xxhash64("id", "unit"), F.lit(tiles))
+    tile = F.pmod(F.xxhash64("row"), F.lit(tiles))
     other = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
     dealt = packed.withColumn("tile", tile).withColumn("other", other)
     dealt = dealt.withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other")).drop("other")
@@ -73,24 +73,29 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         right = left if low == high else table.filter(pc.equal(table.column("tile"), high))
         return _links(left, right, threshold, low == high)
 
-    shape = "id long, n_links long, a long, b long"
+    shape = "row long, n_links long, a long, b long"
     found = cut_lineage(dealt.groupBy("low", "high").applyInArrow(product, shape))
-    counts = found.where("n_links is not null").groupBy("id").agg(F.sum("n_links").alias("n_links"))
-    parts = stars.components(found.where("n_links is null").select("a", "b"), "a", "b")
-    joined = ids.join(counts, "id", "left").join(parts.withColumnRenamed("node", "id"), "id", "left")
-    component = F.coalesce("component", "id")
+    counts = found.where("n_links is not null").groupBy("row").agg(F.sum("n_links").alias("n_links"))
+    parts = cut_lineage(stars.components(found.where("n_links is null").select("a", "b"), "a", "b").withColumnRenamed("node", "row"))
+    ids = rows.select("id", "row")
+    names = parts.join(ids, "row").groupBy("component").agg(F.min("id").alias("name"))
+    joined = ids.join(counts, "row", "left").join(parts.join(names, "component"), "row", "left")
+    component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("name"))
     return joined.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"))
 
 
 def _packed(sound: DataFrame) -> DataFrame:
-    """(id, dim, q, scale, stored, error, unit): bytes of the int8 vector and of the unit vector in double precision."""
+    """(id, row, dim, q, scale, stored, error, unit): bytes of the int8 vector and of the unit vector in double precision.
+
+    Rows whose v is null have none of them.
+    """
 
     def pack(batches):
         for batch in batches:
-            rows = [np.asarray(x.values, dtype=np.float64) for x in batch.column(1)]
+            rows = [np.asarray(x.values, dtype=np.float64) if x.is_valid else () for x in batch.column(2)]
             out = {k: [None] * len(rows) for k in ("q", "scale", "stored", "error", "unit")}
             dims = np.array([len(r) for r in rows], dtype=np.int64)
-            for dim in np.unique(dims):
+            for dim in np.unique(dims[dims > 0]):
                 at = np.flatnonzero(dims == dim)
                 unit = _unit(np.stack([rows[i] for i in at]))
                 q, scale, stored, error = _quantised(unit)
@@ -98,21 +103,21 @@ def _packed(sound: DataFrame) -> DataFrame:
                     out["q"][i], out["unit"][i] = q[k].tobytes(), unit[k].tobytes()
                     out["scale"][i], out["stored"][i], out["error"][i] = scale[k], stored[k], error[k]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(dims), pa.array(out["q"], pa.binary()), *(pa.array(out[k], pa.float64()) for k in ("scale", "stored", "error")), pa.array(out["unit"], pa.binary())],
-                names=["id", "dim", "q", "scale", "stored", "error", "unit"],
+                [batch.column(0), batch.column(1), pa.array(dims), pa.array(out["q"], pa.binary()), *(pa.array(out[k], pa.float64()) for k in ("scale", "stored", "error")), pa.array(out["unit"], pa.binary())],
+                names=["id", "row", "dim", "q", "scale", "stored", "error", "unit"],
             )
 
-    return sound.select(F.col("id").cast("long").alias("id"), "v").mapInArrow(pack, "id long, dim long, q binary, scale double, stored double, error double, unit binary")
+    return sound.select("id", "row", "v").mapInArrow(pack, "id long, row long, dim long, q binary, scale double, stored double, error double, unit binary")
 
 
 def _links(left: pa.Table, right: pa.Table, threshold: float, same: bool) -> pa.Table:
-    """Rows (id, n_links) of vectors with links in this pair of tiles, and edges (a, b) that span their components."""
+    """Rows (row, n_links) of vectors with links in this pair of tiles, and edges (a, b) that span their components."""
     left, right = left.combine_chunks(), right.combine_chunks()
     sides = []
     for side in (left, right):
         dims = side.column("dim").to_numpy()
         sides.append({d: np.flatnonzero(dims == d) for d in np.unique(dims)})
-    ids = [side.column("id").to_pylist() for side in (left, right)]
+    ids = [side.column("row").to_pylist() for side in (left, right)]
     n = len(ids[0]), len(ids[1])
     links = [np.zeros(n[0], dtype=np.int64), np.zeros(n[1], dtype=np.int64)]
     root = np.arange(n[0] if same else n[0] + n[1])
@@ -153,7 +158,7 @@ def _links(left: pa.Table, right: pa.Table, threshold: float, same: bool) -> pa.
         rows += [(ids[1][k], int(links[1][k])) for k in np.flatnonzero(links[1])]
     none = [None] * len(edges)
     return pa.table({
-        "id": pa.array([x[0] for x in rows] + none, pa.int64()),
+        "row": pa.array([x[0] for x in rows] + none, pa.int64()),
         "n_links": pa.array([x[1] for x in rows] + none, pa.int64()),
         "a": pa.array([None] * len(rows) + [x[0] for x in edges], pa.int64()),
         "b": pa.array([None] * len(rows) + [x[1] for x in edges], pa.int64()),
