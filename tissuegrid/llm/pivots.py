@@ -44,13 +44,19 @@ def choose_pivots(rows: DataFrame, dim: int, pivots: int = PIVOTS, sample: int =
 
 
 def _pack(rows: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
-    """(id, v, far, square): the numbers as bytes, the pivot table's row, and the squared length."""
+    """(id, v, far, square): the numbers as bytes, the pivot table's row, and the squared length.
+
+    Numbers whose products could pass 64 bits are an error.
+    """
+    most = math.isqrt((1 << 62) // max(1, dim))
 
     def pack(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             v = np.asarray(batch.column(1).flatten(), dtype=np.int64).reshape(batch.num_rows, dim)
+            if ((v > most) | (v < -most)).any():
+                raise ValueError(f"a component scaled to a whole number is over {most}: inner products would pass 64 bits")
             x = v.astype(np.float64)
             far = np.sqrt(((x[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))
             square = (x * x).sum(axis=1)
@@ -63,15 +69,15 @@ def _pack(rows: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
 
 
 def _best_here(queries: pa.Table, candidates: pa.Table, k: int, pivots: int) -> list[tuple[int, int, int]]:
-    """(query, id, score) of the k best candidates of this tile for each query."""
+    """(number of the query, id, score) of the k best candidates of this tile for each query."""
     def arrays(t):
         t = t.combine_chunks()
         v = np.frombuffer(b"".join(t.column("v").to_pylist()), dtype=np.int64).reshape(t.num_rows, -1)
         far = np.frombuffer(b"".join(t.column("far").to_pylist()), dtype=np.float64).reshape(t.num_rows, pivots)
-        return t.column("id").to_numpy(), v, far, t.column("square").to_numpy()
+        return t.column("id").to_numpy(), v, far, t.column("square").to_numpy(), t.column("query").to_numpy(zero_copy_only=False)
 
-    qid, qv, qfar, qsquare = arrays(queries)
-    cid, cv, cfar, csquare = arrays(candidates)
+    qid, qv, qfar, qsquare, number = arrays(queries)
+    cid, cv, cfar, csquare, _ = arrays(candidates)
     order = np.argsort(cid, kind="stable")
     cid, cv, cfar, csquare = cid[order], cv[order], cfar[order].T.copy(), csquare[order]
     out = []
@@ -92,7 +98,7 @@ def _best_here(queries: pa.Table, candidates: pa.Table, k: int, pivots: int) ->
             ids, scores = np.append(ids, cid[part]), np.append(scores, cv[part] @ qv[i])
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
-        out += [(int(qid[i]), int(a), int(b)) for a, b in zip(ids, scores)]
+        out += [(int(number[i]), int(qid[i]), int(a), int(b)) for a, b in zip(ids, scores)]
     return out
 
 
@@ -102,7 +108,9 @@ def top_products(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     Scores are inner products of the vectors' whole numbers floor(scale * x), ties go to the smaller id, and a query with
     fewer than k candidates gets them all. Rows with a null id or vector, or a null, NaN or infinite component, take no
     part; rows of different vector lengths are not compared. A row with the query's own id is no candidate; repeated rows
-    are candidates of their own. Other columns are not looked at; an empty table gives an empty result.
+    are candidates of their own. Rows that repeat a query's id and numbers are one query; an id with different vectors
+    gives a query, with ranks of its own, for each. Numbers whose inner products could pass 64 bits are an error. Other
+    columns are not looked at; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
     rows = cut_lineage(scaled(vectors, id_col, vector_col, scale))
@@ -113,28 +121,30 @@ def top_products(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("dim", "query", "query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def _search(rows: DataFrame, dim: int, k: int, every: int) -> DataFrame:
     pivots = choose_pivots(rows, dim)
-    packed = cut_lineage(_pack(rows, pivots, dim))
-    asked = packed.where(F.col("id") % every == 0)
+    packed = cut_lineage(_pack(rows, pivots, dim).withColumn("row", F.monotonically_increasing_id()))
+    asked = packed.where(F.col("id") % every == 0).dropDuplicates(["id", "v"])
+    asked = cut_lineage(asked.withColumn("query", F.monotonically_increasing_id()))
     n, m = packed.count(), asked.count()
     tiles, blocks = max(LEAST_TILES, math.ceil(n / CANDIDATES)), max(1, math.ceil(m / QUERIES))
-    block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks))
-    tile = F.pmod(F.xxhash64("id", "v", F.lit(2)), F.lit(tiles))
+    block = F.pmod(F.xxhash64("query", F.lit(1)), F.lit(blocks))
+    tile = F.pmod(F.xxhash64("row", F.lit(2)), F.lit(tiles))
     each_tile, each_block = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    queries = asked.select("id", "v", "far", "square", F.lit(True).alias("asks"), block.cast("int").alias("block"), each_tile.alias("tile"))
-    candidates = packed.select("id", "v", "far", "square", F.lit(False).alias("asks"), each_block.alias("block"), tile.cast("int").alias("tile"))
+    queries = asked.select("id", "v", "far", "square", "query", F.lit(True).alias("asks"), block.cast("int").alias("block"), each_tile.alias("tile"))
+    candidates = packed.select("id", "v", "far", "square", F.lit(None).cast("long").alias("query"), F.lit(False).alias("asks"), each_block.alias("block"), tile.cast("int").alias("tile"))
     width = len(pivots)
 
     def search(table: pa.Table) -> pa.Table:
         asks = table.column("asks")
         mine, others = table.filter(asks), table.filter(pc.invert(asks))
         out = _best_here(mine, others, k, width) if mine.num_rows and others.num_rows else []
-        return pa.table({n: pa.array([r[c] for r in out], pa.int64()) for c, n in enumerate(("query_id", "vec_id", "score"))})
+        return pa.table({n: pa.array([r[c] for r in out], pa.int64()) for c, n in enumerate(("query", "query_id", "vec_id", "score"))})
 
-    return queries.unionByName(candidates).groupBy("block", "tile").applyInArrow(search, "query_id long, vec_id long, score long")
+    found = queries.unionByName(candidates).groupBy("block", "tile").applyInArrow(search, "query long, query_id long, vec_id long, score long")
+    return found.withColumn("dim", F.lit(dim))
