@@ -58,14 +58,17 @@ def digest(shingles: np.ndarray) -> bytes | None:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, rows: int) -> DataFrame:
-    """(id, n_shingles, node, bands, marks): digest of the set, one key per band, one byte per hash minimum."""
+    """(id, print, n_shingles, node, bands, marks): digest of the set, one key per band, one byte per hash minimum.
+
+    ``print`` is a hash of the text, by which a row is found again among others of its id.
+    """
     bands = HASHES // rows
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = words.splitmix(rows, 303) | np.uint64(1)
         for batch in words.tidy(batches):
             n, node, keys, marks = [], [], [], []
-            for shingles in words.shingle_sets(batch.column(1), width):
+            for shingles in words.shingle_sets(batch.column(2), width):
                 n.append(len(shingles))
                 node.append(digest(shingles))
                 if not len(shingles):
@@ -79,24 +82,30 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, rows: int)
                 keys.append(key.view(np.int64))
             keys = pa.array(keys, type=pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, type=pa.int64()), pa.array(node, type=pa.binary()), keys, pa.array(marks, type=pa.binary())],
-                names=["id", "n_shingles", "node", "bands", "marks"],
+                [batch.column(0), batch.column(1), pa.array(n, type=pa.int64()), pa.array(node, type=pa.binary()), keys, pa.array(marks, type=pa.binary())],
+                names=["id", "print", "n_shingles", "node", "bands", "marks"],
             )
 
-    picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(sketch, "id long, n_shingles long, node binary, bands array<long>, marks binary")
+    return _read(docs, id_col, text_col).mapInArrow(sketch, "id long, print long, n_shingles long, node binary, bands array<long>, marks binary")
+
+
+def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(node, text) of the wanted (node, lead). A text counts only if its set has the node's digest."""
+    """(node, text) of the wanted (node, lead): rows meet by id and print, so that many rows of one id, or of none, meet
+    only nodes of their own text. A text counts only if its set has the node's digest.
+    """
 
     def check(batches):
         for batch in words.tidy(batches):
             found = pa.array([digest(s) for s in words.shingle_sets(batch.column(1), width)], type=pa.binary())
             yield batch.filter(pc.fill_null(pc.equal(found, batch.column(0)), False))
 
-    read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    joined = read.join(wanted, F.col("id").eqNullSafe(F.col("lead"))).select("node", "text")
+    at = F.col("id").eqNullSafe(F.col("lead.id")) & (F.col("print") == F.col("lead.print"))
+    joined = _read(docs, id_col, text_col).join(wanted, at).select("node", "text")
     return joined.mapInArrow(check, "node binary, text string").dropDuplicates(["node"])
 
 
@@ -186,7 +195,7 @@ def _linked_across(members: DataFrame, width: int, least: int, over: int, under:
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         block, node, component = (table.column(c).to_pylist() for c in ("block", "node", "component"))
-        first, band = min(block), table.column("band")[0].as_py()
+        first, band = min(block), pc.min(table.column("band")).as_py()
         codes = {c: i for i, c in enumerate(dict.fromkeys(component))}
         part = np.array([codes[c] for c in component])
         n = table.column("n").to_numpy()
@@ -234,7 +243,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     drawn = cut_lineage(sketches(docs, id_col, text_col, width, rows))
     nodes = cut_lineage(
         drawn.where("node is not null").groupBy("node")
-        .agg(F.min("id").alias("lead"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
+        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "print")).alias("lead"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
     )
     signed = nodes.select("node", "lead", "n", "marks")
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
@@ -261,7 +270,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = links.unionByName(_linked_across(apart, width, least, over, under))
         parts = cut_lineage(stars.components(links, "a", "b"))
     led = nodes.select("node", "lead").join(parts, "node", "left").select("node", "lead", F.coalesce("component", "node").alias("component"))
-    heads = led.groupBy("component").agg(F.min("lead").alias("component_id"))
+    heads = led.groupBy("component").agg(F.min("lead.id").alias("component_id"))
     placed = led.join(heads, "component").select("node", "component_id")
     out = drawn.select("id", "n_shingles", "node").join(placed, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
