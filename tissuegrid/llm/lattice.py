@@ -25,7 +25,7 @@ BLANK = 0x2581
 #: Stands for a blank sign that is in the text itself: it is spelt in bytes, so that decoding gives it back.
 LITERAL = 0x110000
 #: Bytes of text that share lattices: more saves time, less saves memory. A longer text is a piece of its own.
-TEXT = 1 << 20
+TEXT = 1 << 21
 #: Shift that leaves the bits of a hash for the first look at the vocabulary.
 SEEN = np.uint64(44)
 
@@ -93,8 +93,12 @@ def running(codes: np.ndarray) -> np.ndarray:
 def uniform(key: np.ndarray, a: int, b) -> np.ndarray:
     """Numbers in (0, 1) that hang on key, a and b alone."""
     with np.errstate(over="ignore"):
-        h = np.asarray(key, dtype=np.uint64) + words.mix(np.uint64(a)) + np.asarray(b, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        h = words.mix(h) >> np.uint64(12)
+        return _fraction(np.asarray(key, dtype=np.uint64) + words.mix(np.uint64(a)), b)
+
+
+def _fraction(key: np.ndarray, b) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = words.mix(key + np.asarray(b, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(12)
     return (h.astype(np.float64) + 0.5) * 2.0**-52
 
 
@@ -119,13 +123,24 @@ class Lattices:
         left = np.repeat(self.last, size + 1) - np.arange(nodes)  # characters up to the segment's end
         run, hits = running(self.code), []
         lone = left > 0
+        alive = None  # the nodes far enough from their segment's end, once they are few
         for n, (known, ids, logp) in vocabulary.by_length.items():
             if n > size.max():
                 break
-            h = window_hashes(self.code, n, run)
-            where = np.flatnonzero((left[: len(h)] >= n) & vocabulary.seen[h >> SEEN])
-            found = np.minimum(np.searchsorted(known, h[where]), len(known) - 1)
-            hit = known[found] == h[where]
+            if alive is None and n > 3:
+                alive = np.flatnonzero(left >= n)
+            if alive is None:
+                h = window_hashes(self.code, n, run)
+                where = np.flatnonzero((left[: len(h)] >= n) & vocabulary.seen[h >> SEEN])
+                h = h[where]
+            else:
+                alive = alive[left[alive] >= n]
+                with np.errstate(over="ignore"):
+                    h = (run[alive + n] - run[alive]) * words.ladders(nodes)[1][alive]
+                maybe = vocabulary.seen[h >> SEEN]
+                where, h = alive[maybe], h[maybe]
+            found = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            hit = known[found] == h
             where, found = where[hit], found[hit]
             hits.append((where.astype(np.int32), ids[found], alpha * logp[found], n))
             if n == 1:
@@ -168,15 +183,17 @@ class Lattices:
             self.rest = np.log1p(-q)
         self.rest[np.repeat(many, many) == 1] = -np.inf
 
-    def draw(self, node: np.ndarray, stop: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    def draw(self, node: np.ndarray, stop: np.ndarray, key: np.ndarray, place: np.ndarray, sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Paths from node to stop: the edges of all steps one path after the other, and where each path begins.
 
         ``place`` seeds the steps, with key and sample.
         """
         n, owner, steps = len(node), np.flatnonzero(node < stop), []
-        node, stop, key, place = node[owner].copy(), stop[owner], key[owner], place[owner].copy()
+        node, stop, place = node[owner].copy(), stop[owner], place[owner].copy()
+        with np.errstate(over="ignore"):
+            key = key[owner] + words.mix(sample[owner])
         while len(owner):
-            u = uniform(key, sample, place)
+            u = _fraction(key, place)
             edge = self.begin[node]
             short = np.flatnonzero(self.upto[edge] < u)
             while len(short):
@@ -275,6 +292,21 @@ def _ids(lattices: Lattices, paths: list[np.ndarray], bytes_at: int) -> list[np.
     return np.split(out, ends[:-1])
 
 
+def _turn(search: _Search, r: int, i: int) -> tuple | None:
+    """The best set of segmentations still unopened: (text, path, step, used edges, bound, the edge it turns to there)."""
+    bound, path, step = search.best()
+    if path is None:
+        return None
+    path["late"][step - path["from"]] = math.inf
+    lattices, edge = search.l, int(path["edges"][step])
+    gone = [*(path["gone"] if step == path["from"] else []), edge]
+    node = int(lattices.src[edge])
+    free = [e for e in range(lattices.begin[node], lattices.begin[node] + lattices.many[node]) if e not in gone]
+    chances = np.exp(lattices.logq[free] - lattices.logq[free].max())
+    pick = float(uniform(search.key, 500_009 + r, step)) * chances.sum()
+    return i, path, step, gone, bound, int(free[min(int((np.cumsum(chances) < pick).sum()), len(free) - 1)])
+
+
 def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, samples: int, alpha: float) -> list[list[tuple]]:
     """For each text up to ``samples`` distinct segmentations: (ids, log_prob, perturbed, log_inclusion), best first."""
     codes, text_start = _codes(texts)
@@ -297,55 +329,52 @@ def sample_texts(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, sam
     none = np.zeros(0, dtype=np.int64)
     found: list[list[dict]] = [[] for _ in texts]
     searches: list[_Search | None] = [None] * len(texts)
-    open_texts = range(len(texts))
-    for r in range(samples):
-        if not len(open_texts):
+    if len(codes) and samples:
+        drawn = lattices.draw(first, last, key, place, np.zeros(len(key), dtype=np.uint64))
+        bounds = np.append(drawn[1], len(drawn[0]))[mine]
+        steps = np.diff(bounds)
+        run = np.concatenate([[0.0], np.cumsum(lattices.logq[drawn[0]])])
+        weight = run[bounds[1:]] - run[bounds[:-1]]
+        index = np.arange(len(drawn[0])) - np.repeat(bounds[:-1], steps)
+        noise = np.log(-np.log(uniform(np.repeat(keys, steps), 1_000_003, index)))
+        late = noise - (lattices.rest[drawn[0]] + run[:-1] - np.repeat(run[bounds[:-1]], steps))
+    open_texts = []
+    for i in range(len(texts) if samples else 0):
+        search = searches[i] = _Search(lattices if len(codes) else None, keys[i])
+        bound = -math.log(-math.log(float(uniform(keys[i], 999_983, 0))))
+        if not texts[i]:
+            found[i].append({"edges": none, "logp": 0.0, "bound": bound})
+            continue
+        a, b = bounds[i], bounds[i + 1]
+        found[i].append(search.first(drawn[0][a:b], float(weight[i]), late[a:b], bound))
+        open_texts.append(i)
+    for r in range(1, samples):
+        turns = [t for i in open_texts if (t := _turn(searches[i], r, i)) is not None]
+        open_texts = [i for i, *_ in turns]
+        if not turns:
             break
-        if len(codes):
-            drawn = lattices.draw(first, last, key, place, r)
-            cut = np.append(drawn[1], len(drawn[0]))
-            if r == 0:
-                bounds = cut[mine]
-                steps = np.diff(bounds)
-                run = np.concatenate([[0.0], np.cumsum(lattices.logq[drawn[0]])])
-                weight = run[bounds[1:]] - run[bounds[:-1]]
-                index = np.arange(len(drawn[0])) - np.repeat(bounds[:-1], steps)
-                noise = np.log(-np.log(uniform(np.repeat(keys, steps), 1_000_003, index)))
-                late = noise - (lattices.rest[drawn[0]] + run[:-1] - np.repeat(run[bounds[:-1]], steps))
-        going = []
-        for i in open_texts:
-            if r == 0:
-                search = searches[i] = _Search(lattices if len(codes) else None, keys[i])
-                bound = -math.log(-math.log(float(uniform(keys[i], 999_983, 0))))
-                if not texts[i]:
-                    found[i].append({"edges": none, "logp": 0.0, "bound": bound})
-                    continue
-                a, b = cut[mine[i]], cut[mine[i + 1]]
-                found[i].append(search.first(drawn[0][a:b], float(weight[i]), late[a:b], bound))
-                going.append(i)
-                continue
-            search = searches[i]
-            bound, path, step = search.best()
-            if path is None:
-                continue
-            path["late"][step - path["from"]] = math.inf
-            edges = path["edges"]
-            gone = [*(path["gone"] if step == path["from"] else []), int(edges[step])]
-            node = int(lattices.src[edges[step]])
-            free = [e for e in range(lattices.begin[node], lattices.begin[node] + lattices.many[node]) if e not in gone]
-            chances = np.exp(lattices.logq[free] - lattices.logq[free].max())
-            pick = float(uniform(keys[i], 500_009 + r, step)) * chances.sum()
-            turn = int(free[min(int((np.cumsum(chances) < pick).sum()), len(free) - 1)])
-            # The segment's rest from the new edge on, then the fresh draw of all later segments.
-            begun = int(lattices.length[edges[:step]].sum(dtype=np.int64))
-            segment = mine[i] + int(np.searchsorted(place[mine[i]: mine[i + 1]], begun, side="right")) - 1
-            over = begun + int(lattices.length[turn])
-            tail = lattices.draw(np.array([node + int(lattices.length[turn])]), np.array([last[segment]]), keys[i: i + 1], np.array([over]), r + 1_000)
-            a, b = cut[segment + 1], cut[mine[i + 1]]
-            edges = np.concatenate([edges[:step], [turn], tail[0], drawn[0][a:b]])
-            found[i].append(search.add(edges, step, gone, bound))
-            going.append(i)
-        open_texts = going
+        # The rest of each text's segment from its new edge on, then all its later segments, drawn for all texts at once.
+        begun = [int(lattices.length[path["edges"][:step]].sum(dtype=np.int64)) for _, path, step, *_ in turns]
+        segment = [mine[i] + int(np.searchsorted(place[mine[i]: mine[i + 1]], at, side="right")) - 1 for i, at in zip(open_texts, begun)]
+        edge = np.array([turn for *_, turn in turns])
+        later = [np.arange(at + 1, mine[i + 1]) for i, at in zip(open_texts, segment)]
+        many = np.array([len(x) for x in later])
+        heads = np.cumsum(many + 1) - many - 1
+        tail = np.ones(int(many.sum()) + len(turns), dtype=bool)
+        tail[heads] = False
+        rest = np.concatenate(later)
+        parts = []
+        for head, others in (
+            (lattices.src[edge] + lattices.length[edge], first[rest]), (last[segment], last[rest]), (keys[open_texts], key[rest]),
+            (np.array(begun) + lattices.length[edge], place[rest]), (np.full(len(turns), r + 1_000), np.full(len(rest), r)),
+        ):
+            whole = np.empty(len(tail), dtype=others.dtype)
+            whole[heads], whole[tail] = head, others
+            parts.append(whole)
+        edges, begin = lattices.draw(*parts[:4], parts[4].astype(np.uint64))
+        cut = np.append(begin, len(edges))[np.append(heads, len(tail))].tolist()
+        for (i, path, step, gone, bound, turn), a, b in zip(turns, cut, cut[1:]):
+            found[i].append(searches[i].add(np.concatenate([path["edges"][:step], [turn], edges[a:b]]), step, gone, bound))
     every = [path["edges"] for paths in found for path in paths]
     spelt = iter(_ids(lattices, every, vocabulary.bytes_at) if len(codes) else [none.astype(np.int32)] * len(every))
     for i, paths in enumerate(found):
@@ -375,25 +404,24 @@ def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
 
     def encode(batches):
         vocabulary = Vocabulary(*shared.value)
-        spelling = _spelling(*shared.value) if check else []
+        spelling = pa.array(_spelling(*shared.value), pa.binary()) if check else None
         for batch in words.tidy(batches):
             for piece in words.pieces(batch.column(1), together):
                 part = batch.slice(piece.first, piece.last - piece.first)
                 texts = part.column(1).to_pylist()
                 keys = part.column(2).to_numpy().view(np.uint64)
                 got = sample_texts([t or "" for t in texts], keys, vocabulary, samples, alpha)
-                take, sample, arrays, scores, same = [], [], [], [], []
+                take, sample, arrays, scores = [], [], [], []
                 for i, one in enumerate(got):
                     for r, (ids, *rest) in enumerate(one):
                         take.append(i)
                         sample.append(r)
                         arrays.append(None if texts[i] is None else ids)
                         scores.append(rest)
-                        if check:
-                            same.append(None if texts[i] is None else _spelt(ids, spelling) == texts[i])
                 sizes = [0 if a is None else len(a) for a in arrays]
                 flat = np.concatenate([a for a in arrays if a is not None] or [np.zeros(0, dtype=np.int32)]).astype(np.int32)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                same = _same_texts(flat, offsets, [texts[i] for i in take], spelling) if check else []
                 missing = pa.array([a is None for a in arrays], pa.bool_())
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()), mask=missing)
                 scores = np.array(scores, dtype=np.float64).reshape(-1, 3)
@@ -417,6 +445,15 @@ def _spelt(ids: np.ndarray, spelling: list[bytes]) -> str:
     return whole[1:] if whole.startswith(" ") else whole
 
 
+def _same_texts(flat: np.ndarray, offsets: np.ndarray, texts: list[str | None], spelling: pa.BinaryArray) -> list[bool | None]:
+    """Whether the ids of each row decode to its text; all ids of a piece are spelt at once, and rows compared as bytes."""
+    spelt = spelling.take(pa.array(flat))
+    _, ends, data = spelt.buffers()
+    ends = np.frombuffer(ends, dtype=np.int32)[spelt.offset: spelt.offset + len(spelt) + 1][offsets].tolist()
+    data = data.to_pybytes() if data is not None else b""
+    return [None if t is None else data[a:b] == (f" {t}" if t else "").encode() for a, b, t in zip(ends, ends[1:], texts)]
+
+
 def decoded(rows: DataFrame, ids_col: str = "ids", out_col: str = "decoded", model: str = MODEL) -> DataFrame:
     """``rows`` with the text of a column of ids: pieces joined, blanks turned to spaces, the one in front taken off.
 
