@@ -212,6 +212,12 @@ def exact_tiles(pixels: DataFrame, height: int, width: int, extent_h: Column, ex
     return pixels.where((ty < rows) & (tx < cols)).withColumn("tile_id", (ty * cols + tx).cast("bigint"))
 
 
+def exact_tiles_by_image(pixels: DataFrame, height: int, width: int, keys: Sequence[str]) -> DataFrame:
+    """``exact_tiles`` of several images, each with its own extent and tile numbers."""
+    size = pixels.groupBy(*keys).agg((F.max("y") + 1).alias("_height"), (F.max("x") + 1).alias("_width"))
+    return exact_tiles(pixels.join(size, list(keys)), height, width, F.col("_height"), F.col("_width")).drop("_height", "_width")
+
+
 def extent(patches: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return patches.groupBy(*keys).agg(
         F.max(F.col("y_start") + F.col("patch_height")).alias("height"),

@@ -30,9 +30,13 @@ def unique_channel_names(panel: DataFrame) -> DataFrame:
     return checked.select("channel_idx", "antibody_name", name.alias("unique_name"))
 
 
-def globalise(cells: DataFrame, patches: DataFrame, source: str, key: str = "label") -> DataFrame:
-    """Global id text, global centroid and the local one kept beside it."""
-    placed = cells.join(patches.select("patch_id", "y_start", "x_start"), "patch_id", "left")
+def globalise(cells: DataFrame, patches: DataFrame, source: str, key: str = "label", keys: Sequence[str] = ()) -> DataFrame:
+    """Global id text, global centroid and the local one kept beside it.
+
+    ``keys`` name the image in both tables; ids then begin with it, so that they differ between images.
+    """
+    at = [*keys, "patch_id"]
+    placed = cells.join(patches.select(*at, "y_start", "x_start"), at, "left")
     dy, dx = F.coalesce("y_start", F.lit(0)), F.coalesce("x_start", F.lit(0))
     return placed.select(
         *[c for c in cells.columns if c not in ("y", "x")],
@@ -40,13 +44,13 @@ def globalise(cells: DataFrame, patches: DataFrame, source: str, key: str = "lab
         (F.col("x") + dx).alias("x"),
         F.col("y").alias("patch_y"),
         F.col("x").alias("patch_x"),
-        F.concat(F.col(key).cast("string"), F.lit(f"_{source}_" if source else "_patch_"), F.col("patch_id").cast("string")).alias("global_cell_id"),
+        F.concat(*[p for k in keys for p in (F.col(k).cast("string"), F.lit("_"))], F.col(key).cast("string"), F.lit(f"_{source}_" if source else "_patch_"), F.col("patch_id").cast("string")).alias("global_cell_id"),
     )
 
 
-def mask_ids(cells: DataFrame, offsets: DataFrame, key: str = "label") -> DataFrame:
-    """Cell ids that keep rising from patch to patch."""
-    return cells.join(offsets.select("patch_id", "label_offset"), "patch_id").withColumn(
+def mask_ids(cells: DataFrame, offsets: DataFrame, key: str = "label", keys: Sequence[str] = ()) -> DataFrame:
+    """Cell ids that keep rising from patch to patch of an image (``keys``)."""
+    return cells.join(offsets.select(*keys, "patch_id", "label_offset"), [*keys, "patch_id"]).withColumn(
         "cell_mask_id", F.col(key) + F.col("label_offset")
     ).drop("label_offset")
 
@@ -96,9 +100,14 @@ def move_marker(metadata: DataFrame, expression: DataFrame, marker: str, key: st
 
 
 def keep_one(df: DataFrame, key: str, order: str, last: bool) -> DataFrame:
-    """One row per key, the first or last by ``order``; ranking is cut off before the shuffle."""
-    by = F.col(order).desc() if last else F.col(order).asc()
-    return df.withColumn("_r", F.row_number().over(W.partitionBy(key).orderBy(by))).where("_r = 1").drop("_r")
+    """One row per key, the first or last by ``order``; ranking is cut off before the shuffle.
+
+    Rows with one key and ``order`` are told apart by their other columns in order, so that reruns pick the same one.
+    """
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    others = [F.col(c) for c in sorted(df.columns) if c not in (key, order) and kinds[c] not in ("map", "variant")]
+    by = [F.col(order).desc() if last else F.col(order).asc(), *others]
+    return df.withColumn("_r", F.row_number().over(W.partitionBy(key).orderBy(*by))).where("_r = 1").drop("_r")
 
 
 def refresh_area(overview: DataFrame, metadata: DataFrame, order: str, keys: Sequence[str] = ("cell_mask_id", "global_cell_id")) -> DataFrame:

@@ -221,18 +221,18 @@ def flip_or_turn(pixels: DataFrame, height: int, width: int, flip_x: bool = Fals
     return pixels.select(*[c for c in pixels.columns if c not in ("y", "x")], y.alias("y"), x.alias("x"))
 
 
-def otsu_threshold(pixels: DataFrame, channel: str, bins: int = 256) -> Column:
-    """Threshold of largest between-class variance over a fixed-width histogram, as a scalar."""
-    ends = pixels.agg(F.struct(F.min(channel).alias("lo"), F.max(channel).alias("hi")).alias("e")).scalar()
-    lo, hi = ends.getField("lo").cast("double"), ends.getField("hi").cast("double")
-    width = (hi - lo) / bins
-    slot = F.least(F.lit(bins - 1), F.coalesce(F.floor(F.try_divide(F.col(channel) - lo, width)), F.lit(0)))
-    hist = pixels.groupBy(slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    hist = hist.withColumn("centre", lo + (F.col("bin") + 0.5) * width)
-    up = W.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow)
-    down = W.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(1, W.unboundedFollowing)
+def otsu_thresholds(pixels: DataFrame, channel: str, keys: Sequence[str], bins: int = 256) -> DataFrame:
+    """(keys, threshold): threshold of largest between-class variance over a fixed-width histogram of each image."""
+    keys = list(keys)
+    ends = pixels.groupBy(*keys).agg(F.min(channel).cast("double").alias("_lo"), ((F.max(channel) - F.min(channel)).cast("double") / bins).alias("_width"))
+    slot = F.least(F.lit(bins - 1), F.coalesce(F.floor(F.try_divide(F.col(channel) - F.col("_lo"), F.col("_width"))), F.lit(0)))
+    hist = pixels.join(ends, keys).groupBy(*keys, "_lo", "_width", slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    hist = hist.withColumn("centre", F.col("_lo") + (F.col("bin") + 0.5) * F.col("_width"))
+    image = W.partitionBy(*keys).orderBy("bin")  # a histogram has at most ``bins`` rows
+    up, down = image.rowsBetween(W.unboundedPreceding, W.currentRow), image.rowsBetween(1, W.unboundedFollowing)
     mass = F.col("n") * F.col("centre")
     scored = hist.select(
+        *keys,
         "centre",
         F.sum("n").over(up).alias("w1"),
         F.sum("n").over(down).alias("w2"),
@@ -243,4 +243,9 @@ def otsu_threshold(pixels: DataFrame, channel: str, bins: int = 256) -> Column:
         F.col("w1").cast("double") * F.col("w2") * F.pow(F.col("m1") / F.col("w1") - F.try_divide(F.col("m2"), F.col("w2")), 2),
         F.lit(0.0),
     )
-    return scored.agg(F.max(F.struct(between.alias("v"), (-F.col("centre")).alias("c"))).alias("best")).select(-F.col("best.c")).scalar()
+    return scored.groupBy(*keys).agg(F.max(F.struct(between.alias("v"), (-F.col("centre")).alias("c"))).alias("best")).select(*keys, (-F.col("best.c")).alias("threshold"))
+
+
+def otsu_threshold(pixels: DataFrame, channel: str, bins: int = 256) -> Column:
+    """``otsu_thresholds`` of a single image, as a scalar."""
+    return otsu_thresholds(pixels.withColumn("_image", F.lit(0)), channel, ["_image"], bins).select("threshold").scalar()

@@ -8,6 +8,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tissuegrid.functions.geometry import clipped, covered_area, fills, flat_of, flat_rings, ring_area, ring_bounds, rings_of, row_spans
 from tissuegrid.operators import components, raster
@@ -191,15 +192,22 @@ def label_tiles(tiles: DataFrame, regions: DataFrame, tile: int, least_tissue: f
     )
 
 
-def automatic_regions(preview: DataFrame, channel: str, factor: int, n: int, least_area: int) -> DataFrame:
-    """Boxes, in full-size pixels, of the n largest bright areas of a preview."""
-    bright = preview.where(F.col(channel) >= raster.otsu_threshold(preview, channel))
-    parts = components.connected_pixels(bright.select("y", "x"), [])
-    boxes = parts.groupBy("component").agg(
+def automatic_regions(preview: DataFrame, channel: str, factor: int, n: int, least_area: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Boxes, in full-size pixels, of the n largest bright areas of each preview image (``keys``).
+
+    Every image has its own threshold, areas and places.
+    """
+    at = list(keys) or ["_image"]
+    images = preview if keys else preview.withColumn("_image", F.lit(0))
+    bright = images.join(raster.otsu_thresholds(images, channel, at), at).where(F.col(channel) >= F.col("threshold"))
+    parts = components.connected_pixels(bright.select(*at, "y", "x"), at)
+    boxes = parts.groupBy(*at, "component").agg(
         F.count(F.lit(1)).alias("area"),
         (F.min("y") * factor).alias("min_row"),
         (F.min("x") * factor).alias("min_col"),
         ((F.max("y") + 1) * factor).alias("max_row"),
         ((F.max("x") + 1) * factor).alias("max_col"),
     )
-    return boxes.where(F.col("area") >= least_area).orderBy(F.col("area").desc(), "component").limit(n)
+    largest = W.partitionBy(*at).orderBy(F.col("area").desc(), "component")
+    placed = boxes.where(F.col("area") >= least_area).withColumn("place", F.row_number().over(largest)).where(F.col("place") <= n)
+    return placed.drop("place", "_image")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -321,57 +322,117 @@ def stratified_split(items: DataFrame, label: str, key: str, test: float = 0.2,
 # --- principal components and correlation ------------------------------------------------------
 
 
-def _covariance(df: DataFrame, columns: Sequence[str], standardise: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(mean, scale, covariance or correlation, n) from one aggregate of a few sums per column pair."""
-    centre = df.agg(F.count(F.lit(1)), *[F.avg(c) for c in columns]).first()
-    n, mean = centre[0], np.array(centre[1:], dtype=float)
-    moved = [F.col(c) - F.lit(float(m)) for c, m in zip(columns, mean)]
-    sums = df.agg(*[F.sum(a * b) for i, a in enumerate(moved) for b in moved[i:]]).first()
-    cov = np.zeros((len(columns),) * 2)
-    cov[np.triu_indices(len(columns))] = np.array(sums, dtype=float) / max(n - 1, 1)
-    cov = cov + np.triu(cov, 1).T
-    scale = np.ones(len(columns))
-    if standardise:
-        pop = np.sqrt(np.diag(cov) * (n - 1) / n)
-        scale = np.where(pop > 0, pop, 1.0)
-        cov = cov / np.outer(scale, scale)
-    return mean, scale, cov, n
+def _outer_sums(keys: Sequence[str]):
+    """Task function: Σ x xᵀ of each group, one matrix per group and task, row by row."""
+
+    def add(batches):
+        sums: dict[tuple, np.ndarray] = {}
+
+        def out():
+            rows = [(*key, i, line) for key, m in sums.items() for i, line in enumerate(m)]
+            sums.clear()
+            return pa.Table.from_pydict({n: [r[c] for r in rows] for c, n in enumerate([*keys, "i", "sums"])}, schema=schema).to_batches()
+
+        schema = None
+        for batch in batches:
+            if schema is None:
+                schema = pa.schema([*[batch.schema.field(k) for k in keys], pa.field("i", pa.int32()), pa.field("sums", pa.list_(pa.float64()))])
+            if not len(batch):
+                continue
+            x = batch.column(len(keys)).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            named = batch.select(list(keys)).to_pandas()
+            for at in named.groupby(list(keys), dropna=False, sort=False).indices.values():
+                key = tuple(batch.column(i)[int(at[0])].as_py() for i in range(len(keys)))
+                sums[key] = sums.get(key, 0.0) + x[at].T @ x[at]
+            if len(sums) * x.shape[1] ** 2 > 1 << 22:
+                yield from out()
+        if sums:
+            yield from out()
+
+    return add
+
+
+def principal_axes(df: DataFrame, columns: Sequence[str], n: int, keys: Sequence[str] = (), standardise: bool = False, vector: bool = False) -> DataFrame:
+    """(keys, n_rows, mean, variances, shares, loadings, offsets) of each image: its first ``n`` principal components.
+
+    ``columns`` are numbers, or one array of numbers with ``vector``; rows with a NULL or NaN are left out. Tasks add up
+    one matrix per image, Spark adds up their entries, and one task per image holds a matrix of the panel's size. A
+    score is Σ loading · x − offset. The sign makes the first of each component's largest loadings positive.
+    """
+    at = list(keys) or ["_all"]
+    x = F.col(columns[0]).cast("array<double>") if vector else F.array(*[F.col(c).cast("double") for c in columns])
+    rows = df.select(*keys, *([] if keys else [F.lit(0).alias("_all")]), x.alias("x")).where("x IS NOT NULL AND forall(x, e -> e IS NOT NULL AND NOT isnan(e))")
+    if vector:
+        wide = rows.select(*at, F.posexplode("x").alias("i", "e"))
+        centre = wide.groupBy(*at, "i").agg(F.avg("e").alias("e"), F.count("*").alias("n")).groupBy(*at).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "e"))), lambda p: p["e"]).alias("mean"), F.max("n").alias("n_rows"))
+    else:
+        centre = rows.groupBy(*at).agg(F.array(*[F.avg(F.col("x")[i]) for i in range(len(columns))]).alias("mean"), F.count("*").alias("n_rows"))
+    centre = cut_lineage(centre)
+    moved = rows.join(centre, at).select(*at, F.expr("zip_with(x, mean, (a, b) -> a - b)").alias("x"))
+    kinds = dict(rows.dtypes)
+    named = ", ".join(f"`{k}` {kinds[k]}" for k in at)
+    sums = moved.mapInArrow(_outer_sums(at), f"{named}, i int, sums array<double>")
+    entries = sums.select(*at, "i", F.posexplode("sums").alias("j", "s")).groupBy(*at, "i", "j").agg(F.sum("s").alias("s")).join(centre.select(*at, "n_rows"), at)
+
+    def solve(group: pd.DataFrame) -> pd.DataFrame:
+        m, rows_in = int(group["i"].max()) + 1, int(group["n_rows"].iloc[0])
+        cov = np.zeros((m, m))
+        cov[group["i"], group["j"]] = group["s"] / max(rows_in - 1, 1)
+        scale = np.ones(m)
+        if standardise:
+            pop = np.sqrt(np.diag(cov) * (rows_in - 1) / rows_in)
+            scale = np.where(pop > 0, pop, 1.0)
+            cov = cov / np.outer(scale, scale)
+        values, axes = np.linalg.eigh(cov)
+        order = np.argsort(values)[::-1][:n]
+        axes = axes[:, order].T
+        size = np.abs(axes)
+        first = (size >= size.max(1, keepdims=True) - 1e-9).argmax(1)
+        axes = axes * np.sign(axes[np.arange(len(axes)), first])[:, None]
+        total = values.sum()
+        out = group[at].iloc[:1].copy()
+        out["variances"], out["shares"] = [values[order].tolist()], [(values[order] / total if total else values[order] * np.nan).tolist()]
+        out["loadings"] = [[(a / scale).tolist() for a in axes]]
+        return out
+
+    solved = entries.groupBy(*at).applyInPandas(solve, f"{named}, variances array<double>, shares array<double>, loadings array<array<double>>")
+    offsets = F.expr("transform(loadings, l -> aggregate(zip_with(l, mean, (a, b) -> a * b), CAST(0 AS DOUBLE), (s, e) -> s + e))")
+    return solved.join(centre, at).withColumn("offsets", offsets).drop("_all")
+
+
+def project(df: DataFrame, columns: Sequence[str], axes: DataFrame, keys: Sequence[str] = (), vector: bool = False) -> DataFrame:
+    """``df`` with ``pcs``, the scores of each row on the axes of its image."""
+    x = F.col(columns[0]).cast("array<double>") if vector else F.array(*[F.col(c).cast("double") for c in columns])
+    fields = F.struct(F.col("loadings").alias("l"), F.col("offsets").alias("o"))
+    if keys:
+        placed = df.join(axes.select(*keys, fields.alias("_axes")), list(keys), "left")
+    else:
+        placed = df.withColumn("_axes", axes.select(fields.alias("f")).scalar())
+    score = "transform(_axes.l, (l, i) -> aggregate(zip_with(l, _x, (a, b) -> a * b), CAST(0 AS DOUBLE), (s, e) -> s + e) - _axes.o[i])"
+    return placed.withColumn("_x", x).withColumn("pcs", F.expr(score)).drop("_axes", "_x")
 
 
 def principal_components(df: DataFrame, columns: Sequence[str], n: int, standardise: bool = False, fit_on: DataFrame | None = None):
-    """(rows with pc1..pcn, explained shares). The sign makes each component's largest loading positive."""
-    mean, scale, cov, _ = _covariance(df if fit_on is None else fit_on, columns, standardise)
-    values, axes = np.linalg.eigh(cov)
-    order = np.argsort(values)[::-1][:n]
-    shares = (values[order] / values.sum()).tolist()
-    axes = axes[:, order]
-    axes = axes * np.sign(axes[np.abs(axes).argmax(0), range(axes.shape[1])])
-    out = df
-    for k in range(axes.shape[1]):
-        score = F.lit(0.0)
-        for c, m, s, a in zip(columns, mean, scale, axes[:, k]):
-            score = score + (F.col(c) - F.lit(float(m))) * F.lit(float(a / s))
-        out = out.withColumn(f"pc{k + 1}", score)
-    return out, shares
-
-
-def vector_components(df: DataFrame, vector: str, n: int) -> tuple[DataFrame, list[float]]:
-    """Centred principal components of a long vector column with the library's own trainer."""
-    from pyspark.ml.feature import PCA, StandardScaler
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    ready = df.withColumn("_x", array_to_vector(F.col(vector).cast("array<double>")))
-    centred = StandardScaler(withMean=True, withStd=False, inputCol="_x", outputCol="_c").fit(ready).transform(ready)
-    model = PCA(k=n, inputCol="_c", outputCol="_p").fit(centred)
-    out = model.transform(centred).withColumn("pcs", vector_to_array("_p")).drop("_x", "_c", "_p")
-    return out, [float(v) for v in model.explainedVariance]
-
-
-def illumination_check(pixels: DataFrame, channels: Sequence[str], n: int = 3) -> DataFrame:
-    """(PC, rho_y, rho_x): components fitted and scored on every pixel, against position."""
-    scored, _shares = principal_components(pixels, channels, n, standardise=True)
-    cols = [F.struct(F.lit(k).alias("PC"), F.corr(f"pc{k}", F.col("y").cast("double")).alias("rho_y"), F.corr(f"pc{k}", F.col("x").cast("double")).alias("rho_x")) for k in range(1, min(n, len(channels)) + 1)]
-    return scored.agg(F.array(*cols).alias("_r")).select(F.explode("_r").alias("r")).select("r.*")
+    """(rows with pc1..pcn, explained shares)."""
+    axes = cut_lineage(principal_axes(df if fit_on is None else fit_on, columns, n, standardise=standardise))
+    row = axes.first()
+    shares = list(row["shares"]) if row else []
+    out = project(df, columns, axes)
+    return out.withColumns({f"pc{k + 1}": F.col("pcs")[k] for k in range(min(n, len(columns)))}).drop("pcs"), shares
+
+
+def vector_components(df: DataFrame, vector: str, n: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``pcs``, axes): centred principal components of a vector column."""
+    axes = cut_lineage(principal_axes(df, [vector], n, vector=True))
+    return project(df, [vector], axes, vector=True), axes
+
+
+def illumination_check(pixels: DataFrame, channels: Sequence[str], n: int = 3, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, PC, rho_y, rho_x): components fitted and scored on every pixel of an image, against position."""
+    axes = cut_lineage(principal_axes(pixels, channels, n, keys, standardise=True))
+    scored = project(pixels, channels, axes, keys)
+    cols = [F.struct(F.lit(k + 1).alias("PC"), F.corr(F.col("pcs")[k], F.col("y").cast("double")).alias("rho_y"), F.corr(F.col("pcs")[k], F.col("x").cast("double")).alias("rho_x")) for k in range(min(n, len(channels)))]
+    return scored.groupBy(*keys).agg(F.array(*cols).alias("_r")).select(*keys, F.explode("_r").alias("r")).select(*keys, "r.*")
 
 
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:

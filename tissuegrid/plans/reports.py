@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tissuegrid.functions import text
-from tissuegrid.operators import bias, density, match, profile, qc, raster, regions, sheets
+from tissuegrid.operators import bias, density, match, patches, profile, qc, raster, regions, sheets
 from tissuegrid.operators.patches import label_offsets
 from tissuegrid.plans.catalog import query
 from tissuegrid.plans.cells import rounded
@@ -564,12 +564,55 @@ def _(spark, d):
     return regions.label_tiles(tiles, _on_slides(_rects(spark, d)), 8, keys=IMAGE)
 
 
-@query("R21_automatic_regions")
+_BOX_SQL = """ends AS (SELECT image_id, min(v0) AS lo, (max(v0) - min(v0)) / 256 AS wd FROM pv GROUP BY 1),
+  bins AS (SELECT image_id, any_value(lo) AS lo, any_value(wd) AS wd, CASE WHEN wd = 0 THEN 0 ELSE least(255, floor((v0 - lo) / wd)) END AS bin, count(*) AS n FROM pv JOIN ends USING (image_id) GROUP BY image_id, 4),
+  cen AS (SELECT image_id, n, lo + (bin + 0.5) * wd AS c FROM bins),
+  cut AS (SELECT image_id, c, sum(n) OVER u AS w1, sum(n) OVER dn AS w2, sum(n * c) OVER u AS m1, sum(n * c) OVER dn AS m2 FROM cen
+    WINDOW u AS (PARTITION BY image_id ORDER BY c), dn AS (PARTITION BY image_id ORDER BY c ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+  lim AS (SELECT image_id, arg_max(c, (coalesce(CAST(w1 AS DOUBLE) * w2 * power(m1 / w1 - m2 / w2, 2), 0), -c)) AS t FROM cut GROUP BY 1),
+  br AS (SELECT image_id, y, x, CAST(y AS BIGINT) * 4294967296 + x AS code FROM pv JOIN lim USING (image_id) WHERE v0 >= t),
+  st AS (SELECT a.image_id, a.code AS a, b.code AS b FROM br a JOIN br b ON a.image_id = b.image_id AND abs(a.y - b.y) + abs(a.x - b.x) = 1),
+  walk(image_id, node, root) AS (SELECT image_id, code, code FROM br UNION SELECT walk.image_id, st.b, walk.root FROM walk JOIN st ON st.image_id = walk.image_id AND st.a = walk.node WHERE walk.root < st.b),
+  part AS (SELECT image_id, node, min(root) AS component FROM walk GROUP BY 1, 2),
+  box AS (SELECT image_id, component, count(*) AS area, min(y) * 2 AS min_row, min(x) * 2 AS min_col, (max(y) + 1) * 2 AS max_row, (max(x) + 1) * 2 AS max_col FROM part JOIN br USING (image_id) WHERE br.code = part.node GROUP BY 1, 2)
+  SELECT {out} component, area, min_row, min_col, max_row, max_col FROM box WHERE area >= 3 QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY area DESC, component) <= 5"""
+
+
+@query("R21_automatic_regions", f"WITH RECURSIVE {PIXELS_SQL}, pv AS (SELECT 0 AS image_id, y // 2 AS y, x // 2 AS x, v0 FROM px WHERE y % 2 = 0 AND x % 2 = 0), {_BOX_SQL.format(out='')}")
 def _(spark, d):
     preview = raster.stride(pixels(spark, d), 2)
     return regions.automatic_regions(preview, "v0", 2, 5, 3)
 
 
+@query("R21_automatic_regions_by_image", f"WITH RECURSIVE {SLIDES_SQL}, pv AS (SELECT image_id, y, x, v0 FROM slides), {_BOX_SQL.format(out='image_id,')}")
+def _(spark, d):
+    return regions.automatic_regions(slides(spark, d), "v0", 2, 5, 3, IMAGE)
+
+
+@query(
+    "R7_exact_tiles_by_image",
+    f"""WITH {SLIDES_SQL}, w AS (SELECT image_id, max(y) + 1 AS h, max(x) + 1 AS w FROM slides GROUP BY 1)
+    SELECT image_id, CAST((y // 6) * (w // 7) + x // 7 AS BIGINT) AS tile_id, count(*) AS n, sum(v0) AS total FROM slides JOIN w USING (image_id) WHERE y // 6 < h // 6 AND x // 7 < w // 7 GROUP BY 1, 2""",
+)
+def _(spark, d):
+    tiles = patches.exact_tiles_by_image(slides(spark, d), 6, 7, IMAGE)
+    return tiles.groupBy("image_id", "tile_id").agg(F.count(F.lit(1)).alias("n"), F.sum("v0").alias("total"))
+
+
+@query(
+    "P14_global_ids_by_image",
+    f"""WITH {SLIDES_SQL}, c AS (SELECT image_id, y // 5 AS patch_id, CAST(v0 AS BIGINT) AS label, avg(y % 5) AS y, avg(x) AS x FROM slides GROUP BY ALL)
+    SELECT image_id, patch_id, label, round(y + patch_id * 5 + image_id * 100, 6) AS y, round(x, 6) AS x, round(y, 6) AS patch_y, round(x, 6) AS patch_x,
+    CAST(image_id AS VARCHAR) || '_' || CAST(label AS VARCHAR) || '_patch_' || CAST(patch_id AS VARCHAR) AS global_cell_id FROM c""",
+)
+def _(spark, d):
+    """Each slide has patches of its own origin; patch numbers repeat."""
+    cut = slides(spark, d).withColumn("patch_id", F.expr("CAST(y DIV 5 AS INT)"))
+    local = cut.groupBy("image_id", "patch_id", F.col("v0").cast("bigint").alias("label")).agg(F.avg(F.col("y") % 5).alias("y"), F.avg("x").alias("x"))
+    origins = cut.select("image_id", "patch_id", (F.col("patch_id") * 5 + F.col("image_id") * 100).alias("y_start"), F.lit(0).alias("x_start")).distinct()
+    return rounded(profile.globalise(local, origins, "patch", keys=IMAGE), ["y", "x", "patch_y", "patch_x"])
+
+
 @query("T2_largest_regions", f"WITH {REGIONS_SQL} SELECT region_id, label, y0 FROM regions ORDER BY x0 DESC, region_id LIMIT 7")
 def _(spark, d):
     r = regions.with_bounds(region_view(spark, d))

@@ -16,12 +16,13 @@ from tissuegrid.plans.dataset import (
 )
 from tissuegrid.plans.pixels import CH, K, REPAIRED_SQL, _repair, shape_sql
 from tissuegrid.plans.reports import _metadata, patch_table
-from tissuegrid.runtime import ensure_checkpoint_dir
+from tissuegrid.runtime import stage_folder
 from tissuegrid.sources import documents, listing, sinks, tables
 
 
 def scratch(spark, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A folder of this run; it goes when the session's Python process ends."""
+    return f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # --- statistics --------------------------------------------------------------------------------
@@ -225,10 +226,41 @@ def _(spark, d):
     return summary.metric_pair_bins(measurements(spark, d), ["quantity", "price"], 20)
 
 
-@query("A48_principal_components")
+def _roots_sql() -> str:
+    """Eigenvalues of the correlation matrix of four markers: roots of its characteristic polynomial, largest first.
+
+    All roots are real, so Newton's steps from above fall on the largest one; dividing it out leads to the next.
+    """
+    pairs = [(i, j) for i in range(4) for j in range(i + 1, 4)]
+    c = {p: f"c{p[0]}{p[1]}" for p in pairs}
+    threes = [(i, j, k) for i in range(4) for j in range(i + 1, 4) for k in range(j + 1, 4)]
+    squares = " + ".join(f"{x} * {x}" for x in c.values())
+    triples = " + ".join(f"{c[i, j]} * {c[j, k]} * {c[i, k]}" for i, j, k in threes)
+    opposite = " + ".join(f"{a} * {a} * {b} * {b}" for a, b in ((c[0, 1], c[2, 3]), (c[0, 2], c[1, 3]), (c[0, 3], c[1, 2])))
+    rings = " + ".join(" * ".join(c[p] for p in r) for r in (((0, 1), (1, 2), (2, 3), (0, 3)), ((0, 1), (1, 3), (2, 3), (0, 2)), ((0, 2), (1, 2), (1, 3), (0, 3))))
+    cors = ", ".join(f"corr({MARKERS[i]}, {MARKERS[j]}) AS {c[i, j]}" for i, j in pairs)
+    third = " + ".join(f"(1 + 2 * {c[i, j]} * {c[j, k]} * {c[i, k]} - {c[i, j]} * {c[i, j]} - {c[j, k]} * {c[j, k]} - {c[i, k]} * {c[i, k]})" for i, j, k in threes)
+    return f"""m AS (SELECT l_quantity AS quantity, l_extendedprice AS price, abs(l_discount) AS discount, abs(l_tax) AS tax FROM lineitem),
+    k AS (SELECT count(*) AS n, {cors} FROM m),
+    e AS (SELECT n, -4.0 AS p3, 6 - ({squares}) AS p2, -({third}) AS p1, 1 - ({squares}) + 2 * ({triples}) + {opposite} - 2 * ({rings}) AS p0 FROM k),
+    r1 AS (SELECT 0 AS i, CAST(4 AS DOUBLE) AS x FROM e UNION ALL SELECT i + 1, x - coalesce(((((x + p3) * x + p2) * x + p1) * x + p0) / nullif(((4 * x + 3 * p3) * x + 2 * p2) * x + p1, 0), 0) FROM r1, e WHERE i < 200),
+    v1 AS (SELECT x AS a FROM r1 WHERE i = 200),
+    q AS (SELECT n, a, p3 + a AS b2, p2 + a * (p3 + a) AS b1, p1 + a * (p2 + a * (p3 + a)) AS b0 FROM e, v1),
+    r2 AS (SELECT 0 AS i, a AS x FROM q UNION ALL SELECT i + 1, x - coalesce((((x + b2) * x + b1) * x + b0) / nullif((3 * x + 2 * b2) * x + b1, 0), 0) FROM r2, q WHERE i < 200),
+    v AS (SELECT n, a, x AS b, b2 + x AS d1, b1 + x * (b2 + x) AS d0 FROM q, r2 WHERE i = 200)"""
+
+
+@query(
+    "A48_principal_components",
+    f"WITH RECURSIVE {_roots_sql()} SELECT round(a, 5) AS var1, round(b, 5) AS var2, round((-d1 + sqrt(greatest(d1 * d1 - 4 * d0, 0))) / 2, 5) AS var3, round((a + b + (-d1 + sqrt(greatest(d1 * d1 - 4 * d0, 0))) / 2) / 4, 6) AS explained FROM v",
+)
 def _(spark, d):
-    out, shares = summary.principal_components(measurements(spark, d), MARKERS, 3, standardise=True)
-    return out.agg(*[F.round(F.var_samp(f"pc{i}"), 5).alias(f"var{i}") for i in (1, 2, 3)], F.lit(round(sum(shares), 6)).alias("explained"))
+    """Scores of all rows; their variances are those of the components."""
+    m = measurements(spark, d)
+    axes = summary.principal_axes(m, MARKERS, 3, standardise=True)
+    scored = summary.project(m, MARKERS, axes)
+    total = F.expr("round(aggregate(shares, CAST(0 AS DOUBLE), (s, e) -> s + e), 6)")
+    return scored.agg(*[F.round(F.var_pop(F.col("pcs")[i]), 5).alias(f"var{i + 1}") for i in range(3)]).withColumn("explained", axes.select(total.alias("t")).scalar())
 
 
 @query(
@@ -238,20 +270,41 @@ def _(spark, d):
 )
 def _(spark, d):
     two = table(spark, d, "lineitem").select("l_quantity", (F.col("l_tax") * 100).alias("tax"))
-    _scores, shares = summary.principal_components(two, ["l_quantity", "tax"], 2)
-    return table(spark, d, "lineitem").groupBy().agg(F.round(F.lit(shares[0]), 6).alias("first_share"))
+    return summary.principal_axes(two, ["l_quantity", "tax"], 2).select(F.round(F.col("shares")[0], 6).alias("first_share"))
 
 
 @query("G7_two_dimensional_view")
 def _(spark, d):
     emb = table(spark, d, "embeddings")
-    out, _shares = summary.vector_components(emb, "embedding", 2)
+    out, _axes = summary.vector_components(emb, "embedding", 2)
     return out.select("vec_id", "label", F.col("pcs")[0].alias("x"), F.col("pcs")[1].alias("y"))
 
 
-@query("A49_illumination_check")
+_TILT_SQL = """s AS (SELECT *, (v0 - avg(v0) OVER w) / stddev_pop(v0) OVER w AS z0, (v1 - avg(v1) OVER w) / stddev_pop(v1) OVER w AS z1 FROM {src} WINDOW w AS (PARTITION BY {key})),
+  g AS (SELECT *, sign(corr(z0, z1) OVER (PARTITION BY {key})) AS sg FROM s)
+  SELECT {out} 1 AS PC, round(corr(z0 + sg * z1, CAST(y AS DOUBLE)), 6) AS rho_y, round(corr(z0 + sg * z1, CAST(x AS DOUBLE)), 6) AS rho_x FROM g GROUP BY {key}
+  UNION ALL SELECT {out} 2, round(corr(z0 - sg * z1, CAST(y AS DOUBLE)), 6), round(corr(z0 - sg * z1, CAST(x AS DOUBLE)), 6) FROM g GROUP BY {key}"""
+
+
+@query("A49_illumination_check", f"WITH {PIXELS_SQL}, one AS (SELECT *, 0 AS image FROM px), {_TILT_SQL.format(src='one', key='image', out='')}")
+def _(spark, d):
+    return rounded(summary.illumination_check(pixels(spark, d), CH, 2), ["rho_y", "rho_x"])
+
+
+SLIDE_SQL = "sl AS (SELECT CAST(p_partkey % 3 AS INTEGER) AS image_id, CAST((p_partkey // 3) // 50 AS INTEGER) AS y, CAST((p_partkey // 3) % 50 AS INTEGER) AS x, CAST(p_size AS DOUBLE) AS v0, p_retailprice AS v1 FROM part)"
+
+
+def slide_pixels(spark, d):
+    at = F.expr("CAST(p_partkey DIV 3 AS BIGINT)")
+    return table(spark, d, "part").select(
+        (F.col("p_partkey") % 3).cast("int").alias("image_id"), F.floor(at / 50).cast("int").alias("y"), (at % 50).cast("int").alias("x"),
+        F.col("p_size").cast("double").alias("v0"), F.col("p_retailprice").alias("v1"),
+    )
+
+
+@query("A49_illumination_check_by_image", f"WITH {SLIDE_SQL}, {_TILT_SQL.format(src='sl', key='image_id', out='image_id,')}")
 def _(spark, d):
-    return summary.illumination_check(pixels(spark, d), CH, 2)
+    return rounded(summary.illumination_check(slide_pixels(spark, d), CH, 2, ["image_id"]), ["rho_y", "rho_x"])
 
 
 @query("A51_vocabulary", "SELECT p_name AS name, CAST(row_number() OVER (ORDER BY p_name) AS INTEGER) AS id FROM (SELECT DISTINCT p_name FROM part)")
@@ -632,6 +685,33 @@ def _(spark, d):
     return parts[0].unionByName(parts[1])
 
 
+_REPORT_SQL = """p AS (SELECT page_id, split_part(regexp_replace(url, '^https?://', ''), '/', 1) AS host, length(html) AS size FROM pages)"""
+
+
+def _page_files(spark, d):
+    """A listing: every page is a report file in the folder of its host."""
+    host = F.split_part(F.regexp_replace("url", "^https?://", ""), F.lit("/"), F.lit(1))
+    kind = F.when(F.col("page_id") % 3 == 0, "patch-7-cell_metadata.csv").when(F.col("page_id") % 3 == 1, "qc.html").otherwise("other.txt")
+    name = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("patch-"), F.col("page_id").cast("string"), F.lit("-cell_metadata.csv"))).otherwise(kind)
+    return table(spark, d, "pages").select(
+        "page_id", F.concat(F.lit("/data/"), host, F.lit("/"), name).alias("path"), F.length("html").cast("bigint").alias("length"), F.timestamp_seconds("page_id").alias("modificationTime"),
+    )
+
+
+@query("S3_layout_of_a_listing", "SELECT 'patches' AS layout, count(*) AS n_patches FROM pages WHERE page_id % 3 = 0")
+def _(spark, d):
+    return listing.layout(_page_files(spark, d))
+
+
+@query(
+    "S21_reports_of_a_listing",
+    f"""WITH {_REPORT_SQL} SELECT host AS exp_id, 'quality' AS report_type, size AS file_size, page_id AS modified, host || '_quality.html' AS dest_filename FROM p WHERE page_id % 3 = 1""",
+)
+def _(spark, d):
+    found = listing.reports(_page_files(spark, d), {"qc.html": "quality"})
+    return listing.report_index(found).withColumn("modified", F.unix_seconds("modified")).select("exp_id", "report_type", "file_size", "modified", "dest_filename")
+
+
 @query("S21_report_listing")
 def _(spark, d):
     """Every table file of the folder counts as a report of one experiment."""
@@ -728,11 +808,19 @@ def _(spark, d):
     return sinks.manifest(listing.list_files(spark, folder, "part-*")).select("artifact")
 
 
-@query("K9_label_layers", f"WITH {PIXELS_SQL} SELECT 'cell_label' AS layer, count(*) AS n FROM px WHERE cell_label > 0 UNION ALL SELECT 'nucleus_label', count(*) FROM px WHERE nucleus_label > 0")
+@query("K9_label_layers", f"WITH {PIXELS_SQL} SELECT 'cell_label' AS layer, patch_id, y, x, cell_label AS label FROM px WHERE cell_label > 0 UNION ALL SELECT 'nucleus_label', patch_id, y, x, nucleus_label FROM px WHERE nucleus_label > 0")
 def _(spark, d):
     path = scratch(spark, "layers")
     sinks.label_layers(pixels(spark, d), ["cell_label", "nucleus_label"], path)
-    return spark.read.parquet(path).groupBy("layer").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(path).select("layer", "patch_id", "y", "x", "label")
+
+
+@query("K9_label_layers_by_image", f"WITH {SLIDE_SQL} SELECT image_id, 'size_label' AS layer, y // 20 AS patch_id, y, x, CAST(v0 AS BIGINT) - 3 AS label FROM sl WHERE v0 > 3")
+def _(spark, d):
+    path = scratch(spark, "layers")
+    px = slide_pixels(spark, d).withColumn("patch_id", F.expr("CAST(y DIV 20 AS INT)")).withColumn("size_label", F.col("v0").cast("bigint") - 3)
+    sinks.label_layers(px, ["size_label"], path, ["image_id"])
+    return spark.read.parquet(path).select("image_id", "layer", "patch_id", "y", "x", "label")
 
 
 @query("K11_polygon_json", f"WITH {REGIONS_SQL} SELECT label AS source, count(*) AS count FROM regions GROUP BY 1")

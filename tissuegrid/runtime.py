@@ -34,16 +34,27 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for stage tables: the one in ``spark.checkpoint.dir``, or one beside the session's warehouse if that is unset."""
+    """Folder for stage tables: the one in ``spark.checkpoint.dir``, or one beside the session's warehouse if that is unset.
+
+    A warehouse on a machine's own disk serves local sessions only: on a cluster each executor would write its own.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
+        if is_cluster(sc.master) and folder.split(":", 1)[0] in ("file", folder):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
+def is_cluster(master: str) -> bool:
+    return master != "local" and not master.startswith("local[")
+
+
 _STAGES: dict[str, SparkSession] = {}
 
 

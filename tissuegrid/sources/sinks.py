@@ -61,11 +61,12 @@ def annotated_matrix(expression: DataFrame, observations: DataFrame, edges: Data
         overwrite_table(df, f"{folder}/{name}")
 
 
-def label_layers(pixels: DataFrame, layers: Sequence[str], path: str) -> None:
-    """Sparse label table, one folder per patch and layer."""
+def label_layers(pixels: DataFrame, layers: Sequence[str], path: str, keys: Sequence[str] = ()) -> None:
+    """Sparse label table, one folder per image (``keys``), patch and layer."""
     parts = F.array(*[F.struct(F.lit(n).alias("layer"), F.col(n).cast("bigint").alias("label")) for n in layers])
-    long = pixels.select("patch_id", "y", "x", F.explode(parts).alias("e")).select("patch_id", "y", "x", "e.layer", "e.label")
-    by_partition(long.where("label > 0"), path, ["patch_id", "layer"])
+    at = [*keys, "patch_id", "y", "x"]
+    long = pixels.select(*at, F.explode(parts).alias("e")).select(*at, "e.layer", "e.label")
+    by_partition(long.where("label > 0"), path, [*keys, "patch_id", "layer"])
 
 
 def manifest(files: DataFrame) -> DataFrame:
