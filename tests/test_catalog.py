@@ -7,7 +7,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from compare import compare, connect
 
 # Long-running ones are covered by their own operator tests.
-SLOW = {"G5_communities", "A38_segmentation_metrics", "A40_informative_patch_scores", "A52_density_and_bias_by_patch"}
+SLOW = {"A38_segmentation_metrics", "A40_informative_patch_scores", "A52_density_and_bias_by_patch"}
 
 
 @pytest.fixture(scope="module")

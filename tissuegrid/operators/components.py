@@ -14,14 +14,50 @@ from tissuegrid.operators.raster import TILE
 from tissuegrid.runtime import cut_lineage
 
 
-def connected_nodes(edges: DataFrame, keys: Sequence[str] = (), max_rounds: int = 60) -> DataFrame:
+#: Edges that are joined inside one task.
+SMALL = 1 << 18
+
+
+def _joined(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Smallest node that each of the nodes 0..n-1 is joined to by the edges (a, b)."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        before = root.copy()
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        root = root[root]
+        if np.array_equal(root, before):
+            return root
+
+
+def _few_nodes(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """``connected_nodes`` of a bounded number of edges, in one task."""
+
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        ends = [pdf[[*keys, c]].rename(columns={c: "node"}) for c in ("lo", "hi")]
+        nodes = pd.concat(ends).drop_duplicates().sort_values([*keys, "node"], ignore_index=True)
+        both = pd.concat([nodes, *ends], ignore_index=True)
+        code = both.groupby([*keys, "node"], dropna=False, sort=False).ngroup().to_numpy()[len(nodes):]  # numbers follow the sorted nodes
+        root = _joined(code[: len(pdf)], code[len(pdf):], len(nodes))
+        return nodes.assign(component=nodes["node"].to_numpy()[root])
+
+    kinds = dict(edges.dtypes)
+    shape = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), f"node {kinds['lo']}", f"component {kinds['lo']}"])
+    return edges.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(join, shape)
+
+
+def connected_nodes(edges: DataFrame, keys: Sequence[str] = (), max_rounds: int = 60, small: int = SMALL) -> DataFrame:
     """(keys, node, component) for nodes of an (a, b) edge table; the smallest node names a component.
 
     Alternates two contractions until nothing changes: each node hands its larger neighbours to the
-    smallest node it sees, then its smaller ones. Rounds grow with the logarithm of the size.
+    smallest node it sees, then its smaller ones. Rounds grow with the logarithm of the size. Up to ``small`` edges are
+    joined inside one task.
     """
     keys = list(keys)
     current = cut_lineage(edges.select(*keys, F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo <> hi").distinct())
+    if current.count() <= small:
+        return _few_nodes(current, keys)
     for _ in range(max_rounds):
         both = current.select(*keys, F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(
             current.select(*keys, F.col("hi").alias("u"), F.col("lo").alias("v"))
@@ -52,15 +88,7 @@ def _label_tile(y: np.ndarray, x: np.ndarray) -> np.ndarray:
         on = (first >= 0) & (second >= 0)
         pairs.append(np.stack([first[on], second[on]]))
     a, b = np.concatenate(pairs, axis=1)
-    root = np.arange(len(y))
-    while True:
-        low = np.minimum(root[a], root[b])
-        before = root.copy()
-        np.minimum.at(root, root[a], low)
-        np.minimum.at(root, root[b], low)
-        root = root[root]
-        if np.array_equal(root, before):
-            return root
+    return _joined(a, b, len(y))
 
 
 def connected_pixels(mask: DataFrame, keys: Sequence[str], tile: int = TILE) -> DataFrame:

@@ -113,14 +113,14 @@ def _nearest_centre(centres: str, v: str) -> Column:
     return F.expr(f"CAST(array_position({d}, array_min({d})) - 1 AS INT)")
 
 
-def grouped_kmeans(cells: DataFrame, keys: Sequence[str], ks: Sequence[int], vector: str = "z", seed: int = 777, max_rounds: int = 500) -> DataFrame:
+def grouped_kmeans(cells: DataFrame, keys: Sequence[str], ks: Sequence[int], vector: str = "z", seed: int = 777, max_rounds: int = 500, order: Column | None = None) -> DataFrame:
     """(keys, label, k, cluster): k-means in every group and for every k at once.
 
-    Starting centres are the k first cells of the group in hash order. Centres are a small table, one
+    Starting centres are the k first cells of the group in hash order, or in the order given. Centres are a small table, one
     row per (group, k); cells are only aggregated, so a big group is spread over all tasks.
     """
     keys = list(keys)
-    order = F.xxhash64("label", F.lit(seed))
+    order = F.xxhash64("label", F.lit(seed)) if order is None else order
     w = W.partitionBy(*keys).orderBy(order, "label")
     starts = cells.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max(ks))
     starts = starts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_r", vector))).alias("_c"))

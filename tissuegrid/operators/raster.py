@@ -172,16 +172,18 @@ def add_ramp(pixels: DataFrame, channels: Sequence[str], height: int, width: int
 NOISE_SIGMA = {8: {1: 1.94, 2: 3.88, 3: 5.82}, 16: {1: 500.0, 2: 1000.0, 3: 1500.0}}
 
 
-def gaussian_noise(pixels: DataFrame, channels: Sequence[str], level: int, bits: int = 8, seed: int = 0, only: str = "is_informative") -> DataFrame:
+def gaussian_noise(pixels: DataFrame, channels: Sequence[str], level: int, bits: int = 8, seed: int = 0, only: str = "is_informative", draws: Sequence[tuple[Column, Column]] | None = None) -> DataFrame:
     """Normal noise on informative patches, cut to whole numbers in 0..255.
 
-    The draw hangs on pixel position, so a retried task repeats it.
+    The draw hangs on pixel position, so a retried task repeats it; ``draws`` gives two uniform numbers, the first over
+    0, per channel in its place.
     """
     sigma = NOISE_SIGMA[bits][level]
     out = pixels
     for i, c in enumerate(channels):
         u1 = (F.pmod(F.xxhash64("patch_id", "y", "x", F.lit(seed + 2 * i)), F.lit(1 << 52)) + 1) / F.lit(float((1 << 52) + 1))
         u2 = F.pmod(F.xxhash64("patch_id", "y", "x", F.lit(seed + 2 * i + 1)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+        u1, u2 = draws[i] if draws else (u1, u2)
         normal = F.sqrt(-2 * F.log(u1)) * F.cos(2 * F.pi() * u2)
         noisy = F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), F.col(c) + normal * sigma))).cast("double")
         out = out.withColumn(c, F.when(F.col(only), noisy).otherwise(F.col(c)))

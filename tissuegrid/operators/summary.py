@@ -263,35 +263,37 @@ def pictures_wanted(total_pixels: int, n_patches: int, low: int = 4, high: int =
 REASONS = ("high_density", "repair_hotspot", "low_density", "representative", "coverage", "all")
 
 
-def representative_patches(infos: DataFrame, n: int, seed: int = 17, key: str = "patch_id") -> DataFrame:
+def representative_patches(infos: DataFrame, n: int, seed: int = 17, key: str = "patch_id", draw: Column | None = None) -> DataFrame:
     """At most n patches with the reason for each: densest, most repaired, sparsest, one by hash, then by density.
 
-    ``infos``: key, cell_count, nucleus_count, unmatched_cells, unmatched_nuclei, repair_score.
+    ``infos``: key, cell_count, nucleus_count, unmatched_cells, unmatched_nuclei, repair_score. ``draw`` orders patches in
+    place of the hash. Every order gives as many candidates as others could take before it, in one job; the choice is
+    made among these few.
     """
     marked = infos.withColumn("_ok", has_content())
     size = marked.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if("_ok").alias("ok")).alias("s")).first()["s"]
     if n <= 0 or size["n"] <= n:
         kept = marked.where("_ok") if size["ok"] else marked
         return kept.drop("_ok").withColumn("selection_reason", F.lit("all"))
-    draw = F.xxhash64(key, F.lit(seed))
+    draw = F.xxhash64(key, F.lit(seed)) if draw is None else draw
     picks = [
-        ("high_density", F.col("_ok") & F.col("cell_count").isNotNull(), [F.col("cell_count").desc(), F.col(key)]),
-        ("repair_hotspot", F.col("_ok") & F.col("repair_score").isNotNull(), [F.col("repair_score").desc(), F.col(key)]),
-        ("low_density", F.col("_ok") & F.col("cell_count").isNotNull(), [F.col("cell_count").asc(), F.col(key)]),
-        ("representative", F.lit(True), [F.col("_ok").desc(), draw]),
+        ("high_density", F.col("_ok") & F.col("cell_count").isNotNull(), [F.col("cell_count").desc(), F.col(key)], 1),
+        ("repair_hotspot", F.col("_ok") & F.col("repair_score").isNotNull(), [F.col("repair_score").desc(), F.col(key)], 1),
+        ("low_density", F.col("_ok") & F.col("cell_count").isNotNull(), [F.col("cell_count").asc(), F.col(key)], 1),
+        ("representative", F.lit(True), [F.col("_ok").desc(), draw, F.col(key)], 1),
+        ("coverage", F.lit(True), [F.col("_ok").desc(), F.col("cell_count").desc(), F.col(key)], n),
     ]
-    chosen: list = []
-    for reason, allowed, order in picks:
-        if len(chosen) < n:
-            row = marked.where(allowed & ~F.col(key).isin([c for c, _ in chosen])).orderBy(*order).select(key).head()
-            if row is not None:
-                chosen.append((row[0], reason))
-    if len(chosen) < n:
-        fill = marked.where(~F.col(key).isin([c for c, _ in chosen]))
-        rows = fill.orderBy(F.col("_ok").desc(), F.col("cell_count").desc(), key).limit(n - len(chosen)).select(key).collect()
-        chosen += [(r[0], "coverage") for r in rows]
-    why = F.create_map(*[F.lit(x) for pair in chosen for x in pair])
-    out = marked.where(F.col(key).isin([c for c, _ in chosen])).drop("_ok").withColumn("selection_reason", F.try_element_at(why, F.col(key)))
+    tops = None
+    for reason, allowed, order, many in picks:
+        best = marked.where(allowed).orderBy(*order).limit(len(picks) - 1 + many)
+        best = best.withColumn("place", F.row_number().over(W.orderBy(*order))).select(F.col(key).alias("key"), F.lit(reason).alias("reason"), "place")
+        tops = best if tops is None else tops.unionByName(best)
+    rows, chosen = tops.collect(), {}
+    for reason, _, _, many in picks:
+        mine = [r["key"] for r in sorted(rows, key=lambda r: r["place"]) if r["reason"] == reason and r["key"] not in chosen]
+        chosen |= {k: reason for k in mine[: min(many, n - len(chosen))]}
+    why = F.create_map(*[F.lit(x) for pair in chosen.items() for x in pair])
+    out = marked.where(F.col(key).isin(list(chosen))).drop("_ok").withColumn("selection_reason", F.try_element_at(why, F.col(key)))
     place = F.array_position(F.array(*[F.lit(r) for r in REASONS]), F.col("selection_reason"))
     return out.orderBy(place, key)
 
@@ -355,7 +357,8 @@ def _outer_sums(keys: Sequence[str]):
 def principal_axes(df: DataFrame, columns: Sequence[str], n: int, keys: Sequence[str] = (), standardise: bool = False, vector: bool = False) -> DataFrame:
     """(keys, n_rows, mean, variances, shares, loadings, offsets) of each image: its first ``n`` principal components.
 
-    ``columns`` are numbers, or one array of numbers with ``vector``; rows with a NULL or NaN are left out. Tasks add up
+    ``columns`` are numbers, or one array of numbers with ``vector``; rows with a NULL or NaN, or of a NULL image, are left
+    out. Tasks add up
     one matrix per image, Spark adds up their entries, and one task per image holds a matrix of the panel's size. A
     score is Σ loading · x − offset. The sign makes the first of each component's largest loadings positive.
     """

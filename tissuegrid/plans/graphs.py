@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tissuegrid.operators import communities, match, neighbours, quality, raster
+from tissuegrid.operators import communities, match, neighbours, qc, quality, raster
 from tissuegrid.operators.components import connected_nodes
 from tissuegrid.plans.catalog import query
 from tissuegrid.plans.cells import rounded
@@ -48,15 +48,36 @@ def _(spark, d):
     return rounded(edges.select("src", "dst", "w"), ["w"], 5)
 
 
-@query("G3_fuzzy_weights")
+# The width of each cell's decay by halving and doubling, one row per step until the weights add up to log2 k.
+FUZZY_SQL = """sc AS (SELECT src, coalesce(min(dist) FILTER (WHERE dist > 0), 0) AS rho, avg(dist) AS m, count(*) AS k FROM knn GROUP BY 1),
+gp AS (SELECT knn.src, greatest(dist - rho, 0) AS gap FROM knn JOIN sc USING (src) WHERE rank > 1), ov AS (SELECT avg(dist) AS o FROM knn),
+bs(src, i, low, high, mid) AS (SELECT src, 0, CAST(0 AS DOUBLE), CAST('infinity' AS DOUBLE), CAST(1 AS DOUBLE) FROM sc UNION ALL
+  SELECT src, i + 1, CASE WHEN total > target THEN low ELSE mid END, CASE WHEN total > target THEN mid ELSE high END,
+    CASE WHEN total > target THEN (low + mid) / 2 WHEN isinf(high) THEN mid * 2 ELSE (mid + high) / 2 END
+  FROM (SELECT b.src, b.i, b.low, b.high, b.mid, any_value(log2(sc.k)) AS target, sum(exp(-gp.gap / b.mid)) AS total FROM bs b JOIN gp ON gp.src = b.src JOIN sc ON sc.src = b.src WHERE b.i < 64 GROUP BY 1, 2, 3, 4, 5)
+  WHERE abs(total - target) >= 1e-5),
+sg AS (SELECT src, arg_max(mid, i) AS mid FROM bs GROUP BY 1),
+fin AS (SELECT sc.src, rho, greatest(mid, 0.001 * CASE WHEN rho > 0 THEN m ELSE o END) AS sigma FROM sc JOIN sg USING (src), ov),
+ow AS (SELECT knn.src, dst, CASE WHEN dist - rho <= 0 OR sigma = 0 THEN 1 ELSE exp(-(dist - rho) / sigma) END AS w FROM knn JOIN fin USING (src)),
+pp AS (SELECT least(src, dst) AS lo, greatest(src, dst) AS hi, coalesce(max(w) FILTER (WHERE src < dst), 0) AS a, coalesce(max(w) FILTER (WHERE src > dst), 0) AS b FROM ow GROUP BY 1, 2),
+fw AS (SELECT lo AS src, hi AS dst, a + b - a * b AS w FROM pp UNION ALL SELECT hi, lo, a + b - a * b FROM pp)"""
+
+
+@query("G3_fuzzy_weights", f"WITH RECURSIVE {KNN_SQL}, {FUZZY_SQL} SELECT src, dst, round(w, 5) AS w FROM fw")
 def _(spark, d):
-    return neighbours.fuzzy_weights(neighbours.nearest(vectors(spark, d), 10))
+    return rounded(neighbours.fuzzy_weights(neighbours.nearest(vectors(spark, d), 10)), ["w"], 5)
 
 
-@query("G4_neighbour_graph")
+@query(
+    "G4_neighbour_graph",
+    f"""WITH RECURSIVE vec AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), u AS (SELECT id, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS v FROM vec),
+    pr AS (SELECT a.id AS src, b.id AS dst, list_distance(a.v, b.v) AS dist FROM u a JOIN u b ON a.id <> b.id),
+    knn AS (SELECT src, dst, dist, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM pr QUALIFY rank <= 10), {FUZZY_SQL}
+    SELECT fw.src, fw.dst, round(w, 5) AS w, round(dist, 5) AS dist FROM fw LEFT JOIN knn ON knn.src = fw.src AND knn.dst = fw.dst""",
+)
 def _(spark, d):
     graph, _params = neighbours.neighbour_graph(vectors(spark, d), key="id", vector="v", k=10, metric="cosine")
-    return graph
+    return rounded(graph, ["w", "dist"], 5)
 
 
 @query("G5_communities")
@@ -69,19 +90,34 @@ def _(spark, d):
     return quality.kmeans_labels(vectors(spark, d), "v", 8).select("id", "cluster")
 
 
+@query("G5_planted_communities", "SELECT c_custkey AS node, min(c_custkey) OVER (PARTITION BY c_nationkey) AS first_customer FROM customer UNION ALL SELECT -1 - c_nationkey, min(c_custkey) FROM customer GROUP BY c_nationkey")
+def _(spark, d):
+    """Every customer is tied to its nation, nations in a weak ring: the communities are the nations."""
+    customer = table(spark, d, "customer")
+    hub = -1 - F.col("c_nationkey").cast("bigint")
+    nations = customer.select("c_nationkey").distinct()
+    spokes = customer.select(F.col("c_custkey").cast("bigint").alias("src"), hub.alias("dst"), F.lit(1.0).alias("w"))
+    later = nations.select(((F.col("c_nationkey") + 24) % 25).alias("before"), F.col("c_nationkey").alias("after"))
+    ring = nations.join(later, F.col("c_nationkey") == F.col("before")).select(hub.alias("src"), (-1 - F.col("after").cast("bigint")).alias("dst"), F.lit(0.01).alias("w"))
+    one_way = spokes.unionByName(ring)
+    edges = one_way.unionByName(one_way.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
+    found = communities.find_communities(edges, resolution=1.0)
+    names = found.where("node >= 0").groupBy("community").agg(F.min("node").alias("first_customer"))
+    return found.join(names, "community").select("node", "first_customer")
+
+
 @query(
     "R22_connected_nodes",
-    """WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS a, l_partkey % 40 + 1000000 + 100 * (l_orderkey % 60) AS b FROM lineitem WHERE l_quantity > 49),
+    """WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS a, 1000000000000 + l_suppkey * 100000 + date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS b FROM lineitem),
     s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), n AS (SELECT a AS node FROM s UNION SELECT b FROM s),
     walk(node, root) AS (SELECT node, node FROM n UNION SELECT s.b, walk.root FROM walk JOIN s ON s.a = walk.node WHERE walk.root < s.b)
     SELECT node, min(root) AS component FROM walk GROUP BY node""",
 )
 def _(spark, d):
-    line = table(spark, d, "lineitem").where("l_quantity > 49")
-    edges = line.select(
-        F.col("l_orderkey").alias("a"), (F.col("l_partkey") % 40 + 1000000 + 100 * (F.col("l_orderkey") % 60)).alias("b")
-    ).distinct()
-    return connected_nodes(edges)
+    """Orders hang together that share a supplier on a day."""
+    day = F.unix_date(F.col("l_shipdate").cast("date"))
+    stop = F.lit(1000000000000) + F.col("l_suppkey").cast("bigint") * 100000 + day
+    return connected_nodes(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("a"), stop.alias("b")).distinct())
 
 
 # --- quality -----------------------------------------------------------------------------------
@@ -165,6 +201,30 @@ def _(spark, d):
     return quality.grouped_kmeans(cells, K, range(1, 11))
 
 
+def _lloyd_sql(rounds: int) -> str:
+    """Rounds of nearest centres and means, from the first k cells of each patch; settled centres stay."""
+    steps = [
+        "n1 AS (SELECT patch_id, label, z0, z1, row_number() OVER (PARTITION BY patch_id ORDER BY label) AS r FROM cv)",
+        "c0 AS MATERIALIZED (SELECT patch_id, k, r - 1 AS c, z0 AS m0, z1 AS m1 FROM n1, range(1, 6) AS t(k) WHERE r <= k)",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"a{i} AS MATERIALIZED (SELECT patch_id, label, k, arg_min(c, ((z0 - m0) * (z0 - m0) + (z1 - m1) * (z1 - m1), c)) AS c FROM cv JOIN c{i} USING (patch_id) GROUP BY 1, 2, 3)"
+        )
+        if i < rounds:
+            steps.append(
+                f"c{i + 1} AS MATERIALIZED (SELECT o.patch_id, o.k, o.c, coalesce(avg(cv.z0), any_value(o.m0)) AS m0, coalesce(avg(cv.z1), any_value(o.m1)) AS m1 FROM c{i} o LEFT JOIN a{i} a ON a.patch_id = o.patch_id AND a.k = o.k AND a.c = o.c LEFT JOIN cv ON cv.patch_id = a.patch_id AND cv.label = a.label GROUP BY 1, 2, 3)"
+            )
+    return ",\n".join(steps)
+
+
+@query("A36_cell_types_from_given_starts", f"WITH {TYPED_SQL}, {_lloyd_sql(24)} SELECT patch_id, label, CAST(k AS INTEGER) AS k, CAST(c AS INTEGER) AS cluster FROM a24")
+def _(spark, d):
+    """Starting centres are the first cells by label."""
+    cells, _types = _cells_and_types(spark, d)
+    return quality.grouped_kmeans(cells, K, range(1, 6), order=F.col("label"))
+
+
 @query(
     "A37_silhouette",
     f"""WITH {TYPED_SQL}, pr AS (SELECT a.patch_id, a.label, a.cluster AS own, b.cluster AS other, sum(sqrt((a.z0 - b.z0)**2 + (a.z1 - b.z1)**2)) AS s, count(*) AS n FROM ty a JOIN ty b ON a.patch_id = b.patch_id GROUP BY 1, 2, 3, 4),
@@ -198,7 +258,9 @@ def _(spark, d):
 
 @query("A40_informative_patch_scores")
 def _(spark, d):
+    """Every patch that the content filter (P7, P8) calls informative, with all numbers of types from 1 to 10."""
     fixed, _matches = _repair(spark, d)
-    informative = fixed.where(F.col("patch_id") % 2 == 0)
-    out = quality.evaluate(_foreground(informative), CH, K, match.matched_fractions(informative, K), ks=(1, 2), least_cells=20)
+    informative = qc.flag_patches(qc.patch_statistics(pixels(spark, d), "v0", "v1"), mean=25.5).where("is_informative").select("patch_id")
+    kept = fixed.join(informative, "patch_id", "left_semi")
+    out = quality.evaluate(_foreground(kept), CH, K, match.matched_fractions(kept, K), least_cells=20)
     return out.select("patch_id", "n_cells", "QualityScore")

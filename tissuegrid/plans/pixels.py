@@ -323,6 +323,18 @@ def _(spark, d):
     return raster.disrupt(flagged, "gaussian", ["v0"], 2).select("y", "x", "is_informative", "v0")
 
 
+@query(
+    "P28_noise_from_given_draws",
+    f"""WITH {PIXELS_SQL}, u AS (SELECT *, (((y * 7919 + x * 104729) % 10007) + 1) / 10008.0 AS u1, ((CAST(y AS BIGINT) * 15485863 + CAST(x AS BIGINT) * 32452843 + 7) % 10009) / 10009.0 AS u2 FROM px)
+    SELECT y, x, patch_id % 2 = 0 AS is_informative, CASE WHEN patch_id % 2 = 0 THEN CAST(floor(least(255, greatest(0, v0 + sqrt(-2 * ln(CAST(u1 AS DOUBLE))) * cos(2 * pi() * CAST(u2 AS DOUBLE)) * {raster.NOISE_SIGMA[8][2]}))) AS DOUBLE) ELSE v0 END AS v0 FROM u""",
+)
+def _(spark, d):
+    flagged = pixels(spark, d).withColumn("is_informative", F.col("patch_id") % 2 == 0)
+    y, x = F.col("y").cast("bigint"), F.col("x").cast("bigint")
+    draws = [(((y * 7919 + x * 104729) % 10007 + 1) / F.lit(10008.0), ((y * 15485863 + x * 32452843 + 7) % 10009) / F.lit(10009.0))]
+    return raster.disrupt(flagged, "gaussian", ["v0"], 2, draws=draws).select("y", "x", "is_informative", "v0")
+
+
 @query("X20_flip_and_turn", f"WITH {PIXELS_SQL} SELECT patch_id, 24 - (x - (patch_id % 2) * 25) AS y, 19 - y % 20 AS x, v0 FROM px")
 def _(spark, d):
     local = pixels(spark, d).select("patch_id", (F.col("y") % 20).alias("y"), (F.col("x") % 25).alias("x"), "v0")

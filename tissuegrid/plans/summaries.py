@@ -373,6 +373,31 @@ def _(spark, d):
     return summary.representative_patches(_many_infos(spark, d), 8).select("patch_id", "cell_count", "selection_reason")
 
 
+def _picked_sql(n: int) -> str:
+    """Each reason takes its first patch that no earlier one took; what is left is filled by density."""
+    ok = "(greatest(cell_count, unmatched_nuclei, 0) >= 200)"
+    steps = [
+        "i AS (SELECT s_suppkey AS patch_id, CAST(round(s_acctbal, 0) AS BIGINT) AS cell_count, s_nationkey * 9 AS unmatched_nuclei, CAST(s_nationkey * 9 AS BIGINT) AS repair_score FROM supplier)",
+        f"f AS (SELECT *, {ok} AS ok, (patch_id * 7919 + 13) % 1000003 AS draw FROM i)",
+        "t1 AS (SELECT patch_id, 'high_density' AS reason FROM f WHERE ok ORDER BY cell_count DESC, patch_id LIMIT 1)",
+        "t2 AS (SELECT patch_id, 'repair_hotspot' AS reason FROM f WHERE ok AND patch_id NOT IN (SELECT patch_id FROM t1) ORDER BY repair_score DESC, patch_id LIMIT 1)",
+        "u2 AS (SELECT * FROM t1 UNION ALL SELECT * FROM t2)",
+        "t3 AS (SELECT patch_id, 'low_density' AS reason FROM f WHERE ok AND patch_id NOT IN (SELECT patch_id FROM u2) ORDER BY cell_count, patch_id LIMIT 1)",
+        "u3 AS (SELECT * FROM u2 UNION ALL SELECT * FROM t3)",
+        "t4 AS (SELECT patch_id, 'representative' AS reason FROM f WHERE patch_id NOT IN (SELECT patch_id FROM u3) ORDER BY ok DESC, draw, patch_id LIMIT 1)",
+        "u4 AS (SELECT * FROM u3 UNION ALL SELECT * FROM t4)",
+        f"t5 AS (SELECT patch_id, 'coverage' AS reason FROM f WHERE patch_id NOT IN (SELECT patch_id FROM u4) ORDER BY ok DESC, cell_count DESC, patch_id LIMIT (SELECT {n} - count(*) FROM u4))",
+    ]
+    return f"WITH {', '.join(steps)} SELECT patch_id, cell_count, reason AS selection_reason FROM (SELECT * FROM u4 UNION ALL SELECT * FROM t5) JOIN f USING (patch_id)"
+
+
+@query("T4_representatives_by_given_order", _picked_sql(8))
+def _(spark, d):
+    infos = _many_infos(spark, d)
+    chosen = summary.representative_patches(infos, 8, draw=(F.col("patch_id") * 7919 + 13) % 1000003)
+    return chosen.select("patch_id", "cell_count", "selection_reason")
+
+
 @query("K15_selection_summary")
 def _(spark, d):
     chosen = summary.representative_patches(_many_infos(spark, d), 5)
