@@ -30,6 +30,8 @@ BREAKS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 
 #: Bytes of text and pointers worked on at once inside a task; text bytes for which there is one group, and least groups.
 TEXT, CHUNK, GROUP, LEAST_GROUPS = 1 << 23, 1 << 20, 1 << 24, 32
+#: Groups that a chunk is dealt out to at once, and bytes of blocks that are gathered before they are dealt out further.
+DEALS, GATHERED = 1 << 12, 1 << 25
 #: Bytes of text per group that are looked at for frequent leading words, and what bounds the number of those that are
 #: split: at most 2 * SPLIT per depth, 16 MB in all. The sample only decides who counts what, never what is counted.
 LOOK, SPLIT = 1 << 13, 1 << 19
@@ -285,13 +287,31 @@ def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, longest: int =
     often = seen.where(F.col("n") >= max(2.0, words / (2 * min(groups, SPLIT)))).select("key").collect()
     hot = np.sort(np.array([r["key"] for r in often], dtype=np.int64).view(np.uint64))
 
+    together = math.ceil(groups / DEALS)
+
+    def blocks(lang: str, at: Pointers, share: int) -> Iterator[pa.RecordBatch]:
+        group = (Routes(lang, at, hot).key % np.uint64(groups)).astype(np.int64) // share
+        order = np.argsort(group, kind="stable")
+        cuts = np.flatnonzero(np.diff(group[order])) + 1
+        for chosen in np.split(order, cuts):
+            yield pa.record_batch([pa.array([lang]), pa.array([int(group[chosen[0]])]), pa.array([_packed(at, chosen)], pa.binary())], ["lang", "grp", "block"])
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, at in by_lang(batches):
-            group = (Routes(lang, at, hot).key % np.uint64(groups)).astype(np.int64)
-            order = np.argsort(group, kind="stable")
-            cuts = np.flatnonzero(np.diff(group[order])) + 1
-            for chosen in np.split(order, cuts):
-                yield pa.record_batch([pa.array([lang]), pa.array([int(group[chosen[0]])]), pa.array([_packed(at, chosen)])], ["lang", "grp", "block"])
+            yield from blocks(lang, at, together)
+
+    def deal_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of neighbouring groups, gathered until they are worth splitting; they come sorted by group."""
+        held, mine, size = [], None, 0
+        for batch in batches:
+            for lang, group, block in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and (mine != (lang, group) or size > GATHERED):
+                    yield from blocks(mine[0], _unpacked(held), 1)
+                    held, size = [], 0
+                mine, size = (lang, group), size + len(block)
+                held.append(block)
+        if held:
+            yield from blocks(mine[0], _unpacked(held), 1)
 
     def count(table: pa.Table) -> pa.Table:
         lang = table.column("lang")[0].as_py()
@@ -305,7 +325,11 @@ def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, longest: int =
             "n": pa.array(np.concatenate([n for _, _, n in out]), pa.int64()),
         })
 
-    parts = texts.mapInArrow(deal, "lang string, grp long, block binary").groupBy("lang", "grp").applyInArrow(count, COUNTS)
+    shape = "lang string, grp long, block binary"
+    dealt = texts.mapInArrow(deal, shape)
+    if together > 1:  # one step would leave blocks of a few pointers: first to neighbouring groups, then to each
+        dealt = dealt.repartition("lang", "grp").sortWithinPartitions("lang", "grp").mapInArrow(deal_on, shape)
+    parts = dealt.groupBy("lang", "grp").applyInArrow(count, COUNTS)
     return parts.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("words") == 0))
 
 
