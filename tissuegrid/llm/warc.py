@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tissuegrid.llm.words import tidy
 from tissuegrid.runtime import cut_lineage, fanout, stage_folder
 
-#: Unpacked bytes after which a frame is closed, packed bytes after which a bundle is, packed bytes read at once.
+#: Unpacked bytes of a frame, unless one record has more, packed bytes after which a bundle is, packed bytes read at once.
 FRAME, BUNDLE, RUN = 1 << 18, 1 << 26, 1 << 22
 # Fixed values of the seekable format: magic numbers of a skippable frame and of the seek table.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -131,6 +131,9 @@ class _Writer:
         self.done: list[tuple] = []
 
     def add(self, name: str | None, data: bytes) -> None:
+        """A record goes into the open frame if it fits, so that a long one shares its frame with none before it."""
+        if self.open and len(self.buffer) + len(data) > FRAME:
+            self.close_frame()
         if self.out is None:
             self.file = f"bundle-{uuid.uuid4().hex}.warc.zst"
             self.out = self.store.open_output_stream(f"{self.folder}/{self.file}", compression=None)
@@ -139,8 +142,8 @@ class _Writer:
         self.buffer += data
         if len(self.buffer) >= FRAME:
             self.close_frame()
-            if self.start >= BUNDLE:
-                self.close()
+        if self.start >= BUNDLE:
+            self.close()
 
     def close_frame(self) -> None:
         if not self.open:
