@@ -72,6 +72,9 @@ def test_phrases_in_small_chunks_with_every_prefix_split(spark, monkeypatch):
     monkeypatch.setattr(phrases, "LOOK", 1 << 20)
     rows = some_texts(8, 80)
     assert mined(spark, rows) == plain_phrases(rows)
+    monkeypatch.setattr(phrases, "DEALS", 5)  # dealt out in two steps
+    monkeypatch.setattr(phrases, "GATHERED", 300)
+    assert mined(spark, rows) == plain_phrases(rows)
 
 
 def test_longer_phrases_and_other_thresholds(spark):
