@@ -559,6 +559,27 @@ def _(spark, d):
     return rounded(_repair(spark, d)[1], ["mismatch"])
 
 
+# Nuclei of seven columns over cells of five: several cells want one nucleus, and cells are served in label order.
+_WIDE = "CASE WHEN y % 5 BETWEEN 1 AND 3 THEN CAST(1000 + (y {div} 5) * 20 + (x + 3) {div} 7 AS BIGINT) ELSE 0 END"
+_WIDE_SQL = PIXELS_SQL.replace("\npx AS (", "\npx0 AS (") + f",\npx AS (SELECT y, x, v0, v1, patch_id, cell_label, {_WIDE.format(div='//')} AS nucleus_label FROM px0)"
+_WALK_SQL = f"""{MISMATCH_SQL.replace(PIXELS_SQL, _WIDE_SQL)},
+cl AS (SELECT patch_id, cell, row_number() OVER (PARTITION BY patch_id ORDER BY cell) AS i FROM (SELECT DISTINCT patch_id, cell FROM mm WHERE mismatch < 1)),
+walk(patch_id, i, used, cell, b) AS (
+  SELECT DISTINCT patch_id, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST(NULL AS BIGINT), CAST(NULL AS STRUCT(m DOUBLE, n BIGINT)) FROM cl
+  UNION ALL SELECT patch_id, i + 1, CASE WHEN b IS NULL THEN used ELSE list_append(used, b.n) END, cell, b FROM (
+    SELECT w.patch_id, w.i, w.used, c.cell, min({{'m': CAST(mm.mismatch AS DOUBLE), 'n': mm.nucleus}}) FILTER (WHERE NOT list_contains(w.used, mm.nucleus)) AS b
+    FROM walk w JOIN cl c ON c.patch_id = w.patch_id AND c.i = w.i + 1 JOIN mm ON mm.patch_id = c.patch_id AND mm.cell = c.cell AND mm.mismatch < 1 GROUP BY 1, 2, 3, 4))"""
+
+
+@query(
+    "J7_contested_match",
+    f"WITH RECURSIVE {_WALK_SQL} SELECT patch_id, cell, b.n AS nucleus, round(b.m, 6) AS mismatch, b.m > 0 AS repaired, row_number() OVER (PARTITION BY patch_id ORDER BY cell) AS new_label FROM walk WHERE b IS NOT NULL",
+)
+def _(spark, d):
+    px = pixels(spark, d).withColumn("nucleus_label", F.expr(_WIDE.format(div="DIV")))
+    return rounded(match.repair(px, K)[1], ["mismatch"])
+
+
 REPAIRED_SQL = f"""{MATCH_SQL}, fx AS (SELECT b.*, coalesce(mt.new_label, 0) AS cell_matched,
   CASE WHEN mt.new_label IS NOT NULL AND b.nucleus_label = mt.nucleus AND b.boundary = 0 THEN mt.new_label ELSE 0 END AS nucleus_matched
   FROM bounded b LEFT JOIN mt ON b.patch_id = mt.patch_id AND b.cell_label = mt.cell)"""
