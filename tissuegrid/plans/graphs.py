@@ -204,24 +204,27 @@ def _(spark, d):
 def _lloyd_sql(rounds: int) -> str:
     """Rounds of nearest centres and means, from the first k cells of each patch; settled centres stay."""
     steps = [
-        "n1 AS (SELECT patch_id, label, z0, z1, row_number() OVER (PARTITION BY patch_id ORDER BY label) AS r FROM cv)",
+        "ce AS (SELECT patch_id, label, round(100 * z0 + label % 7, 6) AS z0, round(100 * z1 - label % 11, 6) AS z1 FROM cv)",
+        "n1 AS (SELECT *, row_number() OVER (PARTITION BY patch_id ORDER BY label) AS r FROM ce)",
         "c0 AS MATERIALIZED (SELECT patch_id, k, r - 1 AS c, z0 AS m0, z1 AS m1 FROM n1, range(1, 6) AS t(k) WHERE r <= k)",
     ]
     for i in range(rounds + 1):
         steps.append(
-            f"a{i} AS MATERIALIZED (SELECT patch_id, label, k, arg_min(c, ((z0 - m0) * (z0 - m0) + (z1 - m1) * (z1 - m1), c)) AS c FROM cv JOIN c{i} USING (patch_id) GROUP BY 1, 2, 3)"
+            f"a{i} AS MATERIALIZED (SELECT patch_id, label, k, arg_min(c, ((z0 - m0) * (z0 - m0) + (z1 - m1) * (z1 - m1), c)) AS c FROM ce JOIN c{i} USING (patch_id) GROUP BY 1, 2, 3)"
         )
         if i < rounds:
             steps.append(
-                f"c{i + 1} AS MATERIALIZED (SELECT o.patch_id, o.k, o.c, coalesce(avg(cv.z0), any_value(o.m0)) AS m0, coalesce(avg(cv.z1), any_value(o.m1)) AS m1 FROM c{i} o LEFT JOIN a{i} a ON a.patch_id = o.patch_id AND a.k = o.k AND a.c = o.c LEFT JOIN cv ON cv.patch_id = a.patch_id AND cv.label = a.label GROUP BY 1, 2, 3)"
+                f"c{i + 1} AS MATERIALIZED (SELECT o.patch_id, o.k, o.c, coalesce(avg(ce.z0), any_value(o.m0)) AS m0, coalesce(avg(ce.z1), any_value(o.m1)) AS m1 FROM c{i} o LEFT JOIN a{i} a ON a.patch_id = o.patch_id AND a.k = o.k AND a.c = o.c LEFT JOIN ce ON ce.patch_id = a.patch_id AND ce.label = a.label GROUP BY 1, 2, 3)"
             )
     return ",\n".join(steps)
 
 
 @query("A36_cell_types_from_given_starts", f"WITH {TYPED_SQL}, {_lloyd_sql(24)} SELECT patch_id, label, CAST(k AS INTEGER) AS k, CAST(c AS INTEGER) AS cluster FROM a24")
 def _(spark, d):
-    """Starting centres are the first cells by label."""
+    """Starting centres are the first cells by label; vectors are set apart by label, so that none are equal."""
     cells, _types = _cells_and_types(spark, d)
+    apart = F.array(F.round(100 * F.col("z")[0] + F.col("label") % 7, 6), F.round(100 * F.col("z")[1] - F.col("label") % 11, 6))
+    cells = cells.withColumn("z", apart)
     return quality.grouped_kmeans(cells, K, range(1, 6), order=F.col("label"))
 
 
