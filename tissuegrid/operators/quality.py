@@ -312,10 +312,12 @@ def evaluate(pixels: DataFrame, channels: Sequence[str], keys: Sequence[str], fr
     """All named metrics and the score of each patch.
 
     ``pixels`` carries cell_matched, nucleus_matched, cell_outside and a boolean ``foreground``; ``fractions``
-    has matched_fraction per patch. Patches below ``least_cells`` get no score.
+    has matched_fraction per patch. Patches below ``least_cells`` get no score; no pixels give an empty table.
     """
     keys = list(keys)
     px = cut_lineage(column_zscores(pixels, channels, keys))
+    if px.isEmpty():
+        return px.select(*keys, F.lit(None).cast("bigint").alias("n_cells"), *[F.lit(None).cast("double").alias(m) for m in (*METRICS, "QualityScore")])
     mask, fg = F.col("cell_matched") > 0, F.col("foreground")
     outside = fg & ~mask
     area = px.groupBy(*keys).agg(F.count(F.lit(1)).alias("_px"))
