@@ -3,6 +3,9 @@
 import pytest
 from conftest import SMALL
 
+import duckdb
+from pyspark.sql import functions as F
+
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import compare, connect
 
@@ -28,3 +31,16 @@ def test_entry(spark):
 def test_query(spark, other_engine, name):
     status, _rows, _took, note = compare(spark, other_engine, SMALL, name, queries()[name], oracle_sql().get(name))
     assert status in ("ok", "rows"), note
+
+
+def test_sizes_of_every_unit(spark, tmp_path):
+    """Bytes to petabytes, at and beside the borders: X13 and its SQL follow one rule."""
+    ids = sorted({0, 1, *[1024**p // 977 + i for p in range(1, 6) for i in (-1, 0, 1, 2)], *[(2 * 1024**p + 1024**p // 4) // 977 for p in range(1, 6)]})
+    events = spark.createDataFrame([(i,) for i in ids], "event_id long").withColumn("ts", F.lit("2024-03-01 12:30:59").cast("timestamp"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    name = "X13_formatting"
+    status, rows, _took, note = compare(spark, con, str(tmp_path), name, queries()[name], oracle_sql()[name])
+    assert (status, rows) == ("ok", len(ids)), note

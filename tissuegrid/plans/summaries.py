@@ -456,7 +456,8 @@ def _(spark, d):
 
 @query(
     "X13_formatting",
-    """SELECT event_id, CASE WHEN event_id * 977 < 1024 THEN printf('%.1f B', CAST(event_id * 977 AS DOUBLE)) WHEN event_id * 977 < 1048576 THEN printf('%.1f KB', event_id * 977 / 1024) ELSE printf('%.1f MB', event_id * 977 / 1048576) END AS size,
+    """SELECT event_id, CASE WHEN event_id * 977 < 1024 THEN printf('%.1f B', CAST(event_id * 977 AS DOUBLE)) WHEN event_id * 977 < 1048576 THEN printf('%.1f KB', event_id * 977 / 1024) WHEN event_id * 977 < 1073741824 THEN printf('%.1f MB', event_id * 977 / 1048576)
+      WHEN event_id * 977 < 1099511627776 THEN printf('%.1f GB', event_id * 977 / 1073741824) WHEN event_id * 977 < 1125899906842624 THEN printf('%.1f TB', event_id * 977 / 1099511627776) ELSE printf('%.1f PB', event_id * 977 / 1125899906842624) END AS size,
     format('{:,}', event_id * 977) AS number, strftime(ts, '%Y-%m-%d %H:%M') AS stamp FROM events""",
 )
 def _(spark, d):
