@@ -218,3 +218,19 @@ def test_a_cluster_needs_a_shared_stage_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         runtime.ensure_checkpoint_dir(Session())
+
+
+def test_component_rounds_shrink(spark, monkeypatch):
+    """All rounds together write a few times the edges, not the edges once per round."""
+    n, rows, cut = 3000, [], components.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(components, "cut_lineage", counted)
+    edges = spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).unionByName(spark.range(n).select((F.col("id") * 7 + 10_000).alias("a"), (F.col("id") % 40 + 40_000).alias("b")))
+    got = components.connected_nodes(edges, small=0)
+    assert sum(rows) < 8 * 2 * n
+    assert {(r["component"], r["count"]) for r in got.groupBy("component").count().collect()} == {(0, n + 1)} | {(10_000 + 7 * i, n // 40 + 1) for i in range(40)}

@@ -47,35 +47,45 @@ def _few_nodes(edges: DataFrame, keys: list[str]) -> DataFrame:
     return edges.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(join, shape)
 
 
+def _looked_up(step: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, node, component) of the nodes that ``step`` handed on; one that lost all its edges names itself."""
+    ends = found.select(*keys, F.col("node").alias("p"), "component")
+    return step.join(ends, [*keys, "p"], "left").select(*keys, F.col("u").alias("node"), F.coalesce("component", "p").alias("component"))
+
+
 def connected_nodes(edges: DataFrame, keys: Sequence[str] = (), max_rounds: int = 60, small: int = SMALL) -> DataFrame:
     """(keys, node, component) for nodes of an (a, b) edge table; the smallest node names a component.
 
-    Alternates two contractions until nothing changes: each node hands its larger neighbours to the
-    smallest node it sees, then its smaller ones. Rounds grow with the logarithm of the size. Up to ``small`` edges are
-    joined inside one task.
+    In a round every node is replaced by the first among itself and its neighbours, and edges that became loops or
+    repeat others are dropped, so that later rounds see a graph that shrinks by half or more. The first round goes by the
+    names, so the smallest node of a component stays; later ones go by a hash, which leaves no long ways down. Up to
+    ``small`` edges are joined inside one task. The rounds are then looked up backwards.
     """
     keys = list(keys)
     current = cut_lineage(edges.select(*keys, F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo <> hi").distinct())
-    if current.count() <= small:
-        return _few_nodes(current, keys)
-    for _ in range(max_rounds):
+    steps: list[DataFrame] = []
+    while current.count() > small:
+        if len(steps) == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         both = current.select(*keys, F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(
             current.select(*keys, F.col("hi").alias("u"), F.col("lo").alias("v"))
         )
-        smallest = both.groupBy(*keys, "u").agg(F.min("v").alias("_m")).select(*keys, "u", F.least("u", "_m").alias("m"))
-        large = both.where("v > u").join(smallest, [*keys, "u"]).select(*keys, F.col("m").alias("lo"), F.col("v").alias("hi"))
-        large = large.where("lo <> hi").distinct()
-        lows = large.groupBy(*keys, "hi").agg(F.min("lo").alias("m"))
-        small = large.join(lows, [*keys, "hi"]).select(*keys, F.col("m").alias("lo"), F.col("lo").alias("hi"))
-        kept = lows.select(*keys, F.col("m").alias("lo"), "hi")
-        before, current = current, cut_lineage(small.unionByName(kept).where("lo <> hi").distinct())
-        if current.subtract(before).isEmpty() and before.subtract(current).isEmpty():
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    members = current.select(*keys, F.col("hi").alias("node"), F.col("lo").alias("component"))
-    roots = current.select(*keys, F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
-    return members.unionByName(roots)
+        if steps:
+            place = [F.struct(F.xxhash64(c, F.lit(len(steps))).alias("h"), F.col(c).alias("n")) for c in ("u", "v")]
+            first = both.groupBy(*keys, "u").agg(F.min(place[1]).alias("m")).select(*keys, "u", F.least(place[0], "m")["n"].alias("p"))
+        else:
+            first = both.groupBy(*keys, "u").agg(F.min("v").alias("m")).select(*keys, "u", F.least("u", "m").alias("p"))
+        steps.append(cut_lineage(first))
+        low, high = [steps[-1].select(*keys, F.col("u").alias(end), F.col("p").alias(to)) for end, to in (("lo", "a"), ("hi", "b"))]
+        moved = current.join(low, [*keys, "lo"]).join(high, [*keys, "hi"]).where("a <> b")
+        current = cut_lineage(moved.select(*keys, F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct())
+    found = _few_nodes(current, keys)
+    for step in reversed(steps[1:]):
+        found = _looked_up(step, found, keys)
+    if len(steps) > 1:
+        smallest = found.groupBy(*keys, "component").agg(F.min("node").alias("m"))
+        found = found.join(smallest, [*keys, "component"]).select(*keys, "node", F.col("m").alias("component"))
+    return _looked_up(steps[0], found, keys) if steps else found
 
 
 def _label_tile(y: np.ndarray, x: np.ndarray) -> np.ndarray:

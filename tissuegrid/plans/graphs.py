@@ -117,7 +117,7 @@ def _(spark, d):
     """Orders hang together that share a supplier on a day."""
     day = F.unix_date(F.col("l_shipdate").cast("date"))
     stop = F.lit(1000000000000) + F.col("l_suppkey").cast("bigint") * 100000 + day
-    return connected_nodes(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("a"), stop.alias("b")).distinct())
+    return connected_nodes(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("a"), stop.alias("b")))
 
 
 # --- quality -----------------------------------------------------------------------------------
