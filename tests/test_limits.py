@@ -234,3 +234,20 @@ def test_component_rounds_shrink(spark, monkeypatch):
     got = components.connected_nodes(edges, small=0)
     assert sum(rows) < 8 * 2 * n
     assert {(r["component"], r["count"]) for r in got.groupBy("component").count().collect()} == {(0, n + 1)} | {(10_000 + 7 * i, n // 40 + 1) for i in range(40)}
+
+
+def test_a_frequent_value_is_ranked_once(spark, monkeypatch):
+    """Rows that share a value, and rows that share a key, don't meet in one range of the ranking."""
+    sizes, count = [], summary.counted_values
+
+    def counted(*args, **options):
+        out = count(*args, **options)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(summary, "counted_values", counted)
+    a, b = [0.0] * 900 + [float(i) for i in range(100)], [float(i % 5) for i in range(1000)]
+    frame = pd.DataFrame({"id": [i // 2 for i in range(1000)], "a": a, "b": b})
+    got = {(r.a, r.b): r.r for r in summary.spearman(spark.createDataFrame(frame), ["a", "b"], "id").collect()}
+    assert sum(sizes) == 100 + 5
+    assert got["a", "b"] == pytest.approx(frame["a"].rank().corr(frame["b"].rank()))

@@ -446,12 +446,18 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*pairs).alias("_r")).select(F.explode("_r").alias("e")).select("e.*")
 
 
-def spearman(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
-    """Pearson of tie-averaged ranks. Each value carries its rows' keys through one ranking of all markers."""
-    long = df.select(key, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot([key], list(columns), "feature", "v")
-    ranked = ranks_of(counted_values(long, ["feature"], "v", [key]), ["feature"], "v")
+def spearman(df: DataFrame, columns: Sequence[str], key: str | None = None) -> DataFrame:
+    """Pearson of tie-averaged ranks. Only the different values of a marker are ranked; rows look their ranks up.
+
+    Every row counts, whatever its ``key``; a value that fills the table is one row of the ranking.
+    """
+    wide = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+    counts = counted_values(wide.unpivot([], list(columns), "feature", "v"), ["feature"], "v")
     place = F.col("below") + (F.col("ties") + 1) / F.lit(2.0)
-    wide = ranked.groupBy(key).agg(*[F.max(F.when(F.col("feature") == c, place)).alias(c) for c in columns])
+    ranked = cut_lineage(ranks_of(counts, ["feature"], "v").select("feature", "v", place.alias("place")))
+    for c in columns:
+        own = ranked.where(F.col("feature") == c).select(F.col("v").alias(c), F.col("place").alias("_place"))
+        wide = wide.join(own, c, "left").drop(c).withColumnRenamed("_place", c)
     return pearson(wide, columns)
 
 
