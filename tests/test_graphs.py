@@ -187,3 +187,22 @@ def test_unsound_vectors_neither_ask_nor_answer(spark, metric):
         got.setdefault(row.src, []).append(row.dst)
     assert got == brute_neighbours(unit, 3)
     assert neighbours.nearest(spark.createDataFrame(bad, "id long, v array<double>"), 3).count() == 0
+
+
+def test_small_leaves_ask_in_bundles(spark, monkeypatch):
+    """Without structure all leaves meet: each is sent once per bundle, not once per leaf that asks."""
+    met, cut = [], neighbours.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        if "other" in out.columns:
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "cut_lineage", counted)
+    v = np.random.default_rng(4).normal(size=(600, 12))
+    got = neighbours.nearest(_vectors(spark, v), 4, block=8, pivots=6).groupBy("src").agg(F.array_sort(F.collect_list(F.struct("rank", "dst"))).alias("e")).collect()
+    assert 0 < sum(met) <= 600
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    assert {r.src: [e.dst for e in r.e] for r in got} == {i: np.argsort(d[i], kind="stable")[:4].tolist() for i in range(600)}

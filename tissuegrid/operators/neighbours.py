@@ -2,9 +2,10 @@
 
 Vectors are dealt down a tree of pivots until a leaf holds about a block of them, so that the number of leaves grows with
 the rows. A leaf finds the neighbours among its own vectors first; another leaf can only matter if it lies nearer than the
-farthest of those (triangle inequality), and the pairs of leaves that can are found by walking down the tree. Only then
-are vectors sent: a leaf that is asked sends one byte per component with an error bound per vector, the asking leaf stays
-whole. Pairs that the bounds leave open are settled on the full vectors, so results are exact.
+farthest of those (triangle inequality). Leaves that lie together ask as one bundle, and the leaves that a bundle has to
+ask are found by walking down the tree. Only then are vectors sent, once per bundle whatever the size of a leaf: a leaf
+that is asked sends one byte per component with an error bound per vector, the asking leaves stay whole. Pairs that the
+bounds leave open are settled on the full vectors, so results are exact.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ from pyspark.sql.window import Window as W
 
 from tissuegrid.runtime import cut_lineage
 
-#: Children of a tree node, levels after which leaves are cut by a hash, leaves compared with one leaf in one task.
-FAN, MOST_LEVELS, TOGETHER = 256, 12, 16
-#: Rows of a distance matrix held at once.
-STRIP = 512
+#: Children of a tree node, levels after which leaves are cut by a hash.
+FAN, MOST_LEVELS = 256, 12
+#: Vectors of a group when a node is split, of a bundle of asking leaves, and of the leaves it asks in one task.
+DEAL, ASKING, ASKED = 8192, 8192, 131_072
+#: Rows of a distance matrix held at once, vectors that asked leaves are put together to.
+STRIP, WIDE = 512, 1024
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
@@ -105,21 +108,18 @@ def _leaves(points: DataFrame, block: int, fan: int) -> DataFrame:
         picked = crowd.where(F.col("place") <= fan).where(F.col("place") <= F.ceil(F.col("n") / block)).groupBy("node")
         pivots = picked.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda e: e["v"])).alias("pivots"))
 
-        def fall(batches):
-            known = {}
-            for batch in batches:
-                coded, v = batch.column(2).dictionary_encode(), _rows(batch.column(1))
-                at_node, out = coded.indices.to_numpy(), np.array(batch.column(2).to_pylist(), dtype=object)
-                for i, name in enumerate(coded.dictionary.to_pylist()):
-                    at = np.flatnonzero(at_node == i)
-                    mine = batch.column(3)[int(at[0])]
-                    if mine.is_valid:
-                        if name not in known:
-                            known = {name: np.asarray(mine.values).reshape(-1, v.shape[1])}
-                        out[at] = [f"{name}.{j}" for j in _distances(v[at], known[name]).argmin(1)]
-                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out.tolist(), pa.string())], ["id", "v", "node"])
-
-        placed = cut_lineage(placed.join(pivots, "node", "left").select("id", "v", "node", "pivots").mapInArrow(fall, "id long, v array<double>, node string"))
+        parts = F.ceil(F.col("n") / DEAL).cast("int")
+        dealt = crowd.select("id", "v", "node", F.pmod(F.xxhash64("id", F.lit(31)), parts).cast("int").alias("part"))
+        copies = pivots.join(sizes, "node").select(F.col("node").alias("of"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("to"), "pivots")
+
+        def fall(rows: pa.Table, split: pa.Table) -> pa.Table:
+            v, name = _rows(rows.column("v")), rows.column("node")[0].as_py()
+            at = np.asarray(split.column("pivots")[0].values).reshape(-1, v.shape[1])
+            nearest = np.concatenate([_distances(v[i: i + STRIP], at).argmin(1) for i in range(0, len(v), STRIP)])
+            return pa.table({"id": rows.column("id"), "v": rows.column("v"), "node": pa.array([f"{name}.{j}" for j in nearest], pa.string())})
+
+        fallen = dealt.groupBy("node", "part").cogroup(copies.groupBy("of", "to")).applyInArrow(fall, "id long, v array<double>, node string")
+        placed = cut_lineage(placed.join(sizes, "node", "left_anti").select("id", "v", "node").unionByName(fallen))
     return placed
 
 
@@ -179,8 +179,7 @@ def _tree(leaves: DataFrame) -> tuple[DataFrame, int]:
             here = here.unionByName(inner)
         here = here.withColumn("parent", up)
         levels.append(here)
-        middle = here.withColumn("i", F.explode(F.sequence(F.lit(0), F.size("centre") - 1))).groupBy("parent", "i").agg(F.avg(F.expr("centre[i]")).alias("x"))
-        middle = middle.groupBy("parent").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda e: e["x"]).alias("middle"))
+        middle = _middle(here, "parent")
         reach = F.expr(f"{_apart('centre', 'middle')} + radius")
         inner = cut_lineage(here.join(middle, "parent").groupBy("parent").agg(F.max(reach).alias("radius"), F.first("middle").alias("centre"))) if d > 1 else None
         if inner is not None:
@@ -191,40 +190,102 @@ def _tree(leaves: DataFrame) -> tuple[DataFrame, int]:
     return cut_lineage(nodes), depth
 
 
+def _middle(rows: DataFrame, key: str) -> DataFrame:
+    """(key, middle): mean of the centres."""
+    each = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.size("centre") - 1))).groupBy(key, "i").agg(F.avg(F.expr("centre[i]")).alias("x"))
+    return each.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda e: e["x"]).alias("middle"))
+
+
+def _bundles(leaves: DataFrame) -> DataFrame:
+    """(node, bundle): leaves that ask together, at most about twice ``ASKING`` vectors if no leaf is larger.
+
+    The largest subtrees of up to that many vectors are put together with the ones beside them under the same node, in
+    the order of their distance from the first. A node has at most a fan of them.
+    """
+    ways = F.expr("transform(sequence(1, size(split(node, '[.]'))), i -> array_join(slice(split(node, '[.]'), 1, i), '.'))")
+    under = leaves.select("node", "n", F.posexplode(ways).alias("depth", "up"))
+    fit = under.groupBy("up").agg(F.sum("n").alias("total")).where(F.col("total") <= ASKING)
+    highest = under.join(fit, "up").groupBy("node").agg(F.min(F.struct("depth", "up")).alias("top"))
+    placed = leaves.join(highest, "node", "left").withColumn("unit", F.coalesce("top.up", "node"))
+    units = placed.groupBy("unit").agg(F.sum("n").alias("total"), F.min_by("centre", "node").alias("centre"))
+    units = units.withColumn("parent", F.expr("substring_index(unit, '.', size(split(unit, '[.]')) - 1)"))
+    beside = W.partitionBy("parent")
+    ordered = units.withColumn("first", F.min_by("centre", "unit").over(beside)).withColumn("gap", F.expr(_apart("centre", "first")))
+    before = F.coalesce(F.sum("total").over(beside.orderBy("gap", "unit").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    named = ordered.select("unit", F.concat_ws("#", "parent", F.floor(before / ASKING).cast("string")).alias("bundle"))
+    return placed.select("node", "unit").join(named, "unit").select("node", "bundle")
+
+
 def _meetings(leaves: DataFrame) -> DataFrame:
-    """(node, other): pairs of leaves where a vector of the first may have a neighbour in the second."""
+    """(bundle, other): leaves where a vector of the bundle may have a neighbour. ``leaves`` have their bundle."""
     nodes, depth = _tree(leaves)
-    asking = leaves.select(F.col("node").alias("asks"), F.col("centre").alias("mine"), (F.col("radius") + F.col("reach")).alias("upto"))
+    reach = F.expr(f"{_apart('centre', 'middle')} + radius + reach")
+    asking = leaves.join(_middle(leaves, "bundle"), "bundle").groupBy("bundle").agg(F.first("middle").alias("mine"), F.max(reach).alias("upto"))
     found, front = None, asking.withColumn("parent", F.lit(""))
     for d in range(1, depth + 1):
-        step = front.join(nodes.where(F.col("depth") == d), "parent").where("NOT leaf OR node <> asks")
-        step = cut_lineage(step.where(f"{_apart('mine', 'centre')} <= (upto + radius) * (1 + 1e-9)").select("asks", "mine", "upto", "node", "leaf"))
-        pairs = step.where("leaf").select(F.col("asks").alias("node"), F.col("node").alias("other"))
+        step = front.join(nodes.where(F.col("depth") == d), "parent")
+        step = cut_lineage(step.where(f"{_apart('mine', 'centre')} <= (upto + radius) * (1 + 1e-9)").select("bundle", "mine", "upto", "node", "leaf"))
+        pairs = step.where("leaf").select("bundle", F.col("node").alias("other"))
         found = pairs if found is None else found.unionByName(pairs)
-        front = step.where("NOT leaf").select("asks", "mine", "upto", F.col("node").alias("parent"))
+        front = step.where("NOT leaf").select("bundle", "mine", "upto", F.col("node").alias("parent"))
     return found
 
 
+def _whole(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[str, int]]:
+    """Ids, limits, vectors and leaf numbers of the asking leaves, and the numbers by name."""
+    parts, number = [], {}
+    for row in table.select(["node", "n", "whole"]).to_pylist():
+        n, raw = row["n"], row["whole"]
+        number[row["node"]] = len(number)
+        ids, far = np.frombuffer(raw, dtype=np.int64, count=n), np.frombuffer(raw, dtype=np.float64, count=n, offset=8 * n)
+        parts.append((ids, far, np.frombuffer(raw, dtype=np.float64, offset=16 * n).reshape(n, -1), np.full(n, number[row["node"]])))
+    return *(np.concatenate(x) for x in zip(*parts)), number
+
+
+def _brief(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, vectors from one byte per component, and error bounds of asked leaves."""
+    parts = []
+    for row in rows:
+        m, raw = row["m"], row["brief"]
+        scale, error = np.frombuffer(raw, dtype=np.float64, count=2 * m, offset=8 * m).reshape(2, m)
+        parts.append((np.frombuffer(raw, dtype=np.int64, count=m), np.frombuffer(raw, dtype=np.int8, offset=24 * m).reshape(m, -1) * scale[:, None], error))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def _compare(k: int):
     def compare(asking: pa.Table, asked: pa.Table) -> pa.Table:
         out = []
         if len(asking) and len(asked):
-            n, raw = asking.column("n")[0].as_py(), asking.column("whole")[0].as_py()
-            src, limit = np.frombuffer(raw, dtype=np.int64, count=n), np.frombuffer(raw, dtype=np.float64, count=n, offset=8 * n).copy()
-            a = np.frombuffer(raw, dtype=np.float64, offset=16 * n).reshape(n, -1)
-            for row in asked.select(["m", "brief"]).to_pylist():
-                m, raw = row["m"], row["brief"]
-                dst, scale, error = np.frombuffer(raw, dtype=np.int64, count=m), *np.frombuffer(raw, dtype=np.float64, count=2 * m, offset=8 * m).reshape(2, m)
-                b = np.frombuffer(raw, dtype=np.int8, offset=24 * m).reshape(m, -1) * scale[:, None]
-                for first in range(0, n, STRIP):
-                    part = slice(first, first + STRIP)
-                    d = _distances(a[part], b)
-                    high = d + (error + _slack(a[part], b))[None]
-                    if m >= k:
-                        limit[part] = np.minimum(limit[part], np.partition(high, k - 1, axis=1)[:, k - 1])
-                    low = d - (error + _slack(a[part], b))[None]
-                    rows, cols = np.nonzero(low <= limit[part][:, None])
-                    out.append((first + rows, dst[cols], low[rows, cols], high[rows, cols]))
+            src, limit, a, leaf, number = _whole(asking)
+            rows = asked.select(["other", "m", "centre", "radius", "brief"]).to_pylist()
+            centre, radius = np.array([row["centre"] for row in rows]), np.array([row["radius"] for row in rows])
+            turns, wide = [], 0  # near leaves first; own leaves alone, small ones together
+            for i in np.argsort(_distances(a.mean(0)[None], centre)[0], kind="stable").tolist():
+                if rows[i]["other"] in number:
+                    turns.insert(0, [i])
+                    continue
+                if not wide:
+                    turns.append([])
+                turns[-1].append(i)
+                wide = (wide + rows[i]["m"]) if wide + rows[i]["m"] < WIDE else 0
+            top = np.full((len(a), k), np.inf)  # smallest upper bounds so far
+            for turn in turns:
+                may = (_distances(a, centre[turn]) <= limit[:, None] + radius[turn][None] + _slack(a, centre[turn])).any(1)
+                here = np.flatnonzero(may & (leaf != number.get(rows[turn[0]]["other"], -1)))
+                if not len(here):
+                    continue
+                dst, b, error = _brief([rows[i] for i in turn])
+                for at in np.split(here, range(STRIP, len(here), STRIP)):
+                    d, off = _distances(a[at], b), error + _slack(a[at], b)
+                    x, y = np.nonzero(d - off[None] <= limit[at][:, None])
+                    low, high = d[x, y] - off[y], d[x, y] + off[y]
+                    out.append((at[x], dst[y], low, high))
+                    order = np.lexsort((high, x))
+                    place = np.arange(len(x)) - np.searchsorted(x, x)
+                    best, more = place < k, np.full((len(at), k), np.inf)
+                    more[x[best], place[best]] = high[order][best]
+                    top[at] = np.sort(np.concatenate([top[at], more], axis=1), axis=1)[:, :k]
+                    limit[at] = np.minimum(limit[at], top[at, -1])
         at, to, low, high = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0))
         if len(at):
             still = low <= limit[at]
@@ -240,12 +301,14 @@ def _nearest_distinct(points: DataFrame, k: int, block: int, fan: int) -> DataFr
     home = packs.select("n", "whole", "home").mapInArrow(_home(k), "src long, dst long, dist double")
     if packs.where("node <> ''").isEmpty():  # a single leaf
         return home
-    meet = _meetings(packs.select("node", "centre", "radius", "reach"))
-    parts = F.ceil(F.count("*").over(W.partitionBy("node")) / F.lit(TOGETHER))
-    meet = cut_lineage(meet.withColumn("part", F.pmod(F.xxhash64("other"), parts).cast("int")))
-    asking = meet.select("node", "part").distinct().join(packs.select("node", "n", "whole"), "node")
-    asked = meet.join(packs.select(F.col("node").alias("other"), F.col("n").alias("m"), "brief"), "other").select(F.col("node").alias("to"), F.col("part").alias("of"), "m", "brief")
-    open_pairs = cut_lineage(asking.groupBy("node", "part").cogroup(asked.groupBy("to", "of")).applyInArrow(_compare(k), "src long, dst long, low double, high double"))
+    leaves = packs.select("node", "n", "centre", "radius", "reach")
+    bundled = cut_lineage(leaves.join(_bundles(leaves), "node"))
+    meet = _meetings(bundled).join(leaves.select(F.col("node").alias("other"), F.col("n").alias("m")), "other")
+    parts = F.ceil(F.sum("m").over(W.partitionBy("bundle")) / F.lit(ASKED))
+    meet = cut_lineage(meet.select("bundle", "other", F.pmod(F.xxhash64("other"), parts).cast("int").alias("part")))
+    asking = meet.select("bundle", "part").distinct().join(bundled.select("bundle", "node"), "bundle").join(packs.select("node", "n", "whole"), "node")
+    asked = meet.withColumnsRenamed({"bundle": "to", "part": "of"}).join(packs.select(F.col("node").alias("other"), F.col("n").alias("m"), "centre", "radius", "brief"), "other")
+    open_pairs = cut_lineage(asking.groupBy("bundle", "part").cogroup(asked.groupBy("to", "of")).applyInArrow(_compare(k), "src long, dst long, low double, high double"))
 
     # Only pairs whose lower bound is not over the k-th upper bound of all are looked at in full.
     both = open_pairs.unionByName(home.select("src", F.lit(None).cast("long").alias("dst"), F.col("dist").alias("low"), F.col("dist").alias("high")))
