@@ -206,3 +206,19 @@ def test_small_leaves_ask_in_bundles(spark, monkeypatch):
     d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
     assert {r.src: [e.dst for e in r.e] for r in got} == {i: np.argsort(d[i], kind="stable")[:4].tolist() for i in range(600)}
+
+
+def test_last_moves_are_made_in_one_task(spark, monkeypatch):
+    """Stars in a ring, too many edges for one task: a few rounds, then the nodes that are left are settled together."""
+    cuts, cut = [], communities.cut_lineage
+
+    def counted(df):
+        cuts.append(df.columns)
+        return cut(df)
+
+    monkeypatch.setattr(communities, "cut_lineage", counted)
+    rows = [(a, -1 - a % 5, 1.0) for a in range(400)] + [(-1 - h, -1 - (h + 1) % 5, 0.01) for h in range(5)]
+    edges = spark.createDataFrame([e for a, b, w in rows for e in ((a, b, w), (b, a, w))], "src long, dst long, w double")
+    named = {r.node: r.community for r in communities.find_communities(edges, resolution=1.0, small=300).collect()}
+    assert named == {a: -1 - (a % 5 if a >= 0 else -1 - a) for a in [*range(400), *range(-5, 0)]}
+    assert len(cuts) < 40

@@ -3,7 +3,8 @@
 A level has three steps: nodes move to the neighbouring community of largest gain until none gains; each community is
 refined into connected parts; the parts become the nodes of the next level, which starts from the communities found. It
 ends when no node of a level joins another, so every community is one part and none falls apart. Levels run as joins on Spark; a level whose edges
-fit a stated bound is finished inside one task, together with those after it.
+fit a stated bound is finished inside one task, together with those after it. In a larger level, once the nodes that still
+gain have few enough edges, one task moves these one after the other in place of many rounds for the last few.
 """
 
 from __future__ import annotations
@@ -171,12 +172,67 @@ def _toward_groups(plain: DataFrame, labels: DataFrame) -> DataFrame:
     return plain.join(ends, "dst").groupBy(F.col("src").alias("node"), "c").agg(F.sum("w").alias("w_in"))
 
 
-def _moved(edges: DataFrame, start: DataFrame, strength: DataFrame, two_m: float, resolution: float, seed: int, max_rounds: int) -> DataFrame:
+def _settle(pdf: pd.DataFrame, scale: float, lone: bool) -> pd.DataFrame:
+    """(node, c) of the nodes ``src``, moved one after the other to the group of largest gain until none gains.
+
+    ``pdf``: src, dst, w, cs and cd (groups of both), k (strength of src), ts and td (strengths of both groups).
+    Other nodes stay. With ``lone`` nodes only join: one that is in company never moves again.
+    """
+    near, k, group, total, crowd = {}, {}, {}, {}, set()
+    for v, u, w, cs, cd, kv, ts, td in zip(*(pdf[c].tolist() for c in ("src", "dst", "w", "cs", "cd", "k", "ts", "td"))):
+        near.setdefault(v, []).append((u, w))
+        k[v], group[v], total[cs] = kv, cs, ts
+        group.setdefault(u, cd)
+        total.setdefault(cd, td)
+    waiting = deque(sorted(near))
+    queued = set(waiting)
+    while waiting:
+        v = waiting.popleft()
+        queued.discard(v)
+        own = group[v]
+        if lone and own in crowd:
+            continue
+        options = {own: 0.0} if lone else {own: 0.0, -v - 1: 0.0}
+        for u, w in near[v]:
+            options[group[u]] = options.get(group[u], 0.0) + w
+        gains = {c: round(w - scale * k[v] * (total.get(c, 0.0) - (k[v] if c == own else 0.0)), 10) for c, w in options.items()}
+        best = max(gains, key=lambda c: (gains[c], -c))
+        if best == own or gains[best] <= (0.0 if lone else gains[own]):
+            continue
+        total[own] -= k[v]
+        total[best] = total.get(best, 0.0) + k[v]
+        group[v] = best
+        crowd.add(best)
+        for u, _ in near[v]:
+            if u in near and u not in queued:
+                queued.add(u)
+                waiting.append(u)
+    return pd.DataFrame({"node": list(near), "c": [group[v] for v in near]})
+
+
+def _settled(plain: DataFrame, movers: DataFrame, labels: DataFrame, strength: DataFrame, scale: float, lone: bool = False) -> DataFrame:
+    """(node, c) of all nodes after the ``movers``, whose edges fit one task, have been settled there."""
+    totals = labels.join(strength, "node").groupBy("c").agg(F.sum("k").alias("t"))
+    near = plain.join(movers.select(F.col("node").alias("src")), "src")
+    near = near.join(labels.join(strength, "node").select(F.col("node").alias("src"), F.col("c").alias("cs"), "k"), "src")
+    near = near.join(labels.select(F.col("node").alias("dst"), F.col("c").alias("cd")), "dst")
+    near = near.join(totals.select(F.col("c").alias("cs"), F.col("t").alias("ts")), "cs").join(totals.select(F.col("c").alias("cd"), F.col("t").alias("td")), "cd")
+    kind = dict(labels.dtypes)["node"]
+
+    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _settle(pdf, scale, lone)
+
+    moved = near.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(settle, f"node {kind}, c {kind}")
+    joined = labels.join(moved.select("node", F.col("c").alias("_c")), "node", "left")
+    return cut_lineage(joined.select("node", F.coalesce("_c", "c").alias("c")))
+
+
+def _moved(edges: DataFrame, start: DataFrame, strength: DataFrame, two_m: float, resolution: float, seed: int, max_rounds: int, small: int = SMALL) -> DataFrame:
     """(node, c): nodes move from the communities of ``start`` to the neighbouring community of largest gain.
 
     Half of the nodes, drawn anew by a hash, may move in a round, and fewer in late rounds, so that neighbours don't
     chase each other; it ends when no node would gain by a move. A node may also leave for a community of its own, which
-    has a number below zero.
+    has a number below zero. Nodes that gain and have up to ``small`` edges together are moved in one task.
     """
     labels = start
     plain = edges.where("src <> dst")
@@ -186,33 +242,39 @@ def _moved(edges: DataFrame, start: DataFrame, strength: DataFrame, two_m: float
         stay = labels.select("node", "c", F.lit(0.0).alias("w_in"))
         alone = labels.select("node", (-F.col("node") - 1).alias("c"), F.lit(0.0).alias("w_in"))
         options = _toward_groups(plain, labels).unionByName(stay).unionByName(alone).groupBy("node", "c").agg(F.sum("w_in").alias("w_in"))
-        own = sized.select("node", F.col("c").alias("own"), "k")
+        own = sized.select("node", F.col("c").alias("own"), "k", "n_edges")
         scored = options.join(own, "node").join(totals, "c", "left")
         rest = F.coalesce("k_all", F.lit(0.0)) - F.when(F.col("c") == F.col("own"), F.col("k")).otherwise(F.lit(0.0))
         gain = F.round(F.col("w_in") - F.lit(resolution) * F.col("k") * rest / F.lit(two_m), 10)
-        ranked = scored.select("node", "own", "c", gain.alias("gain"))
+        ranked = scored.select("node", "own", "c", "n_edges", gain.alias("gain"))
         chosen = ranked.groupBy("node").agg(
             F.max(F.struct("gain", (-F.col("c")).alias("neg"))).alias("b"),
             F.max(F.when(F.col("c") == F.col("own"), F.col("gain"))).alias("now"),
             F.first("own").alias("own"),
+            F.first("n_edges").alias("n_edges"),
         )
         mine = F.pmod(F.xxhash64("node", F.lit(seed), F.lit(turn)), F.lit(2 << min(turn // 25, 4))) == 0
         gains = F.col("b.gain") > F.col("now")
         updated = cut_lineage(
-            chosen.select("node", F.when(mine & gains, -F.col("b.neg")).otherwise(F.col("own")).alias("c"), gains.alias("gains"))
+            chosen.select("node", F.when(mine & gains, -F.col("b.neg")).otherwise(F.col("own")).alias("c"), gains.alias("gains"), "own", "n_edges")
         )
-        labels = updated.select("node", "c")
-        if updated.where("gains").isEmpty():
+        left = updated.where("gains").agg(F.sum("n_edges")).first()[0]
+        if left is None:
             return labels
+        if left <= small and turn % 8 < 7:  # a plain round now and then, should rounding ever hold a task back
+            labels = _settled(plain, updated.where("gains"), updated.select("node", F.col("own").alias("c")), strength, resolution / two_m)
+        else:
+            labels = updated.select("node", "c")
     raise RuntimeError(f"nodes still move after {max_rounds} rounds")
 
 
-def _refined(edges: DataFrame, labels: DataFrame, strength: DataFrame, two_m: float, resolution: float, seed: int, max_rounds: int) -> DataFrame:
+def _refined(edges: DataFrame, labels: DataFrame, strength: DataFrame, two_m: float, resolution: float, seed: int, max_rounds: int, small: int = SMALL) -> DataFrame:
     """(node, c): connected parts of the communities, each named by one of its nodes.
 
     In a round each part draws a side by a hash. Lone nodes of one side that are well tied to their community join the
     part of the other side beside them that gains most, so a part grows by edges only and never loses a node. It ends
-    when no lone node has a part beside it that it would gain by joining.
+    when no lone node has a part beside it that it would gain by joining. Lone nodes that would and have up to ``small``
+    edges together join in one task.
     """
     share = F.lit(resolution / two_m)
     placed = labels.join(strength, "node")
@@ -229,8 +291,13 @@ def _refined(edges: DataFrame, labels: DataFrame, strength: DataFrame, two_m: fl
         scored = _toward_groups(inside, parts).join(lone, "node").join(sized.select("c", "k_all"), "c")
         gain = F.round(F.col("w_in") - share * F.col("k") * F.col("k_all"), 10)
         options = cut_lineage(scored.select("node", "c", gain.alias("gain")).where("gain > 0"))
-        if options.isEmpty():
+        movers = options.select("node").distinct()
+        left = movers.join(strength, "node").agg(F.sum("n_edges")).first()[0]
+        if left is None:
             return parts
+        if left <= small and turn % 8 < 7:
+            parts = _settled(inside, movers, parts, strength, resolution / two_m, lone=True)
+            continue
         side = F.pmod(F.xxhash64("c", F.lit(seed), F.lit(turn)), F.lit(2))
         own = F.pmod(F.xxhash64("node", F.lit(seed), F.lit(turn)), F.lit(2))  # a lone node names its own part
         best = options.where((own == 0) & (side == 1)).groupBy("node").agg(F.max(F.struct("gain", (-F.col("c")).alias("neg"))).alias("b"))
@@ -264,13 +331,13 @@ def find_communities(edges: DataFrame, resolution: float = 0.2, seed: int = 42,
             known = level.join(start.select(F.col("node").alias("src"), F.col("c").alias("cs")), "src").join(start.select(F.col("node").alias("dst"), F.col("c").alias("cd")), "dst")
             last = known.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(finish, f"node {kind}, c {kind}")
             break
-        strength = cut_lineage(level.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k")))
-        labels = _moved(level, start, strength, two_m, resolution, seed, max_rounds)
+        strength = cut_lineage(level.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"), F.count("*").alias("n_edges")))
+        labels = _moved(level, start, strength, two_m, resolution, seed, max_rounds, small)
         n_nodes = labels.count()
         if labels.select("c").distinct().count() == n_nodes:
             last = labels
             break
-        parts = _refined(level, labels, strength, two_m, resolution, seed, max_rounds)
+        parts = _refined(level, labels, strength, two_m, resolution, seed, max_rounds, small)
         if parts.select("c").distinct().count() == n_nodes:  # only ties hold the communities together
             last = _split(level, labels)
             break
