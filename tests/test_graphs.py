@@ -222,3 +222,21 @@ def test_last_moves_are_made_in_one_task(spark, monkeypatch):
     named = {r.node: r.community for r in communities.find_communities(edges, resolution=1.0, small=300).collect()}
     assert named == {a: -1 - (a % 5 if a >= 0 else -1 - a) for a in [*range(400), *range(-5, 0)]}
     assert len(cuts) < 40
+
+
+def test_large_levels_move_block_by_block(spark, monkeypatch):
+    """More edges than a task takes, a node with more than that by itself, ids below zero."""
+    cuts, cut = [], communities.cut_lineage
+
+    def counted(df):
+        cuts.append(df.columns)
+        return cut(df)
+
+    monkeypatch.setattr(communities, "cut_lineage", counted)
+    rows = [(x - 30, y - 30, w) for x, y, w in some_graph(7, 4, 20, 0.5, 0.03)]
+    rows += [e for v in range(-30, 50) for e in ((v, 500, 0.05), (500, v, 0.05))]
+    edges = spark.createDataFrame(rows, "src long, dst long, w double")
+    named = {r.node: r.community for r in communities.find_communities(edges, resolution=1.0, small=70).collect()}
+    assert any("block" in columns for columns in cuts)
+    assert not connected_parts(rows, named) and all(named[c] == c for c in named.values())
+    assert all(len({named[v] for v in range(g * 20 - 30, g * 20 - 10)}) == 1 for g in range(4)) and len(set(named.values())) == 4
